@@ -11,6 +11,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -22,10 +23,9 @@ from fleetpulse.params import ControllerParams, ScaleLimits
 # Executors may not have this package on their path: ship the functions of this module by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_OUTLIERS = "array<struct<latency:double,draw:double>>"
-
 WINDOW_SCHEMA = (
-    f"edge_id string, window_no bigint, messages bigint, rtt_sum double, outliers {_OUTLIERS}"
+    "edge_id string, window_no bigint, messages bigint, rtt_sum double, "
+    "outlier_latency array<double>, outlier_draw array<double>"
 )
 
 STATE_SCHEMA = (
@@ -58,16 +58,23 @@ def controller_windows(
     """One summary per edge and window.
 
     Which outliers count depends on the thresholds then in force, so their latency and draw are
-    kept: at most one pair per message of the window. A last window that is not full is left
-    out, because the controller does not act on it.
+    kept, as two lists in the same order: at most one entry per message of the window. Outliers
+    that go to the cloud under any threshold the bounds allow are left out. So is a last window
+    that is not full, because the controller does not act on it.
     """
-    pair = F.struct(
-        F.col("latency_ms").cast("double").alias("latency"), F.col("draw").alias("draw")
-    )
-    summary = windowed.groupBy("edge_id", "window_no").agg(
-        F.count(F.lit(1)).alias("messages"),
-        F.sum(F.col("latency_ms").cast("double")).alias("rtt_sum"),
-        F.collect_list(F.when(_condition(outlier), pair)).alias("outliers"),
+    latency, draw = F.col("latency_ms").cast("double"), F.col("draw")
+    may_count = (latency >= params.threshold_min) & (draw >= params.sample_min)
+    pair = F.struct(latency.alias("latency"), draw.alias("draw"))
+    summary = (
+        windowed.groupBy("edge_id", "window_no")
+        .agg(
+            F.count(F.lit(1)).alias("messages"),
+            F.sum(latency).alias("rtt_sum"),
+            F.collect_list(F.when(_condition(outlier) & may_count, pair)).alias("_pairs"),
+        )
+        .withColumn("outlier_latency", F.col("_pairs.latency"))
+        .withColumn("outlier_draw", F.col("_pairs.draw"))
+        .drop("_pairs")
     )
     return summary.where(F.col("messages") == params.window_size) if complete_only else summary
 
@@ -125,7 +132,8 @@ def controller_fold(
             F.lit(-1).cast("bigint").alias("window_no"),
             F.lit(0).cast("bigint").alias("messages"),
             F.lit(0.0).alias("rtt_sum"),
-            F.array().cast(_OUTLIERS).alias("outliers"),
+            F.array().cast("array<double>").alias("outlier_latency"),
+            F.array().cast("array<double>").alias("outlier_draw"),
             "latency_threshold",
             "cloud_sample_rate",
             "edge_anomaly_rate",
@@ -158,10 +166,11 @@ def controller_fold(
                     }
                     continue
                 # An outlier was seen by the edge model only if it was not sent to the cloud.
-                seen = sum(
-                    1
-                    for o in row.outliers
-                    if o["latency"] >= state["threshold"] and o["draw"] >= state["sample"]
+                seen = int(
+                    np.count_nonzero(
+                        (row.outlier_latency >= state["threshold"])
+                        & (row.outlier_draw >= state["sample"])
+                    )
                 )
                 state, action = _next_state(state, row.messages, seen, row.rtt_sum, params)
                 out.append(
@@ -177,7 +186,7 @@ def controller_fold(
 
 
 def _columns(ddl: str) -> list[str]:
-    """Column names of a flat schema string (nested types hold no ``, ``)."""
+    """Column names of a flat schema string."""
     return [part.split(" ")[0] for part in ddl.split(", ")]
 
 

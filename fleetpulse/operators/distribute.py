@@ -49,9 +49,13 @@ def lookup_join(
     key: str,
     how: str = "left",
     limits: ScaleLimits = ScaleLimits(),
+    fits: bool | None = None,
 ) -> DataFrame:
     """Join a large side to a lookup with one row per key.
 
+    The lookup is evaluated for its size first, so it should be a stored or persisted one.
+    ``fits`` skips that when the caller has measured it already.
+
     * A lookup whose measured size is below the bound is broadcast: the large side stays put.
     * Beyond the bound both sides are shuffled on the key, except the rows of hot keys and rows
       without a key. Those are joined where they are against the lookup rows of the hot keys,
@@ -59,7 +63,7 @@ def lookup_join(
     """
     if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
-    if fits_broadcast(right, limits):
+    if fits_broadcast(right, limits) if fits is None else fits:
         return left.join(F.broadcast(right), key, how)
     return _split_join(left, right, key, how, hot_keys(left, key, limits))
 

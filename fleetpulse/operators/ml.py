@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
+from itertools import combinations_with_replacement
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,38 +115,85 @@ def feature_minmax(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     """Features scaled to [0, 1] by their range. A constant feature becomes 0."""
     ranges = feature_ranges(df, features).first()
     # Two numbers per feature, so they are written into the expression as constants.
-    scaled = {
-        c: (F.col(c) - F.lit(ranges[f"{c}_min"])) / F.lit(ranges[f"{c}_range"]) for c in features
-    }
-    return df.withColumns(scaled) if ranges[f"{features[0]}_min"] is not None else df
+    return df.withColumns(
+        {c: (F.col(c) - F.lit(ranges[f"{c}_min"])) / F.lit(ranges[f"{c}_range"]) for c in features}
+    )
+
+
+@dataclass(frozen=True)
+class LinearCode:
+    """Main components of the scaled features: what a linear bottleneck of size ``k`` keeps."""
+
+    features: tuple[str, ...]
+    means: tuple[float, ...]
+    ranges: tuple[float, ...]
+    components: tuple[tuple[float, ...], ...]
+
+
+def fit_linear_code(
+    df: DataFrame, k: int = 4, features: list[str] = FEATURES
+) -> LinearCode | None:
+    """Fit in a single pass: ranges, means and covariances are one aggregate.
+
+    Only that one row of numbers reaches the driver. None without complete rows.
+    """
+    pairs = list(combinations_with_replacement(range(len(features)), 2))
+    columns = [F.col(c).cast("double") for c in features]
+    row = drop_missing(df).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(c) for c in columns],
+        *[F.max(c) - F.min(c) for c in columns],
+        *[F.covar_pop(columns[i], columns[j]) for i, j in pairs],
+    ).first()
+    if row["n"] == 0:
+        return None
+    size = len(features)
+    means, spans, products = row[1 : 1 + size], row[1 + size : 1 + 2 * size], row[1 + 2 * size :]
+    ranges = [span if span != 0 else 1.0 for span in spans]
+    covariance = np.zeros((size, size))
+    for (i, j), product in zip(pairs, products):
+        covariance[i, j] = covariance[j, i] = product / (ranges[i] * ranges[j])
+    _, vectors = np.linalg.eigh(covariance)  # eigenvalues in ascending order
+    kept = vectors[:, ::-1][:, :k].T
+    return LinearCode(
+        tuple(features), tuple(means), tuple(ranges), tuple(tuple(map(float, v)) for v in kept)
+    )
+
+
+def apply_linear_code(df: DataFrame, code: LinearCode) -> DataFrame:
+    """Add ``recon_error``: the squared error per feature of rebuilding the scaled row.
+
+    An arithmetic expression over the row, so it needs neither vectors nor Python. A row with a
+    missing feature has no error.
+    """
+    centred = [
+        (F.col(c) - F.lit(mean)) / F.lit(span)
+        for c, mean, span in zip(code.features, code.means, code.ranges)
+    ]
+
+    def total(terms):
+        return reduce(lambda a, b: a + b, terms)
+
+    left = total([c * c for c in centred])
+    for component in code.components:
+        projection = total([c * F.lit(weight) for c, weight in zip(centred, component)])
+        left = left - projection * projection
+    # Rounding can leave a tiny negative remainder. ``greatest`` would skip a missing value.
+    error = F.when(left < 0, F.lit(0.0)).otherwise(left) / F.lit(float(len(code.features)))
+    return df.withColumn("recon_error", error)
 
 
 def recon_error(
     df: DataFrame, k: int = 4, features: list[str] = FEATURES, keep: list[str] | None = None
 ) -> DataFrame:
-    """Squared error, per feature, of rebuilding a scaled row from its ``k`` main components.
+    """Reconstruction error of every complete row, the code fitted on the same rows.
 
-    A linear stand-in for an autoencoder with a bottleneck of ``k``. The components are a
-    handful of numbers, so the error is an arithmetic column expression over them.
+    A linear stand-in for an autoencoder with a bottleneck of ``k``.
     """
-    scaled = feature_minmax(drop_missing(df), features)
-    vectors = VectorAssembler(inputCols=features, outputCol="_v").transform(scaled)
-    means = vectors.agg(*[F.avg(c).alias(c) for c in features]).first()
-    if means[0] is None:
-        return scaled.select(*(keep or df.columns), F.lit(None).cast("double").alias("recon_error"))
-    components = PCA(k=k, inputCol="_v", outputCol="_p").fit(vectors).pc.toArray()
-    centred = [F.col(c) - F.lit(means[c]) for c in features]
-
-    def plus(a, b):
-        return a + b
-
-    total = reduce(plus, [c * c for c in centred])
-    for j in range(components.shape[1]):
-        projection = reduce(
-            plus, [c * F.lit(float(components[i, j])) for i, c in enumerate(centred)]
-        )
-        total = total - projection * projection
-    # Rounding can leave a tiny negative remainder.
-    error = F.greatest(total, F.lit(0.0)) / F.lit(float(len(features)))
-    originals = df.columns if keep is None else keep
-    return scaled.withColumn("recon_error", error).select(*originals, "recon_error")
+    rows = drop_missing(df)
+    code = fit_linear_code(rows, k, features)
+    if code is None:
+        rows = rows.withColumn("recon_error", F.lit(None).cast("double"))
+    else:
+        rows = apply_linear_code(rows, code)
+    return rows.select(*(df.columns if keep is None else keep), "recon_error")

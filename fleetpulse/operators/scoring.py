@@ -30,6 +30,7 @@ def with_context(
     context: DataFrame | None,
     params: ScoringParams = ScoringParams(),
     limits: ScaleLimits = ScaleLimits(),
+    fits: bool | None = None,
 ) -> DataFrame:
     """Add rank, community, risk and the threshold adjustment. No context adjusts nothing."""
     if context is None:
@@ -39,7 +40,7 @@ def with_context(
             .withColumn("risk_score", F.lit(None).cast("double"))
             .withColumn("graph_adjustment", F.lit(0.0))
         )
-    joined = lookup_join(telemetry, context, "machine_id", limits=limits)
+    joined = lookup_join(telemetry, context, "machine_id", limits=limits, fits=fits)
     return joined.withColumn(
         "graph_adjustment", graph_adjustment(F.col("risk_score"), F.col("pr_score"), params)
     )
@@ -50,9 +51,13 @@ def graph_scored(
     context: DataFrame | None = None,
     params: ScoringParams = ScoringParams(),
     limits: ScaleLimits = ScaleLimits(),
+    fits: bool | None = None,
 ) -> DataFrame:
-    """Readings with ``graph_adjustment`` and ``prediction_score``."""
-    return with_context(telemetry, context, params, limits).withColumn(
+    """Readings with ``graph_adjustment`` and ``prediction_score``.
+
+    ``fits`` says that the context is known to be small enough to broadcast, or not.
+    """
+    return with_context(telemetry, context, params, limits, fits).withColumn(
         "prediction_score",
         prediction_score(
             F.col("tool_wear"), F.col("rotational_speed"), F.col("graph_adjustment"), params

@@ -56,6 +56,7 @@ class ControllerParams:
     interval_min: int = 200
     interval_max: int = 2000
     retrain_every: int = 500
+    retrain_min_rows: int = 50
 
 
 @dataclass(frozen=True)

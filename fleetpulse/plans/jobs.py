@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.operators import controller as ctl
 from fleetpulse.operators import graph, ml, risk
-from fleetpulse.operators.ingest import has_rows
+from fleetpulse.operators.ingest import drop_missing, has_rows
 from fleetpulse.params import ControllerParams, ForestParams, GraphParams, ScaleLimits
 from fleetpulse.session import cut, write_once
 from fleetpulse.sources.tables import SnapshotTable
@@ -116,3 +116,17 @@ def run_training(
     if path:
         ml.save_model(model, path)
     return model, metrics
+
+
+def run_retrain(
+    history: DataFrame, params: ControllerParams = ControllerParams(), k: int = 4
+) -> DataFrame | None:
+    """Fit the reconstruction model on the cloud history and return the notice to send.
+
+    None when there are too few complete rows.
+    """
+    rows = drop_missing(history)
+    if not has_rows(rows, params.retrain_min_rows):
+        log.warning("fewer than %d complete rows, nothing trained", params.retrain_min_rows)
+        return None
+    return ctl.retrain_feedback(ml.recon_error(rows, k))

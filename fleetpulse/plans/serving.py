@@ -22,10 +22,13 @@ LEADERBOARD = 10
 CLUSTER_LIST = 5
 
 
+def newest_alerts(alerts: DataFrame, n: int = ALERT_LIST) -> DataFrame:
+    return alerts.orderBy(F.desc("alert_time"), "machine_id").limit(n)
+
+
 def latest_alerts(alerts: DataFrame, n: int = ALERT_LIST) -> DataFrame:
     """The ``n`` newest alerts, newest first."""
-    newest = alerts.orderBy(F.desc("alert_time"), "machine_id").limit(n)
-    return newest.select(*ALERT_COLUMNS)
+    return newest_alerts(alerts, n).select(*ALERT_COLUMNS)
 
 
 def _wear_flag() -> Column:

@@ -111,22 +111,29 @@ class SnapshotTable:
     def named(cls, root: str, name: str) -> "SnapshotTable":
         return cls(f"{root}/{name}", SERVING_TABLES[name][0])
 
-    def replace(self, df: DataFrame, keep: int = 2) -> int:
-        """Write a new version and return its number. The ``keep`` newest versions stay."""
+    def replace(self, df: DataFrame, keep: int = 2, version: int | None = None) -> int:
+        """Write a new version and return its number. The ``keep`` newest versions stay.
+
+        A stream passes its batch id as ``version``, so a replay writes the same version again.
+        """
         spark = df.sparkSession
-        columns = T.StructType.fromDDL(self.schema).names
         versions = completed_folders(spark, self.path, "version=")
-        number = max(versions, default=-1) + 1
+        number = max(versions, default=-1) + 1 if version is None else version
+        columns = T.StructType.fromDDL(self.schema).names
         df.select(*columns).write.mode("overwrite").parquet(f"{self.path}/version={number}")
-        for old in sorted(versions)[: max(0, len(versions) + 1 - keep)]:
+        older = sorted(n for n in versions if n < number)
+        for old in older[: max(0, len(older) + 1 - keep)]:
             _remove(spark, versions[old])
         return number
 
     def exists(self, spark: SparkSession) -> bool:
         return bool(completed_folders(spark, self.path, "version="))
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """The newest version, or the newest one below ``before``."""
         versions = completed_folders(spark, self.path, "version=")
+        if before is not None:
+            versions = {n: path for n, path in versions.items() if n < before}
         if not versions:
             return spark.createDataFrame([], self.schema)
         return spark.read.schema(self.schema).parquet(versions[max(versions)])

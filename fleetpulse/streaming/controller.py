@@ -16,21 +16,18 @@ from fleetpulse.operators import controller as ctl
 from fleetpulse.operators.distribute import lookup_join
 from fleetpulse.params import ControllerParams, ScaleLimits
 from fleetpulse.session import write_once
-from fleetpulse.sources.tables import completed_folders
+from fleetpulse.sources.tables import SnapshotTable
 
 _STATE = (
     "edge_id string, window_no bigint, action string, latency_threshold double, "
     "cloud_sample_rate double, retrain_interval int, edge_anomaly_rate double, avg_rtt double, "
     "seen bigint, sent bigint, pending struct<window_no:bigint,messages:bigint,rtt_sum:double,"
-    "outliers:array<struct<latency:double,draw:double>>>"
+    "outlier_latency:array<double>,outlier_draw:array<double>>"
 )
 
 
-def _version_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    versions = {n: p for n, p in completed_folders(spark, path, "version=").items() if n < batch_id}
-    if not versions:
-        return spark.createDataFrame([], _STATE)
-    return spark.read.schema(_STATE).parquet(versions[max(versions)])
+def _state_table(root: str) -> SnapshotTable:
+    return SnapshotTable(f"{root}/state", _STATE)
 
 
 def control_batch(
@@ -48,7 +45,7 @@ def control_batch(
     batch. The state is read from the batch before, so a replay gives the same again.
     """
     spark = batch.sparkSession
-    before = _version_before(spark, f"{root}/state", batch_id)
+    before = _state_table(root).read(spark, before=batch_id)
     numbered = ctl.number_messages(batch, order_cols, limits)
     numbered = lookup_join(numbered, before.select("edge_id", "seen"), "edge_id", limits=limits)
     numbered = numbered.withColumn("seq", F.col("seq") + F.coalesce("seen", F.lit(0))).drop("seen")
@@ -62,8 +59,17 @@ def control_batch(
         .agg(
             F.sum("messages").alias("messages"),
             F.sum("rtt_sum").alias("rtt_sum"),
-            # Parts of one window: at most ``window_size`` pairs together.
-            F.flatten(F.collect_list("outliers")).alias("outliers"),
+            # Parts of one window: at most ``window_size`` entries together. Both lists are
+            # gathered as pairs, so they stay in the same order.
+            F.collect_list(F.struct("outlier_latency", "outlier_draw")).alias("_parts"),
+        )
+        .select(
+            "edge_id",
+            "window_no",
+            "messages",
+            "rtt_sum",
+            F.flatten("_parts.outlier_latency").alias("outlier_latency"),
+            F.flatten("_parts.outlier_draw").alias("outlier_draw"),
         ),
         "windows",
     )
@@ -78,11 +84,13 @@ def control_batch(
 
     fields = [c for c in states.columns if c not in ("edge_id", "window_no")]
     newest = F.max_by(F.struct("window_no", *fields), "window_no").alias("_s")
-    pending = F.struct("window_no", "messages", "rtt_sum", "outliers").alias("pending")
+    pending = F.struct(
+        "window_no", "messages", "rtt_sum", "outlier_latency", "outlier_draw"
+    ).alias("pending")
     counts = routed.groupBy("edge_id").agg(
         F.count(F.lit(1)).alias("_rows"), F.count_if("to_cloud").alias("_sent")
     )
-    (
+    after = (
         before.select("edge_id", "seen", "sent")
         .join(counts, "edge_id", "full")
         .join(known.groupBy("edge_id").agg(newest), "edge_id", "left")
@@ -99,18 +107,15 @@ def control_batch(
             (F.coalesce("sent", F.lit(0)) + F.coalesce("_sent", F.lit(0))).alias("sent"),
             "pending",
         )
-        .write.mode("overwrite")
-        .parquet(f"{root}/state/version={batch_id}")
     )
+    _state_table(root).replace(after, version=batch_id)
 
 
 def controller_states(
     spark: SparkSession, root: str, params: ControllerParams = ControllerParams()
 ) -> DataFrame:
     """Newest state per edge, in the layout of the ``controller_state`` table."""
-    versions = completed_folders(spark, f"{root}/state", "version=")
-    newest = _version_before(spark, f"{root}/state", max(versions, default=-1) + 1)
-    return newest.where(F.col("window_no").isNotNull()).select(
+    return _state_table(root).read(spark).where(F.col("window_no").isNotNull()).select(
         F.col("edge_id").alias("controller_id"),
         "latency_threshold",
         "cloud_sample_rate",

@@ -8,16 +8,27 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
+from fleetpulse.operators.distribute import fits_broadcast
 from fleetpulse.operators.ingest import split_malformed
-from fleetpulse.operators.scoring import filter_anomalies, graph_scored, project_alerts, project_states
+from fleetpulse.operators.scoring import (
+    graph_scored,
+    newest_per_key,
+    project_alerts,
+    project_states,
+)
 from fleetpulse.params import ScaleLimits, ScoringParams
 from fleetpulse.plans.jobs import load_graph_tables
-from fleetpulse.plans.serving import latest_alerts
-from fleetpulse.sources.tables import KeyedTable
+from fleetpulse.plans.serving import latest_alerts, newest_alerts
+from fleetpulse.schema import SERVING_TABLES
+from fleetpulse.sources.tables import KeyedTable, SnapshotTable
 
 log = logging.getLogger("fleetpulse")
 
 
+def newest_alerts_table(root: str) -> SnapshotTable:
+    return SnapshotTable(f"{root}/latest_alerts", SERVING_TABLES["realtime_alerts"][0])
+
+
 class GraphContext:
     """Graph context for the batches of a stream, reloaded when it is older than ``ttl`` seconds.
 
@@ -28,6 +39,7 @@ class GraphContext:
         self._spark, self._root, self._ttl, self._clock = spark, root, ttl, clock
         self._frame: DataFrame | None = None
         self._loaded_at: float | None = None
+        self.fits: bool | None = None
 
     def get(self) -> DataFrame | None:
         now = self._clock()
@@ -39,11 +51,12 @@ class GraphContext:
             if tables is None:
                 return self._frame
             loaded = tables.context().persist(StorageLevel.MEMORY_AND_DISK)
-            log.info("graph context loaded, %d machines", loaded.count())
+            # The one pass that fills the cache also tells whether it can be broadcast.
+            fits = fits_broadcast(loaded)
         except Exception as error:  # the stream goes on with the context it has
             log.warning("graph context not loaded: %s", error)
             return self._frame
-        previous, self._frame, self._loaded_at = self._frame, loaded, now
+        previous, self._frame, self._loaded_at, self.fits = self._frame, loaded, now, fits
         if previous is not None:
             previous.unpersist()
         return self._frame
@@ -53,26 +66,35 @@ def score_batch(
     batch: DataFrame,
     batch_id: int,
     context: GraphContext,
-    alerts: KeyedTable,
-    states: KeyedTable,
-    quarantine_path: str | None = None,
+    root: str,
     params: ScoringParams = ScoringParams(),
     limits: ScaleLimits = ScaleLimits(),
 ) -> None:
-    """Score one micro-batch and write it. Replaying a batch id changes nothing."""
+    """Score one micro-batch and write it below ``root``. A replayed batch id changes nothing.
+
+    Malformed messages go to ``quarantine``. ``latest_alerts`` keeps the newest alerts: the
+    newest of those before and of this batch, so the display never reads the whole history.
+    """
+    spark = batch.sparkSession
+    newest = newest_alerts_table(root)
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if batch.isEmpty():
             return
         usable, malformed = split_malformed(batch)
-        if quarantine_path is not None:
-            malformed.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
-        scored = graph_scored(usable, context.get(), params, limits)
+        if not malformed.isEmpty():
+            malformed.write.mode("overwrite").parquet(f"{root}/quarantine/batch={batch_id}")
+        known = context.get()
+        scored = graph_scored(usable, known, params, limits, context.fits)
         scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if not filter_anomalies(scored).isEmpty():
-                alerts.upsert(project_alerts(scored), batch_id)
-            states.upsert(project_states(scored), batch_id)
+            alerts = project_alerts(scored)
+            if not alerts.isEmpty():
+                KeyedTable.named(root, "realtime_alerts").upsert(alerts, batch_id)
+                shown = newest.read(spark, before=batch_id).unionByName(alerts)
+                distinct = newest_per_key(shown, ["machine_id", "alert_time"], "alert_time")
+                newest.replace(newest_alerts(distinct), version=batch_id)
+            KeyedTable.named(root, "machine_states").upsert(project_states(scored), batch_id)
         finally:
             scored.unpersist()
     finally:
@@ -90,19 +112,16 @@ def stream_scored(
 ):
     """Start the scoring stream on parsed telemetry. Returns the running query.
 
-    Tables are compacted every ``compact_every`` batches, so that a reader merges a bounded
-    number of slices.
+    The machine states are compacted every ``compact_every`` batches, so that a reader merges a
+    bounded number of slices. Alerts are a growing log and stay as written.
     """
     spark = telemetry.sparkSession
     context = GraphContext(spark, root, ttl)
-    alerts = KeyedTable.named(root, "realtime_alerts")
-    states = KeyedTable.named(root, "machine_states")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        score_batch(batch, batch_id, context, alerts, states, f"{root}/quarantine", params)
+        score_batch(batch, batch_id, context, root, params)
         if compact_every and batch_id and batch_id % compact_every == 0:
-            alerts.compact(spark)
-            states.compact(spark)
+            KeyedTable.named(root, "machine_states").compact(spark)
 
     writer = (
         telemetry.writeStream.foreachBatch(handle)
@@ -115,17 +134,17 @@ def stream_scored(
 def alert_feed(
     ticks: DataFrame, root: str, emit, checkpoint: str | None = None, **trigger
 ):
-    """Call ``emit`` with the newest alerts at every trigger.
+    """Call ``emit`` with the newest alerts at every trigger, once there are any.
 
     ``ticks`` is any stream that produces a row per period, such as the rate source. The
     default period is one second.
     """
     spark = ticks.sparkSession
-    alerts = KeyedTable.named(root, "realtime_alerts")
+    newest = newest_alerts_table(root)
 
     def handle(_: DataFrame, batch_id: int) -> None:
-        if alerts.exists(spark):
-            emit(latest_alerts(alerts.read(spark)), batch_id)
+        if newest.exists(spark):
+            emit(latest_alerts(newest.read(spark)), batch_id)
 
     writer = ticks.writeStream.foreachBatch(handle)
     if checkpoint:

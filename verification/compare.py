@@ -17,6 +17,12 @@ TABLES = """region nation customer supplier part orders lineitem events document
 benchmark labels conversations""".split()
 
 
+KINDS = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+}
+
+
 def plain(value):
     if isinstance(value, Decimal):
         return float(value)
@@ -48,6 +54,10 @@ def compare(spark, con, sf_dir: str, name: str) -> str:
     columns = [d[0] for d in result.description]
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(columns)}"
+    kinds = {d[0]: KINDS.get(str(d[1]), str(d[1])) for d in result.description}
+    wrong = [(c, t, kinds[c]) for c, t in df.dtypes if t != kinds[c]]
+    if wrong:
+        return f"types {wrong}"
     theirs = rows_of(columns, result.fetchall())
     if ours != theirs:
         return (

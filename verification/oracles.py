@@ -188,7 +188,8 @@ def _controller(tag: str, edge: str) -> None:
         f"win{tag}",
         [f"wnd{tag}"],
         f"""SELECT edge_id, window_no, count(*) AS messages, avg(latency_ms) AS mean_rtt,
-            coalesce(list({{'l': latency_ms, 'd': draw}}) FILTER (WHERE prediction_score = -1), [])
+            coalesce(list({{'l': latency_ms, 'd': draw}}) FILTER (
+              WHERE prediction_score = -1 AND latency_ms >= 100 AND draw >= 0.1::DOUBLE), [])
               AS outliers
             FROM wnd{tag} GROUP BY edge_id, window_no HAVING count(*) = {p.window_size}""",
     )
@@ -374,8 +375,8 @@ def oracle_sql() -> dict[str, str]:
     out["sink_archive_batches"] = "SELECT count(*) AS rows, true AS within_limit FROM events"
     out["sink_cloud_history"] = _sql(
         f"""SELECT event_us, round(air_temp, 6) AS air_temp, round(process_temp, 6) AS process_temp,
-            round(rotational_speed, 6) AS rotational_speed, round(torque, 6) AS torque, tool_wear,
-            'cloud_offload' AS routing, latency_ms
+            round(rotational_speed, 6) AS rotational_speed, round(torque, 6) AS torque,
+            CAST(tool_wear AS DOUBLE) AS tool_wear, 'cloud_offload' AS routing, latency_ms
             FROM (SELECT {_GAPS} FROM routed0 WHERE to_cloud)""",
         "routed0",
     )

@@ -286,7 +286,8 @@ def sink_cloud_history(spark, sf_dir):
     path = work_path(spark, "history")
     cloud = ctl.route_readings(gaps(telemetry(spark, sf_dir))).where("to_cloud")
     writers.write_history(ingest.tag_offload(cloud), path)
-    return six(readers.read_history_csv(spark, path))
+    back = readers.read_history_csv(spark, path)
+    return six(back.withColumn("tool_wear", F.col("tool_wear").cast("double")))
 
 
 def sink_kafka_json(spark, sf_dir):
@@ -375,7 +376,8 @@ def filter_anomalies(spark, sf_dir):
 def _topology(spark, sf_dir) -> DataFrame:
     """Neighbours of the machines that ever failed; the others are unknown."""
     rows = telemetry(spark, sf_dir).where("machine_failure = 1")
-    return rows.groupBy("machine_id").agg(F.max("connected_to").alias("connected_to"))
+    lists = rows.groupBy("machine_id").agg(F.max("connected_to").alias("connected_to"))
+    return write_once(lists, "topology")
 
 
 def topology_enrich(spark, sf_dir):
@@ -669,7 +671,7 @@ def controller_windows(spark, sf_dir):
         "window_no",
         "messages",
         F.round(F.col("rtt_sum") / F.col("messages"), 6).alias("mean_rtt"),
-        F.size("outliers").cast("bigint").alias("outliers"),
+        F.size("outlier_draw").cast("bigint").alias("outliers"),
     )
 
 
@@ -695,7 +697,7 @@ def retrain_trigger(spark, sf_dir):
 
 def retrain_feedback(spark, sf_dir):
     """The notice of retraining on the whole cloud history."""
-    notice = ctl.retrain_feedback(ml.recon_error(_cloud(spark, sf_dir), keep=["event_id"]))
+    notice = jobs.run_retrain(_cloud(spark, sf_dir))
     return notice.select(
         "type", "records_trained", (F.col("training_loss") >= 0).alias("has_loss")
     )
@@ -792,21 +794,19 @@ def latency_bands(spark, sf_dir):
 
 
 def alert_feed_(spark, sf_dir):
-    """One tick of the feed over the alerts of all readings."""
-    root = work_path(spark, "feed")
-    KeyedTable.named(root, "realtime_alerts").upsert(_alerts(spark, sf_dir), 0)
-    messages = readers.read_messages(
+    """A tick of the feed after the scoring stream has run."""
+    root = _scored_stream(spark, sf_dir)
+    out = f"{root}/emitted"
+    ticks = readers.read_messages(
         spark, [readers.RAW_TOPIC], fmt="files", path=_raw_messages(spark, sf_dir)
     )
-    out = f"{root}/emitted"
-    feed = alert_feed(
-        messages,
+    alert_feed(
+        ticks,
         root,
         lambda alerts, _: alerts.write.mode("overwrite").parquet(out),
-        f"{root}/checkpoint",
+        f"{root}/feed-checkpoint",
         availableNow=True,
-    )
-    feed.awaitTermination()
+    ).awaitTermination()
     return six(spark.read.parquet(out))
 
 
