@@ -1,19 +1,24 @@
 """Machine graph: nodes, edges, PageRank and label propagation as DataFrame loops.
 
-Both loops keep the edges partitioned on the key they are joined on, so an iteration moves
-only the per-node values and the pre-aggregated messages. A node with more edges than
-``hot_rows`` gets a salt: its edges spread over several keys and its value is repeated once
-per salt. The number of copies is at most one per ``hot_rows`` edges.
+Both loops store the edges once, bucketed on the key they are joined on. An iteration then
+joins the buckets in place with one value per node and shuffles only the messages, which are
+aggregated before the shuffle. A node with more edges than ``hot_rows`` gets a salt: its edges
+spread over several buckets and its value is repeated once per salt, which makes at most one
+copy per ``hot_rows`` edges.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.operators.distribute import lookup_join
 from fleetpulse.params import GraphParams, ScaleLimits
-from fleetpulse.session import cut, shuffle_partitions
+from fleetpulse.session import bucketed, cut
 
 
 def graph_nodes(telemetry: DataFrame) -> DataFrame:
@@ -53,32 +58,45 @@ def graph_build(
     return nodes, valid
 
 
-def _spread(edges: DataFrame, key: str, other: str, limits: ScaleLimits):
-    """Edges with the ``degree`` of their key, partitioned on the key, and the hot keys.
+@dataclass(frozen=True)
+class _Edges:
+    """Edges with the ``degree`` of their key, and the salts of hot keys if there are any."""
 
-    Returns (edges, hot). ``hot`` has a key and its number of salts, or is None when no key has
-    more than ``hot_rows`` edges. Salted edges are partitioned on key and ``salt``.
-    """
-    n = shuffle_partitions(edges.sparkSession)
+    rows: DataFrame
+    hot: DataFrame | None
+    key: str
+
+    def attach(self, values: DataFrame) -> DataFrame:
+        """Left join of one value per node to the edges of the node.
+
+        The node side is hashed per bucket: it has a single row per node and salt, so no bucket
+        of it is large, and the edges are neither moved nor sorted.
+        """
+        if self.hot is None:
+            return self.rows.join(values.hint("shuffle_hash"), self.key, "left")
+        salts = F.coalesce("salts", F.lit(1).cast("bigint"))
+        copies = values.join(self.hot, self.key, "left").withColumn(
+            "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))
+        )
+        copies = copies.drop("salts").hint("shuffle_hash")
+        return self.rows.join(copies, [self.key, "salt"], "left")
+
+
+@contextmanager
+def _by_key(edges: DataFrame, key: str, other: str, limits: ScaleLimits) -> Iterator[_Edges]:
     degrees = cut(edges.groupBy(key).agg(F.count(F.lit(1)).alias("degree")))
     hot = degrees.where(F.col("degree") > limits.hot_rows)
+    hot = hot.select(key, F.ceil(F.col("degree") / limits.hot_rows).alias("salts"))
     if hot.isEmpty():
-        return cut(edges.repartition(n, key).join(degrees, key)), None
-    hot = cut(hot.select(key, F.ceil(F.col("degree") / limits.hot_rows).alias("salts")))
-    salt = F.pmod(F.xxhash64(other), F.coalesce("salts", F.lit(1).cast("bigint")))
+        with bucketed(edges.join(degrees, key), [key], "edges") as rows:
+            yield _Edges(rows, None, key)
+        return
+    hot = cut(hot)
     counted = lookup_join(edges, degrees.join(hot, key, "left"), key, "inner", limits)
-    return cut(counted.withColumn("salt", salt).drop("salts").repartition(n, key, "salt")), hot
-
-
-def _attach(edges: DataFrame, hot: DataFrame | None, key: str, values: DataFrame) -> DataFrame:
-    """Left join of per-node ``values`` to the edges they leave on."""
-    if hot is None:
-        return edges.join(values, key, "left")
-    copies = values.join(hot, key, "left").withColumn(
-        "salt",
-        F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1).cast("bigint")) - 1)),
-    )
-    return edges.join(copies.drop("salts"), [key, "salt"], "left")
+    salts = F.coalesce("salts", F.lit(1).cast("bigint"))
+    salted = counted.withColumn("salt", F.pmod(F.xxhash64(other), salts)).drop("salts")
+    with bucketed(salted, [key, "salt"], "edges") as rows:
+        yield _Edges(rows, hot, key)
 
 
 def pagerank(
@@ -93,27 +111,23 @@ def pagerank(
     the incoming edges; a node without outgoing edges passes nothing on, and the final ranks
     are rescaled to make up for that.
     """
-    out, hot = _spread(edges.select("src", "dst"), "src", "dst", limits)
+    if params.pagerank_iters == 0:
+        return nodes.select(F.col("id").alias("machine_id"), F.lit(1.0).alias("pagerank"))
     rank = F.lit(params.reset) + F.lit(1.0 - params.reset) * F.coalesce("received", F.lit(0.0))
 
-    received = None
-    for step in range(params.pagerank_iters):
-        if received is None:
-            shares = out.withColumn("share", F.lit(1.0) / F.col("degree"))
-        else:
+    with _by_key(edges.select("src", "dst"), "src", "dst", limits) as out:
+        shares = out.rows.withColumn("share", F.lit(1.0) / F.col("degree"))
+        for step in range(1, params.pagerank_iters + 1):
+            received = shares.groupBy("dst").agg(F.sum("share").alias("received"))
+            if step % params.checkpoint_every == 0:
+                received = cut(received)
             arriving = received.withColumnRenamed("dst", "src")
-            shares = _attach(out, hot, "src", arriving).withColumn("share", rank / F.col("degree"))
-        received = shares.groupBy("dst").agg(F.sum("share").alias("received"))
-        if (step + 1) % params.checkpoint_every == 0:
-            received = cut(received)
-
-    if received is None:
-        return nodes.select(F.col("id").alias("machine_id"), F.lit(1.0).alias("pagerank"))
-    ranks = cut(
-        nodes.select("id")
-        .join(received.withColumnRenamed("dst", "id"), "id", "left")
-        .select("id", rank.alias("_rank"))
-    )
+            shares = out.attach(arriving).withColumn("share", rank / F.col("degree"))
+        ranks = cut(
+            nodes.select("id")
+            .join(received.withColumnRenamed("dst", "id"), "id", "left")
+            .select("id", rank.alias("_rank"))
+        )
     scale = ranks.agg((F.count(F.lit(1)) / F.sum("_rank")).alias("_scale"))
     return ranks.select(
         F.col("id").alias("machine_id"), (F.col("_rank") * scale.scalar()).alias("pagerank")
@@ -133,31 +147,26 @@ def label_propagation(
     of its own; a pair with edges both ways votes twice; a node without edges keeps its own
     label.
     """
+    own = nodes.select(F.col("id").alias("community_id"), F.col("id").alias("machine_id"))
+    if params.label_iters == 0:
+        return own
     both = edges.select(F.col("src").alias("origin"), F.col("dst").alias("id")).unionAll(
         edges.select(F.col("dst").alias("origin"), F.col("src").alias("id"))
     )
     votes = both.groupBy("origin", "id").agg(F.count(F.lit(1)).alias("weight"))
-    out, hot = _spread(votes, "origin", "id", limits)
-
-    chosen = None
-    for step in range(params.label_iters):
-        if chosen is None:
-            sent = out.withColumn("label", F.col("origin"))
-        else:
-            arriving = chosen.withColumnRenamed("id", "origin")
-            sent = _attach(out, hot, "origin", arriving)
-        counted = sent.groupBy("id", "label").agg(F.sum("weight").alias("n"))
-        # The smallest (-count, length, label) is the most frequent and then smallest label.
-        preference = F.struct(-F.col("n"), F.length("label"), F.col("label"))
-        chosen = counted.groupBy("id").agg(F.min(preference).getField("label").alias("label"))
-        if (step + 1) % params.checkpoint_every == 0:
-            chosen = cut(chosen)
-
-    labels = nodes.select("id", F.lit(None).cast("string").alias("label"))
-    if chosen is not None:
-        labels = nodes.select("id").join(chosen, "id", "left")
-    return cut(
-        labels.select(
-            F.coalesce("label", "id").alias("community_id"), F.col("id").alias("machine_id")
+    # The smallest (-count, length, label) is the most frequent and then smallest label.
+    preference = F.min(F.struct(-F.col("n"), F.length("label"), F.col("label")))
+
+    with _by_key(votes, "origin", "id", limits) as out:
+        sent = out.rows.withColumn("label", F.col("origin"))
+        for step in range(1, params.label_iters + 1):
+            counted = sent.groupBy("id", "label").agg(F.sum("weight").alias("n"))
+            chosen = counted.groupBy("id").agg(preference.getField("label").alias("label"))
+            if step % params.checkpoint_every == 0:
+                chosen = cut(chosen)
+            sent = out.attach(chosen.withColumnRenamed("id", "origin"))
+        return cut(
+            own.join(chosen.withColumnRenamed("id", "machine_id"), "machine_id", "left").select(
+                F.coalesce("label", "community_id").alias("community_id"), "machine_id"
+            )
         )
-    )

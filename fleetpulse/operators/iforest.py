@@ -65,11 +65,12 @@ def _grow(rows: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tu
 def tree_samples(
     df: DataFrame, key: str, params: IsolationParams = IsolationParams()
 ) -> DataFrame:
-    """``sample_size`` rows per tree, chosen by hashes of the row key.
+    """``sample_size`` rows per tree, drawn without replacement by hashes of the row key.
 
-    A pool of rows with the smallest hashes is taken first (its size depends on the parameters
-    only), then every tree draws from the pool. A filter on the hash keeps the sort for the pool
-    small; it lets through several times the rows the pool needs.
+    A pool of the rows with the smallest hashes is taken first; its size depends on the
+    parameters only. A filter on the hash keeps the sort for the pool small, it lets through
+    several times the rows the pool needs. A full pool is dealt out to the trees. With fewer
+    rows than that the trees share rows, each drawing from the whole pool.
     """
     pool_size = params.trees * params.sample_size
     rows = drop_missing(df).select(key, *FEATURES).withColumn(
@@ -81,6 +82,9 @@ def tree_samples(
         bound = int(-(2**63) + share * 2**64)
         rows = rows.where(F.col("_hash") < F.lit(bound))
     pool = rows.orderBy("_hash", key).limit(pool_size)
+    if total >= pool_size:
+        place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_hash", key))
+        return pool.select(key, *FEATURES, ((place - 1) % params.trees).alias("tree_id"))
     trees = F.explode(F.sequence(F.lit(0), F.lit(params.trees - 1))).alias("tree_id")
     by_hash = Window.partitionBy("tree_id").orderBy(
         F.xxhash64(F.col(key), F.col("tree_id"), F.lit(params.seed + 1)), key
@@ -115,44 +119,49 @@ def iforest_fit(
 
 
 def _tables(forest: DataFrame, params: IsolationParams):
-    """The node table as arrays indexed by tree and node. Bounded by the parameters."""
-    nodes = forest.toPandas()
-    trees, width = params.trees, int(nodes["node_id"].max()) + 1
-    shape = (trees, width)
-    feature, left, right = (np.full(shape, -1, dtype=np.int32) for _ in range(3))
-    split, length = np.zeros(shape), np.zeros(shape)
-    at = (nodes["tree_id"].to_numpy(), nodes["node_id"].to_numpy())
-    feature[at], split[at] = nodes["feature"], nodes["split"]
-    left[at], right[at] = nodes["left_id"], nodes["right_id"]
-    length[at] = nodes["depth"] + nodes["size"].map(path_normaliser)
-    roots = nodes.loc[nodes["node_id"] == 0, ["tree_id", "size"]]
-    return feature, split, left, right, length, roots["tree_id"].to_numpy(), int(roots["size"].max())
+    """The node table as arrays per tree, and the sample size. Bounded by the parameters.
+
+    A leaf leads to itself, so a row that has arrived stays where it is.
+    """
+    trees = []
+    for _, nodes in forest.toPandas().groupby("tree_id"):
+        nodes = nodes.sort_values("node_id")
+        leaf = (nodes["feature"] < 0).to_numpy()
+        here = nodes["node_id"].to_numpy()
+        trees.append(
+            (
+                np.where(leaf, 0, nodes["feature"]).astype(np.int64),
+                nodes["split"].to_numpy(),
+                np.where(leaf, here, nodes["left_id"]),
+                np.where(leaf, here, nodes["right_id"]),
+                (nodes["depth"] + nodes["size"].map(path_normaliser)).to_numpy(),
+                int(nodes["depth"].max()),
+            )
+        )
+        sample = int(nodes["size"].max())
+    return trees, sample
 
 
 def iforest_score(
     df: DataFrame, forest: DataFrame, params: IsolationParams = IsolationParams()
 ) -> DataFrame:
     """Add ``anomaly_score`` in (0, 1): the shorter the mean path, the closer to 1."""
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(_tables(forest, params))
+    shared = df.sparkSession.sparkContext.broadcast(_tables(forest, params))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[Batch]) -> Iterator[pd.Series]:
-        feature, split, left, right, length, trees, sample = shared.value
+        trees, sample = shared.value
         expected = max(path_normaliser(sample), 1e-12)
         for columns in batches:
             rows = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+            values, first = rows.ravel(), np.arange(len(rows)) * rows.shape[1]
             total = np.zeros(len(rows))
-            for tree in trees:
-                node = np.zeros(len(rows), dtype=np.int32)
-                moving = np.flatnonzero(feature[tree, node] >= 0)
-                while len(moving):
-                    here = node[moving]
-                    value = rows[moving, feature[tree, here]]
-                    below = value <= split[tree, here]
-                    node[moving] = np.where(below, left[tree, here], right[tree, here])
-                    moving = moving[feature[tree, node[moving]] >= 0]
-                total += length[tree, node]
+            for feature, split, left, right, length, depth in trees:
+                node = np.zeros(len(rows), dtype=np.int64)
+                for _ in range(depth):
+                    below = values.take(first + feature.take(node)) <= split.take(node)
+                    node = np.where(below, left.take(node), right.take(node))
+                total += length.take(node)
             yield pd.Series(np.exp2(-total / len(trees) / expected))
 
     return drop_missing(df).withColumn("anomaly_score", score(*FEATURES))

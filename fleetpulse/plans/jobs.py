@@ -28,14 +28,21 @@ class GraphTables:
         return risk.graph_context(self.ranks, self.communities, self.risk, limits)
 
 
+def machine_graph(
+    telemetry: DataFrame, limits: ScaleLimits = ScaleLimits()
+) -> tuple[DataFrame, DataFrame]:
+    """Nodes and valid edges, stored: the readings are scanned once for each."""
+    nodes = cut(graph.graph_nodes(telemetry))
+    return nodes, cut(graph.graph_build(nodes, graph.graph_edges(telemetry), limits)[1])
+
+
 def graph_tables(
     telemetry: DataFrame,
     params: GraphParams = GraphParams(),
     limits: ScaleLimits = ScaleLimits(),
 ) -> GraphTables | None:
     """Ranks, communities and community risk. None when no machine is connected."""
-    nodes = cut(graph.graph_nodes(telemetry))
-    edges = cut(graph.graph_build(nodes, graph.graph_edges(telemetry), limits)[1])
+    nodes, edges = machine_graph(telemetry, limits)
     if edges.isEmpty():
         return None
     ranks = cut(graph.pagerank(nodes, edges, params, limits))

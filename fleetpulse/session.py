@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,7 +53,7 @@ def work_path(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint. Keeps the partitioning, so later joins on it need no shuffle."""
+    """Reliable checkpoint: later stages start from the stored rows."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -68,5 +70,28 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def bucketed(df: DataFrame, keys: list[str], label: str) -> Iterator[DataFrame]:
+    """The rows as a table bucketed on ``keys``, for as long as the block runs.
+
+    Joins on the keys read the buckets in place: the rows are shuffled once, however many
+    joins follow. There are as many buckets as shuffle partitions, one file each.
+    """
+    spark = df.sparkSession
+    n = shuffle_partitions(spark)
+    table = f"fleetpulse_{label}_{uuid.uuid4().hex}"
+    (
+        df.repartition(n, *keys)
+        .write.format("parquet")
+        .option("path", work_path(spark, label))
+        .bucketBy(n, *keys)
+        .saveAsTable(table)
+    )
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -17,7 +17,7 @@ from fleetpulse.params import ControllerParams, IsolationParams
 from fleetpulse.plans import jobs, serving
 from fleetpulse.plans.preview import preview
 from fleetpulse.schema import FEATURES
-from fleetpulse.session import work_path, write_once
+from fleetpulse.session import cut, work_path, write_once
 from fleetpulse.sources import readers, writers
 from fleetpulse.sources.events import read_events, telemetry, utc
 from fleetpulse.sources.tables import KeyedTable, SnapshotTable
@@ -553,21 +553,17 @@ def base_scored(spark, sf_dir):
 
 
 def pagerank(spark, sf_dir):
-    rows = telemetry(spark, sf_dir)
-    nodes, edges = graph.graph_build(graph.graph_nodes(rows), graph.graph_edges(rows))
-    return six(graph.pagerank(nodes, edges))
+    return six(graph.pagerank(*jobs.machine_graph(telemetry(spark, sf_dir))))
 
 
 def label_propagation(spark, sf_dir):
-    rows = telemetry(spark, sf_dir)
-    nodes, edges = graph.graph_build(graph.graph_nodes(rows), graph.graph_edges(rows))
-    return graph.label_propagation(nodes, edges)
+    return graph.label_propagation(*jobs.machine_graph(telemetry(spark, sf_dir)))
 
 
 def graph_build(spark, sf_dir):
     """Edges between machines that ever failed: the other ends have no node."""
     rows = telemetry(spark, sf_dir)
-    nodes = graph.graph_nodes(rows.where("machine_failure = 1 and tool_wear > 100"))
+    nodes = cut(graph.graph_nodes(rows.where("machine_failure = 1 and tool_wear > 100")))
     return graph.graph_build(nodes, graph.graph_edges(rows))[1]
 
 
