@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetpulse.params import ScaleLimits
-from fleetpulse.session import shuffle_partitions, write_once
+from fleetpulse.session import write_once
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
@@ -96,10 +96,11 @@ def number_rows(
     on group and order, numbered inside each partition, and shifted by the number of rows of
     the same group in earlier partitions. ``order_cols`` must be unique within a group. The
     ranges are sampled, so the numbered rows are written once before they are read twice.
+    Adaptive execution may merge neighbouring ranges; their order stays.
     """
     cols = [*group_cols, *order_cols]
     placed = write_once(
-        df.repartitionByRange(shuffle_partitions(df.sparkSession), *cols)
+        df.repartitionByRange(*cols)
         .sortWithinPartitions(*cols)
         .withColumn("_pos", F.monotonically_increasing_id()),
         "numbered",
@@ -137,7 +138,7 @@ def exact_quantile(df: DataFrame, column: str, p: float) -> DataFrame:
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     spread = write_once(
-        counts.repartitionByRange(shuffle_partitions(df.sparkSession), column)
+        counts.repartitionByRange(column)
         .withColumn("_part", F.spark_partition_id()),
         "quantile",
     )

@@ -1,8 +1,9 @@
 """Machine graph: nodes, edges, PageRank and label propagation as DataFrame loops.
 
-Both loops store the edges once, bucketed on the key they are joined on. An iteration then
-joins the buckets in place with one value per node and shuffles only the messages, which are
-aggregated before the shuffle. A node with more edges than ``hot_rows`` gets a salt: its edges
+Both loops store the edges once, from a certain size on bucketed on the key they are joined on.
+An iteration then joins the buckets in place with one value per node and shuffles only the
+messages, which are aggregated before the shuffle. Small graphs are left to adaptive
+execution, which merges their partitions and broadcasts the values. A node with more edges than ``hot_rows`` gets a salt: its edges
 spread over several buckets and its value is repeated once per salt, which makes at most one
 copy per ``hot_rows`` edges.
 """
@@ -63,40 +64,45 @@ class _Edges:
     """Edges with the ``degree`` of their key, and the salts of hot keys if there are any."""
 
     rows: DataFrame
-    hot: DataFrame | None
     key: str
+    hot: DataFrame | None
+    in_buckets: bool
 
     def attach(self, values: DataFrame) -> DataFrame:
         """Left join of one value per node to the edges of the node.
 
-        The node side is hashed per bucket: it has a single row per node and salt, so no bucket
-        of it is large, and the edges are neither moved nor sorted.
+        For bucketed edges the node side is hashed per bucket: it has a single row per node and
+        salt, so no bucket of it is large, and the edges are neither moved nor sorted.
         """
-        if self.hot is None:
-            return self.rows.join(values.hint("shuffle_hash"), self.key, "left")
-        salts = F.coalesce("salts", F.lit(1).cast("bigint"))
-        copies = values.join(self.hot, self.key, "left").withColumn(
-            "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))
-        )
-        copies = copies.drop("salts").hint("shuffle_hash")
-        return self.rows.join(copies, [self.key, "salt"], "left")
+        on = [self.key]
+        if self.hot is not None:
+            on = [self.key, "salt"]
+            salts = F.coalesce("salts", F.lit(1).cast("bigint"))
+            values = (
+                values.join(self.hot, self.key, "left")
+                .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+                .drop("salts")
+            )
+        return self.rows.join(values.hint("shuffle_hash") if self.in_buckets else values, on, "left")
 
 
 @contextmanager
 def _by_key(edges: DataFrame, key: str, other: str, limits: ScaleLimits) -> Iterator[_Edges]:
     degrees = cut(edges.groupBy(key).agg(F.count(F.lit(1)).alias("degree")))
-    hot = degrees.where(F.col("degree") > limits.hot_rows)
-    hot = hot.select(key, F.ceil(F.col("degree") / limits.hot_rows).alias("salts"))
-    if hot.isEmpty():
-        with bucketed(edges.join(degrees, key), [key], "edges") as rows:
-            yield _Edges(rows, None, key)
-        return
-    hot = cut(hot)
-    counted = lookup_join(edges, degrees.join(hot, key, "left"), key, "inner", limits)
-    salts = F.coalesce("salts", F.lit(1).cast("bigint"))
-    salted = counted.withColumn("salt", F.pmod(F.xxhash64(other), salts)).drop("salts")
-    with bucketed(salted, [key, "salt"], "edges") as rows:
-        yield _Edges(rows, hot, key)
+    total, largest = degrees.agg(F.sum("degree"), F.max("degree")).first()
+    buckets = -(-(total or 0) // limits.bucket_rows)
+    rows, on, hot = edges.join(degrees, key), [key], None
+    if (largest or 0) > limits.hot_rows:
+        salts = F.ceil(F.col("degree") / limits.hot_rows).alias("salts")
+        hot = cut(degrees.where(F.col("degree") > limits.hot_rows).select(key, salts))
+        rows = lookup_join(edges, degrees.join(hot, key, "left"), key, "inner", limits)
+        salt = F.pmod(F.xxhash64(other), F.coalesce("salts", F.lit(1).cast("bigint")))
+        rows, on = rows.withColumn("salt", salt).drop("salts"), [key, "salt"]
+    if buckets > 1:
+        with bucketed(rows, on, buckets, "edges") as stored:
+            yield _Edges(stored, key, hot, True)
+    else:
+        yield _Edges(cut(rows), key, hot, False)
 
 
 def pagerank(

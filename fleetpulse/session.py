@@ -71,14 +71,15 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
 
 
 @contextmanager
-def bucketed(df: DataFrame, keys: list[str], label: str) -> Iterator[DataFrame]:
+def bucketed(df: DataFrame, keys: list[str], buckets: int, label: str) -> Iterator[DataFrame]:
     """The rows as a table bucketed on ``keys``, for as long as the block runs.
 
     Joins on the keys read the buckets in place: the rows are shuffled once, however many
-    joins follow. There are as many buckets as shuffle partitions, one file each.
+    joins follow. There are at least as many buckets as shuffle partitions, because Spark
+    would shuffle fewer of them again to reach that parallelism.
     """
     spark = df.sparkSession
-    n = shuffle_partitions(spark)
+    n = max(buckets, shuffle_partitions(spark))
     table = f"fleetpulse_{label}_{uuid.uuid4().hex}"
     (
         df.repartition(n, *keys)

@@ -60,9 +60,12 @@ class KeyedTable:
         schema, keys, newest_by = SERVING_TABLES[name]
         return cls(f"{root}/{name}", schema, tuple(keys), newest_by)
 
-    def upsert(self, df: DataFrame, batch_id: int) -> None:
-        columns = T.StructType.fromDDL(self.schema).names
-        rows = newest_per_key(df.select(*columns), list(self.keys), self.newest_by)
+    def upsert(self, df: DataFrame, batch_id: int, combine: bool = True) -> None:
+        """Write a batch. ``combine`` reduces it to one row per key first, which costs a
+        shuffle and pays off when keys repeat a lot; readers get one row per key either way."""
+        rows = df.select(*T.StructType.fromDDL(self.schema).names)
+        if combine:
+            rows = newest_per_key(rows, list(self.keys), self.newest_by)
         rows.write.mode("overwrite").parquet(f"{self.path}/slice=batch-{batch_id}")
 
     def _slices(self, spark: SparkSession) -> tuple[dict[int, str], dict[int, str]]:

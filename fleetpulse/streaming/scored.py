@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from fleetpulse.operators.distribute import fits_broadcast
@@ -72,33 +75,54 @@ def score_batch(
 ) -> None:
     """Score one micro-batch and write it below ``root``. A replayed batch id changes nothing.
 
-    Malformed messages go to ``quarantine``. ``latest_alerts`` keeps the newest alerts: the
-    newest of those before and of this batch, so the display never reads the whole history.
+    The scored rows are computed once, by the count that also says which tables have anything
+    to write; the tables are then written side by side. Malformed messages go to
+    ``quarantine``. ``latest_alerts`` keeps the newest alerts: the newest of those before and
+    of this batch, so the display never reads the whole history.
     """
-    spark = batch.sparkSession
-    newest = newest_alerts_table(root)
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    known = context.get()
+    scored = graph_scored(batch, known, params, limits, context.fits)
+    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if batch.isEmpty():
-            return
-        usable, malformed = split_malformed(batch)
-        if not malformed.isEmpty():
-            malformed.write.mode("overwrite").parquet(f"{root}/quarantine/batch={batch_id}")
-        known = context.get()
-        scored = graph_scored(usable, known, params, limits, context.fits)
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            alerts = project_alerts(scored)
-            if not alerts.isEmpty():
-                KeyedTable.named(root, "realtime_alerts").upsert(alerts, batch_id)
-                shown = newest.read(spark, before=batch_id).unionByName(alerts)
-                distinct = newest_per_key(shown, ["machine_id", "alert_time"], "alert_time")
-                newest.replace(newest_alerts(distinct), version=batch_id)
-            KeyedTable.named(root, "machine_states").upsert(project_states(scored), batch_id)
-        finally:
-            scored.unpersist()
+        usable, malformed = split_malformed(scored)
+        alerts, states = project_alerts(usable), project_states(usable)
+        keyed = F.col("machine_id").isNotNull()
+        rows, good, alarming = scored.agg(
+            F.count(F.lit(1)),
+            F.count_if(keyed),
+            F.count_if(keyed & (F.col("prediction_score") == -1.0)),
+        ).first()
+        writes = []
+        if rows > good:
+            lost = malformed.select(*batch.columns).write.mode("overwrite")
+            writes.append(lambda: lost.parquet(f"{root}/quarantine/batch={batch_id}"))
+        if alarming:
+            log_table = KeyedTable.named(root, "realtime_alerts")
+            # Almost every alert has a key of its own: merging them is left to the readers.
+            writes.append(lambda: log_table.upsert(alerts, batch_id, combine=False))
+            writes.append(lambda: _keep_newest(alerts, batch_id, root))
+        if good:
+            state_table = KeyedTable.named(root, "machine_states")
+            writes.append(lambda: state_table.upsert(states, batch_id))
+        _side_by_side(batch.sparkSession, writes)
     finally:
-        batch.unpersist()
+        scored.unpersist()
+
+
+def _keep_newest(alerts: DataFrame, batch_id: int, root: str) -> None:
+    table = newest_alerts_table(root)
+    shown = table.read(alerts.sparkSession, before=batch_id).unionByName(alerts)
+    distinct = newest_per_key(shown, ["machine_id", "alert_time"], "alert_time")
+    table.replace(newest_alerts(distinct), version=batch_id)
+
+
+def _side_by_side(spark: SparkSession, writes: list) -> None:
+    """Run independent writes as concurrent jobs. The first failure is raised."""
+    if writes:
+        with ThreadPoolExecutor(len(writes)) as pool:
+            jobs = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
+            for job in jobs:
+                job.result()
 
 
 def stream_scored(

@@ -20,7 +20,7 @@ RANKS = {
     ],
 }
 LABELS = {"six": "311365", "eight": "31136531"}
-SALTED = ScaleLimits(hot_rows=1, broadcast_bytes=0)
+SALTED = ScaleLimits(hot_rows=1, broadcast_bytes=0, bucket_rows=2)
 
 
 def frames(spark, edges):
@@ -69,7 +69,15 @@ def plain_labels(nodes, edges, steps):
     return [str(label[n]) for n in nodes]
 
 
-@pytest.mark.parametrize("limits", [ScaleLimits(), ScaleLimits(hot_rows=5, broadcast_bytes=0)])
+@pytest.mark.parametrize(
+    "limits",
+    [
+        ScaleLimits(bucket_rows=20),
+        ScaleLimits(hot_rows=5, broadcast_bytes=0),
+        ScaleLimits(hot_rows=5, bucket_rows=20),
+    ],
+    ids=["buckets", "salts", "salted buckets"],
+)
 def test_graph_with_a_hub_against_plain_python(spark, limits):
     """Node 0 takes part in a third of the edges; node 60 has none."""
     rng = random.Random(3)
@@ -153,3 +161,21 @@ def test_graph_without_edges(spark):
 
     rows = spark.createDataFrame([("a", [])], "machine_id string, connected_to array<string>")
     assert graph_tables(rows) is None
+
+
+def test_bucketed_edges_are_not_shuffled_again(spark, monkeypatch):
+    """A step on bucketed edges exchanges only messages."""
+    nodes, e = frames(spark, SIX)
+    plans, store = [], graph.cut
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df)
+
+    monkeypatch.setattr(graph, "cut", watched)
+    params = GraphParams(pagerank_iters=2, checkpoint_every=2)
+    graph.pagerank(nodes, e, params, ScaleLimits(bucket_rows=2))
+    step = next(p for p in plans if "ShuffledHashJoin" in p)
+    assert "Bucketed: true" in step and step.count("Exchange hashpartitioning(dst") == 2
+    assert "Exchange hashpartitioning(src" not in step
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("fleetpulse_")]

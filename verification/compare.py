@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 import traceback
@@ -71,8 +72,10 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     names = sys.argv[2:] or list(queries.queries())
     sf_dir = f"/root/testdata/sf{sf}"
+    partitions = os.environ.get("COMPARE_PARTITIONS", "8")
     spark = build_session(
-        master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
+        master="local[8]",
+        **{"spark.sql.shuffle.partitions": partitions, "spark.ui.enabled": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(sf_dir), 0
