@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.operators import controller as ctl
-from fleetpulse.operators import graph, ml, risk
+from fleetpulse.operators import graph, iforest, ml, risk
 from fleetpulse.operators.ingest import drop_missing, has_rows
-from fleetpulse.params import ControllerParams, ForestParams, GraphParams, ScaleLimits
-from fleetpulse.session import cut, write_once
+from fleetpulse.params import (
+    ControllerParams,
+    ForestParams,
+    GraphParams,
+    IsolationParams,
+    ScaleLimits,
+)
+from fleetpulse.session import cut, scratch, write_once
 from fleetpulse.sources.tables import SnapshotTable
 
 log = logging.getLogger("fleetpulse")
@@ -59,14 +65,15 @@ def run_graph_job(
     limits: ScaleLimits = ScaleLimits(),
 ) -> bool:
     """Compute the graph tables and replace their snapshots below ``root``."""
-    tables = graph_tables(telemetry, params, limits)
-    if tables is None:
-        log.warning("no connections between machines, graph tables left as they are")
-        return False
-    now = F.current_timestamp().alias("last_computed")
-    SnapshotTable.named(root, "pagerank_scores").replace(tables.ranks.select("*", now))
-    SnapshotTable.named(root, "failure_communities").replace(tables.communities)
-    SnapshotTable.named(root, "community_risk").replace(tables.risk.select("*", now))
+    with scratch(telemetry.sparkSession):
+        tables = graph_tables(telemetry, params, limits)
+        if tables is None:
+            log.warning("no connections between machines, graph tables left as they are")
+            return False
+        now = F.current_timestamp().alias("last_computed")
+        SnapshotTable.named(root, "pagerank_scores").replace(tables.ranks.select("*", now))
+        SnapshotTable.named(root, "failure_communities").replace(tables.communities)
+        SnapshotTable.named(root, "community_risk").replace(tables.risk.select("*", now))
     return True
 
 
@@ -107,6 +114,47 @@ def run_routing(
     return RoutingRun(routed, states, ctl.controller_trace(states, backlog))
 
 
+@dataclass(frozen=True)
+class EdgeModel:
+    """Isolation forest with its cut-off."""
+
+    forest: DataFrame
+    threshold: float
+
+    def judge(self, rows: DataFrame, params: IsolationParams = IsolationParams()) -> DataFrame:
+        """Complete readings with ``anomaly_score`` and ``prediction`` (-1 for an outlier)."""
+        return iforest.iforest_flag(iforest.iforest_score(rows, self.forest, params), self.threshold)
+
+
+def train_edge_model(
+    rows: DataFrame, key: str, path: str | None = None, params: IsolationParams = IsolationParams()
+) -> EdgeModel:
+    """Fit the forest and its cut-off on all rows, and save both if a path is given."""
+    forest = iforest.iforest_fit(rows, key, params)
+    threshold = iforest.iforest_threshold(iforest.iforest_score(rows, forest, params), params)
+    if path:
+        saved = forest.withColumn("threshold", F.lit(threshold))
+        saved.write.mode("overwrite").parquet(path)
+    return EdgeModel(forest, threshold)
+
+
+def load_edge_model(spark: SparkSession, path: str) -> EdgeModel:
+    saved = spark.read.parquet(path)
+    return EdgeModel(saved.drop("threshold"), saved.first()["threshold"])
+
+
+def run_edge(
+    readings: DataFrame,
+    model: EdgeModel,
+    order_cols: list[str],
+    params: ControllerParams = ControllerParams(),
+    limits: ScaleLimits = ScaleLimits(),
+) -> RoutingRun:
+    """Judge readings with the edge model and route them under the controller."""
+    judged = model.judge(readings).drop("connected_to")
+    return run_routing(judged, "prediction = -1", order_cols, params, limits)
+
+
 def run_training(
     telemetry: DataFrame, key, path: str | None = None, params: ForestParams = ForestParams()
 ):

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +48,43 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/fleetpulse/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/fleetpulse/{label}-{uuid.uuid4().hex}"
+    if _scratch.get() is not None:
+        _scratch.get().append(path)
+    return path
+
+
+def filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path for it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, folder = filesystem(spark, path)
+    fs.delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables made inside the block when it ends.
+
+    For jobs that write their results before they end. A stream would otherwise leave a few
+    tables behind with every batch.
+    """
+    token = _scratch.set([])
+    try:
+        yield
+    finally:
+        made = _scratch.get()
+        _scratch.reset(token)
+        for path in made:
+            remove(spark, path)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -75,16 +110,17 @@ def bucketed(df: DataFrame, keys: list[str], buckets: int, label: str) -> Iterat
     """The rows as a table bucketed on ``keys``, for as long as the block runs.
 
     Joins on the keys read the buckets in place: the rows are shuffled once, however many
-    joins follow. There are at least as many buckets as shuffle partitions, because Spark
-    would shuffle fewer of them again to reach that parallelism.
+    joins follow. Results must be stored before the block ends, the files go with it. There
+    are at least as many buckets as shuffle partitions, because Spark would shuffle fewer of
+    them again to reach that parallelism.
     """
     spark = df.sparkSession
     n = max(buckets, shuffle_partitions(spark))
-    table = f"fleetpulse_{label}_{uuid.uuid4().hex}"
+    path, table = work_path(spark, label), f"fleetpulse_{label}_{uuid.uuid4().hex}"
     (
         df.repartition(n, *keys)
         .write.format("parquet")
-        .option("path", work_path(spark, label))
+        .option("path", path)
         .bucketBy(n, *keys)
         .saveAsTable(table)
     )
@@ -92,6 +128,7 @@ def bucketed(df: DataFrame, keys: list[str], buckets: int, label: str) -> Iterat
         yield spark.table(table)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove(spark, path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

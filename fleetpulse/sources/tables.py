@@ -20,16 +20,12 @@ from pyspark.sql import types as T
 
 from fleetpulse.operators.scoring import newest_per_key
 from fleetpulse.schema import SERVING_TABLES
-
-
-def _filesystem(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+from fleetpulse.session import filesystem, remove
 
 
 def completed_folders(spark: SparkSession, path: str, prefix: str) -> dict[int, str]:
     """Completed folders ``<prefix><number>`` below ``path``, by number."""
-    fs, root = _filesystem(spark, path)
+    fs, root = filesystem(spark, path)
     if not fs.exists(root):
         return {}
     found = {}
@@ -43,11 +39,6 @@ def completed_folders(spark: SparkSession, path: str, prefix: str) -> dict[int,
     return found
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, folder = _filesystem(spark, path)
-    fs.delete(folder, True)
-
-
 @dataclass(frozen=True)
 class KeyedTable:
     path: str
@@ -102,7 +93,7 @@ class KeyedTable:
         outdated = [path for number, path in merged.items() if number < previous]
         outdated += [path for number, path in batches.items() if number <= previous]
         for path in outdated:
-            _remove(spark, path)
+            remove(spark, path)
 
 
 @dataclass(frozen=True)
@@ -126,7 +117,7 @@ class SnapshotTable:
         df.select(*columns).write.mode("overwrite").parquet(f"{self.path}/version={number}")
         older = sorted(n for n in versions if n < number)
         for old in older[: max(0, len(older) + 1 - keep)]:
-            _remove(spark, versions[old])
+            remove(spark, versions[old])
         return number
 
     def exists(self, spark: SparkSession) -> bool:

@@ -15,7 +15,7 @@ from pyspark.storagelevel import StorageLevel
 from fleetpulse.operators import controller as ctl
 from fleetpulse.operators.distribute import lookup_join
 from fleetpulse.params import ControllerParams, ScaleLimits
-from fleetpulse.session import write_once
+from fleetpulse.session import scratch, write_once
 from fleetpulse.sources.tables import SnapshotTable
 
 _STATE = (
@@ -142,7 +142,8 @@ def controller_stream(
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not batch.isEmpty():
-                control_batch(batch, batch_id, root, outlier, order_cols, params)
+                with scratch(batch.sparkSession):
+                    control_batch(batch, batch_id, root, outlier, order_cols, params)
         finally:
             batch.unpersist()
 

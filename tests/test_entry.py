@@ -7,7 +7,9 @@ from tests.conftest import SF
 from verification import compare, oracles, queries
 
 # Operators whose result is a fitted model: checked for rows here, in detail elsewhere.
-MODELS = {"rf_train", "rf_predict", "rf_evaluate", "iforest_fit", "iforest_score", "recon_error"}
+MODELS = {
+    "rf_train", "rf_predict", "rf_evaluate", "iforest_fit", "iforest_score", "edge_model_alerts",
+}
 
 QUICK = """fleet_summary graph_scored base_scored community_risk label_propagation pagerank_top10
 controller_fold_many route_readings community_members sink_states_upsert src_archive_json

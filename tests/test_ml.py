@@ -144,3 +144,15 @@ def test_scores_against_a_walk_through_the_trees(spark, readings, forest):
 def test_path_normaliser():
     assert [iforest.path_normaliser(n) for n in (0, 1, 2)] == [0.0, 0.0, 1.0]
     assert iforest.path_normaliser(256) == pytest.approx(10.244770920119117)
+
+
+def test_edge_model_survives_saving_and_routes_every_reading(spark, readings, tmp_path):
+    path, small = str(tmp_path / "edge"), SMALL
+    model = jobs.train_edge_model(readings, "event_id", path, small)
+    loaded = jobs.load_edge_model(spark, path)
+    assert loaded.threshold == model.threshold
+    first = model.judge(readings, small).select("event_id", "prediction")
+    assert first.exceptAll(loaded.judge(readings, small).select("event_id", "prediction")).count() == 0
+    run = jobs.run_edge(readings, loaded, ["event_time", "event_id"])
+    assert run.routed.count() == readings.count()
+    assert run.routed.where("NOT to_cloud AND prediction = -1").count() <= first.where("prediction = -1").count()

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from fleetpulse.operators import ingest, scoring
 from fleetpulse.params import ControllerParams
 from fleetpulse.plans import jobs, serving
+from fleetpulse.session import filesystem, shared_dir
 from fleetpulse.sources import readers, writers
 from fleetpulse.sources.tables import KeyedTable
 from fleetpulse.streaming import scored as stream
@@ -132,6 +133,11 @@ def test_feed_emits_the_newest_alerts(spark, readings, tmp_path):
     assert len(seen) == 1 and len(seen[0]) == 15 and seen[0] == sorted(seen[0], reverse=True)
 
 
+def intermediate_tables(spark):
+    fs, folder = filesystem(spark, f"{shared_dir(spark)}/fleetpulse")
+    return len(fs.listStatus(folder)) if fs.exists(folder) else 0
+
+
 def judged(readings):
     rows = scoring.base_scored(readings).select(
         "event_id", "event_time", "machine_id", "latency_ms", "draw",
@@ -145,14 +151,18 @@ def judged(readings):
 def test_controller_stream_equals_batch_in_time_order(spark, readings, tmp_path):
     rows, root, source = judged(readings), str(tmp_path / "out"), str(tmp_path / "in")
     order = ["event_time", "event_id"]
+    made = []
     for low, high in ((1, 9), (9, 10), (10, 32)):
+        before = intermediate_tables(spark)
         day = F.dayofmonth("event_time")
         rows.where((day >= low) & (day < high)).write.mode("append").parquet(source)
         controller_stream(
             spark.readStream.schema(rows.schema).parquet(source),
             root, f"{root}/checkpoint", "outlier", order, PARAMS, availableNow=True,
         ).awaitTermination()
+        made.append(intermediate_tables(spark) > before)
     run = jobs.run_routing(rows, "outlier", order, PARAMS)
+    assert set(made) == {False}, "the batches leave no intermediate tables behind"
     routed = spark.read.parquet(f"{root}/routed").select("event_id", "seq", "to_cloud")
     assert same(routed, run.routed.select("event_id", "seq", "to_cloud"))
     trace = spark.read.parquet(f"{root}/trace").drop("batch")

@@ -635,8 +635,16 @@ def iforest_score(spark, sf_dir):
     return iforest.iforest_flag(result, iforest.iforest_threshold(result, IsolationParams()))
 
 
+def edge_model_alerts(spark, sf_dir):
+    """Alerts of the whole edge job: the saved forest judges, the controller routes."""
+    rows, path = telemetry(spark, sf_dir), work_path(spark, "edge-model")
+    jobs.train_edge_model(rows, "event_id", path)
+    run = jobs.run_edge(rows, jobs.load_edge_model(spark, path), ORDER)
+    return _flat_alerts(ingest.nest_alert(ctl.edge_alerts(run.routed, "prediction = -1")))
+
+
 def recon_error(spark, sf_dir):
-    return ml.recon_error(gaps(telemetry(spark, sf_dir)), keep=["event_id"])
+    return six(ml.recon_error(gaps(telemetry(spark, sf_dir)), keep=["event_id"]))
 
 
 # --- routing and controller ----------------------------------------------------------------
@@ -910,7 +918,8 @@ graph_nodes graph_edges community_agg median_rank risk_norm_max batch_adjust_sta
 feature_minmax edge_run_stats
 community_risk graph_adjustment graph_scored base_scored
 pagerank label_propagation graph_build
-rf_features rf_split rf_train rf_predict rf_evaluate iforest_fit iforest_score recon_error
+rf_features rf_split rf_train rf_predict rf_evaluate iforest_fit iforest_score
+edge_model_alerts recon_error
 simulated_rtt route_readings edge_alerts controller_windows controller_fold
 controller_fold_many controller_latest retrain_trigger retrain_feedback cloud_backlog
 latest_alerts alert_ticker sensor_series states_snapshot fleet_summary machines_by_status
