@@ -8,21 +8,16 @@ the thresholds are joined back to the rows to route them.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.operators.distribute import fits_broadcast, number_rows, running_total
 from fleetpulse.params import ControllerParams, ScaleLimits
 
-# Executors may not have this package on their path: ship the functions of this module by value.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 WINDOW_SCHEMA = (
     "edge_id string, window_no bigint, messages bigint, rtt_sum double, "
     "outlier_latency array<double>, outlier_draw array<double>"

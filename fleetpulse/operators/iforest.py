@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 from typing import Tuple
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,9 +15,6 @@ from fleetpulse.params import IsolationParams
 from fleetpulse.schema import FEATURES
 from fleetpulse.session import cut
 
-# Executors may not have this package on their path: ship the functions of this module by value.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # A node: its feature and split, its children, or for a leaf the rows that ended there.
 FOREST_SCHEMA = (
     "tree_id int, node_id int, feature int, split double, left_id int, right_id int, "
