@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.operators.distribute import fits_broadcast, number_rows, running_total
 from fleetpulse.params import ControllerParams, ScaleLimits
+from fleetpulse.session import write_once
 
 WINDOW_SCHEMA = (
     "edge_id string, window_no bigint, messages bigint, rtt_sum double, "
@@ -79,7 +80,10 @@ def _clamp(value: float, low: float, high: float) -> float:
 
 
 def _next_state(state: dict, messages: int, anomalies: int, rtt_sum: float, p: ControllerParams):
-    """The state after one full window. Returns (state, action)."""
+    """The state after one full window. Returns (state, action).
+
+    The names of the actions are fixed values.
+    """
     rate = p.rate_alpha * (anomalies / messages) + (1 - p.rate_alpha) * state["rate"]
     rtt = p.rtt_beta * (rtt_sum / messages) + (1 - p.rtt_beta) * state["rtt"]
     trend = rtt - state["rtt"]
@@ -245,8 +249,10 @@ def cloud_backlog(
 
     Retraining empties the backlog after every ``retrain_every`` cloud-routed records.
     """
-    per_window = routed.groupBy("edge_id", "window_no").agg(
-        F.count_if("to_cloud").alias("cloud_messages")
+    # One row per window, stored because the running total reads it twice.
+    per_window = write_once(
+        routed.groupBy("edge_id", "window_no").agg(F.count_if("to_cloud").alias("cloud_messages")),
+        "sent",
     )
     total = running_total(per_window, ["edge_id"], "window_no", "cloud_messages", "_sent", limits)
     return total.select(

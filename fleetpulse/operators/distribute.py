@@ -16,20 +16,18 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in the low
 
 def measured_bytes(df: DataFrame) -> int:
     """Size of a join side in memory, measured over all of its rows."""
-    per_row = 0
     variable = []
     for field in df.schema.fields:
-        per_row += 16
-        if isinstance(field.dataType, T.StringType):
-            variable.append(F.octet_length(F.col(field.name)))
-        elif isinstance(field.dataType, T.ArrayType):
-            variable.append(
-                F.octet_length(F.concat_ws(",", F.col(field.name).cast("array<string>")))
-                + F.size(F.col(field.name)) * 16
-            )
+        column, kind = F.col(field.name), field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            variable.append(F.octet_length(column))
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+            variable.append(F.octet_length(F.array_join(column, ",")) + F.size(column) * 16)
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            variable.append(F.octet_length(F.to_json(F.struct(column))) * 2)
     extra = reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(0)) for c in variable], F.lit(0))
-    rows, text = df.agg(F.count(F.lit(1)), F.sum(extra.cast("bigint"))).first()
-    return rows * per_row + (text or 0)
+    rows, more = df.agg(F.count(F.lit(1)), F.sum(extra.cast("bigint"))).first()
+    return rows * 16 * len(df.columns) + (more or 0)
 
 
 def fits_broadcast(df: DataFrame, limits: ScaleLimits = ScaleLimits()) -> bool:

@@ -54,7 +54,8 @@ def graph_tables(
     ranks = cut(graph.pagerank(nodes, edges, params, limits))
     communities = graph.label_propagation(nodes, edges, params, limits)
     members = risk.join_community_rank(communities, ranks)
-    risks = cut(risk.community_risk(risk.community_agg(members, params)))
+    aggregated = cut(risk.community_agg(members, params))
+    risks = cut(risk.community_risk(aggregated))
     return GraphTables(ranks, communities, risks)
 
 

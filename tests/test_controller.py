@@ -90,8 +90,15 @@ def messages(seed, edges=("a", "a", "b"), count=900, noise=0.3):
 SCHEMA = "edge_id string, event_id bigint, latency_ms int, draw double, outlier boolean"
 
 
-@pytest.mark.parametrize("noise", [0.0, 0.12, 0.5, 1.0])
-@pytest.mark.parametrize("limits", [ScaleLimits(), ScaleLimits(broadcast_bytes=0, block_rows=4)])
+@pytest.mark.parametrize(
+    "noise, limits",
+    [
+        (0.0, ScaleLimits()),
+        (0.12, ScaleLimits(broadcast_bytes=0, block_rows=4)),
+        (0.5, ScaleLimits()),
+        (1.0, ScaleLimits(block_rows=4)),
+    ],
+)
 def test_routing_matches_a_sequential_controller(spark, noise, limits):
     data = messages(int(noise * 100), noise=noise)
     run = run_routing(spark.createDataFrame(data, SCHEMA), OUTLIER, ["event_id"], SMALL, limits)
