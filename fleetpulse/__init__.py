@@ -1,10 +1,3 @@
 """Fleet telemetry analytics on Spark: ingestion, graph risk, scoring, routing and serving."""
 
-import sys
-
-from pyspark import cloudpickle
-
-__version__ = "0.1.0"
-
-# Executors may not have this package on their path: functions sent to them go by value.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+__version__ = "0.2.0"

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.operators.distribute import fits_broadcast, number_rows, running_total
 from fleetpulse.params import ControllerParams, ScaleLimits
-from fleetpulse.session import write_once
+from fleetpulse.session import ship, write_once
 
 WINDOW_SCHEMA = (
     "edge_id string, window_no bigint, messages bigint, rtt_sum double, "
@@ -180,6 +180,7 @@ def controller_fold(
                 )
             yield pd.DataFrame(out, columns=_columns(STATE_SCHEMA))
 
+    ship(windows.sparkSession)
     ordered = begin.repartition("edge_id").sortWithinPartitions("edge_id", "window_no")
     return ordered.mapInPandas(fold, STATE_SCHEMA)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fleetpulse.operators.ingest import drop_missing
 from fleetpulse.params import IsolationParams
 from fleetpulse.schema import FEATURES
-from fleetpulse.session import cut
+from fleetpulse.session import cut, ship
 
 # A node: its feature and split, its children, or for a leaf the rows that ended there.
 FOREST_SCHEMA = (
@@ -109,6 +109,7 @@ def iforest_fit(
         out.insert(0, "tree_id", tree)
         return out
 
+    ship(df.sparkSession)
     samples = tree_samples(df, key, params)
     return cut(samples.groupBy("tree_id").applyInPandas(build, FOREST_SCHEMA))
 
@@ -141,6 +142,7 @@ def iforest_score(
     df: DataFrame, forest: DataFrame, params: IsolationParams = IsolationParams()
 ) -> DataFrame:
     """Add ``anomaly_score`` in (0, 1): the shorter the mean path, the closer to 1."""
+    ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(_tables(forest, params))
 
     @F.pandas_udf("double")

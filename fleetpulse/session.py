@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,11 +31,34 @@ def build_session(app: str = "fleetpulse", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the executors, once per application.
+
+    Functions that run in tasks are sent by name, so a worker imports the package, and what a
+    module caches serves all tasks of that worker.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    if package.is_dir():  # inside an archive it has been shipped already
+        archive = Path(tempfile.mkdtemp(prefix="fleetpulse-")) / "fleetpulse.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, Path("fleetpulse") / source.relative_to(package))
+        sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables, taken from ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a temporary folder: on a cluster that folder
-    would exist on one machine only, so there the setting is required.
+    Only a session whose master is ``local`` or ``local[N]`` gets a temporary folder when it
+    names none: anywhere else that folder would exist on one machine only, so the setting is
+    required.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -42,7 +67,7 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="fleetpulse-"))
     return sc.getCheckpointDir().rstrip("/")
