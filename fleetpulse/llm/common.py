@@ -11,24 +11,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from fleetpulse.session import ship
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def map_partition(
+    df: DataFrame, run: Callable[[Batches], Iterator[dict[str, Iterable]]], schema: T.StructType
+) -> DataFrame:
+    """``mapInArrow`` for a function that yields columns by name instead of batches."""
+    ship(df.sparkSession)
+    arrow = to_arrow_schema(schema)
+
+    def batches_of(batches: Batches) -> Batches:
+        for columns in run(batches):
+            yield to_batch(columns, arrow)
+
+    return df.mapInArrow(batches_of, schema)
+
+
 def map_batches(
-    df: DataFrame, rows: Callable[[dict[str, list]], dict[str, Iterable]], schema: T.StructType
+    df: DataFrame,
+    rows: Callable[[dict[str, pa.Array]], dict[str, Iterable]],
+    schema: T.StructType,
+    most: int = 1000,
 ) -> DataFrame:
-    """Apply ``rows`` (columns in, columns out) to each Arrow batch of a partition."""
-    names, arrow = list(df.columns), to_arrow_schema(schema)
+    """Apply ``rows`` (columns in, columns out) to up to ``most`` rows of a partition at a time."""
+    names = list(df.columns)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Iterator[dict[str, Iterable]]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            yield to_batch(rows({n: batch.column(i) for i, n in enumerate(names)}), arrow)
+            for at in range(0, batch.num_rows, most):
+                part = batch.slice(at, most)
+                yield rows({n: part.column(i) for i, n in enumerate(names)})
 
-    return df.mapInArrow(run, schema)
+    return map_partition(df, run, schema)
 
 
 def to_batch(columns: dict[str, Iterable], arrow: pa.Schema) -> pa.RecordBatch:
@@ -45,9 +67,32 @@ def to_batch(columns: dict[str, Iterable], arrow: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
 
-def fields(*spec: str) -> T.StructType:
-    """A schema from ``"name type"`` strings."""
-    return T.StructType.fromDDL(", ".join(spec))
+_KINDS = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "string": T.StringType(),
+    "binary": T.BinaryType(),
+}
+
+
+def fields(*spec: str | T.StructField) -> T.StructType:
+    """A schema from ``"name type"`` strings, ``type`` possibly ``array<type>``, or fields."""
+    made = []
+    for item in spec:
+        if isinstance(item, str):
+            name, kind = item.split()
+            if kind.startswith("array<"):
+                item = T.StructField(name, T.ArrayType(_KINDS[kind[6:-1]]))
+            else:
+                item = T.StructField(name, _KINDS[kind])
+        made.append(item)
+    return T.StructType(made)
+
+
+def as_field(df: DataFrame, column: str, name: str) -> T.StructField:
+    return T.StructField(name, df.schema[column].dataType)
 
 
 def text_key(text: str = "text") -> Column:

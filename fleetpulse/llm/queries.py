@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetpulse.llm import simhash
+from fleetpulse.llm import simhash, weak_rules, winnowing
 from fleetpulse.llm.common import table
 
 
@@ -15,5 +16,25 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that lie in a 10-word window of a benchmark item."""
+    found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    joined = F.concat_ws(",", F.array_sort("items"))
+    return found.withColumn("items_sha256", F.sha2(joined.cast("binary"), 256)).drop("items")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, rule votes and the posterior verdict of every document."""
+    judged = weak_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "quality",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_simhash": op4_simhash}
+    return {
+        "op4_simhash": op4_simhash,
+        "op7_decontamination": op7_decontamination,
+        "op8_quality_rules": op8_quality_rules,
+    }

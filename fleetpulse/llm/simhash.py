@@ -16,13 +16,11 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from fleetpulse.llm.common import fields, map_batches, to_batch
+from fleetpulse.llm.common import Batches, as_field, fields, map_batches, map_partition
 from fleetpulse.llm.components import component_roots
 from fleetpulse.session import write_once
 
@@ -66,9 +64,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", shingle: int = 4) -> D
         fps = np.array([fingerprint((t or "").encode(), shingle) for t in texts], dtype=np.uint64)
         return {"_id": columns["_id"], "fp": fps.view(np.int64)}
 
-    kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("_id"), F.col("text").alias("_text"))
-    return map_batches(slim, rows, fields(f"_id {kind}", "fp bigint"))
+    return map_batches(slim, rows, fields(as_field(docs, id_col, "_id"), "fp bigint"))
 
 
 # -- statistics over all fingerprints ---------------------------------------------------------
@@ -76,10 +73,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", shingle: int = 4) -> D
 
 def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
     """Number of fingerprints, and for each pair of bits how often both are set: 64 x 64 sums."""
-    schema = fields("a int", "b int", "n bigint")
-    arrow = to_arrow_schema(schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Iterator[dict[str, np.ndarray]]:
         both, rows = np.zeros((64, 64), np.int64), 0
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
@@ -89,12 +84,10 @@ def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
                 both += (bits.T @ bits).astype(np.int64)
                 rows += len(part)
         a, b = np.divmod(np.arange(4096), 64)
-        columns = [np.append(a, -1), np.append(b, -1), np.append(both.ravel(), rows)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow
-        )
+        yield {"a": np.append(a, -1), "b": np.append(b, -1), "n": np.append(both.ravel(), rows)}
 
-    sums = fps.select("fp").mapInArrow(run, schema).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    counted = map_partition(fps.select("fp"), run, fields("a int", "b int", "n bigint"))
+    sums = counted.groupBy("a", "b").agg(F.sum("n").alias("n"))
     both, rows = np.zeros((64, 64)), 0
     for a, b, n in sums.collect():  # 4097 rows at most
         if a < 0:
@@ -266,23 +259,21 @@ def links(fps: DataFrame, layout: Layout, max_bits: int = 4, block: int = BLOCK)
     out in blocks and each pair of blocks goes to a task of its own, so no task holds a whole
     hot bucket, and no close pair is missed.
     """
-    probe_schema, link_schema = fields("cell bigint", "fp bigint"), fields("a bigint", "b bigint")
-    probe_arrow, link_arrow = to_arrow_schema(probe_schema), to_arrow_schema(link_schema)
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def probe(batches: Batches) -> Iterator[dict[str, np.ndarray]]:
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for number, part in _signatures(values, layout):
                 cells = _mixed(part, number).view(np.int64)
-                yield to_batch({"cell": cells, "fp": values.view(np.int64)}, probe_arrow)
+                yield {"cell": cells, "fp": values.view(np.int64)}
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Batches) -> Iterator[dict[str, np.ndarray]]:
         for keys, values in _whole_buckets(batches):
             a, b = _link_sorted(keys, values, max_bits)
             if len(a):
-                yield to_batch({"a": a.view(np.int64), "b": b.view(np.int64)}, link_arrow)
+                yield {"a": a.view(np.int64), "b": b.view(np.int64)}
 
-    probed = fps.select("fp").mapInArrow(probe, probe_schema)
+    probed = map_partition(fps.select("fp"), probe, fields("cell bigint", "fp bigint"))
     sizes = probed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     hot = write_once(
         sizes.where(F.col("n") > block).select("cell", F.ceil(F.col("n") / block).alias("blocks")),
@@ -299,7 +290,7 @@ def links(fps: DataFrame, layout: Layout, max_bits: int = 4, block: int = BLOCK)
         "fp",
     )
     met = dealt.repartition("cell", "pair").sortWithinPartitions("cell", "pair", "fp")
-    return met.mapInArrow(compare, link_schema)
+    return map_partition(met, compare, fields("a bigint", "b bigint"))
 
 
 def _mixed(values: np.ndarray, number: int) -> np.ndarray:
@@ -310,7 +301,7 @@ def _mixed(values: np.ndarray, number: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _whole_buckets(batches: Batches) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Sorted rows as (bucket key, fingerprint) arrays in which every bucket is complete."""
     keys, values = np.empty((0, 2), np.int64), np.empty(0, np.uint64)
     for batch in batches:
