@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import simhash, weak_rules, winnowing
+import public_tokenizers
+from fleetpulse.llm import packing, tokens, simhash, weak_rules, winnowing
 from fleetpulse.llm.common import table
 
 
+BYTE_TOKENIZER, BYTE_END = "byte_bpe_50k.json", 0
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as byte-level ids, packed into sequences of at most 1024 tokens."""
+    path = public_tokenizers.path(BYTE_TOKENIZER)
+    ids = tokens.tokenize(table(spark, sf_dir, "documents"), path, "byte", BYTE_END)
+    return packing.pack(ids, tokens.id_bytes(path)).withColumnRenamed("_id", "doc_id")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups: 4-word shingles, 64 bits, links at 4 or fewer differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -34,6 +45,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_packing": op1_packing,
         "op4_simhash": op4_simhash,
         "op7_decontamination": op7_decontamination,
         "op8_quality_rules": op8_quality_rules,
