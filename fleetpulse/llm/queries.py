@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from fleetpulse.llm import packing, tokens, simhash, weak_rules, winnowing
+from fleetpulse.llm import huffman, packing, simhash, tokens, weak_rules, winnowing
 from fleetpulse.llm.common import table
+from fleetpulse.session import work_path, write_once
 
 
 BYTE_TOKENIZER, BYTE_END = "byte_bpe_50k.json", 0
+WORD_TOKENIZER, WORD_END = "word_bpe_49k.json", 2
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,10 +45,26 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as word-level ids, written to Huffman-coded files and read back from them."""
+    path = public_tokenizers.path(WORD_TOKENIZER)
+    ids = tokens.tokenize(table(spark, sf_dir, "documents"), path, "word", WORD_END)
+    folder = work_path(spark, "token_files")
+    width, size = tokens.id_bytes(path), tokens.vocabulary_size(path)
+    huffman.write_files(write_once(ids, "token_ids"), width, size, folder)
+    return huffman.read_files(spark, folder).select(
+        F.col("_id").alias("doc_id"),
+        "start",
+        F.col("n").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op4_simhash": op4_simhash,
         "op7_decontamination": op7_decontamination,
         "op8_quality_rules": op8_quality_rules,
+        "op9_token_files": op9_token_files,
     }

@@ -198,9 +198,14 @@ def encoder(kind: str, path: str):
     return ENCODERS[kind](path)
 
 
+@cache
+def vocabulary_size(path: str) -> int:
+    return max(_library(path).get_vocab().values()) + 1
+
+
 def id_bytes(path: str) -> int:
     """Bytes in which every id of the vocabulary fits: two or four."""
-    return 2 if _library(path).get_vocab_size() <= 1 << 16 else 4
+    return 2 if vocabulary_size(path) <= 1 << 16 else 4
 
 
 def tokenize(
