@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from fleetpulse.llm import huffman, packing, simhash, tokens, weak_rules, winnowing
+from fleetpulse.llm import huffman, main_text, packing, simhash, tokens, weak_rules, winnowing
 from fleetpulse.llm.common import table
 from fleetpulse.session import work_path, write_once
 
@@ -60,6 +60,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -67,4 +72,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_decontamination": op7_decontamination,
         "op8_quality_rules": op8_quality_rules,
         "op9_token_files": op9_token_files,
+        "op10_main_text": op10_main_text,
     }
