@@ -199,8 +199,9 @@ def count_kinds(page: str) -> Counter[tuple[str, bool]]:
         return counts
     for b in blocks:
         inside = b.in_article and not b.aside
-        counts["word", inside] += b.words - b.link_words
-        counts["link", inside] += b.link_words
+        if not b.aside:  # words of asides never score
+            counts["word", inside] += b.words - b.link_words
+            counts["link", inside] += b.link_words
         for tag in b.tags:
             counts[f"<{tag}", inside] += 1
     return +counts
