@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from fleetpulse.llm import huffman, main_text, packing, simhash, tokens, weak_rules, winnowing
+from fleetpulse.llm import huffman, main_text, neighbours, packing, simhash, tokens, weak_rules, winnowing
 from fleetpulse.llm.common import table
 from fleetpulse.session import work_path, write_once
 
@@ -24,6 +24,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(ids, tokens.id_bytes(path)).withColumnRenamed("_id", "doc_id")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by its nearest labelled ones, a fifth of the labels held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = neighbours.learn(docs, table(spark, sf_dir, "labels"))
+    scored = neighbours.classify(docs, model)
+    return scored.select("doc_id", neighbours.held_out().alias("held_out"), "score", "predicted")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups: 4-word shingles, 64 bits, links at 4 or fewer differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -68,6 +76,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op2_quality_classifier": op2_quality_classifier,
         "op4_simhash": op4_simhash,
         "op7_decontamination": op7_decontamination,
         "op8_quality_rules": op8_quality_rules,
