@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from fleetpulse.llm import huffman, main_text, neighbours, packing, simhash, tokens, weak_rules, winnowing
+from fleetpulse.llm import huffman, main_text, neighbours, packing, simhash, suffix, tokens, weak_rules, winnowing
 from fleetpulse.llm.common import table
 from fleetpulse.session import work_path, write_once
 
@@ -37,6 +37,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each text without strings of 400 bytes that start elsewhere as well."""
+    return suffix.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in a 10-word window of a benchmark item."""
     found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -78,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_quality_classifier": op2_quality_classifier,
         "op4_simhash": op4_simhash,
+        "op5_suffix_dedup": op5_suffix_dedup,
         "op7_decontamination": op7_decontamination,
         "op8_quality_rules": op8_quality_rules,
         "op9_token_files": op9_token_files,
