@@ -1,5 +1,45 @@
 """The queries of this subpackage that SQL can express, in SQL for DuckDB."""
 
+WARC_FIXITY = r"""
+WITH p AS (
+  SELECT page_id, url, coalesce(html, '') AS html, left(md5(coalesce(url, '')), 2) AS mark FROM pages
+), c AS (
+  SELECT *, CASE mark
+    WHEN '01' THEN left(html, CAST(floor(length(html) / 2) AS BIGINT))
+    WHEN '02' THEN left(html, greatest(length(html) - 1, 0)) || '~'
+    ELSE html END AS changed
+  FROM p
+), h AS (
+  SELECT *, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+    || 'WARC-Record-ID: <urn:page:' || coalesce(CAST(page_id AS VARCHAR), '') || '>' || chr(13) || chr(10)
+    || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+    || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10)
+    || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' AS head
+  FROM c
+), r AS (
+  SELECT page_id, url, mark,
+    head || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) || html
+      || chr(13) || chr(10) || chr(13) || chr(10) AS record,
+    head || strlen(changed) || chr(13) || chr(10) || chr(13) || chr(10) || changed
+      || chr(13) || chr(10) || chr(13) || chr(10) AS other
+  FROM h
+), d AS (
+  SELECT page_id, url, mark, CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS digest,
+    sha256(other) AS other_digest
+  FROM r
+), n AS (
+  SELECT *, row_number() OVER (ORDER BY page_id NULLS FIRST, url NULLS FIRST, digest) - 1 AS number FROM d
+), f AS (
+  SELECT *, CAST(number // 1000 AS BIGINT) AS file FROM n
+)
+SELECT page_id, url, file,
+  CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY number
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
+  length, digest,
+  CASE WHEN mark = '00' THEN 'missing' WHEN digest <> other_digest THEN 'damaged' ELSE 'intact' END AS state
+FROM f
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_warc_fixity": WARC_FIXITY}

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from fleetpulse.llm import huffman, main_text, neighbours, packing, simhash, suffix, tokens, weak_rules, winnowing
+from fleetpulse.llm import (
+    fixity, huffman, main_text, neighbours, packing, simhash, suffix, tokens, weak_rules, winnowing,
+)
 from fleetpulse.llm.common import table
 from fleetpulse.session import work_path, write_once
 
@@ -32,6 +34,37 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", neighbours.held_out().alias("held_out"), "score", "predicted")
 
 
+def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record of an archive, audited against a replica with faults.
+
+    The replica follows from the pages: by the first two digits of the MD5 of its URL a record
+    is lost (00), has its payload cut to half (01) or a changed last character (02).
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    mark = F.substring(F.md5(F.coalesce("url", F.lit("")).cast("binary")), 1, 2)
+    size = F.length("html")
+    other = (
+        F.when(mark == "01", F.substring("html", F.lit(1), F.floor(size / 2).cast("int")))
+        .when(mark == "02", F.concat(F.substring("html", F.lit(1), F.greatest(size - 1, F.lit(0))), F.lit("~")))
+        .otherwise(F.col("html"))
+    )
+    record = fixity.record_bytes("page_id", "url", "html")
+    changed = fixity.record_bytes("page_id", "url", "changed")
+    hashed = pages.withColumns({"mark": mark, "changed": other}).select(
+        "page_id", "url", "mark",
+        F.octet_length(record).cast("bigint").alias("length"),
+        F.sha2(record, 256).alias("digest"),
+        F.octet_length(changed).cast("bigint").alias("other_length"),
+        F.sha2(changed, 256).alias("other_digest"),
+    )
+    archive = write_once(fixity.layout(hashed, ["page_id", "url", "digest"]), "archive")
+    replica = archive.where("mark <> '00'").select(
+        "file", "offset", F.col("other_length").alias("length"), F.col("other_digest").alias("digest")
+    )
+    records = archive.select("page_id", "url", "file", "offset", "length", "digest")
+    return fixity.audited(records, replica)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups: 4-word shingles, 64 bits, links at 4 or fewer differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -82,6 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_quality_classifier": op2_quality_classifier,
+        "op3_warc_fixity": op3_warc_fixity,
         "op4_simhash": op4_simhash,
         "op5_suffix_dedup": op5_suffix_dedup,
         "op7_decontamination": op7_decontamination,
