@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from fleetpulse.llm import (
-    fixity, huffman, main_text, neighbours, packing, simhash, suffix, tokens, weak_rules, winnowing,
+    fixity, huffman, licences, main_text, neighbours, packing, simhash, suffix, tokens, weak_rules, winnowing,
 )
 from fleetpulse.llm.common import table
 from fleetpulse.session import work_path, write_once
@@ -75,6 +75,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families of which a document has a confirmed notice."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in a 10-word window of a benchmark item."""
     found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -118,6 +123,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_warc_fixity": op3_warc_fixity,
         "op4_simhash": op4_simhash,
         "op5_suffix_dedup": op5_suffix_dedup,
+        "op6_license_scan": op6_license_scan,
         "op7_decontamination": op7_decontamination,
         "op8_quality_rules": op8_quality_rules,
         "op9_token_files": op9_token_files,
