@@ -34,13 +34,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def component_roots(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root): the smallest node of the component, for every node that has a link.
+    """(node, root): the smallest node of the component, for every linked node but the root itself.
 
     Each round leaves stars closer to the root and is written to the shared folder, so a lost
     executor costs one round at most. A hub is met by sums that are partial before the shuffle
     and by a join that adaptive execution can split.
     """
-    spark = links.sparkSession
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v")
     edges, path = _store(edges.distinct(), None)
     print_of = _print(edges)
