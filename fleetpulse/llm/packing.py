@@ -21,7 +21,7 @@ from fleetpulse.operators.distribute import number_rows
 from fleetpulse.session import write_once
 
 WINDOW = 1024  # tokens of a sequence
-ROUNDS = 60  # of the solver; what it leaves is packed greedily
+ROUNDS = 100  # of the solver; what it leaves is packed greedily
 
 
 def combinations(histogram: np.ndarray) -> np.ndarray:
@@ -43,14 +43,14 @@ def solve_repeats(combos: np.ndarray, histogram: np.ndarray, rounds: int = ROUND
     """Non-negative repeat counts whose lengths come closest to the histogram in least squares.
 
     An active-set method: combinations that the residual calls for most, no two sharing a length,
-    join the active set together; those whose count would turn negative leave it.
+    join the active set together, fewer at a time once that no longer helps; those whose count
+    would turn negative leave it.
     """
-    counts = np.zeros(len(combos))
     target = histogram.astype(float)
     target[0] = 0
     scale = target.max(initial=0)
     if not len(combos) or not scale:
-        return counts
+        return np.zeros(len(combos))
     target = target / scale
 
     def columns(which: np.ndarray) -> np.ndarray:
@@ -60,12 +60,37 @@ def solve_repeats(combos: np.ndarray, histogram: np.ndarray, rounds: int = ROUND
         out[0] = 0
         return out
 
-    active = np.empty(0, np.int64)
+    def refit(active: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Least squares over the active set, leaving the counts of a step that stays positive."""
+        counts, a = counts.copy(), columns(active)
+        normal, right = a.T @ a, a.T @ target
+        normal[np.diag_indices_from(normal)] += 1e-9
+        while len(active):
+            solved = np.linalg.solve(normal, right)
+            if (solved > 0).all():
+                counts[active] = solved
+                break
+            now = counts[active]
+            falling = solved <= 0
+            step = (now[falling] / np.maximum(now[falling] - solved[falling], 1e-300)).min()
+            moved = now + step * (solved - now)
+            moved[falling & (moved <= 1e-9)] = 0
+            moved[falling & (now == 0)] = 0
+            counts[active] = moved
+            stays = np.flatnonzero(moved > 0)
+            active, normal, right = active[stays], normal[np.ix_(stays, stays)], right[stays]
+        return counts
+
+    def residual_of(counts: np.ndarray) -> np.ndarray:
+        active = np.flatnonzero(counts)
+        left = target - columns(active) @ counts[active]
+        left[0] = 0
+        return left
+
+    counts, residual, most = np.zeros(len(combos)), target, len(target)
     for _ in range(rounds):
-        residual = target - columns(active) @ counts[active]
-        residual[0] = 0
         gain = residual[combos].sum(axis=1)
-        gain[active] = -1
+        gain[counts > 0] = -1
         order = np.argsort(-gain, kind="stable")[: 8 * len(target)]
         used, chosen = np.zeros(len(target), bool), []
         for j in order[gain[order] > 1e-7].tolist():
@@ -73,27 +98,18 @@ def solve_repeats(combos: np.ndarray, histogram: np.ndarray, rounds: int = ROUND
             if not used[lengths].any():
                 used[lengths] = True
                 chosen.append(j)
+            if len(chosen) == most:
+                break
         if not chosen:
             break
-        before = np.linalg.norm(residual)
-        active = np.append(active, chosen)
-        while len(active):
-            a = columns(active)
-            normal = a.T @ a
-            normal[np.diag_indices_from(normal)] += 1e-9
-            solved = np.linalg.solve(normal, a.T @ target)
-            if (solved > 0).all():
-                counts[active] = solved
-                break
-            now = counts[active]
-            falling = solved <= 0
-            step = min(1.0, (now[falling] / np.maximum(now[falling] - solved[falling], 1e-300)).min())
-            moved = np.where(falling & (now + step * (solved - now) <= 1e-12), 0, now + step * (solved - now))
-            counts[active] = moved
-            active = active[moved > 0]
-        left = target - columns(active) @ counts[active]
-        if before - np.linalg.norm(left[1:]) < 1e-6 * before:
+        trial = refit(np.append(np.flatnonzero(counts), chosen), counts)
+        left = residual_of(trial)
+        if np.linalg.norm(left) < np.linalg.norm(residual) * (1 - 1e-6):
+            counts, residual = trial, left
+        elif most == 1:
             break
+        else:
+            most = max(1, min(most, len(chosen)) // 4)  # too many at once: fewer combinations a round
     return counts * scale
 
 
