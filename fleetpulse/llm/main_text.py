@@ -22,7 +22,7 @@ from fleetpulse.llm.common import as_field, fields, map_batches
 
 LABELLED_PAGES = 2000  # the weights are learned from about so many pages
 
-IN_ARTICLE_TAG = -0.1  # tags score at most this, and inside a marked article exactly this
+LIGHT_TAG = -0.1  # tags score at most this; inside a marked article or a block's text no less
 
 # Elements whose content is no markup, elements that begin and end a block of text,
 # elements without content, elements that hold no main text, and words of a class, id or role
@@ -43,6 +43,8 @@ ASIDE_WORD = re.compile(
     complementary|contentinfo|search)""",
     re.X | re.I,
 )
+# Of these words, the ones that also name wrappers around everything: an article inside still counts.
+WRAPPER_WORD = re.compile(r"(?:sidebar\w*|widget|header|banner|nav|navbar|menu\w*|overlay|modal|search)", re.I)
 ARTICLE = frozenset(("article", "main"))
 
 # Elements whose start ends an open one of these kinds, unless a container lies between.
@@ -76,35 +78,42 @@ class Block:
     tags: tuple[str, ...]  # met since the block before
 
 
-def _says_aside(rest: str) -> bool:
+NOT, WRAPPER, ASIDE_FOR_SURE = 0, 1, 2
+
+
+def _says_aside(rest: str) -> int:
     if not rest.strip("/ \t\r\n"):
-        return False
+        return NOT
     if _HIDDEN.search(rest):
-        return True
+        return ASIDE_FOR_SURE
+    said = NOT
     for match in _NAMES.finditer(rest):
         named = next(g for g in match.groups() if g is not None)
-        if any(ASIDE_WORD.fullmatch(part) for part in _PARTS.findall(named)):
-            return True
-    return False
+        for part in _PARTS.findall(named):
+            if ASIDE_WORD.fullmatch(part):
+                said = max(said, WRAPPER if WRAPPER_WORD.fullmatch(part) else ASIDE_FOR_SURE)
+    return said
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order. Unclosed, crossed and cut-off elements are put up with."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, whether aside, whether inside an article
+    stack: list[tuple[str, int, bool]] = []  # element, how surely aside, whether inside an article
     pieces: list[tuple[str, bool]] = []
     tags: list[str] = []
     links = at = 0
 
-    def state() -> tuple[bool, bool]:
-        return stack[-1][1:] if stack else (False, False)
+    def state() -> tuple[int, bool]:
+        return stack[-1][1:] if stack else (NOT, False)
 
     def close_block() -> None:
         nonlocal pieces, tags
         text = html.unescape("".join(p for p, _ in pieces)).split()
         if text:
             linked = len(html.unescape(" ".join(p for p, link in pieces if link)).split())
-            found.append(Block(" ".join(text), len(text), min(linked, len(text)), *state(), tuple(tags)))
+            aside, inside = state()
+            words = len(text)
+            found.append(Block(" ".join(text), words, min(linked, words), aside > NOT, inside, tuple(tags)))
             tags = []
         pieces = []
 
@@ -144,11 +153,11 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID or rest.endswith("/"):
             continue
         aside, inside = state()
-        own = name in ASIDE or (name not in ("html", "body") and _says_aside(rest))
-        if name in ARTICLE and not own:
+        own = ASIDE_FOR_SURE if name in ASIDE else NOT if name in ("html", "body") else _says_aside(rest)
+        if name in ARTICLE and own == NOT and aside < ASIDE_FOR_SURE:
             # An article inside a wrapper named like a sidebar counts, one among comments does not.
-            aside, inside = aside and inside, True
-        stack.append((name, aside or own, inside))
+            aside, inside = NOT, True
+        stack.append((name, max(aside, own), inside))
         links += name == "a"
     close_block()
     return found
@@ -162,7 +171,7 @@ class Weights:
     link_word: float = -0.5
     outside_word: float = -1.0  # of pages that mark an article
     tags: tuple[tuple[str, float], ...] = ()
-    other_tag: float = -0.5
+    other_tag: float = -0.3
 
 
 def _clip(value: float, low: float, high: float) -> float:
@@ -182,7 +191,7 @@ def learn(counts: dict[tuple[str, bool], int]) -> Weights:
             (counts.get((kind, False), 0) + 1) / outside
         )
 
-    tags = {k[1:]: _clip(odds(k), -1.0, IN_ARTICLE_TAG) for k in kinds if k[0] == "<"}
+    tags = {k[1:]: _clip(odds(k), -1.0, LIGHT_TAG) for k in kinds if k[0] == "<"}
     return Weights(
         word=_clip(odds("word"), 0.5, 2.0),
         link_word=_clip(odds("link"), -2.0, 1.0) if "link" in kinds else -0.5,
@@ -212,7 +221,7 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     best, bounds = 0.0, (0, 0)
     total, start = 0.0, 0
     for i, score in enumerate(scores):
-        if total <= 0:
+        if total < 0:
             total, start = 0.0, i
         total += score
         if total > best:
@@ -229,7 +238,8 @@ def main_text(page: str | None, weights: Weights = Weights()) -> str:
     for number, block in enumerate(blocks):
         for tag in block.tags:
             known = tag_weight.get(tag, weights.other_tag)
-            scores.append(max(known, IN_ARTICLE_TAG) if block.in_article else known)
+            light = block.in_article or tag not in BLOCKS  # marks within a text do not end a region
+            scores.append(max(known, LIGHT_TAG) if light else known)
             owner.append(-1)
         if block.aside:
             continue
