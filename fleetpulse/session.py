@@ -126,7 +126,7 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
