@@ -18,6 +18,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +30,8 @@ from fleetpulse.session import shuffle_partitions, work_path, write_once
 
 LENGTH = 400  # bytes
 GRAM = 32  # bytes that an anchor hashes; a power of two
-SHARD_BYTES = 2 << 20
-CHUNK = 1 << 22  # bytes of a text looked at in one go; positions in it fit the low bits of a key
+SHARD_BYTES = 1 << 20
+CHUNK = 1 << 20  # bytes looked at in one go; positions in it fit the low bits of a key
 _POSITION = np.uint64((1 << 24) - 1)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -68,33 +69,72 @@ def _window_minimum(keys: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(behind[: n - window + 1], ahead[window - 1 : n])
 
 
-def runs_of(text: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int, int]]:
-    """(first start, end of starts, anchor, digest of the run's text), each start in one run.
+def batch_runs(raws: list[bytes], length: int = LENGTH) -> Iterator[dict[str, np.ndarray]]:
+    """Runs of several texts: number of the text, first start, end of starts, anchor, digest.
 
-    The gram is half a string at most, so that short strings have anchors too.
+    Each start of a string lies in one run. Short texts are looked at together and long ones in
+    parts. The gram is half a string at most, so that short strings have anchors too.
     """
     gram = min(GRAM, 1 << ((length // 2).bit_length() - 1)) if length > 1 else 1
-    window = length - gram + 1
-    for at in range(0, len(text) - length + 1, CHUNK):
-        piece = text[at : at + CHUNK + length - 1]
-        hashes = gram_hashes(np.frombuffer(piece, np.uint8), gram)
-        keys = (hashes & ~_POSITION) | np.arange(len(hashes), dtype=np.uint64)
-        where = (_window_minimum(keys, window) & _POSITION).astype(np.int64)
-        first = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
-        ends = np.append(first[1:], len(where))
-        anchors = hashes[where[first]].view(np.int64)
-        for s, e, anchor in zip(first.tolist(), ends.tolist(), anchors.tolist()):
-            digest = xxhash.xxh3_64_intdigest(piece[s : e + length - 1])
-            yield at + s, at + e, anchor, digest - (1 << 64) if digest >> 63 else digest
+    waiting: list[tuple[int, int, bytes]] = []
+    held = 0
+    for number, raw in enumerate(raws):
+        for at in range(0, len(raw) - length + 1, CHUNK):
+            piece = raw[at : at + CHUNK + length - 1]
+            if held and held + len(piece) > CHUNK:
+                yield _runs(waiting, length, gram)
+                waiting, held = [], 0
+            waiting.append((number, at, piece))
+            held += len(piece)
+    if waiting:
+        yield _runs(waiting, length, gram)
+
+
+def _runs(pieces: list[tuple[int, int, bytes]], length: int, gram: int) -> dict[str, np.ndarray]:
+    joined = b"".join(piece for _, _, piece in pieces)
+    hashes = gram_hashes(np.frombuffer(joined, np.uint8), gram)
+    keys = (hashes & ~_POSITION) | np.arange(len(hashes), dtype=np.uint64)
+    where = _window_minimum(keys, length - gram + 1) & _POSITION
+    sizes = np.array([len(piece) for _, _, piece in pieces])
+    begins = np.cumsum(sizes) - sizes
+    starts = sizes - length + 1  # windows that reach into the next piece are passed over
+    owner = np.repeat(np.arange(len(pieces)), starts)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(starts) - starts, starts)
+    anchor = where[begins[owner] + inside].astype(np.int64)
+    new = np.append(True, (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1]))
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(owner)))
+    piece, low = owner[first], inside[first]
+    at = begins[piece] + low
+    digests = [
+        xxhash.xxh3_64_intdigest(joined[a:b]) for a, b in zip(at.tolist(), (at + count + length - 1).tolist())
+    ]
+    number = np.array([n for n, _, _ in pieces])
+    offset = np.array([a for _, a, _ in pieces])
+    return {
+        "number": number[piece], "first": offset[piece] + low, "last": offset[piece] + low + count,
+        "anchor": hashes[anchor[first]].view(np.int64), "digest": np.array(digests, np.uint64).view(np.int64),
+    }
 
 
 # -- one shard --------------------------------------------------------------------------------
 
 
-def suffix_array(raw: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes in order of their first ``depth`` bytes or more, and each one's rank.
+def sorted_depth(n: int, length: int) -> tuple[int, int]:
+    """By what factor a round deepens the order of ``n`` suffixes, and to what depth past ``length``.
 
-    The first eight bytes are sorted as numbers. Each round doubles the depth by the ranks of the
+    Three ranks fit a 64-bit key if each takes 21 bits, otherwise two do.
+    """
+    factor, depth = (3 if n < (1 << 21) - 1 else 2), 8
+    while depth < length:
+        depth *= factor
+    return factor, depth
+
+
+def suffix_array(raw: np.ndarray, factor: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in order of their first ``depth`` bytes, and each one's rank.
+
+    The first eight bytes are sorted as numbers. Each round deepens the order by the ranks of the
     round before, and only groups of suffixes that are still equal are sorted again.
     """
     n = len(raw)
@@ -102,33 +142,33 @@ def suffix_array(raw: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     key = np.zeros(n, np.uint64)
     for i in range(8):
         key = (key << np.uint64(8)) | padded[i : i + n]
-    order = np.argsort(key, kind="stable").astype(np.int32)
+    order = np.argsort(key).astype(np.int32)
     key = key[order]
     new = np.append(True, key[1:] != key[:-1])
-    rank = np.empty(n, np.int32)
-    # The last suffixes are shorter than eight bytes: equal numbers there may differ in length.
-    group = np.flatnonzero(new)[np.cumsum(new) - 1].astype(np.int32)
-    rank[order] = group
+    rank = np.empty(n + 1, np.int64)
+    rank[n] = -1  # behind the last byte
+    rank[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
+    width = np.uint64(64 // factor)
     h = 8
     while h < depth:
         starts = np.flatnonzero(new)
         sizes = np.diff(np.append(starts, n))
-        open_ = np.repeat(sizes > 1, sizes)
-        places = np.flatnonzero(open_)
+        places = np.flatnonzero(np.repeat(sizes > 1, sizes))
         if not len(places):
             break
         suffixes = order[places]
-        behind = suffixes.astype(np.int64) + h
-        second = np.where(behind < n, rank[np.minimum(behind, n - 1)] + 1, 0).astype(np.uint64)
-        key = (rank[suffixes].astype(np.uint64) << np.uint64(32)) | second
-        turn = np.argsort(key, kind="stable")
+        key = rank[suffixes].astype(np.uint64)
+        for step in range(1, factor):
+            behind = np.minimum(suffixes.astype(np.int64) + step * h, n)
+            key = (key << width) | (rank[behind] + 1).astype(np.uint64)
+        turn = np.argsort(key)
         order[places] = suffixes[turn]
         key = key[turn]
         fresh = np.append(True, key[1:] != key[:-1])
         new[places] = fresh
         rank[order[places]] = places[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
-        h *= 2
-    return order, rank
+        h *= factor
+    return order, rank[:n]
 
 
 def common_prefixes(raw: np.ndarray, order: np.ndarray, rank: np.ndarray, depth: int) -> np.ndarray:
@@ -171,10 +211,8 @@ def common_prefixes(raw: np.ndarray, order: np.ndarray, rank: np.ndarray, depth:
 
 def equal_strings(raw: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """A number for the string of ``length`` bytes at each start; equal strings share it."""
-    depth = 8
-    while depth < length:
-        depth *= 2
-    order, rank = suffix_array(raw, depth)
+    factor, depth = sorted_depth(len(raw), length)
+    order, rank = suffix_array(raw, factor, depth)
     prefix = common_prefixes(raw, order, rank, depth)
     number = np.empty(len(raw), np.int64)
     number[order] = np.cumsum(prefix < length)
@@ -202,9 +240,9 @@ def _string_digests(raw: np.ndarray, starts: np.ndarray, length: int) -> tuple[n
 # -- the corpus -------------------------------------------------------------------------------
 
 
-def _shards(rows: Iterator, width: int) -> Iterator[list]:
+def _groups(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
     """Consecutive rows with the same first value."""
-    held: list = []
+    held: list[tuple] = []
     for row in rows:
         if held and row[0] != held[0][0]:
             yield held
@@ -239,15 +277,16 @@ class Passages:
     def _runs(self) -> DataFrame:
         length = self.length
 
-        def rows(columns):
-            out = []
-            for key, raw in zip(columns["key"].to_pylist(), columns["raw"].to_pylist()):
-                out += [(key, *run) for run in runs_of(raw, length)]
-            return dict(zip(schema.names, zip(*out) if out else [()] * 5))
+        def run(batches: Batches) -> Iterator[dict]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1000):
+                    keys, raws = batch.slice(at, 1000).columns
+                    for found in batch_runs(raws.to_pylist(), length):
+                        yield {"key": keys.take(pa.array(found.pop("number"))), **found}
 
+        long = self.texts.where(F.octet_length("raw") >= length).select("key", "raw")
         schema = fields("key binary", "first int", "last int", "anchor bigint", "digest bigint")
-        long = self.texts.where(F.octet_length("raw") >= length)
-        return map_batches(long.select("key", "raw", "copies"), rows, schema, most=200)
+        return map_partition(long, run, schema)
 
     def _find(self) -> DataFrame:
         """(key, spans): repeated spans of each text that has any and occurs once."""
@@ -256,7 +295,10 @@ class Passages:
         met = runs.groupBy("anchor").agg(
             F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high")
         )
-        met = met.where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed"))
+        # Stored, so that the join with all runs can be split where an anchor is frequent.
+        met = write_once(
+            met.where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "repeated_anchors"
+        )
         live = write_once(runs.join(met, "anchor"), "live_runs")
         each = live.groupBy("anchor", "digest").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "first", "last")).alias("one"), F.max("mixed").alias("mixed")
@@ -290,30 +332,28 @@ class Passages:
         spread = max(shuffle_partitions(self.spark), min(shards, 100_000))
         placed = pieces.repartition(spread, "shard").sortWithinPartitions("shard", "key", "first")
 
+        # What the shards of hot anchors send on takes about twelve bytes for each of theirs.
+        of_hot = hot.agg(F.sum("parts")).first()[0] or 0
+        ranges = max(1, 12 * of_hot)
+
         def search(batches: Batches) -> Iterator[dict]:
-            for held in _shards(_rows(batches), 7):
-                yield from _search_shard(held, length)
+            for held in _groups(_rows(batches)):
+                yield from _search_shard(held, length, ranges)
 
-        found = map_partition(placed, search, _FOUND)
-        found = write_once(found, "shard_results")
-        local = found.where("a is not null").select("key", "a", "b")
-        return local.unionByName(self._across(found.where("a is null")))
+        found = write_once(map_partition(placed, search, _FOUND), "shard_results")
+        local = found.where("range is null").select("key", "a", "b")
+        return local.unionByName(self._across(found.where("range is not null"), ranges))
 
-    def _across(self, strings: DataFrame) -> DataFrame:
-        """Strings of hot anchors that another shard has as well."""
+    def _across(self, strings: DataFrame, ranges: int) -> DataFrame:
+        """Spans of strings of hot anchors that another shard has as well, one range at a time."""
         length = self.length
 
         def merge(batches: Batches) -> Iterator[dict]:
-            for same_range in _ranges(batches):
-                shard, h1, h2, start, keys = same_range
-                again = _in_other_shards(shard, h1, h2)
-                again &= start >= 0  # the others only stand for strings known to repeat
-                if again.any():
-                    at = start[again]
-                    yield {"key": [keys[i] for i in np.flatnonzero(again)], "a": at, "b": at + length}
-
-        columns = strings.select("shard", "h1", "h2", "start", "key")
-        placed = columns.repartitionByRange("h1").sortWithinPartitions("h1")
+            for held in _groups(_rows(batches)):
+                yield from _merge_range([row[1] for row in held], length)
+
+        spread = max(shuffle_partitions(self.spark), min(ranges, 100_000))
+        placed = strings.select("range", "strings").repartition(spread, "range").sortWithinPartitions("range")
         return map_partition(placed, merge, fields("key binary", "a int", "b int"))
 
     def results(self, with_text: bool = False) -> DataFrame:
@@ -344,11 +384,12 @@ class Passages:
         return map_batches(joined.select("key", "raw", "copies", "spans"), rows, schema, most=500)
 
 
-_FOUND = fields("key binary", "a int", "b int", "shard bigint", "h1 bigint", "h2 bigint", "start int")
+_FOUND = fields("key binary", "a int", "b int", "range bigint", "strings binary")
+_STRING = np.dtype([("h1", "<i8"), ("h2", "<i8"), ("start", "<i4"), ("key", "V16")])
 
 
-def _search_shard(held: list[tuple], length: int) -> Iterator[dict]:
-    """Spans that repeat inside a shard, and the distinct strings of its hot runs."""
+def _search_shard(held: list[tuple], length: int, ranges: int) -> Iterator[dict]:
+    """Spans that repeat inside a shard, and the sorted strings of its hot runs, cut into ranges."""
     sizes = np.array([last - first for _, _, first, last, _, _, _ in held], np.int64)
     raw = np.frombuffer(b"".join(row[6] for row in held), np.uint8)
     begins = np.cumsum([0, *(len(row[6]) for row in held)])[:-1]
@@ -370,56 +411,51 @@ def _search_shard(held: list[tuple], length: int) -> Iterator[dict]:
         nothing = [None] * len(low)
         yield {
             "key": [held[i][1] for i in owner[low]], "a": at[low], "b": at[high] + length,
-            "shard": nothing, "h1": nothing, "h2": nothing, "start": nothing,
+            "range": nothing, "strings": nothing,
         }
     if hot.any():
         some = np.flatnonzero(hot[owner])
-        _, one = np.unique(number[some], return_index=True)  # one row per distinct string
-        some = some[np.sort(one)]
-        h1, h2 = _string_digests(raw, starts[some], length)
+        some = some[np.unique(number[some], return_index=True)[1]]  # each distinct string once
+        sent = np.empty(len(some), _STRING)
+        sent["h1"], sent["h2"] = _string_digests(raw, starts[some], length)
         # A string known to repeat is sent along so that others find it, without a start.
         known = (counts[number[some]] > 1) | ~single[owner[some]]
-        nothing = [None] * len(some)
+        sent["start"] = np.where(known, -1, at[some])
+        sent["key"] = np.frombuffer(b"".join(held[i][1] for i in owner[some]), "V16")
+        sent = sent[np.lexsort((sent["h2"], sent["h1"]))]
+        share = (sent["h1"] >> 32) + (1 << 31)  # 32 bits, in the order of the digests
+        cuts = np.searchsorted(share * ranges >> 32, np.arange(ranges + 1))
+        filled = np.flatnonzero(np.diff(cuts))
+        nothing = [None] * len(filled)
         yield {
-            "key": [held[i][1] for i in owner[some]], "a": nothing, "b": nothing,
-            "shard": [held[0][0]] * len(some), "h1": h1, "h2": h2, "start": np.where(known, -1, at[some]),
+            "key": nothing, "a": nothing, "b": nothing, "range": filled,
+            "strings": [sent[cuts[r] : cuts[r + 1]].tobytes() for r in filled],
         }
 
 
-def _ranges(batches: Batches) -> Iterator[tuple]:
-    """Sorted batches as arrays; rows with the same first digest stay together."""
-    held: list[tuple] = []
-    for batch in batches:
-        rows = list(zip(*(c.to_pylist() for c in batch.columns)))
-        if held and rows and rows[0][1] != held[-1][1]:
-            yield _arrays(held)
-            held = []
-        cut = len(rows)
-        while cut and rows[cut - 1][1] == rows[-1][1]:
-            cut -= 1
-        if cut:
-            yield _arrays(held + rows[:cut])
-            held = rows[cut:]
-        else:
-            held += rows
-    if held:
-        yield _arrays(held)
-
-
-def _arrays(rows: list[tuple]) -> tuple:
-    shard, h1, h2, start, keys = zip(*rows)
-    return (*(np.array(x, np.int64) for x in (shard, h1, h2, start)), keys)
-
-
-def _in_other_shards(shard: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-    """Whether another shard has the same string: each is looked up in the sorted strings of all.
+def _merge_range(lists: list[bytes], length: int) -> Iterator[dict]:
+    """Spans of strings that more than one of the sorted lists has.
 
-    A shard sends a string once, so more than one place in the sorted list means another shard.
+    Each list holds a string once, so all are looked up in the merged order by binary search: a
+    string found more than once there is in another list.
     """
-    pairs = np.empty(len(h1), dtype=[("h1", np.int64), ("h2", np.int64)])
-    pairs["h1"], pairs["h2"] = h1, h2
+    strings = np.concatenate([np.frombuffer(x, _STRING) for x in lists])
+    pairs = np.empty(len(strings), dtype=[("h1", np.int64), ("h2", np.int64)])
+    pairs["h1"], pairs["h2"] = strings["h1"], strings["h2"]
     merged = np.sort(pairs)
-    return np.searchsorted(merged, pairs, "right") - np.searchsorted(merged, pairs, "left") > 1
+    places = np.searchsorted(merged, pairs, "right") - np.searchsorted(merged, pairs, "left")
+    found = strings[(places > 1) & (strings["start"] >= 0)]
+    if not len(found):
+        return
+    raw_keys = found["key"].tobytes()
+    keys = [raw_keys[i : i + 16] for i in range(0, len(raw_keys), 16)]
+    rows = sorted(zip(keys, found["start"].tolist()))
+    first = [k for k in range(len(rows)) if not k or rows[k - 1] != (rows[k][0], rows[k][1] - 1)]
+    last = [k - 1 for k in first[1:]] + [len(rows) - 1]
+    yield {
+        "key": [rows[k][0] for k in first], "a": [rows[k][1] for k in first],
+        "b": [rows[k][1] + length for k in last],
+    }
 
 
 def deduplicate(
@@ -447,11 +483,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
     A character of which a byte goes, goes. A column of ``docs`` named n_removed is replaced.
     """
     passages = Passages(docs, length, shard_bytes)
-    kept = write_once(passages.results(with_text=True).where("n_removed > 0").select("key", "n_removed", "kept"), "kept_texts")
+    cut = passages.results(with_text=True).where("n_removed > 0")
+    cut = write_once(cut.toDF(*(f"_cut_{c}" for c in cut.columns)), "kept_texts")
     columns = [c for c in docs.columns if c != "n_removed"]
-    joined = docs.select(*columns, text_key().alias("_key")).join(
-        kept.withColumnRenamed("key", "_key"), "_key", "left"
-    )
-    text = F.when(F.col("kept").isNotNull(), F.col("kept")).otherwise(F.col("text")).alias("text")
-    removed = F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed")
+    keyed = docs.select(*columns, text_key().alias("_cut_key"))
+    joined = keyed.join(cut.select("_cut_key", "_cut_kept", "_cut_n_removed"), "_cut_key", "left")
+    text = F.coalesce("_cut_kept", "text").alias("text")
+    removed = F.coalesce("_cut_n_removed", F.lit(0).cast("bigint")).alias("n_removed")
     return joined.select(*(text if c == "text" else F.col(c) for c in columns), removed)
