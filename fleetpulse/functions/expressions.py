@@ -7,18 +7,14 @@ from pyspark.sql import functions as F
 
 from fleetpulse.params import LatencyParams, ScoringParams
 
-_MODULUS = 2**31
+def unit_draw(key: Column, purpose: str) -> Column:
+    """A number in [0, 1) that depends only on the key and the purpose, so re-runs agree.
 
-
-def unit_draw(key: Column) -> Column:
-    """A number in [0, 1) that depends only on an integer key, so re-runs agree.
-
-    One step of the 2**31 linear congruential generator. The key is reduced first, which
-    keeps the product inside a long for any key.
+    The leading 32 bits of an MD5 hash, which every SQL engine has. Draws of one key for
+    different purposes are independent.
     """
-    reduced = F.pmod(key.cast("bigint"), F.lit(_MODULUS).cast("bigint"))
-    step = (reduced * F.lit(1103515245) + F.lit(12345)) % F.lit(_MODULUS).cast("bigint")
-    return step / F.lit(float(_MODULUS))
+    digest = F.md5(F.concat_ws(":", key.cast("string"), F.lit(purpose)))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
 def text_key(*cols: Column) -> Column:
@@ -29,7 +25,7 @@ def text_key(*cols: Column) -> Column:
 def simulated_rtt(key: Column, params: LatencyParams = LatencyParams()) -> Column:
     """Uniform integer round-trip time between both bounds, drawn from the row key."""
     width = params.rtt_max - params.rtt_min + 1
-    return (F.lit(params.rtt_min) + F.floor(unit_draw(key) * F.lit(width))).cast("int")
+    return (F.lit(params.rtt_min) + F.floor(unit_draw(key, "rtt") * F.lit(width))).cast("int")
 
 
 def graph_adjustment(risk: Column, rank: Column, params: ScoringParams = ScoringParams()) -> Column:

@@ -55,11 +55,13 @@ def controller_windows(
 
     Which outliers count depends on the thresholds then in force, so their latency and draw are
     kept, as two lists in the same order: at most one entry per message of the window. Outliers
-    that go to the cloud under any threshold the bounds allow are left out. So is a last window
+    that go to the cloud under any threshold the start and the bounds allow are left out. So is a last window
     that is not full, because the controller does not act on it.
     """
     latency, draw = F.col("latency_ms").cast("double"), F.col("draw")
-    may_count = (latency >= params.threshold_min) & (draw >= params.sample_min)
+    may_count = (latency >= min(params.threshold_min, params.start_threshold)) & (
+        draw >= min(params.sample_min, params.start_sample_rate)
+    )
     pair = F.struct(latency.alias("latency"), draw.alias("draw"))
     summary = (
         windowed.groupBy("edge_id", "window_no")

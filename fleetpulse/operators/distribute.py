@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetpulse.params import ScaleLimits
-from fleetpulse.session import write_once
+from fleetpulse.session import shuffle_partitions, write_once
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
@@ -34,11 +34,11 @@ def fits_broadcast(df: DataFrame, limits: ScaleLimits = ScaleLimits()) -> bool:
     return measured_bytes(df) <= limits.broadcast_bytes
 
 
-def hot_keys(df: DataFrame, key: str, limits: ScaleLimits = ScaleLimits()) -> list:
-    """Keys with more than ``hot_rows`` rows: at most ``hot_keys`` of them, the largest first."""
+def hot_keys(df: DataFrame, key: str, limits: ScaleLimits = ScaleLimits()) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, and over how many parts their rows are dealt."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.orderBy(F.desc("_n")).limit(limits.hot_keys)
-    return [row[key] for row in top.where(F.col("_n") > limits.hot_rows).collect()]
+    parts = F.ceil(F.col("_n") / limits.hot_rows).alias("_parts")
+    return counts.where(F.col("_n") > limits.hot_rows).select(key, parts)
 
 
 def lookup_join(
@@ -55,30 +55,26 @@ def lookup_join(
     ``fits`` skips that when the caller has measured it already.
 
     * A lookup whose measured size is below the bound is broadcast: the large side stays put.
-    * Beyond the bound both sides are shuffled on the key, except the rows of hot keys and rows
-      without a key. Those are joined where they are against the lookup rows of the hot keys,
-      which are few by construction, so no task receives a whole hot group.
+    * Beyond the bound both sides are shuffled on the key and a part number. Rows of a hot key
+      are dealt over parts and its lookup row is repeated for each, and rows without a key are
+      spread, so no task receives a whole hot group.
     """
     if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
     if fits_broadcast(right, limits) if fits is None else fits:
         return left.join(F.broadcast(right), key, how)
-    return _split_join(left, right, key, how, hot_keys(left, key, limits))
+    return _split_join(left, right, key, how, write_once(hot_keys(left, key, limits), "hot_keys"))
 
 
-def _split_join(left: DataFrame, right: DataFrame, key: str, how: str, hot: list) -> DataFrame:
-    in_place = F.col(key).isNull()
-    shuffled = F.col(key).isNotNull()
-    few = right.where(F.lit(False))
-    if hot:
-        in_place = in_place | F.col(key).isin(hot)
-        shuffled = shuffled & ~F.col(key).isin(hot)
-        few = right.where(F.col(key).isin(hot))
-    return (
-        left.where(shuffled)
-        .join(right.where(shuffled), key, how)
-        .unionByName(left.where(in_place).join(F.broadcast(few), key, how))
+def _split_join(left: DataFrame, right: DataFrame, key: str, how: str, hot: DataFrame) -> DataFrame:
+    spread = F.lit(shuffle_partitions(left.sparkSession))
+    parts = F.when(F.col(key).isNull(), spread).otherwise(F.coalesce("_parts", F.lit(1)))
+    dealt = left.join(hot, key, "left").withColumn(
+        "_part", F.pmod(F.monotonically_increasing_id(), parts)
     )
+    every = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)).cast("bigint") - 1)
+    repeated = right.join(hot, key, "left").withColumn("_part", F.explode(every)).drop("_parts")
+    return dealt.drop("_parts").join(repeated, [key, "_part"], how).drop("_part")
 
 
 def number_rows(

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetpulse.operators.distribute import exact_quantile
 from fleetpulse.operators.ingest import drop_missing
 from fleetpulse.params import IsolationParams
 from fleetpulse.schema import FEATURES
@@ -60,36 +61,31 @@ def _grow(rows: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tu
 def tree_samples(
     df: DataFrame, key: str, params: IsolationParams = IsolationParams()
 ) -> DataFrame:
-    """``sample_size`` rows per tree, drawn without replacement by hashes of the row key.
+    """``min(sample_size, rows)`` rows per tree: those with the smallest hashes of key and tree.
 
-    A pool of the rows with the smallest hashes is taken first; its size depends on the
-    parameters only. A filter on the hash keeps the sort for the pool small, it lets through
-    several times the rows the pool needs. A full pool is dealt out to the trees. With fewer
-    rows than that the trees share rows, each drawing from the whole pool.
+    Every tree draws from all rows, whatever their number. A bound on the hash lets through a few
+    times the rows a tree needs, before any shuffle; it is raised until each tree has enough.
     """
-    pool_size = params.trees * params.sample_size
-    rows = drop_missing(df).select(key, *FEATURES).withColumn(
-        "_hash", F.xxhash64(F.col(key), F.lit(params.seed))
-    )
+    rows = drop_missing(df).select(key, *FEATURES)
     total = rows.count()
-    share = min(1.0, 4.0 * pool_size / max(total, 1))
-    if share < 1.0:
-        bound = int(-(2**63) + share * 2**64)
-        rows = rows.where(F.col("_hash") < F.lit(bound))
-    pool = rows.orderBy("_hash", key).limit(pool_size)
-    if total >= pool_size:
-        place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_hash", key))
-        return pool.select(key, *FEATURES, ((place - 1) % params.trees).alias("tree_id"))
-    trees = F.explode(F.sequence(F.lit(0), F.lit(params.trees - 1))).alias("tree_id")
+    wanted = min(params.sample_size, total)
+    share = min(1.0, 4.0 * params.sample_size / max(total, 1))
+    while True:
+        bound = F.lit(min(int(-(2**63) + share * 2**64), 2**63 - 1))
+        trees = F.filter(
+            F.sequence(F.lit(0), F.lit(params.trees - 1)),
+            lambda tree: F.xxhash64(F.col(key), tree, F.lit(params.seed)) <= bound,
+        )
+        drawn = rows.select(key, *FEATURES, F.explode(trees).alias("tree_id"))
+        enough = drawn.groupBy("tree_id").count().where(F.col("count") >= wanted).count()
+        if share >= 1.0 or enough == params.trees:
+            break
+        share = min(1.0, 2 * share)
     by_hash = Window.partitionBy("tree_id").orderBy(
-        F.xxhash64(F.col(key), F.col("tree_id"), F.lit(params.seed + 1)), key
-    )
-    return (
-        pool.select(key, *FEATURES, trees)
-        .withColumn("_rank", F.row_number().over(by_hash))
-        .where(F.col("_rank") <= params.sample_size)
-        .drop("_rank")
+        F.xxhash64(F.col(key), F.col("tree_id"), F.lit(params.seed)), key
     )
+    ranked = drawn.withColumn("_rank", F.row_number().over(by_hash))
+    return ranked.where(F.col("_rank") <= params.sample_size).drop("_rank")
 
 
 def iforest_fit(
@@ -119,7 +115,7 @@ def _tables(forest: DataFrame, params: IsolationParams):
 
     A leaf leads to itself, so a row that has arrived stays where it is.
     """
-    trees = []
+    trees, sample = [], 0
     for _, nodes in forest.toPandas().groupby("tree_id"):
         nodes = nodes.sort_values("node_id")
         leaf = (nodes["feature"] < 0).to_numpy()
@@ -141,7 +137,10 @@ def _tables(forest: DataFrame, params: IsolationParams):
 def iforest_score(
     df: DataFrame, forest: DataFrame, params: IsolationParams = IsolationParams()
 ) -> DataFrame:
-    """Add ``anomaly_score`` in (0, 1): the shorter the mean path, the closer to 1."""
+    """Add ``anomaly_score`` in (0, 1): the shorter the mean path, the closer to 1.
+
+    A forest without trees, grown from no rows, scores 0.5.
+    """
     ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(_tables(forest, params))
 
@@ -159,17 +158,19 @@ def iforest_score(
                     below = values.take(first + feature.take(node)) <= split.take(node)
                     node = np.where(below, left.take(node), right.take(node))
                 total += length.take(node)
-            yield pd.Series(np.exp2(-total / len(trees) / expected))
+            yield pd.Series(np.exp2(-total / len(trees) / expected) if trees else total + 0.5)
 
     return drop_missing(df).withColumn("anomaly_score", score(*FEATURES))
 
 
-def iforest_threshold(
-    scored: DataFrame, params: IsolationParams = IsolationParams(), accuracy: int = 100_000
-) -> float:
-    """Score above which the ``contamination`` share of the training rows lies."""
-    at = F.percentile_approx("anomaly_score", 1.0 - params.contamination, accuracy)
-    return scored.agg(at).first()[0]
+def iforest_threshold(scored: DataFrame, params: IsolationParams = IsolationParams()) -> float:
+    """Score above which the ``contamination`` share of the training rows lies: the exact quantile.
+
+    1, which no score passes, if there are no rows.
+    """
+    found = exact_quantile(scored.select("anomaly_score"), "anomaly_score", 1.0 - params.contamination)
+    cut_off = found.first()[0]
+    return 1.0 if cut_off is None else cut_off
 
 
 def iforest_flag(scored: DataFrame, threshold: float) -> DataFrame:

@@ -33,7 +33,7 @@ def rf_features(df: DataFrame) -> DataFrame:
 
 def rf_split(df: DataFrame, key: Column, params: ForestParams = ForestParams()):
     """(train, test) by row key: the same split however the rows are partitioned."""
-    chosen = unit_draw(key * 31 + params.seed) < params.train_share
+    chosen = unit_draw(key, f"split-{params.seed}") < params.train_share
     return df.where(chosen), df.where(~chosen)
 
 

@@ -85,14 +85,14 @@ def batch_adjust_stats(scored: DataFrame) -> DataFrame:
 
 
 def project_alerts(scored: DataFrame) -> DataFrame:
-    """Alert rows, keyed by machine and event time.
+    """Alert rows, keyed by machine and event time; a reading without a time takes the present.
 
     Several alerts of a machine in one batch stay apart, which a processing time would not
     guarantee.
     """
     return filter_anomalies(scored).select(
         "machine_id",
-        F.col("event_time").alias("alert_time"),
+        F.coalesce("event_time", F.current_timestamp()).alias("alert_time"),
         F.lit(0).alias("latency_ms"),
         "air_temp",
         "process_temp",
@@ -107,7 +107,7 @@ def project_states(scored: DataFrame) -> DataFrame:
     """One state row per reading."""
     return scored.select(
         "machine_id",
-        F.col("event_time").alias("last_update"),
+        F.coalesce("event_time", F.current_timestamp()).alias("last_update"),
         health_status(F.col("prediction_score")).alias("status"),
         "air_temp",
         "torque",
@@ -118,14 +118,15 @@ def newest_per_key(df: DataFrame, keys: list[str], newest_by: str | None) -> Dat
     """One row per key: the newest one.
 
     Equal times are settled by the other columns, so the result does not depend on the order of
-    arrival. The maximum is taken before the shuffle as well, so a busy key costs one row per
+    arrival; a critical state goes before a healthy one. The maximum is taken before the shuffle as well, so a busy key costs one row per
     task.
     """
     rest = [c for c in df.columns if c not in keys and c != newest_by]
     if newest_by is None or (newest_by in keys and not rest):
         return df.dropDuplicates(keys)
     leading = [] if newest_by in keys else [newest_by]
-    best = F.max(F.struct(*[F.col(c) for c in leading + rest]))
+    urgent = [(F.col("status") == "CRITICAL").alias("_urgent")] if "status" in rest else []
+    best = F.max(F.struct(*[F.col(c) for c in leading], *urgent, *[F.col(c) for c in rest]))
     return (
         df.groupBy(*keys)
         .agg(best.alias("_best"))

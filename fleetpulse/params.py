@@ -96,8 +96,6 @@ class ScaleLimits:
     hot_rows: int = 1_000_000
     # Graph edges are bucketed from this number on, and a bucket holds about as many.
     bucket_rows: int = 2_000_000
-    # At most this many keys can be treated as hot, so their side is always broadcastable.
-    hot_keys: int = 1000
     # Longest array built for a member list.
     page_rows: int = 1000
     # Rows per block of a two-level running total.

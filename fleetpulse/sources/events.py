@@ -55,6 +55,6 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
         utc("ts").alias("event_time"),
         neighbours(user, machines).alias("connected_to"),
         simulated_rtt(key).alias("latency_ms"),
-        unit_draw(key * 7 + 3).alias("draw"),
+        unit_draw(key, "sample").alias("draw"),
         F.concat(F.lit("edge-"), (user % 8).cast("string")).alias("edge_id"),
     )

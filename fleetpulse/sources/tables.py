@@ -13,6 +13,7 @@ One writer per table.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,32 @@ def completed_folders(spark: SparkSession, path: str, prefix: str) -> dict[int,
     return found
 
 
+def commit_number(spark: SparkSession, root: str, batch_id: int) -> int:
+    """A number for a micro-batch that grows over restarts, and stays when the batch is replayed.
+
+    Batch ids begin at 0 again when a stream starts with a new checkpoint. Each stream notes under
+    ``root/_runs`` from which number on it counts; a new one goes on after everything written there.
+    """
+    run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if run is None:
+        return batch_id
+    fs, folder = filesystem(spark, f"{root}/_runs")
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    for name in names:
+        base, _, known = name.partition(".")
+        if known == run:
+            return int(base) + batch_id
+    base = 0
+    root_path = folder.getParent()
+    for table in fs.listStatus(root_path) if fs.exists(root_path) else []:
+        if table.isDirectory():
+            for written in fs.listStatus(table.getPath()):
+                number = re.search(r"(?:slice=\w+-|version=|batch=)(\d+)$", written.getPath().getName())
+                base = max(base, int(number[1]) + 1 if number else 0)
+    fs.mkdirs(filesystem(spark, f"{root}/_runs/{base}.{run}")[1])
+    return base + batch_id
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     path: str

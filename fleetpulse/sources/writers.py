@@ -9,8 +9,8 @@ from fleetpulse.functions.expressions import epoch_seconds
 from fleetpulse.operators.ingest import wire_struct
 from fleetpulse.schema import HISTORY_COLUMNS
 
-# Fixed value: records per archive file, at most.
-ARCHIVE_FILE_ROWS = 500
+# Fixed value: records of an archive file where many small ones are wanted.
+SMALL_FILE_ROWS = 500
 
 
 def archive_rows(telemetry: DataFrame) -> DataFrame:
@@ -18,13 +18,14 @@ def archive_rows(telemetry: DataFrame) -> DataFrame:
     return telemetry.select(wire_struct(telemetry).alias("r")).select("r.*")
 
 
-def write_archive(telemetry: DataFrame, path: str, file_rows: int = ARCHIVE_FILE_ROWS) -> None:
+def write_archive(telemetry: DataFrame, path: str, file_rows: int | None = None) -> None:
+    """Append to the archive. A file holds a partition, or at most ``file_rows`` records."""
     rows = archive_rows(telemetry)
-    rows.write.mode("append").option("maxRecordsPerFile", file_rows).json(path)
+    rows.write.mode("append").option("maxRecordsPerFile", file_rows or 0).json(path)
 
 
 def archive_stream(
-    telemetry: DataFrame, path: str, checkpoint: str, file_rows: int = ARCHIVE_FILE_ROWS, **trigger
+    telemetry: DataFrame, path: str, checkpoint: str, file_rows: int | None = None, **trigger
 ):
     """Streaming archive. The commit log in the folder is what readers go by."""
     writer = (
@@ -32,7 +33,7 @@ def archive_stream(
         .writeStream.format("json")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", file_rows)
+        .option("maxRecordsPerFile", file_rows or 0)
         .outputMode("append")
     )
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -78,8 +78,10 @@ def control_batch(
     states = write_once(ctl.controller_fold(full, params, started), "states")
 
     known = states.unionByName(started.select(*states.columns))
-    routed = write_once(ctl.route_readings(windowed, known, params, limits), "routed")
-    routed.write.mode("overwrite").parquet(f"{root}/routed/batch={batch_id}")
+    routed = ctl.route_readings(windowed, known, params, limits)
+    written = f"{root}/routed/batch={batch_id}"
+    routed.write.mode("overwrite").parquet(written)
+    routed = routed.sparkSession.read.schema(routed.schema).parquet(written)
     states.write.mode("overwrite").parquet(f"{root}/trace/batch={batch_id}")
 
     fields = [c for c in states.columns if c not in ("edge_id", "window_no")]

@@ -23,7 +23,7 @@ from fleetpulse.params import ScaleLimits, ScoringParams
 from fleetpulse.plans.jobs import load_graph_tables
 from fleetpulse.plans.serving import latest_alerts, newest_alerts
 from fleetpulse.schema import SERVING_TABLES
-from fleetpulse.sources.tables import KeyedTable, SnapshotTable
+from fleetpulse.sources.tables import KeyedTable, SnapshotTable, commit_number
 
 log = logging.getLogger("fleetpulse")
 
@@ -80,6 +80,7 @@ def score_batch(
     ``quarantine``. ``latest_alerts`` keeps the newest alerts: the newest of those before and
     of this batch, so the display never reads the whole history.
     """
+    batch_id = commit_number(batch.sparkSession, root, batch_id)
     known = context.get()
     scored = graph_scored(batch, known, params, limits, context.fits)
     scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
@@ -136,8 +137,9 @@ def stream_scored(
 ):
     """Start the scoring stream on parsed telemetry. Returns the running query.
 
-    The machine states are compacted every ``compact_every`` batches, so that a reader merges a
-    bounded number of slices. Alerts are a growing log and stay as written.
+    States and alerts are compacted every ``compact_every`` batches, so that a reader merges a
+    bounded number of slices. Columns beside the telemetry, such as the raw message kept by
+    ``parse_telemetry``, go to the quarantine with a malformed row.
     """
     spark = telemetry.sparkSession
     context = GraphContext(spark, root, ttl)
@@ -145,7 +147,8 @@ def stream_scored(
     def handle(batch: DataFrame, batch_id: int) -> None:
         score_batch(batch, batch_id, context, root, params)
         if compact_every and batch_id and batch_id % compact_every == 0:
-            KeyedTable.named(root, "machine_states").compact(spark)
+            for name in ("machine_states", "realtime_alerts"):
+                KeyedTable.named(root, name).compact(spark)
 
     writer = (
         telemetry.writeStream.foreachBatch(handle)

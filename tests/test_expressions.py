@@ -45,15 +45,24 @@ def test_adjustment_is_clamped_only_on_request(spark):
 def test_draws_lie_in_range_for_any_key(spark):
     keys = [0, 1, -1, 2**31, 2**62, -(2**62), 2**63 - 1]
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
-    for row in df.select(E.unit_draw(F.col("k")), E.simulated_rtt(F.col("k"))).collect():
+    for row in df.select(E.unit_draw(F.col("k"), "any"), E.simulated_rtt(F.col("k"))).collect():
         assert 0 <= row[0] < 1 and 50 <= row[1] <= 500
 
 
-def test_draw_follows_the_generator(spark):
-    df = spark.range(50).select("id", E.unit_draw(F.col("id") * 7 + 3).alias("u"))
+def test_draw_is_the_head_of_a_hash(spark):
+    import hashlib
+
+    df = spark.range(50).select("id", E.unit_draw(F.col("id"), "x").alias("u"))
     for row in df.collect():
-        key = row["id"] * 7 + 3
-        assert row["u"] == ((key * 1103515245 + 12345) % 2**31) / 2**31
+        assert row["u"] == int(hashlib.md5(f"{row['id']}:x".encode()).hexdigest()[:8], 16) / 2**32
+
+
+def test_sampling_does_not_depend_on_the_latency(spark):
+    df = spark.range(200_000).select(
+        E.simulated_rtt(F.col("id")).alias("rtt"), (E.unit_draw(F.col("id"), "sample") < 0.2).alias("s")
+    )
+    shares = df.groupBy(F.floor(F.col("rtt") / 10)).agg(F.avg(F.col("s").cast("int")).alias("p")).collect()
+    assert all(abs(r["p"] - 0.2) < 0.05 for r in shares)
 
 
 def test_latency_bands(spark):

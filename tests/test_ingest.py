@@ -119,6 +119,6 @@ def test_history_blanks_for_missing_values(spark, readings, tmp_path):
 def test_archive_files_are_capped(spark, tmp_path):
     base = spark.range(1200).coalesce(1).withColumn("machine_id", F.lit("a"))
     path = str(tmp_path / "archive")
-    writers.write_archive(base, path)
+    writers.write_archive(base, path, writers.SMALL_FILE_ROWS)
     sizes = spark.read.text(path).groupBy(F.input_file_name()).count().select("count").collect()
     assert sorted(r[0] for r in sizes) == [200, 500, 500]

@@ -96,12 +96,12 @@ def test_archive_stream_is_what_readers_see(spark, readings, tmp_path):
     messages = readers.read_messages(spark, [readers.RAW_TOPIC], fmt="files", path=topics)
     parsed = ingest.parse_telemetry(messages)
     writers.archive_stream(
-        parsed, archive, str(tmp_path / "checkpoint"), availableNow=True
+        parsed, archive, str(tmp_path / "checkpoint"), writers.SMALL_FILE_ROWS, availableNow=True
     ).awaitTermination()
     writers.archive_rows(readings).write.mode("append").json(f"{archive}/stray")
     assert readers.read_archive(spark, archive).count() == readings.count()
     files = spark.read.json(archive).groupBy(F.input_file_name()).count()
-    assert files.agg(F.max("count")).first()[0] <= writers.ARCHIVE_FILE_ROWS
+    assert files.agg(F.max("count")).first()[0] <= writers.SMALL_FILE_ROWS
 
 
 def test_history_stream(spark, readings, tmp_path):

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from fleetpulse.sources.tables import KeyedTable, SnapshotTable
+from fleetpulse.sources.tables import KeyedTable, SnapshotTable, commit_number
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -72,3 +72,30 @@ def test_only_recent_versions_stay(spark, tmp_path):
     for _ in range(4):
         table.replace(df)
     assert sorted(p.name for p in (tmp_path / "failure_communities").iterdir()) == ["version=2", "version=3"]
+
+
+def test_numbers_go_on_after_a_restart(spark, tmp_path):
+    """A stream with a new checkpoint counts its batches from 0 again; its rows still come last."""
+    root, table = str(tmp_path), KeyedTable.named(str(tmp_path), "machine_states")
+    sc = spark.sparkContext
+    try:
+        for run, status in (("first", "HEALTHY"), ("second", "CRITICAL")):
+            sc.setLocalProperty("sql.streaming.queryId", run)
+            for batch in (0, 1, 1):
+                number = commit_number(spark, root, batch)
+                table.upsert(states(spark, ("a", 5, status), (f"{run}{batch}", 1, status)), number)
+            if run == "first":
+                table.compact(spark)
+        assert commit_number(spark, root, 0) == 2
+    finally:
+        sc.setLocalProperty("sql.streaming.queryId", None)
+    names = [m for m, _ in content(table.read(spark))]
+    assert names == ["a", "first0", "first1", "second0", "second1"]
+    assert ("a", "CRITICAL") in content(table.read(spark))
+
+
+def test_critical_wins_a_tie(spark, tmp_path):
+    table = KeyedTable.named(str(tmp_path), "machine_states")
+    table.upsert(states(spark, ("a", 5, "CRITICAL"), ("b", 5, "HEALTHY")), 0)
+    table.upsert(states(spark, ("a", 5, "HEALTHY"), ("b", 5, "CRITICAL")), 1)
+    assert content(table.read(spark)) == [("a", "CRITICAL"), ("b", "CRITICAL")]

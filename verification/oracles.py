@@ -6,11 +6,9 @@ from fleetpulse.params import ControllerParams, GraphParams
 
 # --- building blocks: name -> (names it needs, text) -----------------------------------------
 
-_MODULUS = 2**31
 
-
-def _draw(key: str) -> str:
-    return f"(((({key}) % {_MODULUS}) * 1103515245 + 12345) % {_MODULUS}) / {_MODULUS}.0::DOUBLE"
+def _draw(key: str, purpose: str) -> str:
+    return f"(('0x' || left(md5({key} || ':{purpose}'), 8))::BIGINT / 4294967296.0::DOUBLE)"
 
 
 _PARTS: dict[str, tuple[list[str], str]] = {}
@@ -35,8 +33,8 @@ _part(
              list_slice(['M' || ((user_id * 7 + 1) % n), 'M' || ((user_id * 13 + 5) % n),
                          'M' || ((user_id * 31 + 11) % n)], 1, 1 + user_id % 3),
              lambda x: x <> 'M' || user_id) AS connected_to,
-           CAST(50 + floor({_draw('event_id')} * 451) AS INTEGER) AS latency_ms,
-           {_draw('event_id * 7 + 3')} AS draw,
+           CAST(50 + floor({_draw('event_id', 'rtt')} * 451) AS INTEGER) AS latency_ms,
+           {_draw('event_id', 'sample')} AS draw,
            'edge-' || (user_id % 8) AS edge_id
     FROM events, fleet""",
 )
@@ -382,7 +380,7 @@ def oracle_sql() -> dict[str, str]:
     )
     edge = f"SELECT {_ALERT} FROM {{t}} WHERE NOT to_cloud AND prediction_score = -1"
     out["sink_kafka_json"] = out["nest_alert"] = _sql(edge.format(t="routed0"), "routed0")
-    split = f"{_draw('event_id * 31 + 42')} < 0.8::DOUBLE"
+    split = f"{_draw('event_id', 'split-42')} < 0.8::DOUBLE"
     out["sink_model"] = (
         f"SELECT count(*) AS rows, 0::BIGINT AS differ FROM events WHERE NOT ({split})"
     )
@@ -402,8 +400,8 @@ def oracle_sql() -> dict[str, str]:
     out["topology_enrich"] = _sql(
         """SELECT t.event_id, t.machine_id, t.event_us,
            coalesce(array_to_string(p.c, ','), '') AS connected_to FROM tel t LEFT JOIN
-           (SELECT machine_id, any_value(connected_to) AS c FROM tel WHERE machine_failure = 1
-            GROUP BY machine_id) p USING (machine_id)""",
+           (SELECT machine_id, any_value(CASE WHEN substr(machine_id, 2)::BIGINT % 5 <> 0 THEN connected_to END) AS c
+            FROM tel GROUP BY machine_id) p USING (machine_id)""",
         "tel",
     )
     out["drop_self_loops"] = _sql(
@@ -467,8 +465,8 @@ def oracle_sql() -> dict[str, str]:
     out["graph_edges"] = _sql("SELECT src, dst FROM all_edges", "all_edges")
     out["graph_build"] = _sql(
         """SELECT src, dst FROM all_edges
-           WHERE src IN (SELECT machine_id FROM tel WHERE machine_failure = 1 AND tool_wear > 100)
-             AND dst IN (SELECT machine_id FROM tel WHERE machine_failure = 1 AND tool_wear > 100)""",
+           WHERE src NOT IN (SELECT machine_id FROM tel GROUP BY machine_id HAVING max(tool_wear) < 240)
+             AND dst NOT IN (SELECT machine_id FROM tel GROUP BY machine_id HAVING max(tool_wear) < 240)""",
         "all_edges",
     )
     out["community_agg"] = _sql(
