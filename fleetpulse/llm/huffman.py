@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetpulse.llm.common import Batches, as_field, fields, map_partition
+from fleetpulse.session import write_once
 
 LIMIT = 16  # bits of the longest code, and of the decoding table's index
 STRIDE = 256  # ids between two bit-offset checkpoints
@@ -131,7 +132,8 @@ def count_ids(tokens: DataFrame, width: int, vocabulary: int) -> np.ndarray:
     def run(batches: Batches) -> Iterator[dict]:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
+            for at in range(0, batch.num_rows, 1000):
+                ids = b"".join(batch.column(0).slice(at, 1000).to_pylist())
                 total += np.bincount(np.frombuffer(ids, f"<u{width}"), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield {"id": used, "n": total[used]}
@@ -149,8 +151,7 @@ def write_files(tokens: DataFrame, width: int, vocabulary: int, path: str) -> No
     ``<path>/codes`` has the length of each id's code. ``<path>/blocks`` has one file per range of
     ids; a file's blocks are numbered in order. Rows with the same _id are ordered by their ids;
     null ids come first. A row without ids is kept with size 0, and an empty table gives no
-    blocks. The ids are coded before they are sorted, so the shuffle moves the coded form. Each
-    document begins at a whole byte.
+    blocks.
     """
     spark = tokens.sparkSession
     lengths = code_lengths(count_ids(tokens, width, vocabulary))
@@ -159,48 +160,34 @@ def write_files(tokens: DataFrame, width: int, vocabulary: int, path: str) -> No
     table.coalesce(1).write.parquet(f"{path}/codes")
     shared = spark.sparkContext.broadcast((lengths, canonical_codes(lengths)))
 
-    def code_rows(batches: Batches) -> Iterator[dict]:
-        size, code = shared.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                keys, ids, n = batch.slice(at, 1000).columns
-                flat = [np.frombuffer(x, f"<u{width}") for x in ids.to_pylist()]
-                bits, marks = zip(*(encode(x, size, code) for x in flat))
-                ties = [zlib.crc32(x) for x in flat]
-                yield {"_id": keys, "n": n, "tie": ties, "bits": bits, "marks": marks}
-
     def block_rows(batches: Batches) -> Iterator[dict]:
+        size, code = shared.value
         held: list[tuple] = []
         waiting, block, start = 0, 0, 0
 
         def close() -> dict:
-            keys, counts, bits, marks = zip(*held)
-            begin = np.cumsum([0, *map(len, bits)])[:-1] * 8
-            moved = [np.array(m, np.int64) + b for m, b in zip(marks, begin.tolist())]
+            keys, counts, ids = zip(*held)
+            bits, marks = encode(np.frombuffer(b"".join(ids), f"<u{width}"), size, code)
             return {
-                "block": [block], "start": [start], "n_ids": [waiting], "bits": [b"".join(bits)],
-                "marks": [np.concatenate(moved)], "doc_ids": [list(keys)], "doc_sizes": [counts],
+                "block": [block], "start": [start], "n_ids": [waiting], "bits": [bits],
+                "marks": [marks], "doc_ids": [list(keys)], "doc_sizes": [counts],
             }
 
         for batch in batches:
-            for key, n, _, bits, marks in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, n, ids in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and waiting + n > BLOCK_IDS:
                     yield close()
                     held, waiting, block, start = [], 0, block + 1, start + waiting
-                held.append((key, n, bits, marks))
+                held.append((key, n, ids))
                 waiting += n
         if held:
             yield close()
 
     key = as_field(tokens, "_id", "_id")
-    coded = map_partition(
-        tokens.select("_id", "ids", "n"),
-        code_rows,
-        fields(key, "n bigint", "tie bigint", "bits binary", "marks array<bigint>"),
-    )
-    placed = coded.repartitionByRange("_id", "tie").sortWithinPartitions("_id", "tie", "bits")
+    keyed = tokens.select("_id", "n", "ids", F.crc32("ids").alias("tie"))
+    placed = keyed.repartitionByRange("_id", "tie").sortWithinPartitions("_id", "tie", "ids")
     blocks = map_partition(
-        placed,
+        placed.select("_id", "n", "ids"),
         block_rows,
         fields(
             "block bigint", "start bigint", "n_ids bigint", "bits binary", "marks array<bigint>",
@@ -223,40 +210,37 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     shared = spark.sparkContext.broadcast(decoding_table(lengths))
     blocks = spark.read.parquet(f"{path}/blocks")
 
+    # One row per file: what the files before it hold. Stored, so that its size is known to the join.
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    totals = blocks.groupBy("file").agg(F.sum("n_ids").alias("total"))
+    offsets = totals.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("before"))
+    placed = blocks.join(write_once(offsets, "file_offsets"), "file")
+
     def rows(batches: Batches) -> Iterator[dict]:
         for batch in batches:
-            for file, start, bits, marks, keys, sizes in zip(*(c.to_pylist() for c in batch.columns)):
+            for start, bits, marks, keys, sizes in zip(*(c.to_pylist() for c in batch.columns)):
                 counts = np.array(sizes, np.int64)
-                flat = decode(bits, np.array(marks, np.int64), _stretches(counts), shared.value)
+                flat = decode(bits, np.array(marks, np.int64), _stretches(int(counts.sum())), shared.value)
                 ends = np.cumsum(counts)
                 for at in range(0, len(keys), 1000):
                     some = slice(at, at + 1000)
                     spans = zip((ends - counts)[some].tolist(), ends[some].tolist())
                     yield {
-                        "_id": keys[some], "file": [file] * len(keys[some]), "n": counts[some],
-                        "start": start + (ends - counts)[some],
+                        "_id": keys[some], "start": start + (ends - counts)[some], "n": counts[some],
                         "ids": [flat[a:b].astype("<u4").tobytes() for a, b in spans],
                     }
 
     key = T.StructField("_id", blocks.schema["doc_ids"].dataType.elementType)
-    decoded = map_partition(
-        blocks.select("file", "start", "bits", "marks", "doc_ids", "doc_sizes"),
+    return map_partition(
+        placed.select(F.col("start") + F.col("before"), "bits", "marks", "doc_ids", "doc_sizes"),
         rows,
-        fields(key, "file int", "n bigint", "start bigint", "ids binary"),
-    )
-    # One row per file: what the files before it hold.
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    totals = blocks.groupBy("file").agg(F.sum("n_ids").alias("total"))
-    offsets = totals.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("before"))
-    return decoded.join(offsets, "file").select(
-        "_id", (F.col("start") + F.col("before")).alias("start"), "n", "ids"
+        fields(key, "start bigint", "n bigint", "ids binary"),
     )
 
 
-def _stretches(counts: np.ndarray) -> np.ndarray:
-    """Ids between two checkpoints, for all documents in order: full strides and what is left."""
-    pieces = -(-counts // STRIDE)
-    sizes = np.full(int(pieces.sum()), STRIDE, np.int64)
-    last = np.cumsum(pieces)[counts > 0] - 1
-    sizes[last] = (counts - (pieces - 1) * STRIDE)[counts > 0]
+def _stretches(n: int) -> np.ndarray:
+    """Ids between two checkpoints: full strides and what is left."""
+    sizes = np.full(-(-n // STRIDE), STRIDE, np.int64)
+    if len(sizes):
+        sizes[-1] = n - (len(sizes) - 1) * STRIDE
     return sizes
