@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.operators.distribute import fits_broadcast, number_rows, running_total
@@ -247,10 +247,13 @@ def cloud_backlog(
     routed: DataFrame,
     params: ControllerParams = ControllerParams(),
     limits: ScaleLimits = ScaleLimits(),
+    feedback: DataFrame | None = None,
 ) -> DataFrame:
     """Records waiting for the next retraining, at the end of every window.
 
-    Retraining empties the backlog after every ``retrain_every`` cloud-routed records.
+    ``feedback`` (edge_id, window_no) says in which windows a retrain notice arrived: it empties
+    the backlog. Without feedback, retraining empties it after every ``retrain_every`` cloud-routed
+    records.
     """
     # One row per window, stored because the running total reads it twice.
     per_window = write_once(
@@ -258,11 +261,16 @@ def cloud_backlog(
         "sent",
     )
     total = running_total(per_window, ["edge_id"], "window_no", "cloud_messages", "_sent", limits)
+    waiting = F.col("_sent") % params.retrain_every
+    if feedback is not None:
+        notices = feedback.select("edge_id", "window_no", F.lit(True).alias("_notice")).distinct()
+        total = total.join(notices, ["edge_id", "window_no"], "left")
+        # One row per window, and the sum never falls: its largest value at a notice is the last.
+        so_far = Window.partitionBy("edge_id").orderBy("window_no")
+        emptied = F.max(F.when(F.col("_notice"), F.col("_sent"))).over(so_far)
+        waiting = F.col("_sent") - F.coalesce(emptied, F.lit(0))
     return total.select(
-        "edge_id",
-        "window_no",
-        "cloud_messages",
-        (F.col("_sent") % params.retrain_every).cast("int").alias("cloud_backlog"),
+        "edge_id", "window_no", "cloud_messages", waiting.cast("int").alias("cloud_backlog")
     )
 
 

@@ -20,6 +20,10 @@ from fleetpulse.params import ForestParams
 from fleetpulse.schema import FEATURES
 
 LABEL = "machine_failure"
+_CODE_SCHEMA = (
+    "features array<string>, means array<double>, ranges array<double>, "
+    "components array<array<double>>"
+)
 
 
 def feature_assembler() -> VectorAssembler:
@@ -160,6 +164,17 @@ def fit_linear_code(
     )
 
 
+def save_code(spark, code: LinearCode, path: str) -> None:
+    """One row: features, means, ranges and components."""
+    row = (list(code.features), list(code.means), list(code.ranges), [list(c) for c in code.components])
+    spark.createDataFrame([row], _CODE_SCHEMA).write.mode("overwrite").parquet(path)
+
+
+def load_code(spark, path: str) -> LinearCode:
+    row = spark.read.schema(_CODE_SCHEMA).parquet(path).first()
+    return LinearCode(*map(tuple, row[:3]), tuple(map(tuple, row[3])))
+
+
 def apply_linear_code(df: DataFrame, code: LinearCode) -> DataFrame:
     """Add ``recon_error``: the squared error per feature of rebuilding the scaled row.
 

@@ -71,20 +71,39 @@ def run_graph_job(
         if tables is None:
             log.warning("no connections between machines, graph tables left as they are")
             return False
-        now = F.current_timestamp().alias("last_computed")
-        SnapshotTable.named(root, "pagerank_scores").replace(tables.ranks.select("*", now))
-        SnapshotTable.named(root, "failure_communities").replace(tables.communities)
-        SnapshotTable.named(root, "community_risk").replace(tables.risk.select("*", now))
+        save_graph_tables(tables, root)
     return True
 
 
+def _manifest(root: str) -> SnapshotTable:
+    return SnapshotTable(f"{root}/graph_version", "version bigint")
+
+
+def save_graph_tables(tables: GraphTables, root: str) -> None:
+    """Replace the three snapshots below ``root`` together.
+
+    All get one version number, and readers go by the manifest that names it, written last: they
+    never see ranks of one run with communities of another. A machine with several communities
+    would multiply its readings, so such tables are not taken.
+    """
+    spark = tables.ranks.sparkSession
+    if not risk.duplicated_machines(tables.communities).isEmpty():
+        raise ValueError("a machine has more than one community")
+    number = _manifest(root).newest(spark) + 1
+    now = F.current_timestamp().alias("last_computed")
+    SnapshotTable.named(root, "pagerank_scores").replace(tables.ranks.select("*", now), version=number)
+    SnapshotTable.named(root, "failure_communities").replace(tables.communities, version=number)
+    SnapshotTable.named(root, "community_risk").replace(tables.risk.select("*", now), version=number)
+    _manifest(root).replace(spark.range(number, number + 1).toDF("version"), version=number)
+
+
 def load_graph_tables(spark: SparkSession, root: str) -> GraphTables | None:
-    """The newest snapshots, or None until all three exist."""
-    names = ("pagerank_scores", "failure_communities", "community_risk")
-    tables = [SnapshotTable.named(root, name) for name in names]
-    if not all(t.exists(spark) for t in tables):
+    """The snapshots that were written together last, or None until there are any."""
+    number = _manifest(root).newest(spark)
+    if number < 0:
         return None
-    return GraphTables(*[t.read(spark) for t in tables])
+    names = ("pagerank_scores", "failure_communities", "community_risk")
+    return GraphTables(*[SnapshotTable.named(root, n).read(spark, before=number + 1) for n in names])
 
 
 @dataclass(frozen=True)
@@ -175,14 +194,21 @@ def run_training(
 
 
 def run_retrain(
-    history: DataFrame, params: ControllerParams = ControllerParams(), k: int = 4
+    history: DataFrame,
+    params: ControllerParams = ControllerParams(),
+    k: int = 4,
+    path: str | None = None,
 ) -> DataFrame | None:
     """Fit the reconstruction model on the cloud history and return the notice to send.
 
-    None when there are too few complete rows.
+    The model is saved if a path is given; ``ml.load_code`` and ``ml.apply_linear_code`` score
+    with it. None when there are too few complete rows.
     """
     rows = drop_missing(history)
     if not has_rows(rows, params.retrain_min_rows):
         log.warning("fewer than %d complete rows, nothing trained", params.retrain_min_rows)
         return None
-    return ctl.retrain_feedback(ml.recon_error(rows, k))
+    code = ml.fit_linear_code(rows, k)
+    if path:
+        ml.save_code(history.sparkSession, code, path)
+    return ctl.retrain_feedback(ml.apply_linear_code(rows, code))

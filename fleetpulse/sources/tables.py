@@ -147,8 +147,12 @@ class SnapshotTable:
             remove(spark, versions[old])
         return number
 
+    def newest(self, spark: SparkSession) -> int:
+        """Number of the newest version, -1 before the first."""
+        return max(completed_folders(spark, self.path, "version="), default=-1)
+
     def exists(self, spark: SparkSession) -> bool:
-        return bool(completed_folders(spark, self.path, "version="))
+        return self.newest(spark) >= 0
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """The newest version, or the newest one below ``before``."""

@@ -146,3 +146,21 @@ def test_retraining_after_every_full_batch(spark):
     rows = spark.createDataFrame(messages(3, count=100), SCHEMA)
     got = ctl.retrain_trigger(rows, ["event_id"], SMALL).orderBy("retrain_no").collect()
     assert [(r.retrain_no, r.records, r.event_id) for r in got] == [(1, 30, 29), (2, 60, 59), (3, 90, 89)]
+
+
+def test_feedback_empties_the_backlog(spark):
+    rows = [("a", w, True) for w in range(5) for _ in range(10)] + [("b", 0, True)]
+    routed = spark.createDataFrame(rows, "edge_id string, window_no bigint, to_cloud boolean")
+    notices = spark.createDataFrame([("a", 1), ("a", 3), ("c", 0)], "edge_id string, window_no bigint")
+    found = ctl.cloud_backlog(routed, feedback=notices).collect()
+    assert sorted((r.edge_id, r.window_no, r.cloud_backlog) for r in found) == [
+        ("a", 0, 10), ("a", 1, 0), ("a", 2, 10), ("a", 3, 0), ("a", 4, 10), ("b", 0, 1),
+    ]
+
+
+def test_a_start_below_the_bounds_counts_every_outlier(spark):
+    params = ControllerParams(window_size=4, start_threshold=50.0, start_sample_rate=0.0)
+    rows = [("e", i, 60 + i, 0.01 * i, True) for i in range(4)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("window_no", F.lit(0).cast("bigint"))
+    summary = ctl.controller_windows(df, "outlier", params).first()
+    assert len(summary.outlier_latency) == 4

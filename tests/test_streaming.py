@@ -6,7 +6,8 @@ from fleetpulse.params import ControllerParams
 from fleetpulse.plans import jobs, serving
 from fleetpulse.session import filesystem, shared_dir
 from fleetpulse.sources import readers, writers
-from fleetpulse.sources.tables import KeyedTable
+from fleetpulse.sources.tables import KeyedTable, SnapshotTable
+from fleetpulse.streaming import nodes
 from fleetpulse.streaming import scored as stream
 from fleetpulse.streaming.controller import control_batch, controller_states, controller_stream
 
@@ -183,3 +184,33 @@ def test_replayed_controller_batch(spark, readings, tmp_path):
         results.append(controller_states(spark, root, PARAMS).drop("last_updated").collect())
     assert sorted(results[0]) == sorted(results[1])
     assert spark.read.parquet(f"{root}/routed").count() == readings.count()
+
+
+def test_graph_tables_are_taken_together(spark, readings, tmp_path):
+    root = str(tmp_path)
+    assert jobs.load_graph_tables(spark, root) is None
+    tables = jobs.graph_tables(readings)
+    jobs.save_graph_tables(tables, root)
+    SnapshotTable.named(root, "failure_communities").replace(tables.communities.limit(0))  # half a run
+    loaded = jobs.load_graph_tables(spark, root)
+    assert loaded.communities.count() == tables.communities.count() > 0
+    twice = jobs.GraphTables(
+        tables.ranks, tables.communities.unionByName(tables.communities.withColumn("community_id", F.lit("x"))), tables.risk
+    )
+    with pytest.raises(ValueError):
+        jobs.save_graph_tables(twice, root)
+
+
+def test_cloud_retrains_at_the_controllers_interval(spark, readings, tmp_path):
+    root, sent = str(tmp_path), []
+    rows = ingest.tag_offload(readings.orderBy("event_id").limit(250))
+    messages = ingest.to_wire_json(rows, ["routing", "latency_ms"]).withColumn("topic", F.lit(readers.CLOUD_TOPIC))
+
+    def send(df, topic):
+        sent.append((topic, df.first().value))
+
+    for batch_id, interval in ((0, 300), (0, 300), (1, 300), (2, 300)):
+        nodes.cloud_batch(messages, batch_id, root, send, retrain_interval=interval)
+    assert [t for t, _ in sent] == [readers.CONTROLLER_TOPIC] * 2  # at 500 and at 750 records
+    assert '"records_trained":500' in sent[0][1] and '"records_trained":750' in sent[1][1]
+    assert nodes._records(root).read(spark).first().records == 750

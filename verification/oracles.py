@@ -573,6 +573,12 @@ def oracle_sql() -> dict[str, str]:
         "route8",
     )
 
+    out["edge_stream"] = _sql(edge.format(t="route8"), "route8")
+    out["cloud_stream"] = _sql(
+        """SELECT count(*) AS records, CAST(sum(tool_wear) AS BIGINT) AS wear, count(*) AS trained,
+           true AS model_agrees FROM route8 WHERE to_cloud""",
+        "route8",
+    )
     out["latest_alerts"] = out["alert_feed"] = _sql(
         f"SELECT {_SEVEN} FROM {_TOP.format(n=15)}", "alerts"
     )

@@ -6,6 +6,8 @@ that other engines can be compared value by value.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,7 @@ from fleetpulse.session import cut, work_path, write_once
 from fleetpulse.sources import readers, writers
 from fleetpulse.sources.events import read_events, telemetry, utc
 from fleetpulse.sources.tables import KeyedTable, SnapshotTable
+from fleetpulse.streaming import nodes
 from fleetpulse.streaming.controller import controller_states, controller_stream
 from fleetpulse.streaming.scored import GraphContext, alert_feed, stream_scored
 
@@ -821,11 +824,7 @@ def alert_feed_(spark, sf_dir):
 def _scored_stream(spark, sf_dir) -> str:
     """Run the scoring stream with graph context over two batches that overlap in time."""
     root, topics = work_path(spark, "stream"), work_path(spark, "topics")
-    tables = graph_tables(spark, sf_dir)
-    now = F.current_timestamp().alias("last_computed")
-    SnapshotTable.named(root, "pagerank_scores").replace(tables.ranks.select("*", now))
-    SnapshotTable.named(root, "failure_communities").replace(tables.communities)
-    SnapshotTable.named(root, "community_risk").replace(tables.risk.select("*", now))
+    jobs.save_graph_tables(graph_tables(spark, sf_dir), root)
     rows = telemetry(spark, sf_dir)
     first = F.col("machine_type").isin("error", "signup", "purchase")
     for part in (rows.where(first), rows.where(~first)):
@@ -897,6 +896,64 @@ def controller_stream_(spark, sf_dir):
     return six(controller_states(spark, root).drop("last_updated"))
 
 
+@dataclass(frozen=True)
+class BaseVerdict:
+    """Stands in for the edge model: the verdict of the base thresholds, which SQL can repeat."""
+
+    def judge(self, rows):
+        return scoring.base_scored(rows).withColumn("prediction", F.col("prediction_score"))
+
+
+def _nodes(spark, sf_dir) -> tuple[str, str]:
+    """Edge and cloud as streams: readings in, messages between them. (root, topics)"""
+
+    def run():
+        root, topics, source = (work_path(spark, n) for n in ("nodes", "node_topics", "readings"))
+
+        def send(messages, topic):
+            writers.write_messages(messages, topic, fmt="files", path=topics)
+
+        rows = telemetry(spark, sf_dir).drop("connected_to")
+        rows.write.parquet(source)
+        readings = spark.readStream.schema(rows.schema).parquet(source)
+        nodes.edge_stream(
+            readings, f"{root}/edge", f"{root}/edge-checkpoint", BaseVerdict(), send, ORDER,
+            availableNow=True,
+        ).awaitTermination()
+        both = readers.read_messages(
+            spark, [readers.ALERT_TOPIC, readers.CLOUD_TOPIC], fmt="files", path=topics
+        )
+        nodes.cloud_stream(
+            both, f"{root}/cloud", f"{root}/cloud-checkpoint", send, availableNow=True
+        ).awaitTermination()
+        return root, topics
+
+    return _once(spark, sf_dir, "nodes", run)
+
+
+def edge_stream(spark, sf_dir):
+    """Alerts that the edge sent and the cloud stored."""
+    root, _ = _nodes(spark, sf_dir)
+    return _flat_alerts(spark.read.parquet(f"{root}/cloud/alerts"))
+
+
+def cloud_stream(spark, sf_dir):
+    """Records that reached the cloud's history, and whether a retrain notice was sent for them."""
+    root, topics = _nodes(spark, sf_dir)
+    history = readers.read_history_csv(spark, f"{root}/cloud/history")
+    sent = readers.read_messages(
+        spark, [readers.CONTROLLER_TOPIC], fmt="files", path=topics, streaming=False
+    )
+    notice = readers.parse_feedback(sent).first()
+    rows = ml.apply_linear_code(history, ml.load_code(spark, f"{root}/cloud/model/*"))
+    return rows.agg(
+        F.count(F.lit(1)).alias("records"),
+        F.sum("tool_wear").alias("wear"),
+        F.lit(notice["records_trained"]).cast("bigint").alias("trained"),
+        (F.abs(F.avg("recon_error") - notice["training_loss"]) < 1e-9).alias("model_agrees"),
+    )
+
+
 # SURVEY section 2 name -> query, for the names that differ from the function here.
 _ALIASES = {
     "simulated_rtt": simulated_rtt_,
@@ -927,6 +984,7 @@ latest_alerts alert_ticker sensor_series states_snapshot fleet_summary machines_
 pagerank_board pagerank_top10 community_members community_top5 controller_lookup
 controller_card latency_bands alert_feed
 stream_scored context_refresh latest_state archive_stream controller_stream
+edge_stream cloud_stream
 """.split()
 
 
