@@ -40,6 +40,38 @@ SELECT page_id, url, file,
 FROM f
 """
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+DECONTAMINATION = f"""
+WITH dw AS (
+  SELECT doc_id, {_WORDS} AS w FROM documents
+), bw AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark
+), bs AS (
+  SELECT item, w, least(len(w), 10) AS size FROM bw WHERE len(w) > 0
+), bwin AS (
+  SELECT DISTINCT item, size, array_to_string(w[p : p + size - 1], ' ') AS win
+  FROM (SELECT item, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM bs)
+), dwin AS (
+  SELECT doc_id, p, size, array_to_string(w[p : p + size - 1], ' ') AS win
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p
+        FROM dw, (SELECT DISTINCT size FROM bwin) WHERE len(w) >= size)
+), hits AS (
+  SELECT doc_id, p, size, item FROM dwin JOIN bwin USING (size, win)
+), cover AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM hits) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN cover USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_fixity": WARC_FIXITY}
+    return {"op3_warc_fixity": WARC_FIXITY, "op7_decontamination": DECONTAMINATION}
