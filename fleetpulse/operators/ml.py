@@ -18,6 +18,7 @@ from fleetpulse.functions.expressions import unit_draw
 from fleetpulse.operators.ingest import drop_missing
 from fleetpulse.params import ForestParams
 from fleetpulse.schema import FEATURES
+from fleetpulse.session import cut
 
 LABEL = "machine_failure"
 _CODE_SCHEMA = (
@@ -87,7 +88,9 @@ def rf_metrics(predictions: DataFrame) -> DataFrame:
 
 
 def rf_evaluate(predictions: DataFrame) -> DataFrame:
-    """``rf_metrics`` plus the area under the ROC curve."""
+    """``rf_metrics`` plus the area under the ROC curve. The predictions are made once."""
+    needed = predictions.select(LABEL, "prediction", "rawPrediction")
+    predictions = cut(needed)
     area = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC")
     return rf_metrics(predictions).withColumn(
         "area_under_roc", F.lit(float(area.evaluate(predictions)))
@@ -117,10 +120,11 @@ def feature_ranges(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
 
 def feature_minmax(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     """Features scaled to [0, 1] by their range. A constant feature becomes 0."""
-    ranges = feature_ranges(df, features).first()
-    # Two numbers per feature, so they are written into the expression as constants.
+    found = feature_ranges(df, features)
+    # One row of two numbers per feature, taken as a scalar subquery: nothing runs before the result.
+    ranges = found.select(F.struct(*found.columns).alias("ranges")).scalar()
     return df.withColumns(
-        {c: (F.col(c) - F.lit(ranges[f"{c}_min"])) / F.lit(ranges[f"{c}_range"]) for c in features}
+        {c: (F.col(c) - ranges[f"{c}_min"]) / ranges[f"{c}_range"] for c in features}
     )
 
 

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -15,7 +16,12 @@ def spark():
     session = build_session(
         "tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false"},
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-"),
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-"),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

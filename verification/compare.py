@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 import traceback
 from collections import Counter
@@ -75,7 +76,11 @@ def main() -> None:
     partitions = os.environ.get("COMPARE_PARTITIONS", "8")
     spark = build_session(
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": partitions, "spark.ui.enabled": "false"},
+        **{
+            "spark.sql.shuffle.partitions": partitions,
+            "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-"),
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(sf_dir), 0

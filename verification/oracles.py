@@ -579,18 +579,21 @@ def oracle_sql() -> dict[str, str]:
            true AS model_agrees FROM route8 WHERE to_cloud""",
         "route8",
     )
-    out["latest_alerts"] = out["alert_feed"] = _sql(
-        f"SELECT {_SEVEN} FROM {_TOP.format(n=15)}", "alerts"
+    out["alert_feed"] = _sql(f"SELECT {_SEVEN} FROM {_TOP.format(n=15)}", "alerts")
+    newest_first = "row_number() OVER (ORDER BY alert_us DESC, machine_id) - 1 AS position"
+    oldest_first = "row_number() OVER (ORDER BY alert_us, machine_id) - 1 AS position"
+    out["latest_alerts"] = _sql(
+        f"SELECT {_SEVEN}, {newest_first} FROM {_TOP.format(n=15)}", "alerts"
     )
     out["alert_ticker"] = _sql(
         f"""SELECT machine_id, alert_us, round(rotational_speed, 0) AS rotational_speed,
             round(air_temp, 1) AS air_temp, round(torque, 1) AS torque, tool_wear,
-            tool_wear > 200 AS wear_warning FROM {_TOP.format(n=5)}""",
+            tool_wear > 200 AS wear_warning, {newest_first} FROM {_TOP.format(n=5)}""",
         "alerts",
     )
     out["sensor_series"] = _sql(
         f"""SELECT machine_id, alert_us, round(rotational_speed, 6) AS rotational_speed,
-            tool_wear > 200 AS wear_warning FROM {_TOP.format(n=15)}""",
+            tool_wear > 200 AS wear_warning, {oldest_first} FROM {_TOP.format(n=15)}""",
         "alerts",
     )
     out["fleet_summary"] = _sql(

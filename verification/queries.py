@@ -726,16 +726,21 @@ def _states(spark, sf_dir):
     return scoring.latest_state(scored(spark, sf_dir))
 
 
+def _placed(df: DataFrame) -> DataFrame:
+    """The rows with their place in the order given: the order is part of the result."""
+    return df.coalesce(1).withColumn("position", F.monotonically_increasing_id())
+
+
 def latest_alerts(spark, sf_dir):
-    return six(serving.latest_alerts(_alerts(spark, sf_dir)))
+    return six(_placed(serving.latest_alerts(_alerts(spark, sf_dir))))
 
 
 def alert_ticker(spark, sf_dir):
-    return six(serving.alert_ticker(_alerts(spark, sf_dir)))
+    return six(_placed(serving.alert_ticker(_alerts(spark, sf_dir))))
 
 
 def sensor_series(spark, sf_dir):
-    return six(serving.sensor_series(_alerts(spark, sf_dir)))
+    return six(_placed(serving.sensor_series(_alerts(spark, sf_dir))))
 
 
 def states_snapshot(spark, sf_dir):
