@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import Tuple
 
@@ -37,10 +38,15 @@ def path_normaliser(n: int) -> float:
     return 2.0 * (np.log(n - 1.0) + EULER_GAMMA) - 2.0 * (n - 1.0) / n
 
 
-def _grow(rows: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Nodes of one tree, parents before children."""
-    nodes, waiting = [], [(0, rows, 0)]
-    next_id = 1
+def _draw(seed: int, tree: int, node: int, purpose: str) -> float:
+    """A number in [0, 1) that depends only on where it is used."""
+    digest = hashlib.md5(f"{seed}:{tree}:{node}:{purpose}".encode()).hexdigest()
+    return int(digest[:8], 16) / 2**32
+
+
+def _grow(rows: np.ndarray, seed: int, tree: int, max_depth: int) -> list[tuple]:
+    """Nodes of one tree. The root is 1, the children of node ``i`` are ``2 * i`` and the next."""
+    nodes, waiting = [], [(1, rows, 0)]
     while waiting:
         node, part, depth = waiting.pop()
         low, high = part.min(axis=0), part.max(axis=0)
@@ -48,44 +54,48 @@ def _grow(rows: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tu
         if depth >= max_depth or len(part) <= 1 or len(usable) == 0:
             nodes.append((node, -1, 0.0, -1, -1, depth, len(part)))
             continue
-        feature = int(rng.choice(usable))
-        split = float(rng.uniform(low[feature], high[feature]))
+        feature = int(usable[int(_draw(seed, tree, node, "feature") * len(usable))])
+        spread = high[feature] - low[feature]
+        split = float(low[feature] + _draw(seed, tree, node, "split") * spread)
+        split = min(split, float(np.nextafter(high[feature], low[feature])))  # both sides get rows
         below = part[:, feature] <= split
-        nodes.append((node, feature, split, next_id, next_id + 1, depth, len(part)))
-        waiting.append((next_id, part[below], depth + 1))
-        waiting.append((next_id + 1, part[~below], depth + 1))
-        next_id += 2
+        nodes.append((node, feature, split, 2 * node, 2 * node + 1, depth, len(part)))
+        waiting.append((2 * node, part[below], depth + 1))
+        waiting.append((2 * node + 1, part[~below], depth + 1))
     return nodes
 
 
 def tree_samples(
     df: DataFrame, key: str, params: IsolationParams = IsolationParams()
 ) -> DataFrame:
-    """``min(sample_size, rows)`` rows per tree: those with the smallest hashes of key and tree.
+    """``min(sample_size, rows)`` rows per tree: those with the smallest hashes of row and tree.
 
-    Every tree draws from all rows, whatever their number. A bound on the hash lets through a few
-    times the rows a tree needs, before any shuffle; it is raised until each tree has enough.
+    Every tree draws from all rows, whatever their number. Two words of one MD5 hash of the key
+    give a row its start and its step from tree to tree, so hashes of different trees are
+    independent in pairs. A bound on them lets through a few times the rows a tree needs, before
+    any shuffle; it is raised until each tree has enough.
     """
-    rows = drop_missing(df).select(key, *FEATURES)
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(f"forest-{params.seed}")))
+    words = [F.conv(F.substring(digest, at, 8), 16, 10).cast("bigint") for at in (1, 9)]
+    rows = drop_missing(df).select(key, *FEATURES, words[0].alias("_u"), words[1].alias("_v"))
+
+    def place(tree):
+        return F.pmod(F.col("_u") + tree * (2 * F.col("_v") + 1), F.lit(2**32))
+
     total = rows.count()
     wanted = min(params.sample_size, total)
     share = min(1.0, 4.0 * params.sample_size / max(total, 1))
     while True:
-        bound = F.lit(min(int(-(2**63) + share * 2**64), 2**63 - 1))
-        trees = F.filter(
-            F.sequence(F.lit(0), F.lit(params.trees - 1)),
-            lambda tree: F.xxhash64(F.col(key), tree, F.lit(params.seed)) <= bound,
-        )
-        drawn = rows.select(key, *FEATURES, F.explode(trees).alias("tree_id"))
+        every = F.sequence(F.lit(0), F.lit(params.trees - 1))
+        near = F.filter(every, lambda tree: place(tree.cast("bigint")) < F.lit(int(share * 2**32)))
+        drawn = rows.select("*", F.explode(near).alias("tree_id"))
         enough = drawn.groupBy("tree_id").count().where(F.col("count") >= wanted).count()
         if share >= 1.0 or enough == params.trees:
             break
         share = min(1.0, 2 * share)
-    by_hash = Window.partitionBy("tree_id").orderBy(
-        F.xxhash64(F.col(key), F.col("tree_id"), F.lit(params.seed)), key
-    )
+    by_hash = Window.partitionBy("tree_id").orderBy(place(F.col("tree_id").cast("bigint")), key)
     ranked = drawn.withColumn("_rank", F.row_number().over(by_hash))
-    return ranked.where(F.col("_rank") <= params.sample_size).drop("_rank")
+    return ranked.where(F.col("_rank") <= params.sample_size).drop("_rank", "_u", "_v")
 
 
 def iforest_fit(
@@ -98,7 +108,7 @@ def iforest_fit(
     def build(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(group[0])
         rows = pdf.sort_values(key)[FEATURES].to_numpy(dtype=float)
-        nodes = _grow(rows, np.random.default_rng([seed, tree]), max_depth)
+        nodes = _grow(rows, seed, tree, max_depth)
         out = pd.DataFrame(
             nodes, columns=["node_id", "feature", "split", "left_id", "right_id", "depth", "size"]
         )
@@ -119,13 +129,13 @@ def _tables(forest: DataFrame, params: IsolationParams):
     for _, nodes in forest.toPandas().groupby("tree_id"):
         nodes = nodes.sort_values("node_id")
         leaf = (nodes["feature"] < 0).to_numpy()
-        here = nodes["node_id"].to_numpy()
+        ids, here = nodes["node_id"].to_numpy(), np.arange(len(nodes))
         trees.append(
             (
                 np.where(leaf, 0, nodes["feature"]).astype(np.int64),
                 nodes["split"].to_numpy(),
-                np.where(leaf, here, nodes["left_id"]),
-                np.where(leaf, here, nodes["right_id"]),
+                np.where(leaf, here, np.searchsorted(ids, nodes["left_id"])),
+                np.where(leaf, here, np.searchsorted(ids, nodes["right_id"])),
                 (nodes["depth"] + nodes["size"].map(path_normaliser)).to_numpy(),
                 int(nodes["depth"].max()),
             )
@@ -139,7 +149,8 @@ def iforest_score(
 ) -> DataFrame:
     """Add ``anomaly_score`` in (0, 1): the shorter the mean path, the closer to 1.
 
-    A forest without trees, grown from no rows, scores 0.5.
+    Scores are rounded to nine digits, so that equal rows have equal ones however the paths are
+    summed up. A forest without trees, grown from no rows, scores 0.5.
     """
     ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(_tables(forest, params))
@@ -160,7 +171,7 @@ def iforest_score(
                 total += length.take(node)
             yield pd.Series(np.exp2(-total / len(trees) / expected) if trees else total + 0.5)
 
-    return drop_missing(df).withColumn("anomaly_score", score(*FEATURES))
+    return drop_missing(df).withColumn("anomaly_score", F.round(score(*FEATURES), 9))
 
 
 def iforest_threshold(scored: DataFrame, params: IsolationParams = IsolationParams()) -> float:

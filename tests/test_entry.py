@@ -8,7 +8,7 @@ from verification import compare, oracles, queries
 
 # Operators whose result is a fitted model: checked for rows here, in detail elsewhere.
 MODELS = {
-    "rf_train", "rf_predict", "rf_evaluate", "iforest_fit", "iforest_score", "edge_model_alerts",
+    "rf_train", "rf_predict", "rf_evaluate", "edge_model_alerts",
 }
 
 QUICK = """fleet_summary graph_scored base_scored community_risk label_propagation pagerank_top10

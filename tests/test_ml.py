@@ -134,7 +134,7 @@ def test_scores_against_a_walk_through_the_trees(spark, readings, forest):
     for x, score in zip(matrix(rows.orderBy("event_id")), got):
         lengths = []
         for tree in range(25):
-            node = nodes[tree, 0]
+            node = nodes[tree, 1]
             while node.feature >= 0:
                 node = nodes[tree, node.left_id if x[node.feature] <= node.split else node.right_id]
             lengths.append(node.depth + iforest.path_normaliser(node.size))
@@ -156,3 +156,19 @@ def test_edge_model_survives_saving_and_routes_every_reading(spark, readings, tm
     run = jobs.run_edge(readings, loaded, ["event_time", "event_id"])
     assert run.routed.count() == readings.count()
     assert run.routed.where("NOT to_cloud AND prediction = -1").count() <= first.where("prediction = -1").count()
+
+
+def test_forest_of_no_rows(spark, readings):
+    none = readings.limit(0)
+    forest = iforest.iforest_fit(none, "event_id", SMALL)
+    assert forest.collect() == []
+    scored = iforest.iforest_score(readings, forest, SMALL)
+    assert {r.anomaly_score for r in scored.select("anomaly_score").distinct().collect()} == {0.5}
+    assert iforest.iforest_threshold(iforest.iforest_score(none, forest, SMALL), SMALL) == 1.0
+
+
+def test_every_tree_gets_its_rows_when_the_first_bound_is_too_low(spark, readings):
+    few = readings.orderBy("event_id").limit(300)
+    params = IsolationParams(trees=40, sample_size=50)
+    counts = iforest.tree_samples(few, "event_id", params).groupBy("tree_id").count().collect()
+    assert len(counts) == 40 and {r["count"] for r in counts} == {50}

@@ -290,6 +290,89 @@ def _sql(select: str, *needs: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(blocks) + "\n" + select
 
 
+# The isolation forest, level by level: 100 trees of 256 readings, 8 levels of splits.
+_DEPTH = 8
+
+
+def _tree_draw(purpose: str) -> str:
+    return f"(('0x' || left(md5('42:' || tree || ':' || node || ':{purpose}'), 8))::BIGINT / 4294967296.0::DOUBLE)"
+
+
+_part(
+    "drawn",
+    ["tel"],
+    """
+    SELECT tree, 1::BIGINT AS node, x FROM (
+      SELECT tree, x, row_number() OVER (
+        PARTITION BY tree ORDER BY (u + tree * (2 * v + 1)) % 4294967296, event_id) AS place
+      FROM (SELECT event_id, ('0x' || left(h, 8))::BIGINT AS u, ('0x' || substr(h, 9, 8))::BIGINT AS v,
+              [air_temp, process_temp, rotational_speed, torque, tool_wear::DOUBLE] AS x
+            FROM (SELECT *, md5(event_id || ':forest-42') AS h FROM tel)), range(100) AS t(tree))
+    WHERE place <= 256""",
+)
+for _level in range(_DEPTH + 1):
+    _rows = "drawn" if _level == 0 else f"rows{_level}"
+    if _level:
+        _part(
+            _rows,
+            [f"split{_level - 1}"],
+            f"""
+            SELECT r.tree, 2 * r.node + CASE WHEN x[feature + 1] > split THEN 1 ELSE 0 END AS node, x
+            FROM {'drawn' if _level == 1 else f'rows{_level - 1}'} r
+            JOIN split{_level - 1} s ON s.tree = r.tree AND s.node = r.node WHERE feature >= 0""",
+        )
+    _bounds = ", ".join(f"{{f}}(x[{i}])" for i in range(1, 6))
+    _part(
+        f"split{_level}",
+        [_rows],
+        f"""
+        SELECT tree, node, n, feature, {_level} AS depth, CASE WHEN feature < 0 THEN 0.0::DOUBLE
+            ELSE lo[feature + 1] + {_tree_draw('split')} * (hi[feature + 1] - lo[feature + 1]) END AS split
+        FROM (SELECT *, CASE WHEN {_level} >= {_DEPTH} OR n <= 1 OR len(usable) = 0 THEN -1
+                ELSE usable[1 + CAST(floor({_tree_draw('feature')} * len(usable)) AS BIGINT)] END AS feature
+              FROM (SELECT *, list_filter([0, 1, 2, 3, 4], lambda i: hi[i + 1] > lo[i + 1]) AS usable
+                    FROM (SELECT tree, node, count(*) AS n, [{_bounds.format(f='min')}] AS lo,
+                            [{_bounds.format(f='max')}] AS hi FROM {_rows} GROUP BY tree, node)))""",
+    )
+_part(
+    "forest",
+    [f"split{i}" for i in range(_DEPTH + 1)],
+    " UNION ALL ".join(f"SELECT tree, node, n, feature, split, depth FROM split{i}" for i in range(_DEPTH + 1)),
+)
+_part(
+    "fold_walk0",
+    ["forest"],
+    """
+    SELECT event_id, machine_id, tree, 1::BIGINT AS node,
+      [air_temp, process_temp, rotational_speed, torque, tool_wear::DOUBLE] AS x
+    FROM tel, range(100) AS t(tree)""",
+)
+for _level in range(_DEPTH):
+    _part(
+        f"fold_walk{_level + 1}",
+        [f"fold_walk{_level}"],
+        f"""
+        SELECT event_id, machine_id, w.tree, x, CASE WHEN feature < 0 THEN w.node
+          ELSE 2 * w.node + CASE WHEN x[feature + 1] > split THEN 1 ELSE 0 END END AS node
+        FROM fold_walk{_level} w JOIN forest f ON f.tree = w.tree AND f.node = w.node""",
+    )
+
+
+def _normal(n: str) -> str:
+    return f"""CASE WHEN {n} <= 1 THEN 0.0::DOUBLE WHEN {n} = 2 THEN 1.0::DOUBLE ELSE
+      2.0 * (ln({n} - 1.0::DOUBLE) + 0.5772156649015329::DOUBLE) - 2.0 * ({n} - 1.0::DOUBLE) / {n} END"""
+
+
+_part(
+    "isolation",
+    [f"fold_walk{_DEPTH}"],
+    f"""
+    SELECT event_id, machine_id,
+      round(pow(2.0::DOUBLE, -avg(depth + {_normal('n')}) / ({_normal('256')})), 9) AS score
+    FROM fold_walk{_DEPTH} w JOIN forest f ON f.tree = w.tree AND f.node = w.node GROUP BY event_id, machine_id""",
+)
+
+
 _READING = """machine_id, machine_type, round(air_temp, 6) AS air_temp,
 round(process_temp, 6) AS process_temp, round(rotational_speed, 6) AS rotational_speed,
 round(torque, 6) AS torque, tool_wear, machine_failure, event_us,
@@ -384,6 +467,22 @@ def oracle_sql() -> dict[str, str]:
     out["sink_model"] = (
         f"SELECT count(*) AS rows, 0::BIGINT AS differ FROM events WHERE NOT ({split})"
     )
+    out["iforest_fit"] = _sql(
+        """SELECT CAST(tree AS INTEGER) AS tree_id, CAST(node AS INTEGER) AS node_id,
+           CAST(feature AS INTEGER) AS feature, round(split, 6) AS split,
+           CAST(CASE WHEN feature < 0 THEN -1 ELSE 2 * node END AS INTEGER) AS left_id,
+           CAST(CASE WHEN feature < 0 THEN -1 ELSE 2 * node + 1 END AS INTEGER) AS right_id,
+           CAST(depth AS INTEGER) AS depth, CAST(n AS INTEGER) AS size FROM forest""",
+        "forest",
+    )
+    out["iforest_score"] = _sql(
+        """SELECT event_id, machine_id, score AS anomaly_score,
+           CASE WHEN score > (SELECT min(score) FROM (
+             SELECT score, row_number() OVER (ORDER BY score) AS r, count(*) OVER () AS n
+             FROM isolation) WHERE r >= ceil(n * 0.95::DOUBLE)) THEN -1 ELSE 1 END AS prediction
+           FROM isolation""",
+        "isolation",
+    )
     out["show_preview"] = _sql(
         f"SELECT {_RANKS} FROM ranks ORDER BY machine_id LIMIT 5", "ranks"
     )

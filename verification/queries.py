@@ -625,7 +625,7 @@ def _isolation(spark, sf_dir):
 
 
 def iforest_fit(spark, sf_dir):
-    return iforest.iforest_fit(telemetry(spark, sf_dir), "event_id")
+    return six(iforest.iforest_fit(telemetry(spark, sf_dir), "event_id"))
 
 
 def iforest_score(spark, sf_dir):
