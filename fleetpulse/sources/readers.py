@@ -33,9 +33,14 @@ def read_messages(
     streaming: bool = True,
     starting: str = "latest",
     max_files: int | None = None,
+    max_offsets: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """Messages with ``topic`` and ``value``.
 
+    ``max_files`` and ``max_offsets`` bound what a micro-batch takes from files or from Kafka, so
+    that the first batch after an outage is no larger than others.
+
     ``fmt="kafka"`` subscribes to the topics (the Kafka package must be on the class path).
     ``fmt="files"`` reads text files, one message per line, below ``path/topic=<name>/``.
     """
@@ -43,8 +48,11 @@ def read_messages(
     if fmt == "kafka":
         if not streaming and starting == "latest":
             starting = "earliest"
+        if streaming and max_offsets:
+            reader = reader.option("maxOffsetsPerTrigger", max_offsets)
         return (
             reader.format("kafka")
+            .option("failOnDataLoss", str(fail_on_data_loss).lower())
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", ",".join(topics))
             .option("startingOffsets", starting)

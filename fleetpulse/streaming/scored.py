@@ -21,7 +21,7 @@ from fleetpulse.operators.scoring import (
 )
 from fleetpulse.params import ScaleLimits, ScoringParams
 from fleetpulse.plans.jobs import load_graph_tables
-from fleetpulse.plans.serving import latest_alerts, newest_alerts
+from fleetpulse.plans.serving import ALERT_COLUMNS, newest_alerts
 from fleetpulse.schema import SERVING_TABLES
 from fleetpulse.sources.tables import KeyedTable, SnapshotTable, commit_number
 
@@ -88,11 +88,19 @@ def score_batch(
         usable, malformed = split_malformed(scored)
         alerts, states = project_alerts(usable), project_states(usable)
         keyed = F.col("machine_id").isNotNull()
-        rows, good, alarming = scored.agg(
+        adjustment = F.col("graph_adjustment")
+        rows, good, alarming, mean, most, enriched = scored.agg(
             F.count(F.lit(1)),
             F.count_if(keyed),
             F.count_if(keyed & (F.col("prediction_score") == -1.0)),
+            F.avg(adjustment),
+            F.max(adjustment),
+            F.count_if(adjustment > 0),
         ).first()
+        log.info(
+            "batch %d: %d readings, %d alerts, adjustment mean %s max %s, %d enriched",
+            batch_id, rows, alarming, mean, most, enriched,
+        )
         writes = []
         if rows > good:
             lost = malformed.select(*batch.columns).write.mode("overwrite")
@@ -163,6 +171,8 @@ def alert_feed(
 ):
     """Call ``emit`` with the newest alerts at every trigger, once there are any.
 
+    Each alert carries its score and the time it was served, from which a reader tells the latency.
+
     ``ticks`` is any stream that produces a row per period, such as the rate source. The
     default period is one second.
     """
@@ -171,7 +181,8 @@ def alert_feed(
 
     def handle(_: DataFrame, batch_id: int) -> None:
         if newest.exists(spark):
-            emit(latest_alerts(newest.read(spark)), batch_id)
+            shown = newest_alerts(newest.read(spark)).select(*ALERT_COLUMNS, "prediction_score")
+            emit(shown.withColumn("server_time", F.current_timestamp()), batch_id)
 
     writer = ticks.writeStream.foreachBatch(handle)
     if checkpoint:

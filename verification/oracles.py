@@ -452,7 +452,7 @@ def oracle_sql() -> dict[str, str]:
         out[name] = _sql("SELECT community_id, machine_id FROM comm", "comm")
     for name in ("sink_risk", "community_risk"):
         out[name] = _sql(f"SELECT {_RISK} FROM risk", "risk")
-    out["sink_controller_state"] = _sql("SELECT * FROM latest1", "latest1")
+    out["sink_controller_state"] = _sql("SELECT * FROM latest8", "latest8")
     out["sink_archive_batches"] = "SELECT count(*) AS rows, true AS within_limit FROM events"
     out["sink_cloud_history"] = _sql(
         f"""SELECT event_us, round(air_temp, 6) AS air_temp, round(process_temp, 6) AS process_temp,
@@ -640,11 +640,11 @@ def oracle_sql() -> dict[str, str]:
     out["route_readings"] = _sql(
         "SELECT event_id, edge_id, window_no, seq, to_cloud FROM route8", "route8"
     )
-    out["edge_alerts"] = _sql(edge.format(t="route1"), "route1")
+    out["edge_alerts"] = _sql(edge.format(t="route8"), "route8")
     out["controller_windows"] = _sql(
         """SELECT edge_id, window_no, messages, round(mean_rtt, 6) AS mean_rtt,
-           len(outliers) AS outliers FROM win1""",
-        "win1",
+           len(outliers) AS outliers FROM win8""",
+        "win8",
     )
     out["controller_fold"] = _sql(f"SELECT {_SETTLED} FROM state1", "state1")
     out["controller_fold_many"] = _sql(f"SELECT {_SETTLED} FROM state8", "state8")
@@ -652,16 +652,16 @@ def oracle_sql() -> dict[str, str]:
     out["retrain_trigger"] = _sql(
         """SELECT records // 500 AS retrain_no, records, event_us, event_id
            FROM (SELECT *, row_number() OVER (ORDER BY event_us, event_id) AS records
-                 FROM route1 WHERE to_cloud) WHERE records % 500 = 0""",
-        "route1",
+                 FROM route8 WHERE to_cloud) WHERE records % 500 = 0""",
+        "route8",
     )
     out["retrain_feedback"] = _sql(
         """SELECT 'retrain_complete' AS type, CAST(count(*) AS INTEGER) AS records_trained,
-           true AS has_loss FROM route1 WHERE to_cloud""",
-        "route1",
+           true AS has_loss FROM route8 WHERE to_cloud""",
+        "route8",
     )
     out["cloud_backlog"] = _sql(
-        "SELECT edge_id, window_no, cloud_messages, cloud_backlog FROM backlog1", "backlog1"
+        "SELECT edge_id, window_no, cloud_messages, cloud_backlog FROM backlog8", "backlog8"
     )
     # The stream counts all records sent so far, the last open window included.
     out["controller_stream"] = _sql(
@@ -678,7 +678,10 @@ def oracle_sql() -> dict[str, str]:
            true AS model_agrees FROM route8 WHERE to_cloud""",
         "route8",
     )
-    out["alert_feed"] = _sql(f"SELECT {_SEVEN} FROM {_TOP.format(n=15)}", "alerts")
+    out["alert_feed"] = _sql(
+        f"SELECT {_SEVEN}, -1.0::DOUBLE AS prediction_score, true AS server_time FROM {_TOP.format(n=15)}",
+        "alerts",
+    )
     newest_first = "row_number() OVER (ORDER BY alert_us DESC, machine_id) - 1 AS position"
     oldest_first = "row_number() OVER (ORDER BY alert_us, machine_id) - 1 AS position"
     out["latest_alerts"] = _sql(
@@ -744,4 +747,6 @@ def oracle_sql() -> dict[str, str]:
         "base",
         "scored",
     )
+    for name in ("pagerank", "label_propagation", "graph_scored", "route_readings"):
+        out[f"{name}_large"] = out[name]
     return out

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from fleetpulse.functions.expressions import simulated_rtt
 from fleetpulse.operators import controller as ctl
 from fleetpulse.operators import graph, iforest, ingest, ml, risk, scoring
-from fleetpulse.params import ControllerParams, IsolationParams
+from fleetpulse.params import ControllerParams, IsolationParams, ScaleLimits
 from fleetpulse.plans import jobs, serving
 from fleetpulse.plans.preview import preview
 from fleetpulse.schema import FEATURES
@@ -167,7 +167,7 @@ def src_feedback(spark, sf_dir):
         (F.lit(1.0) / F.col("records")).alias("training_loss"),
         F.lit(0.0).alias("timestamp"),
     )
-    other = routing(spark, sf_dir, True).states.select(
+    other = routing(spark, sf_dir).states.select(
         F.col("action").alias("type"), F.col("retrain_interval").alias("records_trained")
     )
     for rows in (notices, other):
@@ -271,7 +271,7 @@ def named(df: DataFrame) -> DataFrame:
 
 def sink_controller_state(spark, sf_dir):
     table = KeyedTable.named(work_path(spark, "serving"), "controller_state")
-    table.upsert(ctl.controller_latest(routing(spark, sf_dir, True).trace), 0)
+    table.upsert(ctl.controller_latest(routing(spark, sf_dir).trace), 0)
     return six(table.read(spark).drop("last_updated"))
 
 
@@ -666,13 +666,13 @@ def route_readings(spark, sf_dir):
 
 
 def edge_alerts(spark, sf_dir):
-    rows = ctl.edge_alerts(routing(spark, sf_dir, True).routed, SLOW)
+    rows = ctl.edge_alerts(routing(spark, sf_dir).routed, SLOW)
     return _flat_alerts(ingest.nest_alert(rows))
 
 
 def controller_windows(spark, sf_dir):
     windowed = ctl.assign_windows(
-        ctl.number_messages(judged(spark, sf_dir, True), ORDER), ControllerParams().window_size
+        ctl.number_messages(judged(spark, sf_dir), ORDER), ControllerParams().window_size
     )
     return ctl.controller_windows(windowed, SLOW).select(
         "edge_id",
@@ -696,7 +696,7 @@ def controller_latest(spark, sf_dir):
 
 
 def _cloud(spark, sf_dir):
-    return routing(spark, sf_dir, True).routed.where("to_cloud")
+    return routing(spark, sf_dir).routed.where("to_cloud")
 
 
 def retrain_trigger(spark, sf_dir):
@@ -712,7 +712,7 @@ def retrain_feedback(spark, sf_dir):
 
 
 def cloud_backlog(spark, sf_dir):
-    return ctl.cloud_backlog(routing(spark, sf_dir, True).routed)
+    return ctl.cloud_backlog(routing(spark, sf_dir).routed)
 
 
 # --- serving queries -----------------------------------------------------------------------
@@ -820,7 +820,8 @@ def alert_feed_(spark, sf_dir):
         f"{root}/feed-checkpoint",
         availableNow=True,
     ).awaitTermination()
-    return six(spark.read.parquet(out))
+    served = spark.read.parquet(out)
+    return six(served.withColumn("server_time", F.col("server_time").isNotNull()))
 
 
 # --- streaming -----------------------------------------------------------------------------
@@ -959,6 +960,28 @@ def cloud_stream(spark, sf_dir):
     )
 
 
+# The same operators where nothing may be broadcast, keys are hot early and graphs are bucketed.
+TINY = ScaleLimits(broadcast_bytes=0, hot_rows=200, bucket_rows=50, page_rows=4, block_rows=16)
+
+
+def pagerank_large(spark, sf_dir):
+    return six(graph.pagerank(*jobs.machine_graph(telemetry(spark, sf_dir)), limits=TINY))
+
+
+def label_propagation_large(spark, sf_dir):
+    return graph.label_propagation(*jobs.machine_graph(telemetry(spark, sf_dir)), limits=TINY)
+
+
+def graph_scored_large(spark, sf_dir):
+    rows = scoring.graph_scored(telemetry(spark, sf_dir), context(spark, sf_dir), limits=TINY)
+    return six(rows.select("event_id", "machine_id", "graph_adjustment", "prediction_score"))
+
+
+def route_readings_large(spark, sf_dir):
+    rows = jobs.run_routing(judged(spark, sf_dir), SLOW, ORDER, limits=TINY).routed
+    return rows.select("event_id", "edge_id", "window_no", "seq", "to_cloud")
+
+
 # SURVEY section 2 name -> query, for the names that differ from the function here.
 _ALIASES = {
     "simulated_rtt": simulated_rtt_,
@@ -990,6 +1013,7 @@ pagerank_board pagerank_top10 community_members community_top5 controller_lookup
 controller_card latency_bands alert_feed
 stream_scored context_refresh latest_state archive_stream controller_stream
 edge_stream cloud_stream
+pagerank_large label_propagation_large graph_scored_large route_readings_large
 """.split()
 
 
