@@ -301,12 +301,16 @@ class Passages:
         )
         live = write_once(runs.join(met, "anchor"), "live_runs")
         each = live.groupBy("anchor", "digest").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "first", "last")).alias("one"), F.max("mixed").alias("mixed")
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "first")).alias("one")
         )
-        each = write_once(each, "distinct_runs")
-        again = live.join(each.where("n > 1").select("anchor", "digest"), ["anchor", "digest"], "left_semi")
+        # Every run with the number of its equals, and whether it stands for them.
+        counted = live.join(write_once(each, "distinct_runs"), ["anchor", "digest"]).withColumn(
+            "stands", F.struct("key", "first") == F.col("one")
+        )
+        counted = write_once(counted.drop("one"), "counted_runs")
+        again = counted.where("n > 1")
         whole = again.select("key", F.col("first").alias("a"), (F.col("last") + tail).alias("b"))
-        partly = self._in_shards(each.where("mixed").select("anchor", "digest", "n", "one.*"))
+        partly = self._in_shards(counted.where("mixed and stands").drop("mixed", "stands"))
         spans = whole.unionByName(partly)
         return spans.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 

@@ -94,10 +94,17 @@ def test_common_prefixes(factor):
         assert a[:depth].tobytes() <= b[:depth].tobytes()
 
 
-@given(st.lists(st.binary(max_size=200), max_size=8), st.integers(2, 40))
-@settings(max_examples=80, deadline=None)
-def test_equal_strings_have_equal_anchors(raws, length):
+@pytest.mark.parametrize("chunk", [suffix.CHUNK, 37])  # texts together, and texts in parts
+@given(raws=st.lists(st.binary(max_size=200), max_size=8), length=st.integers(2, 40))
+@settings(max_examples=60, deadline=None)
+def test_equal_strings_have_equal_anchors(chunk, raws, length):
     raws = raws + raws[:2]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(suffix, "CHUNK", chunk)
+        check_anchors(raws, length)
+
+
+def check_anchors(raws, length):
     anchor, seen = {}, set()
     for part in suffix.batch_runs(raws, length):
         for n, first, last, a in zip(*(part[c].tolist() for c in ("number", "first", "last", "anchor"))):
