@@ -742,8 +742,12 @@ def oracle_sql() -> dict[str, str]:
     out["context_refresh"] = _sql(
         """SELECT 'before' AS kind, count(*) AS readings,
            count(*) FILTER (WHERE prediction_score = -1) AS critical FROM base
-           UNION ALL SELECT 'after', count(*),
-           count(*) FILTER (WHERE prediction_score = -1) FROM scored""",
+           UNION ALL SELECT kind, count(*), count(*) FILTER (WHERE prediction_score = -1)
+           FROM scored, (VALUES ('after'), ('too soon')) AS v(kind) GROUP BY kind
+           UNION ALL SELECT 'reloaded', count(*), count(*) FILTER (WHERE verdict = -1) FROM (
+             SELECT *, """ + _SCORE.format(a="k") + """ AS verdict FROM (SELECT *, CASE
+               WHEN risk_score IS NULL THEN 0.0 ELSE coalesce(pr_score * 0.3::DOUBLE, 0.0) END AS k
+               FROM adj))""",
         "base",
         "scored",
     )

@@ -7,6 +7,7 @@ that other engines can be compared value by value.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -861,27 +862,39 @@ def latest_state(spark, sf_dir):
 
 
 def context_refresh(spark, sf_dir):
-    """Graph context before the graph job, after it, and after a reload."""
+    """Graph context before the graph job, after it, before the time is up, and after a reload.
+
+    Between the last two the stored risk becomes 0, so that a reload that fails to happen shows.
+    """
     root, time_now = work_path(spark, "refresh"), [0.0]
     cache = GraphContext(spark, root, 60.0, lambda: time_now[0])
     before = cache.get()
     jobs.run_graph_job(telemetry(spark, sf_dir), root)
     loaded = cache.get()
-    rows = telemetry(spark, sf_dir)
-    kinds = [("before", before), ("after", loaded)]
-    parts = [
-        scoring.graph_scored(rows, ctx).select(F.lit(kind).alias("kind"), "prediction_score")
-        for kind, ctx in kinds
-    ]
-    return (
-        parts[0]
-        .unionByName(parts[1])
-        .groupBy("kind")
-        .agg(
+    rows, counts = telemetry(spark, sf_dir), []
+
+    def count(kind: str, ctx) -> None:
+        verdicts = scoring.graph_scored(rows, ctx).agg(
+            F.lit(kind).alias("kind"),
             F.count("*").alias("readings"),
             F.count_if(F.col("prediction_score") == -1).alias("critical"),
         )
+        counts.append(cut(verdicts))  # a reload lets go of the frame before
+
+    count("before", before)
+    count("after", loaded)
+    tables = jobs.load_graph_tables(spark, root)
+    harmless = jobs.GraphTables(
+        tables.ranks.drop("last_computed"),
+        tables.communities,
+        tables.risk.withColumn("risk_score", F.lit(0.0)).drop("last_computed"),
     )
+    jobs.save_graph_tables(harmless, root)
+    time_now[0] = 59.0
+    count("too soon", cache.get())
+    time_now[0] = 61.0
+    count("reloaded", cache.get())
+    return reduce(DataFrame.unionByName, counts)
 
 
 def archive_stream(spark, sf_dir):
