@@ -7,12 +7,17 @@ The probability from which a family is believed is calibrated on paragraphs kept
 below it a paragraph is unknown. The likeliest families are compared with their templates, and the
 one most of whose template lies in the paragraph is confirmed.
 
+A paragraph is a line, or lines that follow each other without an empty one between: a notice
+wrapped over lines is found in windows of whole lines, scored and confirmed in the same way.
+
 Only DataFrame operations and Spark ML: all work is done by the JVM.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Transformer
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -36,6 +41,7 @@ TEMPLATES = {
     "agpl": (
         "This work is licensed under the GNU Affero General Public License, version 3.",
         "Licensed under the GNU AGPL v3 or later.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation.",
         "SPDX-License-Identifier: AGPL-3.0-or-later",
     ),
     "apache": (
@@ -79,6 +85,7 @@ TEMPLATES = {
     "lgpl": (
         "This work is licensed under the GNU Lesser General Public License, version 2.1.",
         "Licensed under the GNU LGPL v3 or later.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
     ),
     "mit": (
@@ -94,6 +101,10 @@ TEMPLATES = {
     ),
 }
 FAMILIES = ("unknown", *sorted(TEMPLATES))
+COMMON = frozenset("a an and are by can for in is it of or that the this to under with without work you".split())
+
+_WORD = r"[\p{L}\p{N}]"
+_MARK = r"^\s*(?:rem|REM|dnl)\s"  # comment marks that are words; others are no part of a word
 
 
 def words(text: Column) -> Column:
@@ -105,7 +116,78 @@ def words(text: Column) -> Column:
 def paragraphs(docs: DataFrame) -> DataFrame:
     """(key, at, text): the lines of each text that have a word character, numbered."""
     lines = docs.select(text_key().alias("key"), F.posexplode(F.split("text", "\n")).alias("at", "text"))
-    return lines.where(F.col("text").rlike(r"[\p{L}\p{N}]"))
+    return lines.where(F.col("text").rlike(_WORD))
+
+
+def _plain_words(text: str) -> list[str]:
+    found = (w.strip("-+") for w in re.split(r"[^a-z0-9+-]+", text.lower()))
+    return [w for w in found if w]
+
+
+def anchors() -> list[str]:
+    """Words of the templates of which any text that confirms a template has at least one.
+
+    Of each template so many words, the longest first, that the words and pairs without them are
+    a smaller share than ``CONFIRM``.
+    """
+    chosen: set[str] = set()
+    for text in sorted({t for texts in TEMPLATES.values() for t in texts}):
+        listed = _plain_words(text)
+        grams = {(w,) for w in listed} | set(zip(listed, listed[1:]))
+        left, own = grams, set()
+        for word in sorted(set(listed), key=lambda w: (w in COMMON, -len(w), w)):
+            if len(left) < CONFIRM * len(grams):
+                break
+            own.add(word)
+            left = {g for g in left if word not in g}
+        chosen |= own
+    return sorted(chosen)
+
+
+# Words after the first line and before the last line of a window: twice the longest template.
+SPAN = 2 * max(len(_plain_words(t)) for texts in TEMPLATES.values() for t in texts)
+
+
+def windows(docs: DataFrame) -> DataFrame:
+    """(key, at, last, text): consecutive lines, two or more, of which a notice may be made up.
+
+    From each line on, the windows reach as long as no line without a word character and no
+    ``SPAN`` words lie between. Of the first line the last ``SPAN`` words are read and of the
+    others the first, so a notice may begin and end anywhere in a line of any length. Texts and
+    windows without any word of ``anchors()`` cannot confirm a template and are left out.
+    """
+    telling = anchors()
+    somewhere = rf"(?<!{_WORD})(?:{'|'.join(re.escape(w) for w in telling)})"
+    told = docs.where(F.col("text").contains("\n") & F.lower("text").rlike(somewhere))
+    lines = F.transform(F.split("text", "\n"), lambda x: words(F.regexp_replace(x, _MARK, " ")))
+    listed = told.select(text_key().alias("key"), lines.alias("lines"))
+    cut = F.transform("lines", lambda x: F.slice(x, 1, SPAN))
+    starts = listed.select("key", cut.alias("heads"), F.posexplode("lines").alias("at", "first"))
+    empty = F.array().cast("array<struct<last:int,n:int,words:array<string>>>")
+    tail = F.when(F.size("first") > SPAN, F.slice("first", -SPAN, SPAN)).otherwise(F.col("first"))
+    following = F.transform(
+        F.slice("heads", F.col("at") + 2, SPAN), lambda x, i: F.struct((F.col("at") + i + 1).alias("last"), x.alias("head"))
+    )
+
+    def extend(made: Column, line: Column) -> Column:
+        """One window more, unless the run has ended or the words before are enough."""
+        size = F.size(made)
+        before = F.when(size > 0, F.element_at(made, -1))
+        n = F.coalesce(before["n"], F.lit(0))
+        goes_on = (n < SPAN) & (F.size(line["head"]) > 0) & (line["last"] == F.col("at") + size + 1)
+        longer = F.struct(
+            line["last"].cast("int").alias("last"),
+            (n + F.size(line["head"])).cast("int").alias("n"),
+            F.concat(F.coalesce(before["words"], tail), line["head"]).alias("words"),
+        )
+        return F.when(goes_on, F.concat(made, F.array(longer))).otherwise(made)
+
+    made = starts.where(F.size("first") > 0).select(
+        "key", "at", F.explode(F.aggregate(following, empty, extend)).alias("made")
+    )
+    some = F.array(*(F.lit(w) for w in telling))
+    told = made.where(F.arrays_overlap("made.words", some))
+    return told.select("key", "at", F.col("made.last").alias("last"), F.array_join("made.words", " ").alias("text"))
 
 
 def _grams() -> list[Transformer]:
@@ -214,38 +296,110 @@ def _likeliest(probability: Column, most: int = CANDIDATES) -> Column:
     return F.transform(F.slice(F.array_sort(named), 1, most), lambda x: x["f"])
 
 
+def _compared(scored: DataFrame, classifier: Classifier, by: list[str]) -> DataFrame:
+    """(by, family, place, like) of the likeliest families of the paragraphs that are believed."""
+    probability = vector_to_array("probability")
+    believed = (
+        scored.select(*by, "grams", probability.alias("probability"))
+        .where(1 - F.col("probability")[0] >= classifier.accept)
+        .select(*by, "grams", F.posexplode(_likeliest(F.col("probability"))).alias("place", "family"))
+    )
+    known = templates(scored.sparkSession).groupBy("family").agg(F.collect_list("grams").alias("all"))
+    like = F.aggregate("all", F.lit(0.0), lambda x, t: F.greatest(x, resemblance(F.col("grams"), t)))
+    return believed.join(F.broadcast(known), "family").select(*by, "family", "place", like.alias("like"))
+
+
+def _wrapped(docs: DataFrame, classifier: Classifier) -> DataFrame:
+    """(key, at, last, family, unlike): the window from each line on that has most of a template.
+
+    The comparison goes before the classifier here, as only windows that pass both count.
+    """
+    made = featurize(windows(docs))
+    every = templates(docs.sparkSession).agg(F.collect_list("grams").alias("all"))
+    enough = F.exists("all", lambda t: resemblance(F.col("grams"), t) >= CONFIRM)
+    near = made.crossJoin(F.broadcast(every)).where(enough).drop("all")
+    compared = _compared(classifier.model.transform(near), classifier, ["key", "at", "last"])
+    best = F.min(F.struct((-F.col("like")).alias("unlike"), "last", "place", "family")).alias("best")
+    found = compared.where(F.col("like") >= CONFIRM).groupBy("key", "at").agg(best)
+    return found.select("key", "at", "best.last", "best.family", "best.unlike")
+
+
+LINE, WINDOW, UNCONFIRMED = 0, 1, 2
+
+
+def _settled(found: Column) -> Column:
+    """(kept, unconfirmed): notices of a text that do not overlap, the surest first.
+
+    Confirmed lines go before windows, and of these the one with most of its template, then the
+    shortest. Windows of different families may share the line in which one ends and the next
+    begins. An unconfirmed line that lies in a window is part of its notice.
+    """
+    start = F.struct(
+        F.array().cast("array<struct<at:int,last:int,family:string>>").alias("kept"),
+        F.lit(0).cast("bigint").alias("unconfirmed"),
+    )
+
+    def step(done: Column, x: Column) -> Column:
+        meets = F.exists(done["kept"], lambda k: (k["at"] <= x["last"]) & (x["at"] <= k["last"]) & (
+            (k["family"] == x["family"]) | ((k["at"] < x["last"]) & (x["at"] < k["last"]))
+        ))
+        inside = F.exists(done["kept"], lambda k: (k["at"] <= x["at"]) & (x["at"] <= k["last"]))
+        own = F.array(F.struct(x["at"].alias("at"), x["last"].alias("last"), x["family"].alias("family")))
+        adds = (x["kind"] == LINE) | ((x["kind"] == WINDOW) & ~meets)
+        counts = (x["kind"] == UNCONFIRMED) & ~inside
+        return F.struct(
+            F.when(adds, F.concat(done["kept"], own)).otherwise(done["kept"]).alias("kept"),
+            (done["unconfirmed"] + counts.cast("bigint")).alias("unconfirmed"),
+        )
+
+    return F.aggregate(F.array_sort(found), start, step)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: id, n_paragraphs, n_notices, families, unconfirmed.
 
-    ``families`` are the confirmed ones, sorted and joined by commas ("" if none); ``unconfirmed``
-    counts paragraphs that the classifier believes to be a notice and no template confirms. Null
-    and empty texts have no paragraphs. Rows with the same text get the same result; an empty
-    table gives no rows; other columns are not read. Whole texts are scanned, line by line.
+    ``families`` are the confirmed ones, sorted and joined by commas ("" if none); ``n_paragraphs``
+    counts lines; ``n_notices`` counts confirmed lines and confirmed notices wrapped over lines;
+    ``unconfirmed`` counts lines that the classifier believes to be a notice, that no template
+    confirms and that are no part of a wrapped notice. Null and empty texts have no paragraphs.
+    Rows with the same text get the same result; an empty table gives no rows; other columns are
+    not read. Whole texts are scanned.
     """
     lines = paragraphs(docs)
     classifier = train(lines)
     scored = classifier.model.transform(featurize(lines))
-    probability = vector_to_array("probability")
-    believed = (
-        scored.select("key", "at", "grams", probability.alias("probability"))
-        .where(1 - F.col("probability")[0] >= classifier.accept)
-        .select("key", "at", "grams", F.posexplode(_likeliest(F.col("probability"))).alias("place", "family"))
-    )
-    known = templates(docs.sparkSession).groupBy("family").agg(F.collect_list("grams").alias("all"))
-    like = F.aggregate("all", F.lit(0.0), lambda x, t: F.greatest(x, resemblance(F.col("grams"), t)))
-    compared = believed.join(F.broadcast(known), "family").select("key", "at", "family", "place", like.alias("like"))
     # The candidate whose template is most in the paragraph; on a tie the likelier one.
     best = F.min(F.struct((-F.col("like")).alias("unlike"), "place", "family")).alias("best")
-    notices = compared.groupBy("key", "at").agg(best).select(
-        "key", F.col("best.family").alias("family"), (F.col("best.unlike") <= -CONFIRM).alias("confirmed")
-    )
-    by_text = notices.groupBy("key").agg(
-        F.count_if("confirmed").alias("n_notices"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
-        F.count_if(~F.col("confirmed")).alias("unconfirmed"),
+    single = _compared(scored, classifier, ["key", "at"]).groupBy("key", "at").agg(best)
+    unlike = F.col("best.unlike")
+    rows = [
+        single.select(
+            "key",
+            F.struct(
+                F.when(unlike <= -CONFIRM, LINE).otherwise(UNCONFIRMED).alias("kind"),
+                unlike.alias("unlike"),
+                F.lit(0).alias("length"),
+                "at",
+                F.col("at").alias("last"),
+                "best.family",
+            ).alias("found"),
+        ),
+        _wrapped(docs, classifier).select(
+            "key",
+            F.struct(
+                F.lit(WINDOW).alias("kind"), "unlike", (F.col("last") - F.col("at")).alias("length"), "at", "last", "family"
+            ).alias("found"),
+        ),
+    ]
+    settled = reduce(DataFrame.unionAll, rows).groupBy("key").agg(F.collect_list("found").alias("found"))
+    by_text = settled.select("key", _settled(F.col("found")).alias("settled")).select(
+        "key",
+        F.size("settled.kept").cast("bigint").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct("settled.kept.family")), ",").alias("families"),
+        "settled.unconfirmed",
     )
     found = write_once(by_text, "licence_notices")
-    n = F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]")))
+    n = F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike(_WORD)))
     rows = docs.select(F.col(id_col), text_key().alias("_key"), F.when(F.col("text").isNull(), 0).otherwise(n).cast("bigint").alias("n_paragraphs"))
     zero = F.lit(0).cast("bigint")
     return rows.join(found.withColumnRenamed("key", "_key"), "_key", "left").select(

@@ -62,3 +62,62 @@ def test_only_the_jvm_works(spark):
     lines = licences.paragraphs(cases.edge(spark))
     plan = licences.featurize(lines)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice,
+this list of conditions and the following disclaimer."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
+AGPL = GPL.replace("GNU General Public License as", "GNU Affero General Public License\nas")
+
+
+def commented(text, mark):
+    return "\n".join(mark + line for line in text.split("\n"))
+
+
+def test_notices_wrapped_over_lines(spark):
+    torn = MIT.replace("obtaining a copy\n", "obtaining a copy\n\n\n")
+    long = " ".join(f"w{i}" for i in range(500))
+    cases_ = {
+        1: (MIT, 1, "mit"),
+        2: (commented(BSD, " * "), 1, "bsd"),
+        3: ("intro words\n" + commented(GPL, "# ") + "\nint main() {}", 1, "gpl"),
+        4: (LGPL, 1, "lgpl"),
+        5: (AGPL, 1, "agpl"),
+        6: (MIT + "\n" + BSD, 2, "bsd,mit"),
+        7: ("Copyright\n\n" + MIT + "\n\n" + MIT.replace("\n", "\r\n"), 2, "mit"),
+        8: ("Released under the MIT License.\n" + commented(GPL, "// "), 2, "gpl,mit"),
+        9: (torn, 0, ""),
+        10: (f"{long} {MIT} {long}".replace("\n", "\n// "), 1, "mit"),
+        11: ("\n".join(MIT.split()[:24]), 1, "mit"),
+        12: ("The software was granted to a person\nfree of charge and the conditions\nwere met", 0, ""),
+    }
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id + 5000 AS doc_id", "text")
+    extra = spark.createDataFrame([(k, v[0]) for k, v in cases_.items()], "doc_id bigint, text string")
+    found = licences.scan(docs.unionByName(extra)).where("doc_id < 100").collect()
+    got = {r["doc_id"]: (r["n_notices"], r["families"]) for r in found}
+    assert got == {k: v[1:] for k, v in cases_.items()}
+    assert {r["unconfirmed"] for r in found if r["doc_id"] in (1, 6, 7)} == {0}
+
+
+def test_every_confirmed_text_has_an_anchor():
+    # Leaving all anchors out of a template leaves too little of it.
+    told = set(licences.anchors())
+    for text in {t for texts in licences.TEMPLATES.values() for t in texts}:
+        listed = licences._plain_words(text)
+        grams = {(w,) for w in listed} | set(zip(listed, listed[1:]))
+        assert sum(not told & set(g) for g in grams) < licences.CONFIRM * len(grams)
