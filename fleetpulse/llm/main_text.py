@@ -4,7 +4,8 @@ A page is read as a sequence of words and tags. Words score positive and tags ne
 weights learned from labelled pages (those that mark their article) as log odds of lying inside
 it. One linear scan finds the contiguous region whose weights sum to the most. Menus, headers,
 footers, sidebars, notices, adverts, forms, scripts and reader comments have no words that count,
-and are left out of the text where the region runs across them.
+and are left out of the text where the region runs across them. Inside an article the name of an
+element is a learned negative score of its words, and being inside one a learned bonus.
 """
 
 from __future__ import annotations
@@ -45,7 +46,14 @@ ASIDE_WORD = re.compile(
 )
 # Of these words, the ones that also name wrappers around everything: an article inside still counts.
 WRAPPER_WORD = re.compile(r"(?:sidebar\w*|widget|header|banner|nav|navbar|menu\w*|overlay|modal|search)", re.I)
+# And the ones that also name parts of a text: inside an article their score decides.
+UNSURE_WORD = re.compile(
+    r"(?:related|search|share|sharing|social|discussion|notices?|alerts?|header|masthead|banner)", re.I
+)
 ARTICLE = frozenset(("article", "main"))
+# Elements whose ids are often made from their heading or text.
+FREE_ID = frozenset("h1 h2 h3 h4 h5 h6 p section article main li dt dd blockquote figure table tr td".split())
+SURE_NAME, UNSURE_NAME = -4.0, -0.3  # scores of names that labelled pages do not have
 
 # Elements whose start ends an open one of these kinds, unless a container lies between.
 CLOSES = {
@@ -61,8 +69,8 @@ _MARKUP = re.compile(
     <(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>])*+)(?:>|\Z)""",
     re.S | re.X,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?|"[^"]*"|'[^']*'""")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -76,44 +84,63 @@ class Block:
     aside: bool
     in_article: bool
     tags: tuple[str, ...]  # met since the block before
+    name: str = ""  # aside name of an element around it
 
 
 NOT, WRAPPER, ASIDE_FOR_SURE = 0, 1, 2
 
 
-def _says_aside(rest: str) -> int:
+def _attributes(rest: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for match in _ATTRIBUTE.finditer(rest):
+        if match[1]:
+            found.setdefault(match[1].lower(), next((g for g in match.groups()[1:] if g is not None), ""))
+    return found
+
+
+def _says_aside(rest: str, element: str = "div", inside: bool = False) -> tuple[int, str]:
+    """How surely the attributes of an element say aside, and the name that says so."""
     if not rest.strip("/ \t\r\n"):
-        return NOT
-    if _HIDDEN.search(rest):
-        return ASIDE_FOR_SURE
-    said = NOT
-    for match in _NAMES.finditer(rest):
-        named = next(g for g in match.groups() if g is not None)
-        for part in _PARTS.findall(named):
+        return NOT, ""
+    given = _attributes(rest)
+    if (
+        "hidden" in given
+        or given.get("aria-hidden", "").strip().lower() == "true"
+        or _NO_DISPLAY.search(given.get("style", ""))
+    ):
+        return ASIDE_FOR_SURE, ""
+    said, name = NOT, ""
+    for kind in ("class", "role") if inside or element in FREE_ID else ("class", "role", "id"):
+        for part in _PARTS.findall(given.get(kind, "")):
             if ASIDE_WORD.fullmatch(part):
                 said = max(said, WRAPPER if WRAPPER_WORD.fullmatch(part) else ASIDE_FOR_SURE)
-    return said
+                name = _surer(name, part.lower())
+    return said, name
+
+
+def _surer(outer: str, own: str) -> str:
+    return own if own and (not outer or UNSURE_WORD.fullmatch(outer)) else outer
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order. Unclosed, crossed and cut-off elements are put up with."""
     found: list[Block] = []
-    stack: list[tuple[str, int, bool]] = []  # element, how surely aside, whether inside an article
+    stack: list[tuple[str, int, bool, str]] = []  # element, how surely aside, whether inside an article, name
     pieces: list[tuple[str, bool]] = []
     tags: list[str] = []
     links = at = 0
 
-    def state() -> tuple[int, bool]:
-        return stack[-1][1:] if stack else (NOT, False)
+    def state() -> tuple[int, bool, str]:
+        return stack[-1][1:] if stack else (NOT, False, "")
 
     def close_block() -> None:
         nonlocal pieces, tags
         text = html.unescape("".join(p for p, _ in pieces)).split()
         if text:
             linked = len(html.unescape(" ".join(p for p, link in pieces if link)).split())
-            aside, inside = state()
+            aside, inside, named = state()
             words = len(text)
-            found.append(Block(" ".join(text), words, min(linked, words), aside > NOT, inside, tuple(tags)))
+            found.append(Block(" ".join(text), words, min(linked, words), aside > NOT, inside, tuple(tags), named))
             tags = []
         pieces = []
 
@@ -152,12 +179,19 @@ def blocks_of(page: str) -> list[Block]:
                     break
         if name in VOID or rest.endswith("/"):
             continue
-        aside, inside = state()
-        own = ASIDE_FOR_SURE if name in ASIDE else NOT if name in ("html", "body") else _says_aside(rest)
+        aside, inside, named = state()
+        own, own_name = NOT, ""
+        if name in ASIDE:
+            own = ASIDE_FOR_SURE
+        elif name not in ("html", "body"):
+            own, own_name = _says_aside(rest, name, inside)
         if name in ARTICLE and own == NOT and aside < ASIDE_FOR_SURE:
             # An article inside a wrapper named like a sidebar counts, one among comments does not.
+            named = named if inside else ""
             aside, inside = NOT, True
-        stack.append((name, max(aside, own), inside))
+        elif inside and own_name:
+            own = NOT  # its score decides
+        stack.append((name, max(aside, own), inside, _surer(named, own_name)))
         links += name == "a"
     close_block()
     return found
@@ -169,9 +203,10 @@ class Weights:
 
     word: float = 1.0
     link_word: float = -0.5
-    outside_word: float = -1.0  # of pages that mark an article
+    article_bonus: float = 1.0  # of a word inside an article
     tags: tuple[tuple[str, float], ...] = ()
     other_tag: float = -0.3
+    names: tuple[tuple[str, float], ...] = ()  # of a word in an element so named, inside an article
 
 
 def _clip(value: float, low: float, high: float) -> float:
@@ -192,11 +227,18 @@ def learn(counts: dict[tuple[str, bool], int]) -> Weights:
         )
 
     tags = {k[1:]: _clip(odds(k), -1.0, LIGHT_TAG) for k in kinds if k[0] == "<"}
+    names = {
+        k[1:]: _clip(odds(k), -2.0, -0.1) if UNSURE_WORD.fullmatch(k[1:]) else _clip(odds(k), -6.0, SURE_NAME)
+        for k in kinds
+        if k[0] == "@"
+    }
+    ratio = (counts.get(("word", True), 0) + 1) / (counts.get(("word", False), 0) + 1)
     return Weights(
         word=_clip(odds("word"), 0.5, 2.0),
         link_word=_clip(odds("link"), -2.0, 1.0) if "link" in kinds else -0.5,
-        outside_word=_clip(-odds("word"), -2.0, -0.5),
+        article_bonus=_clip(math.log(ratio), 0.0, 2.0),
         tags=tuple(sorted(tags.items())),
+        names=tuple(sorted(names.items())),
     )
 
 
@@ -208,7 +250,9 @@ def count_kinds(page: str) -> Counter[tuple[str, bool]]:
         return counts
     for b in blocks:
         inside = b.in_article and not b.aside
-        if not b.aside:  # words of asides never score
+        if b.name:
+            counts[f"@{b.name}", inside] += b.words
+        elif not b.aside:  # words of asides never score
             counts["word", inside] += b.words - b.link_words
             counts["link", inside] += b.link_words
         for tag in b.tags:
@@ -232,8 +276,7 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def main_text(page: str | None, weights: Weights = Weights()) -> str:
     """The text of the best region, blocks joined by one space; empty if no word scores."""
     blocks = blocks_of(page or "")
-    marked = any(b.in_article and not b.aside for b in blocks)
-    tag_weight = dict(weights.tags)
+    tag_weight, name_weight = dict(weights.tags), dict(weights.names)
     scores, owner = [], []
     for number, block in enumerate(blocks):
         for tag in block.tags:
@@ -241,18 +284,23 @@ def main_text(page: str | None, weights: Weights = Weights()) -> str:
             light = block.in_article or tag not in BLOCKS  # marks within a text do not end a region
             scores.append(max(known, LIGHT_TAG) if light else known)
             owner.append(-1)
-        if block.aside:
+        if block.aside or not _kept(block, weights, name_weight):
             continue
-        plain = weights.word if block.in_article or not marked else weights.outside_word
+        plain = weights.word + (weights.article_bonus if block.in_article else 0.0)
         linked = min(plain, weights.link_word) if not block.in_article else plain
         scores.append(plain * (block.words - block.link_words) + linked * block.link_words)
         owner.append(number)
     first, last = best_region(scores)
-    return " ".join(blocks[n].text for n in owner[first:last] if n >= 0 and _kept(blocks[n], marked))
+    return " ".join(blocks[n].text for n in owner[first:last] if n >= 0)
 
 
-def _kept(block: Block, marked: bool) -> bool:
-    return block.in_article or not marked
+def _kept(block: Block, weights: Weights, names: dict[str, float]) -> bool:
+    """Whether the words of a named element inside an article score more than its name costs."""
+    if not block.name:
+        return True
+    unseen = UNSURE_NAME if UNSURE_WORD.fullmatch(block.name) else SURE_NAME
+    linked = min(weights.word, weights.link_word) * block.link_words
+    return weights.word * (block.words - block.link_words) + linked + names.get(block.name, unseen) * block.words > 0
 
 
 def learned_weights(pages: DataFrame, most: int = LABELLED_PAGES) -> Weights:

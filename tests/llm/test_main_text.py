@@ -69,3 +69,27 @@ def test_best_region_is_the_largest_sum():
         a, b = main_text.best_region(scores)
         sums = [sum(scores[i:j]) for i, j in itertools.combinations(range(len(scores) + 1), 2)]
         assert sum(scores[a:b]) == max([0, *sums])
+
+
+LONG = " ".join(f"word{i}" for i in range(200))
+
+
+def test_body_in_a_div_beside_article_cards():
+    cards = "<div class='grid'><article><a href=x>Other post</a></article><article>teaser</article></div>"
+    learned = main_text.learn(main_text.count_kinds(f"<nav>menu</nav><article><p>{LONG}</p></article><div>x</div>"))
+    for page in (f"{cards}<div class=post><p>{LONG}</p><p>The end</p></div>", f"<div><p>{LONG}</p><p>The end</p></div>{cards}"):
+        for weights in (main_text.Weights(), learned):
+            assert f"{LONG} The end" in main_text.main_text(page, weights)
+
+
+def test_names_inside_an_article():
+    text = main_text.main_text
+    page = f"""<article data-title='The hidden cost'><h2 id='related-work'>Related work</h2><p>{LONG}</p>
+    <section id='discussion'><p>We discuss</p></section><div class="alert">Mind the gap</div>
+    <div class="related"><a href=x>Another post</a></div><div class="comments">Great post</div>
+    <p aria-hidden="true">no</p><p hidden>no</p><p style="display: none">no</p><p>The end</p></article>"""
+    assert text(page) == f"Related work {LONG} We discuss Mind the gap The end"
+    assert text(f"<div><h2 id='search'>Search</h2><p>{LONG}</p></div>") == f"Search {LONG}"
+    outside = "<div class=alert>" + LONG + "</div>" + f"<article><p>{LONG}</p><div class=alert>a</div></article>"
+    learned = main_text.learn(main_text.count_kinds(outside))
+    assert dict(learned.names)["alert"] < -1
