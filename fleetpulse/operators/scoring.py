@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.expressions import graph_adjustment, health_status, prediction_score
 from fleetpulse.operators.distribute import lookup_join
 from fleetpulse.params import ScaleLimits, ScoringParams
 
+UNTIMED_PARTS = 64  # tasks over which untimed alerts of one machine are dealt
+
 
 def join_pagerank(telemetry: DataFrame, ranks: DataFrame, limits=ScaleLimits()) -> DataFrame:
     lookup = ranks.select("machine_id", F.col("pagerank").alias("pr_score"))
@@ -84,15 +86,30 @@ def batch_adjust_stats(scored: DataFrame) -> DataFrame:
     )
 
 
-def project_alerts(scored: DataFrame) -> DataFrame:
-    """Alert rows, keyed by machine and event time; a reading without a time takes the present.
+def _timed_apart(alerts: DataFrame, now: Column) -> DataFrame:
+    """Give alerts without a time the present, each of a machine a microsecond of its own.
+
+    Numbered within machine and hash part, so a busy machine is dealt over ``UNTIMED_PARTS`` tasks
+    and repeated readings stay apart as well. The rest of the row settles the order.
+    """
+    untimed = alerts.where(F.col("alert_time").isNull())
+    rest = [c for c in alerts.columns if c != "alert_time"]
+    parted = untimed.withColumn("_part", F.pmod(F.xxhash64(*rest), F.lit(UNTIMED_PARTS)))
+    number = F.row_number().over(Window.partitionBy("machine_id", "_part").orderBy(*rest))
+    micros = F.unix_micros(now) + (number - 1) * UNTIMED_PARTS + F.col("_part")
+    apart = parted.withColumn("alert_time", F.timestamp_micros(micros)).select(*alerts.columns)
+    return alerts.where(F.col("alert_time").isNotNull()).unionByName(apart)
+
+
+def project_alerts(scored: DataFrame, now: Column | None = None) -> DataFrame:
+    """Alert rows, keyed by machine and event time; a reading without a time takes ``now``.
 
-    Several alerts of a machine in one batch stay apart, which a processing time would not
-    guarantee.
+    Several alerts of a machine in one batch stay apart: those without a time get different
+    microseconds from ``now`` on. Give a fixed ``now`` if the rows are computed more than once.
     """
-    return filter_anomalies(scored).select(
+    alerts = filter_anomalies(scored).select(
         "machine_id",
-        F.coalesce("event_time", F.current_timestamp()).alias("alert_time"),
+        F.col("event_time").alias("alert_time"),
         F.lit(0).alias("latency_ms"),
         "air_temp",
         "process_temp",
@@ -101,6 +118,7 @@ def project_alerts(scored: DataFrame) -> DataFrame:
         "tool_wear",
         "prediction_score",
     )
+    return _timed_apart(alerts, F.current_timestamp() if now is None else now)
 
 
 def project_states(scored: DataFrame) -> DataFrame:

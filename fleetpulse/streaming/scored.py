@@ -86,7 +86,9 @@ def score_batch(
     scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         usable, malformed = split_malformed(scored)
-        alerts, states = project_alerts(usable), project_states(usable)
+        # Fixed here: the alerts are computed for each table, and the keys must be the same.
+        now = F.timestamp_micros(F.lit(time.time_ns() // 1000))
+        alerts, states = project_alerts(usable, now), project_states(usable)
         keyed = F.col("machine_id").isNotNull()
         adjustment = F.col("graph_adjustment")
         rows, good, alarming, mean, most, enriched = scored.agg(

@@ -63,6 +63,21 @@ def test_replayed_batch_and_malformed_messages(spark, readings, tmp_path):
     assert KeyedTable.named(root, "realtime_alerts").read(spark).count() == expected
 
 
+def test_untimed_alerts_of_a_machine_stay_apart(spark, readings, tmp_path):
+    root = str(tmp_path)
+    one = scoring.filter_anomalies(scoring.base_scored(readings)).limit(1).select(*readings.columns)
+    untimed = one.withColumn("event_time", F.lit(None).cast("timestamp"))
+    five = untimed.withColumn("air_temp", F.explode(F.array(*(F.lit(float(x)) for x in (1, 2, 3, 3, 3)))))
+    stream.score_batch(five, 0, stream.GraphContext(spark, root), root)
+    log = KeyedTable.named(root, "realtime_alerts")
+    log.compact(spark)
+    for found in (log.read(spark), stream.newest_alerts_table(root).read(spark)):
+        assert sorted(r.air_temp for r in found.collect()) == [1, 2, 3, 3, 3]
+    assert same(log.read(spark), stream.newest_alerts_table(root).read(spark))
+    log.upsert(scoring.project_alerts(scoring.base_scored(five)), 1)
+    assert log.read(spark).count() == 10
+
+
 def test_batch_without_alerts_writes_none(spark, readings, tmp_path):
     calm = readings.withColumn("tool_wear", F.lit(0)).withColumn("rotational_speed", F.lit(2000.0))
     stream.score_batch(calm, 0, stream.GraphContext(spark, str(tmp_path)), str(tmp_path))
