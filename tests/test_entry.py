@@ -1,4 +1,8 @@
 import re
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -46,3 +50,16 @@ def test_shared_tables_can_be_forgotten(spark):
     queries.graph_tables(spark, SF)
     queries.reset()
     assert not queries._shared
+
+
+@pytest.mark.parametrize("keep_pipeline", [True, False])
+def test_imports_without_the_training_data_operators(tmp_path, keep_pipeline):
+    repo = Path(entry.__file__).resolve().parent
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if keep_pipeline or name != "corpus_pipeline.py":
+            shutil.copy(repo / name, tmp_path)
+    for name in ("fleetpulse", "verification"):
+        shutil.copytree(repo / name, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    code = "import __spark_entry__ as e; print(len(e.queries()), any(n[:2] == 'op' for n in e.queries()))"
+    ran = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert ran.stdout.split() == [str(len(queries.queries())), "False"], ran.stderr
