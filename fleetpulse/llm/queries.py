@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from fleetpulse.llm import (
-    fixity, huffman, licences, main_text, middles, neighbours, packing, simhash, suffix, tokens, weak_rules, winnowing,
+    fixity, huffman, licences, main_text, middles, negatives, neighbours, packing, simhash, suffix, tokens, weak_rules, winnowing,
 )
 from fleetpulse.llm.common import table
 from fleetpulse.session import work_path, write_once
@@ -116,6 +116,11 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score a little less than an anchor's positives."""
+    return negatives.hard_negatives(negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut for filling in its middle, and the text rebuilt from the result."""
     made = middles.restored(middles.rearranged(table(spark, sf_dir, "documents")))
@@ -138,5 +143,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_token_files": op9_token_files,
         "op10_main_text": op10_main_text,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_fill_in_middle": op12_fill_in_middle,
     }
