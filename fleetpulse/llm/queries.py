@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from fleetpulse.llm import (
-    fixity, huffman, licences, main_text, middles, negatives, neighbours, packing, simhash, suffix, tokens, weak_rules, winnowing,
+    fixity, huffman, jaccard, licences, main_text, middles, negatives, neighbours, packing, simhash, suffix, tokens, weak_rules, winnowing,
 )
 from fleetpulse.llm.common import table
 from fleetpulse.session import work_path, write_once
@@ -131,6 +131,11 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 3-word shingles have nine tenths in common."""
+    return jaccard.near_sets(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -145,4 +150,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_main_text": op10_main_text,
         "op11_hard_negatives": op11_hard_negatives,
         "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_ngram_jaccard": op13_ngram_jaccard,
     }
