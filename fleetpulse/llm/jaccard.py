@@ -161,40 +161,51 @@ def buckets(ordered: DataFrame) -> DataFrame:
     return lookup_join(posted, live, "token", "inner").dropDuplicates(["token", "key"])
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) with both sides' rows as a_* and b_*, and whether they are linked.
+def _of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """One row for each node of the pairs."""
+    keys = write_once(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
+    return write_once(lookup_join(rows, keys, "key", "left_semi").dropDuplicates(["key"]), "nodes")
 
-    ``nodes`` has a row per key with n, first, prefix and tokens. Only the sets that some pair
-    asks for are moved, to where the pairs are.
-    """
-    joined = pairs
+
+def _both(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs with the columns of both nodes, as a_* and b_*."""
     for side in ("a", "b"):
         own = nodes.select(F.col("key").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in nodes.columns if c != "key"))
-        joined = joined.join(own, side)
-    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    linked = 100 * shared >= percent * (F.col("a_n") + F.col("b_n") - shared)
-    return joined.withColumn("linked", linked).drop("a_tokens", "b_tokens")
+        pairs = pairs.join(own, side)
+    return pairs
 
 
-def _nodes_of(pairs: DataFrame, sets: DataFrame, ordered: DataFrame) -> DataFrame:
-    """(key, n, first, prefix, tokens) of the nodes in the pairs."""
-    keys = write_once(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
-    asked = lookup_join(sets.select("key", "tokens"), keys, "key", "left_semi").dropDuplicates(["key"])
-    heads = lookup_join(ordered, keys, "key", "left_semi").dropDuplicates(["key"])
-    return write_once(heads.join(asked, "key"), "nodes")
-
-
-def _survival(verified: DataFrame) -> list[float]:
-    """For each of ``MATCHES`` the share of pairs that are no links and yet have as many matches."""
+def compare_prefixes(pairs: DataFrame, ordered: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b, reached): for each of ``MATCHES`` whether the prefixes share as many. Links reach all."""
 
     def prefix(side: str, m: int) -> Column:
         return F.slice(f"{side}_prefix", F.lit(1), F.col(f"{side}_first") + m - 1)
 
+    least = F.least(least_overlap(F.col("a_n"), percent), least_overlap(F.col("b_n"), percent))
     reached = [
-        F.count_if(F.size(F.array_intersect(prefix("a", m), prefix("b", m))) >= m).alias(f"m{m}") for m in MATCHES
+        F.size(F.array_intersect(prefix("a", m), prefix("b", m))) >= F.least(F.lit(m), least) for m in MATCHES
     ]
-    row = verified.where("not linked").agg(*reached).first()
-    return [(1 + row[f"m{m}"]) / (1 + row["m1"]) for m in MATCHES]
+    joined = _both(pairs, _of(pairs, ordered.select("key", "n", "first", "prefix")))
+    return write_once(joined.select("a", "b", F.array(*reached).alias("reached")), "compared_prefixes")
+
+
+def verify(compared: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): the pairs that are links, by their whole sets.
+
+    Only sets of pairs that reach every number of matches are moved.
+    """
+    pairs = compared.where(F.forall("reached", lambda x: x)).select("a", "b")
+    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    linked = 100 * shared >= percent * (F.col("a_n") + F.col("b_n") - shared)
+    joined = _both(pairs, _of(pairs, sets.select("key", "n", "tokens")))
+    return write_once(joined.where(linked).select("a", "b"), "links")
+
+
+def _survival(compared: DataFrame, links: DataFrame) -> list[float]:
+    """For each of ``MATCHES`` the share of pairs that are no links and yet have as many matches."""
+    row = compared.agg(*(F.count_if(F.col("reached")[i]) for i in range(len(MATCHES)))).first()
+    found = links.count()
+    return [(1 + n - found) / (1 + row[0] - found) for n in row]
 
 
 def choose_matches(shared: DataFrame, survival: list[float], percent: int = PERCENT) -> DataFrame:
@@ -326,11 +337,11 @@ def near_sets(
         & (100 * F.least("n", "one.n") >= percent * F.greatest("n", "one.n"))
     )
     star = write_once(star.select(F.col("one.key").alias("a"), F.col("key").alias("b")).distinct(), "star_pairs")
-    tried = write_once(verify(star, _nodes_of(star, sets, ordered), percent), "tried_pairs")
-    links = tried.where("linked").select("a", "b")
+    compared = compare_prefixes(star, ordered, percent)
+    links = verify(compared, sets, percent)
     roots = component_roots(links)
 
-    chosen = choose_matches(shared, _survival(tried), percent)
+    chosen = choose_matches(shared, _survival(compared, links), percent)
     placed = chosen.join(roots, chosen["key"] == roots["node"], "left").select(
         "key", "matches", F.coalesce("root", "key").alias("root")
     )
@@ -339,7 +350,7 @@ def near_sets(
         "key", "root", "matches", F.slice("prefix", F.lit(1), F.col("first") + F.col("matches") - 1).alias("prefix")
     )
     found = write_once(candidates(shared, write_once(own, "matching_prefixes"), percent, block), "candidates")
-    more = verify(found, _nodes_of(found, sets, ordered), percent).where("linked").select("a", "b")
+    more = verify(compare_prefixes(found, ordered, percent), sets, percent)
     known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     final = component_roots(known.unionByName(more))
 

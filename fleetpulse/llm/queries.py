@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from fleetpulse.llm import (
-    fixity, huffman, jaccard, licences, main_text, middles, negatives, neighbours, packing, simhash, suffix, tokens, weak_rules, winnowing,
+    fixity, huffman, jaccard, licences, main_text, middles, negatives, neighbours, packing, simhash, suffix, tokens,
+    weak_rules, winnowing,
 )
 from fleetpulse.llm.common import table
 from fleetpulse.session import work_path, write_once
@@ -71,8 +72,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of each text without strings of 400 bytes that start elsewhere as well."""
-    return suffix.deduplicate(table(spark, sf_dir, "documents"))
+    """What is left of each text without strings of 400 bytes that start elsewhere as well.
+
+    n_passage_words counts the words in repeated passages of 50 words and more.
+    """
+    return suffix.deduplicate(table(spark, sf_dir, "documents"), passage_bytes=suffix.PASSAGE_BYTES)
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,9 +26,12 @@ from pyspark.sql import functions as F
 from fleetpulse.llm.common import (
     Batches, as_field, fields, map_batches, map_partition, merge_spans, text_key,
 )
+from fleetpulse.operators.distribute import lookup_join
 from fleetpulse.session import shuffle_partitions, work_path, write_once
 
 LENGTH = 400  # bytes
+PASSAGE_BYTES = 200  # strings in which passages are looked for; shorter than most of PASSAGE_WORDS
+PASSAGE_WORDS = 50
 GRAM = 32  # bytes that an anchor hashes; a power of two
 SHARD_BYTES = 1 << 20
 CHUNK = 1 << 20  # bytes looked at in one go; positions in it fit the low bits of a key
@@ -267,7 +270,7 @@ class Passages:
         # Copies meet as partial sums: one row per text and task, whatever their number.
         unique = keyed.groupBy("key").agg(F.first("raw").alias("raw"), F.count(F.lit(1)).alias("copies"))
         # Bucketed by key, so that later joins read the texts in place.
-        name = f"texts_{uuid.uuid4().hex}"
+        name = self.name = f"texts_{uuid.uuid4().hex}"
         n = shuffle_partitions(self.spark)
         writer = unique.write.format("parquet").option("path", work_path(self.spark, "texts"))
         writer.option("compression", "zstd").bucketBy(n, "key").saveAsTable(name)
@@ -360,21 +363,26 @@ class Passages:
         placed = strings.select("range", "strings").repartition(spread, "range").sortWithinPartitions("range")
         return map_partition(placed, merge, fields("key binary", "a int", "b int"))
 
-    def results(self, with_text: bool = False) -> DataFrame:
-        """(key, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of each distinct text."""
-        length = self.length
-        names = ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-        joined = self.texts.join(self.spans.hint("shuffle_hash"), "key", "left")
+    def _joined(self, spans: DataFrame) -> DataFrame:
+        return self.texts.join(spans.hint("shuffle_hash"), "key", "left").select("key", "raw", "copies", "spans")
+
+    def results(
+        self, with_text: bool = False, least_words: int = 0, length: int | None = None, spans: DataFrame | None = None
+    ) -> DataFrame:
+        """(key, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of each distinct text.
+
+        Spans of fewer than ``least_words`` whole words stay. ``spans`` for strings of another
+        ``length`` can take the place of the own ones.
+        """
+        length = length or self.length
 
         def rows(columns):
             out = []
-            for key, raw, copies, spans in zip(*(columns[c].to_pylist() for c in ("key", "raw", "copies", "spans"))):
-                if copies > 1 and len(raw) >= length:
-                    a, b = np.array([0]), np.array([len(raw)])
-                else:
-                    flat = [(s["a"], s["b"]) for s in spans or []]
-                    pairs = np.array(flat, np.int64).reshape(-1, 2)
-                    a, b = merge_spans(pairs[:, 0], pairs[:, 1])
+            for key, raw, copies, found in zip(*(columns[c].to_pylist() for c in ("key", "raw", "copies", "spans"))):
+                a, b = _repeated(raw, copies, found, length)
+                if least_words:
+                    enough = _words_in(raw, a, b) >= least_words
+                    a, b = a[enough], b[enough]
                 cuts = [0, *np.stack((a, b), axis=1).ravel().tolist(), len(raw)]
                 kept = b"".join(raw[x:y] for x, y in zip(cuts[::2], cuts[1::2]))
                 row = (key, len(raw), len(raw) - len(kept), len(a), hashlib.sha256(kept).hexdigest())
@@ -385,7 +393,63 @@ class Passages:
         schema = fields(
             "key binary", "n_bytes bigint", "n_removed bigint", "n_spans bigint", "kept_sha256 string", *kept
         )
-        return map_batches(joined.select("key", "raw", "copies", "spans"), rows, schema, most=500)
+        return map_batches(self._joined(self.spans if spans is None else spans), rows, schema, most=500)
+
+    def regions(self, longer: int) -> DataFrame:
+        """(key, n_passage_words, a, text): words in passages of each text, and its long regions.
+
+        A region is a maximal repeated span of at least ``longer`` bytes: any longer string that
+        repeats lies in one, here and elsewhere. Texts without regions have a row without one.
+        """
+        length = self.length
+
+        def rows(columns):
+            out = {name: [] for name in schema.names}
+            for key, raw, copies, found in zip(*(columns[c].to_pylist() for c in ("key", "raw", "copies", "spans"))):
+                a, b = _repeated(raw, copies, found, length)
+                words = _words_in(raw, a, b)
+                a, b = _repeated(raw, 1, found, length)  # what copies repeat anyway needs no regions
+                long = [(x, raw[x:y]) for x, y in zip(a.tolist(), b.tolist()) if y - x >= longer] or [(None, None)]
+                out["key"] += [key] * len(long)
+                out["n_passage_words"] += [int(words[words >= PASSAGE_WORDS].sum())] * len(long)
+                out["a"] += [x for x, _ in long]
+                out["piece"] += [y for _, y in long]
+            return out
+
+        schema = fields("key binary", "n_passage_words bigint", "a int", "piece binary")
+        made = map_batches(self._joined(self.spans), rows, schema, most=500)
+        return made.select("key", "n_passage_words", "a", F.col("piece").cast("string").alias("text"))
+
+    def whole_spans(self) -> DataFrame:
+        """(key, spans) with copies taken into account: a text that occurs again is one span."""
+        whole = F.array(F.struct(F.lit(0).alias("a"), F.octet_length("raw").alias("b")))
+        again = (F.col("copies") > 1) & (F.octet_length("raw") >= self.length)
+        joined = self._joined(self.spans)
+        return joined.select("key", F.when(again, whole).otherwise(F.col("spans")).alias("spans")).where("spans is not null")
+
+    def forget(self) -> None:
+        """Take the table of texts out of the catalog. Its files stay in the shared folder."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+def _repeated(raw: bytes, copies: int, spans: list | None, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal repeated spans of a text; all of it if the text itself occurs again."""
+    if copies > 1 and len(raw) >= length:
+        return np.array([0]), np.array([len(raw)])
+    pairs = np.array([(s["a"], s["b"]) for s in spans or []], np.int64).reshape(-1, 2)
+    return merge_spans(pairs[:, 0], pairs[:, 1])
+
+
+def _words_in(raw: bytes, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Words that lie whole in each span."""
+
+    def splits_word(at: int) -> bool:
+        return 0 < at < len(raw) and not (raw[at - 1 : at].isspace() or raw[at : at + 1].isspace())
+
+    counts = [
+        max(0, len(raw[x:y].split()) - splits_word(x) - splits_word(y)) for x, y in zip(a.tolist(), b.tolist())
+    ]
+    return np.array(counts, np.int64)
 
 
 _FOUND = fields("key binary", "a int", "b int", "range bigint", "strings binary")
@@ -467,6 +531,7 @@ def deduplicate(
     id_col: str = "doc_id",
     length: int = LENGTH,
     shard_bytes: int = SHARD_BYTES,
+    passage_bytes: int | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256.
 
@@ -475,20 +540,44 @@ def deduplicate(
     judged on the input. Texts are UTF-8 bytes, a null one is empty. Rows with the same text
     repeat each other whatever their ids; texts shorter than ``length`` are left as they are; an
     empty table gives no rows; other columns are not read.
+
+    With ``passage_bytes``, below ``length``, repeated strings of that size are found first, and
+    n_passage_words says how many words lie whole in repeated spans of ``PASSAGE_WORDS`` words or
+    more. Strings of ``length`` are then looked for in those spans only, where all of them lie.
     """
-    passages = Passages(docs, length, shard_bytes)
     keyed = docs.select(F.col(id_col).alias("_id"), text_key().alias("key"))
-    return keyed.join(write_once(passages.results(), "kept_texts"), "key").drop("key").withColumnRenamed("_id", id_col)
+    if passage_bytes is None:
+        passages = Passages(docs, length, shard_bytes)
+        found = write_once(passages.results(), "kept_texts")
+    else:
+        passages = Passages(docs, passage_bytes, shard_bytes)
+        regions = write_once(passages.regions(length), "regions")
+        inner = Passages(regions.where("a is not null").select("text"), length, shard_bytes)
+        located = regions.where("a is not null").select(F.col("key").alias("_key"), "a", text_key().alias("key"))
+        spans = located.join(write_once(inner.whole_spans(), "region_spans"), "key").select(
+            F.col("_key").alias("key"),
+            F.explode(F.transform("spans", lambda s: F.struct((s["a"] + F.col("a")).alias("a"), (s["b"] + F.col("a")).alias("b")))).alias("s"),
+        )
+        spans = spans.groupBy("key").agg(F.collect_list("s").alias("spans"))
+        words = regions.groupBy("key").agg(F.max("n_passage_words").alias("n_passage_words"))
+        found = write_once(passages.results(length=length, spans=spans).join(words, "key"), "kept_texts")
+        inner.forget()
+    passages.forget()
+    return lookup_join(keyed, found, "key", "inner", fits=False).drop("key").withColumnRenamed("_id", id_col)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, least_words: int = 0
+) -> DataFrame:
     """``docs`` with each text cut to what is not repeated, and a column n_removed (bytes).
 
-    A character of which a byte goes, goes. A column of ``docs`` named n_removed is replaced.
+    Repeated spans of fewer than ``least_words`` whole words stay. A character of which a byte
+    goes, goes. A column of ``docs`` named n_removed is replaced.
     """
     passages = Passages(docs, length, shard_bytes)
-    cut = passages.results(with_text=True).where("n_removed > 0")
+    cut = passages.results(with_text=True, least_words=least_words).where("n_removed > 0")
     cut = write_once(cut.toDF(*(f"_cut_{c}" for c in cut.columns)), "kept_texts")
+    passages.forget()
     columns = [c for c in docs.columns if c != "n_removed"]
     keyed = docs.select(*columns, text_key().alias("_cut_key"))
     joined = keyed.join(cut.select("_cut_key", "_cut_kept", "_cut_n_removed"), "_cut_key", "left")

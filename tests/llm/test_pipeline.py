@@ -3,12 +3,12 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from fleetpulse.llm import neighbours, tokens
+from fleetpulse.llm import neighbours, suffix, tokens
 from fleetpulse.session import write_once
 from tests.llm import cases
 from tests.llm.test_packing import check
 from tests.llm.test_simhash import plain_components, plain_fingerprint
-from tests.llm.test_suffix import plain as plain_repeats
+from tests.llm.test_suffix import plain_cut
 from tests.llm.test_winnowing import plain as plain_windows
 
 SF = "/root/testdata/sf0.001"
@@ -48,18 +48,16 @@ def test_one_document_of_each_group(results):
     assert sorted(map(tuple, kept)) == sorted(map(tuple, first.values()))
 
 
-def test_repeats_are_cut(results):
+def test_repeated_passages_are_cut(results):
     _, given, _, kept = results["repeat_dedup"]
-    removed = {r[0]: r[2] for r in plain_repeats([(r["doc_id"], r["text"]) for r in given], 400)}
-    before, after = {r["doc_id"]: r for r in given}, {r["doc_id"]: r for r in kept}
-    for doc, row in before.items():
-        if not removed[doc]:
-            assert after[doc] == row
-        elif doc in after:
-            assert len(row["text"].encode()) - len(after[doc]["text"].encode()) >= removed[doc]
-            assert after[doc]["n_chars"] == len(after[doc]["text"]) > 0
-        else:
-            assert removed[doc] >= len(row["text"].encode()) - 6
+    texts = plain_cut([(r["doc_id"], r["text"]) for r in given], suffix.PASSAGE_BYTES, suffix.PASSAGE_WORDS)
+    expected = []
+    for row, text in zip(given, texts):
+        if text == row["text"]:
+            expected.append(tuple(row))
+        elif text:
+            expected.append((row["doc_id"], text, row["lang"], row["source"], len(text)))
+    assert sorted(map(tuple, kept)) == sorted(expected) and any(t != r["text"] for r, t in zip(given, texts))
 
 
 def test_benchmark_documents_go(spark, results):

@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import Counter
 
 import numpy as np
@@ -113,3 +114,60 @@ def check_anchors(raws, length):
                 seen.add((n, p))
                 assert anchor.setdefault(raws[n][p : p + length], a) == a
     assert len(seen) == sum(max(0, len(raw) - length + 1) for raw in raws)
+
+
+def plain_passages(rows, length, least):
+    """Of each row: its bytes, and its repeated spans of ``least`` whole words and more, with the words."""
+    raws = [(r[1] or "").encode() for r in rows]
+    counts = Counter(hash(raw[p : p + length]) for raw in raws for p in range(len(raw) - length + 1))
+    for raw in raws:
+        change = np.zeros(len(raw) + 1, int)
+        for p in range(len(raw) - length + 1):
+            if counts[hash(raw[p : p + length])] > 1:
+                change[p] += 1
+                change[p + length] -= 1
+        gone = np.cumsum(change)[: len(raw)] > 0
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(int), [0]))))
+        whole = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0d]+", raw)]
+        found = [(a, b, sum(a <= x and y <= b for x, y in whole)) for a, b in zip(edges[::2], edges[1::2])]
+        yield raw, [f for f in found if f[2] >= least]
+
+
+def plain_cut(rows, length, least):
+    out = []
+    for raw, spans in plain_passages(rows, length, least):
+        cuts = [0, *(x for a, b, _ in spans for x in (a, b)), len(raw)]
+        out.append(b"".join(raw[x:y] for x, y in zip(cuts[::2], cuts[1::2])).decode("utf-8", "ignore"))
+    return out
+
+
+def passages():
+    """Passages of 60 words between prose, copies, a passage twice in a text, parts of passages."""
+    shared = [cases.prose(500 + k, 60) for k in range(3)]
+    rows = [(i, f"{cases.prose(600 + i, 30)}\n{shared[i % 3]} {cases.prose(700 + i, 30)}") for i in range(9)]
+    rows += [(20, shared[0]), (21, shared[0]), (22, f"{shared[1]} x {shared[1]}"), (23, shared[2][:250])]
+    rows += [(24, cases.prose(800, 90)), (25, cases.prose(801, 90)), (26, cases.prose(801, 90)), (27, None)]
+    rows += [(28, cases.prose(800, 90)[:300] + " " + cases.prose(802, 10)), (29, "é" + shared[0][100:])]
+    return rows
+
+
+@pytest.mark.parametrize("length, passage_bytes", [(400, 200), (300, 100)])
+def test_passages_and_longer_strings_in_them(spark, length, passage_bytes):
+    rows = passages()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = suffix.deduplicate(docs, length=length, passage_bytes=passage_bytes)
+    assert rows_of(found.drop("n_passage_words")) == sorted(plain(rows, length), key=str)
+    words = {r["doc_id"]: r["n_passage_words"] for r in found.collect()}
+    spans = plain_passages(rows, passage_bytes, suffix.PASSAGE_WORDS)
+    assert words == {r[0]: sum(s[2] for s in found) for r, (_, found) in zip(rows, spans)}
+    assert words[0] >= 60
+    edge = suffix.deduplicate(cases.edge(spark), length=length, passage_bytes=passage_bytes)
+    assert rows_of(edge.drop("n_passage_words")) == sorted(plain(cases.rows(), length), key=str)
+
+
+def test_remove_only_passages_of_enough_words(spark):
+    rows = passages()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["text"] for r in suffix.remove_repeats(docs, 200, least_words=50).collect()}
+    assert found == {r[0]: t if r[1] else r[1] for r, t in zip(rows, plain_cut(rows, 200, 50))}
+    assert any(found[doc] != text for doc, text in rows)
