@@ -45,8 +45,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of 400 bytes that occur elsewhere; documents left empty go."""
-    cut = suffix.remove_repeats(docs.select(*COLUMNS))
+    """Texts without passages of 50 words that occur elsewhere; documents left empty go."""
+    cut = suffix.remove_repeats(docs.select(*COLUMNS), suffix.PASSAGE_BYTES, least_words=suffix.PASSAGE_WORDS)
     kept = cut.where((F.col("n_removed") == 0) | (F.length("text") > 0))
     length = F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", length).select(*COLUMNS)
