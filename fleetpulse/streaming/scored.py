@@ -147,8 +147,8 @@ def stream_scored(
 ):
     """Start the scoring stream on parsed telemetry. Returns the running query.
 
-    States and alerts are compacted every ``compact_every`` batches, so that a reader merges a
-    bounded number of slices. Columns beside the telemetry, such as the raw message kept by
+    States are compacted every ``compact_every`` batches, so that a reader merges a bounded number
+    of slices; alerts are merged in levels as they come. Columns beside the telemetry, such as the raw message kept by
     ``parse_telemetry``, go to the quarantine with a malformed row.
     """
     spark = telemetry.sparkSession
@@ -157,8 +157,7 @@ def stream_scored(
     def handle(batch: DataFrame, batch_id: int) -> None:
         score_batch(batch, batch_id, context, root, params)
         if compact_every and batch_id and batch_id % compact_every == 0:
-            for name in ("machine_states", "realtime_alerts"):
-                KeyedTable.named(root, name).compact(spark)
+            KeyedTable.named(root, "machine_states").compact(spark)
 
     writer = (
         telemetry.writeStream.foreachBatch(handle)

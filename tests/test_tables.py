@@ -1,5 +1,7 @@
 import datetime as dt
+from dataclasses import replace
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetpulse.sources.tables import KeyedTable, SnapshotTable, commit_number
@@ -99,3 +101,63 @@ def test_critical_wins_a_tie(spark, tmp_path):
     table.upsert(states(spark, ("a", 5, "CRITICAL"), ("b", 5, "HEALTHY")), 0)
     table.upsert(states(spark, ("a", 5, "HEALTHY"), ("b", 5, "CRITICAL")), 1)
     assert content(table.read(spark)) == [("a", "CRITICAL"), ("b", "CRITICAL")]
+
+
+def alert_rows(spark, numbers, score=-1.0):
+    """One alert a number: ten machines, a tenth of a day apart."""
+    rows = spark.createDataFrame([(n,) for n in numbers], "n bigint")
+    columns = {"latency_ms": F.lit(0), "tool_wear": F.col("n").cast("int"), "prediction_score": F.lit(score)}
+    for name in ("air_temp", "process_temp", "rotational_speed", "torque"):
+        columns[name] = F.col("n").cast("double")
+    return rows.select(
+        F.concat(F.lit("M"), F.col("n") % 10).alias("machine_id"),
+        F.timestamp_seconds(F.col("n") * 8640).alias("alert_time"),
+        *[c.alias(name) for name, c in columns.items()],
+    )
+
+
+def wear(df):
+    return sorted(r.tool_wear for r in df.collect())
+
+
+def test_day_log_rewrites_little_and_lists_little(spark, tmp_path):
+    log = replace(KeyedTable.named(str(tmp_path), "realtime_alerts"), fanout=3)
+    batches = 30
+    for batch in range(batches):
+        # Most rows are of the day of the batch's ten, some of the first day, some are written again.
+        log.upsert(alert_rows(spark, [batch, 5 * batch // 2, 1000 + batch, 0]), batch, combine=False)
+        assert len(list(tmp_path.glob("realtime_alerts/commit=*"))) <= 2
+    expected = {n for b in range(batches) for n in (b, 5 * b // 2, 1000 + b, 0)}
+    assert wear(log.read(spark)) == sorted(expected)
+    commit = log.commit(spark)
+    assert commit.rewritten <= 8 * batches  # three days a batch at most, rewritten log3(30) times at most
+    for day in {r.day for r in commit.runs}:
+        levels = [r.level for r in commit.runs if r.day == day]
+        assert all(levels.count(x) < 3 for x in levels)
+    assert max(r.level for r in commit.runs) >= 2
+    assert wear(log.read(spark, 1, 2)) == sorted(n for n in expected if 10 <= n < 30)
+    live = {r.path for r in commit.runs} | set(commit.replaced)
+    on_disk = {str(p.relative_to(tmp_path / "realtime_alerts")) for p in tmp_path.glob("realtime_alerts/runs/*/day=*")}
+    assert live <= on_disk
+    log.compact(spark)
+    assert wear(log.read(spark)) == sorted(expected)
+    assert len({r.day for r in log.commit(spark).runs}) == len(log.commit(spark).runs)
+
+
+def test_day_log_batch_is_in_as_a_whole_or_not(spark, tmp_path, monkeypatch):
+    log = replace(KeyedTable.named(str(tmp_path), "realtime_alerts"), fanout=2)
+    log.upsert(alert_rows(spark, [1, 2]), 0)
+    with monkeypatch.context() as broken:
+        broken.setattr(type(log), "_write_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            log.upsert(alert_rows(spark, [3, 4]), 1)
+    assert wear(log.read(spark)) == [1, 2]
+    log.upsert(alert_rows(spark, [3]), 1)
+    log.upsert(alert_rows(spark, [9]), 1)  # in already
+    assert wear(log.read(spark)) == [1, 2, 3]
+    assert commit_number(spark, str(tmp_path), 7) == 7
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "another")
+    try:
+        assert commit_number(spark, str(tmp_path), 0) == 2
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
