@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetpulse.operators.distribute import fits_broadcast, number_rows, running_total
+from fleetpulse.operators.distribute import as_of, fits_broadcast, number_rows, running_total
 from fleetpulse.params import ControllerParams, ScaleLimits
 from fleetpulse.session import ship, write_once
 
@@ -252,9 +252,15 @@ def cloud_backlog(
     """Records waiting for the next retraining, at the end of every window.
 
     ``feedback`` (edge_id, window_no) says in which windows a retrain notice arrived: it empties
-    the backlog. Without feedback, retraining empties it after every ``retrain_every`` cloud-routed
+    the backlog. With ``notice_time`` instead, notices are for all edges and empty the backlog at
+    that time. Without feedback, retraining empties it after every ``retrain_every`` cloud-routed
     records.
     """
+    if feedback is not None and "notice_time" in feedback.columns:
+        waiting = F.col("sent") - F.coalesce("emptied", F.lit(0))
+        return backlog_after(routed, feedback, limits).select(
+            "edge_id", "window_no", "cloud_messages", waiting.cast("int").alias("cloud_backlog")
+        )
     # One row per window, stored because the running total reads it twice.
     per_window = write_once(
         routed.groupBy("edge_id", "window_no").agg(F.count_if("to_cloud").alias("cloud_messages")),
@@ -274,6 +280,44 @@ def cloud_backlog(
     )
 
 
+def backlog_after(
+    routed: DataFrame, notices: DataFrame, limits: ScaleLimits = ScaleLimits()
+) -> DataFrame:
+    """(edge_id, window_no, cloud_messages, sent, emptied) at the end of every window.
+
+    ``sent`` counts the edge's cloud-routed records so far, ``emptied`` those among them from
+    before the newest notice then known, null without one. A notice falls in the first window
+    that reaches its time, and only the records of that window are looked at one by one. Records
+    without a time count as sent before all others.
+    """
+    per_window = write_once(
+        routed.groupBy("edge_id", "window_no").agg(
+            F.count_if("to_cloud").alias("cloud_messages"), F.max("event_time").alias("_until")
+        ),
+        "sent",
+    )
+    total = running_total(per_window, ["edge_id"], "window_no", "cloud_messages", "sent", limits)
+    # One row per window. A late message does not turn the time back.
+    so_far = Window.partitionBy("edge_id").orderBy("window_no")
+    total = total.withColumn("_until", F.max("_until").over(so_far))
+    seen = as_of(total, notices.select("notice_time"), "_until", "notice_time", "_notice", limits=limits)
+    seen = write_once(seen.withColumn("_at", F.col("_notice.notice_time")).drop("_notice", "_until"), "noticed")
+    first = F.struct("window_no", (F.col("sent") - F.col("cloud_messages")).alias("before"))
+    falls = seen.where("_at IS NOT NULL").groupBy("edge_id", "_at").agg(F.min(first).alias("_w"))
+    falls = write_once(falls.select("edge_id", "_at", "_w.window_no", "_w.before"), "falls")
+    earlier = F.coalesce(F.col("event_time") < F.col("_at"), F.lit(True))
+    inside = (
+        routed.where("to_cloud").select("edge_id", "window_no", "event_time")
+        .join(falls, ["edge_id", "window_no"])
+        .groupBy("edge_id", "_at")
+        .agg(F.count_if(earlier).alias("_inside"))
+    )
+    emptied = falls.join(inside, ["edge_id", "_at"], "left").select(
+        "edge_id", "_at", (F.col("before") + F.coalesce("_inside", F.lit(0))).alias("emptied")
+    )
+    return seen.join(emptied, ["edge_id", "_at"], "left").drop("_at")
+
+
 def controller_trace(states: DataFrame, backlog: DataFrame) -> DataFrame:
     """Controller state per window, backlog included."""
     return states.join(
@@ -310,11 +354,17 @@ def retrain_trigger(
     )
 
 
-def retrain_feedback(errors: DataFrame, error_col: str = "recon_error") -> DataFrame:
-    """The notice sent after a retraining: rows used and mean loss."""
+def retrain_feedback(
+    errors: DataFrame, error_col: str = "recon_error", at: Column | None = None
+) -> DataFrame:
+    """The notice sent after a retraining: rows used and mean loss.
+
+    Its time is ``at``, an aggregate over the rows in epoch seconds, or the present.
+    """
+    now = F.unix_micros(F.current_timestamp()) / 1e6
     return errors.agg(
         F.lit("retrain_complete").alias("type"),
         F.count(F.lit(1)).cast("int").alias("records_trained"),
         F.avg(error_col).alias("training_loss"),
-        (F.unix_micros(F.current_timestamp()) / 1e6).alias("timestamp"),
+        (now if at is None else F.coalesce(at, now)).alias("timestamp"),
     )

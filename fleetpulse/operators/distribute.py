@@ -190,3 +190,48 @@ def running_total(
         .withColumn(name, F.col("_start") + F.sum(value).over(inside))
         .drop("_block", "_start")
     )
+
+
+def as_of(
+    left: DataFrame,
+    right: DataFrame,
+    left_time: str,
+    right_time: str,
+    name: str,
+    keys: list[str] | None = None,
+    limits: ScaleLimits = ScaleLimits(),
+) -> DataFrame:
+    """Every left row with the newest right row that is not later, as a struct called ``name``.
+
+    Rows of both sides are put in one order of time, by ranges, so neither one key nor one busy
+    moment meets in a task, and no pair of rows is made that is not in the result. What is valid
+    at the end of a range is carried over to the next. A left row without a time, or with none
+    before it, gets null; right rows without a time are not used. Of right rows with the same time
+    the one with the larger values counts. ``keys``, where given, must be equal on both sides.
+    """
+    keys = keys or []
+    own, other = F.struct(*left.columns), F.struct(*right.columns)
+    tagged = [
+        left.select(*keys, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.xxhash64(own).alias("_mix"), own.alias("_own")),
+        right.where(F.col(right_time).isNotNull()).select(
+            *keys, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.lit(0).cast("bigint").alias("_mix"), other.alias(name)
+        ),
+    ]
+    order = ["_t", "_side", "_mix"]
+    together = tagged[0].unionByName(tagged[1], allowMissingColumns=True)
+    placed = write_once(
+        together.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()), "as_of"
+    )
+    newest = F.max(F.when(F.col("_side") == 0, F.struct("_t", name)))
+    inside = Window.partitionBy(*keys, "_part").orderBy("_t", "_side")
+    known = newest.over(inside)  # up to the row, and those equal to it in time and side
+    ends = placed.groupBy(*keys, "_part").agg(newest.alias("_end"))
+    earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range and key in it.
+    carried = ends.select(*keys, "_part", F.max("_end").over(earlier).alias("_carried"))
+    if fits_broadcast(carried, limits):
+        carried = F.broadcast(carried)
+    same = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*keys, "_part"]])
+    rows = placed.withColumn("_known", known).where("_side = 1").alias("l").join(carried.alias("c"), same)
+    found = F.when(F.col("_t").isNotNull(), F.greatest("_known", "_carried")[name])
+    return rows.select("l._own.*", found.alias(name))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.operators import controller as ctl
@@ -198,9 +198,12 @@ def run_retrain(
     params: ControllerParams = ControllerParams(),
     k: int = 4,
     path: str | None = None,
+    at: Column | None = None,
 ) -> DataFrame | None:
     """Fit the reconstruction model on the cloud history and return the notice to send.
 
+    ``at`` is the time of the notice, see ``retrain_feedback``.
+
     The model is saved if a path is given; ``ml.load_code`` and ``ml.apply_linear_code`` score
     with it. None when there are too few complete rows.
     """
@@ -211,4 +214,4 @@ def run_retrain(
     code = ml.fit_linear_code(rows, k)
     if path:
         ml.save_code(history.sparkSession, code, path)
-    return ctl.retrain_feedback(ml.apply_linear_code(rows, code))
+    return ctl.retrain_feedback(ml.apply_linear_code(rows, code), at=at)

@@ -22,7 +22,7 @@ _STATE = (
     "edge_id string, window_no bigint, action string, latency_threshold double, "
     "cloud_sample_rate double, retrain_interval int, edge_anomaly_rate double, avg_rtt double, "
     "seen bigint, sent bigint, pending struct<window_no:bigint,messages:bigint,rtt_sum:double,"
-    "outlier_latency:array<double>,outlier_draw:array<double>>"
+    "outlier_latency:array<double>,outlier_draw:array<double>>, emptied bigint"
 )
 
 
@@ -38,11 +38,16 @@ def control_batch(
     order_cols: list[str],
     params: ControllerParams = ControllerParams(),
     limits: ScaleLimits = ScaleLimits(),
+    notices: DataFrame | None = None,
 ) -> None:
     """Route one micro-batch and advance the state of its edges.
 
     Writes ``routed``, ``trace`` and ``state`` below ``root``, each in a folder named after the
     batch. The state is read from the batch before, so a replay gives the same again.
+
+    ``notices`` (notice_time) are the retrain notices that arrived with the batch. Each empties the
+    backlog at its time, or when it arrives if that is later; ``backlog`` then has the records
+    waiting at the end of each window, as far as the batch goes.
     """
     spark = batch.sparkSession
     before = _state_table(root).read(spark, before=batch_id)
@@ -89,11 +94,29 @@ def control_batch(
     pending = F.struct(
         "window_no", "messages", "rtt_sum", "outlier_latency", "outlier_draw"
     ).alias("pending")
+    last = None if notices is None else notices.agg(F.max("notice_time")).first()[0]
+    earlier = F.coalesce(F.col("event_time") < F.lit(last), F.lit(True)) if last else F.lit(False)
     counts = routed.groupBy("edge_id").agg(
-        F.count(F.lit(1)).alias("_rows"), F.count_if("to_cloud").alias("_sent")
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if("to_cloud").alias("_sent"),
+        F.count_if(F.col("to_cloud") & earlier).alias("_emptied"),
     )
+    sent, emptied = F.coalesce("sent", F.lit(0)), F.col("emptied")
+    if last:
+        emptied = sent + F.coalesce("_emptied", F.lit(0))
+    elif notices is not None:
+        emptied = F.coalesce("emptied", F.lit(0))
+    if notices is not None:
+        start = before.select("edge_id", F.col("sent").alias("_sent0"), F.col("emptied").alias("_emptied0"))
+        known_sent = F.coalesce("_sent0", F.lit(0))
+        waiting = known_sent + F.col("sent") - F.coalesce(known_sent + F.col("emptied"), F.col("_emptied0"), F.lit(0))
+        (
+            lookup_join(ctl.backlog_after(routed, notices, limits), start, "edge_id", limits=limits)
+            .select("edge_id", "window_no", "cloud_messages", waiting.cast("int").alias("cloud_backlog"))
+            .write.mode("overwrite").parquet(f"{root}/backlog/batch={batch_id}")
+        )
     after = (
-        before.select("edge_id", "seen", "sent")
+        before.select("edge_id", "seen", "sent", "emptied")
         .join(counts, "edge_id", "full")
         .join(known.groupBy("edge_id").agg(newest), "edge_id", "left")
         .join(
@@ -106,8 +129,9 @@ def control_batch(
             F.col("_s.window_no").alias("window_no"),
             *[F.col(f"_s.{c}").alias(c) for c in fields],
             (F.coalesce("seen", F.lit(0)) + F.coalesce("_rows", F.lit(0))).alias("seen"),
-            (F.coalesce("sent", F.lit(0)) + F.coalesce("_sent", F.lit(0))).alias("sent"),
+            (sent + F.coalesce("_sent", F.lit(0))).alias("sent"),
             "pending",
+            emptied.cast("bigint").alias("emptied"),
         )
     )
     _state_table(root).replace(after, version=batch_id)
@@ -123,12 +147,23 @@ def controller_states(
         "cloud_sample_rate",
         "retrain_interval",
         "edge_anomaly_rate",
-        (F.col("sent") % params.retrain_every).cast("int").alias("cloud_backlog"),
+        F.coalesce(F.col("sent") - F.col("emptied"), F.col("sent") % params.retrain_every)
+        .cast("int")
+        .alias("cloud_backlog"),
         "avg_rtt",
         F.current_timestamp().alias("last_updated"),
     )
 
 
+def controller_backlog(spark: SparkSession, root: str) -> DataFrame:
+    """Records waiting at the end of each window, where the stream was given notices."""
+    rows = spark.read.parquet(f"{root}/backlog")
+    return rows.groupBy("edge_id", "window_no").agg(
+        F.sum("cloud_messages").alias("cloud_messages"),
+        F.max_by("cloud_backlog", "batch").alias("cloud_backlog"),
+    )
+
+
 def controller_stream(
     rows: DataFrame,
     root: str,

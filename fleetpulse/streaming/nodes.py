@@ -1,7 +1,7 @@
 """The edge and the cloud as streams that talk over topics.
 
 The edge judges readings with its model, routes them under the controller, and sends alerts and
-offloaded readings. The cloud keeps alerts and history, and after every so many records retrains
+offloaded readings; notices of the cloud empty its backlog. The cloud keeps alerts and history, and after every so many records retrains
 its model, saves it and sends a notice. Folders are named after the batch, so a replayed batch
 overwrites what it wrote; messages are sent at least once.
 """
@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from fleetpulse.functions.expressions import epoch_seconds, from_epoch_seconds
 from fleetpulse.operators import controller as ctl
 from fleetpulse.operators.ingest import nest_alert, tag_offload, wire_struct
 from fleetpulse.params import ControllerParams, ScaleLimits
 from fleetpulse.plans import jobs
-from fleetpulse.session import scratch
+from fleetpulse.session import scratch, write_once
 from fleetpulse.sources import readers
 from fleetpulse.sources.tables import SnapshotTable, commit_number
 from fleetpulse.sources.writers import as_messages, history_rows
@@ -38,10 +39,11 @@ def edge_batch(
     order_cols: list[str],
     params: ControllerParams = ControllerParams(),
     limits: ScaleLimits = ScaleLimits(),
+    notices: DataFrame | None = None,
 ) -> None:
     """Judge, route and send one micro-batch; the controller's state moves on below ``root``."""
     judged = model.judge(batch)
-    control_batch(judged, batch_id, root, OUTLIER, order_cols, params, limits)
+    control_batch(judged, batch_id, root, OUTLIER, order_cols, params, limits, notices)
     routed = batch.sparkSession.read.parquet(f"{root}/routed/batch={batch_id}")
     alerts = nest_alert(ctl.edge_alerts(routed, OUTLIER))
     send(as_messages(alerts), readers.ALERT_TOPIC)
@@ -50,6 +52,29 @@ def edge_batch(
     send(as_messages(offloaded, body), readers.CLOUD_TOPIC)
 
 
+def released(rows: DataFrame, batch_id: int, root: str, delay: float) -> tuple[DataFrame, Callable[[], None]]:
+    """The rows, of this batch and held back before, whose time has come, and how to note the rest.
+
+    Time is that of the newest row so far, less ``delay`` seconds. Later rows are kept below
+    ``root`` and come with a later batch; rows without a time come at once.
+    """
+    spark = rows.sparkSession
+    clock = SnapshotTable(f"{root}/clock", "mark timestamp")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    held = SnapshotTable(f"{root}/held", columns)
+    every = write_once(held.read(spark, before=batch_id).unionByName(rows), "arrived")
+    newest = every.agg((F.max("event_time") - F.make_dt_interval(secs=F.lit(delay))).alias("mark"))
+    marks = clock.read(spark, before=batch_id).unionByName(newest)
+    mark = write_once(marks.agg(F.max("mark").alias("mark")), "mark")
+    waits = F.coalesce(F.col("event_time") > mark.scalar(), F.lit(False))
+
+    def note() -> None:
+        held.replace(every.where(waits), version=batch_id)
+        clock.replace(mark, version=batch_id)
+
+    return every.where(~waits), note
+
+
 def _records(root: str) -> SnapshotTable:
     return SnapshotTable(f"{root}/records", "records bigint")
 
@@ -78,7 +103,8 @@ def cloud_batch(
     records = seen + readers.read_history_csv(spark, folder).count()
     if records // every > seen // every:
         history = readers.read_history_csv(spark, f"{root}/history")
-        notice = jobs.run_retrain(history, params, path=f"{root}/model/batch={batch_id}")
+        newest = F.max(epoch_seconds(F.col("event_time")))
+        notice = jobs.run_retrain(history, params, path=f"{root}/model/batch={batch_id}", at=newest)
         if notice is not None:
             send(as_messages(notice), readers.CONTROLLER_TOPIC)
     now = spark.range(1).select(F.lit(records).cast("bigint").alias("records"))
@@ -109,14 +135,32 @@ def edge_stream(
     send: Send,
     order_cols: list[str],
     params: ControllerParams = ControllerParams(),
+    notices: DataFrame | None = None,
+    delay: float = 0.0,
     **trigger,
 ):
-    """Start the edge on readings with ``edge_id``, ``latency_ms`` and ``draw``."""
+    """Start the edge on readings with ``edge_id``, ``latency_ms`` and ``draw``.
 
-    def handle(batch: DataFrame, number: int) -> None:
+    ``notices`` is the stream of retrain notices. Both are one stream, taken in the order of event
+    time: what is newer than the newest so far less ``delay`` seconds waits for a later batch. A
+    notice empties the backlog in the window that its time falls in.
+    """
+
+    def plain(batch: DataFrame, number: int) -> None:
         edge_batch(batch, number, root, model, send, order_cols, params)
 
-    return _start(readings, checkpoint, root, handle, trigger)
+    def ordered(batch: DataFrame, number: int) -> None:
+        rows, note = released(batch, number, root, delay)
+        told = rows.where("_notice").select(F.col("event_time").alias("notice_time"))
+        given = rows.where("NOT _notice").drop("_notice")
+        edge_batch(given, number, root, model, send, order_cols, params, notices=told)
+        note()
+
+    if notices is None:
+        return _start(readings, checkpoint, root, plain, trigger)
+    told = notices.select(from_epoch_seconds(F.col("timestamp")).alias("event_time"), F.lit(True).alias("_notice"))
+    both = readings.withColumn("_notice", F.lit(False)).unionByName(told, allowMissingColumns=True)
+    return _start(both, checkpoint, root, ordered, trigger)
 
 
 def cloud_stream(

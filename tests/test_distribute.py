@@ -76,3 +76,24 @@ def test_rows_of_a_hot_key_are_dealt(spark, skewed):
 def test_measured_size_counts_text_and_lists(spark):
     df = spark.createDataFrame([("abc", ["x", "yy"]), (None, None)], "a string, b array<string>")
     assert D.measured_bytes(df) == 2 * 32 + 3 + (4 + 32)
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_as_of_equals_plain_version(spark, keys):
+    rng = random.Random(4)
+    times = [None, *range(0, 40, 3), 12, 12]
+    left = [(i, rng.choice("ab"), rng.choice(times)) for i in range(300)] + [(500, "a", 12)] * 200
+    right = [(rng.choice("ab"), rng.choice(times), v) for v in range(12)]
+    found = D.as_of(
+        spark.createDataFrame(left, "i int, k string, t int").repartition(3),
+        spark.createDataFrame(right, "k string, at int, v int"),
+        "t", "at", "hit", keys,
+    )
+
+    def plain(k, t):
+        known = [(at, k2, v) for k2, at, v in right if at is not None and t is not None and at <= t and (not keys or k2 == k)]
+        best = max(known, key=lambda r: (r[0], r[1], r[2]), default=None)
+        return None if best is None else (best[1], best[0], best[2])
+
+    made = [(r.i, r.k, r.t, r.hit and tuple(r.hit)) for r in found.collect()]
+    assert sorted(map(repr, made)) == sorted(repr((*row, plain(row[1], row[2]))) for row in left)

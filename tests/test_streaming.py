@@ -9,7 +9,7 @@ from fleetpulse.sources import readers, writers
 from fleetpulse.sources.tables import KeyedTable, SnapshotTable
 from fleetpulse.streaming import nodes
 from fleetpulse.streaming import scored as stream
-from fleetpulse.streaming.controller import control_batch, controller_states, controller_stream
+from fleetpulse.streaming.controller import control_batch, controller_backlog, controller_states, controller_stream
 
 PARAMS = ControllerParams(window_size=20, retrain_every=30)
 
@@ -229,3 +229,39 @@ def test_cloud_retrains_at_the_controllers_interval(spark, readings, tmp_path):
     assert [t for t, _ in sent] == [readers.CONTROLLER_TOPIC] * 2  # at 500 and at 750 records
     assert '"records_trained":500' in sent[0][1] and '"records_trained":750' in sent[1][1]
     assert nodes._records(root).read(spark).first().records == 750
+
+
+class Fixed:
+    """A model that finds nothing."""
+
+    def judge(self, rows):
+        return rows.withColumn("prediction", F.lit(1))
+
+
+def test_edge_takes_readings_and_notices_in_order_of_time(spark, tmp_path):
+    """Whatever batch they come in, with a delay that covers the disorder."""
+    seconds = [[10, 20, 30, 70], [40, 50, 60], [], [200]]  # 70 comes before 40 to 60
+    notices = [[55.0], [], [25.0], []]  # the first comes early, the second when 30 has been passed on
+    readings, told, root = str(tmp_path / "r"), str(tmp_path / "n"), str(tmp_path / "edge")
+    row = "event_id bigint, event_time timestamp, machine_id string, edge_id string, latency_ms int, draw double"
+    notice = "type string, records_trained int, training_loss double, timestamp double"
+    waiting = []
+    for times, marks in zip(seconds, notices):
+        made = spark.createDataFrame([(t,) for t in times], "t bigint").select(
+            F.col("t").alias("event_id"), F.timestamp_seconds("t").alias("event_time"), F.lit("m").alias("machine_id"),
+            F.lit("e").alias("edge_id"),
+            F.lit(50).alias("latency_ms"), F.lit(0.5).alias("draw"),
+        )
+        made.write.mode("append").parquet(readings)
+        spark.createDataFrame([("retrain_complete", 1, 0.0, m) for m in marks], notice).write.mode("append").parquet(told)
+        nodes.edge_stream(
+            spark.readStream.schema(row).parquet(readings), root, f"{root}-checkpoint", Fixed(), lambda *_: None,
+            ["event_time", "event_id"], ControllerParams(window_size=2),
+            notices=spark.readStream.schema(notice).parquet(told), delay=30.0, availableNow=True,
+        ).awaitTermination()
+        found = controller_backlog(spark, root).orderBy("window_no").collect()
+        waiting.append([(r.window_no, r.cloud_messages, r.cloud_backlog) for r in found])
+    assert waiting[0] == [(0, 2, 2), (1, 1, 3)]  # up to 40 is passed on
+    assert waiting[1] == waiting[2] == [(0, 2, 2), (1, 2, 4)]  # only 40 more
+    # The late notice has emptied all four, the one of 55 the reading of 50 as well.
+    assert waiting[3] == [(0, 2, 2), (1, 2, 4), (2, 2, 1), (3, 1, 2)]

@@ -672,6 +672,32 @@ def oracle_sql() -> dict[str, str]:
         "route8",
     )
 
+    per_window = """SELECT edge_id, window_no, count(*) FILTER (WHERE to_cloud) AS cloud_messages,
+        max(event_us) AS until FROM route8 GROUP BY edge_id, window_no"""
+    out["backlog_notices"] = _sql(
+        f"""SELECT w.edge_id, w.window_no, w.cloud_messages, CAST(w.sent - (
+              SELECT count(*) FROM route8 r WHERE r.to_cloud AND r.edge_id = w.edge_id AND r.event_us < w.notice
+            ) AS INTEGER) AS cloud_backlog
+            FROM (
+              SELECT x.*, sum(cloud_messages) OVER (PARTITION BY edge_id ORDER BY window_no) AS sent,
+                (SELECT max(n.event_us) FROM (
+                  SELECT event_us, row_number() OVER (ORDER BY event_us, event_id) AS records FROM route8 WHERE to_cloud
+                ) n WHERE n.records % 500 = 0 AND n.event_us <= x.until) AS notice
+              FROM ({per_window}) x) w""",
+        "route8",
+    )
+    # The notice is on its way when the first half has been sent, if that were 500 records or more.
+    out["feedback_loop"] = _sql(
+        f"""SELECT w.edge_id, w.window_no, w.cloud_messages,
+              CAST(w.sent - CASE WHEN w.until >= 1705276800000000 AND t.total >= 500 THEN coalesce(h.half, 0) ELSE 0 END
+                AS INTEGER) AS cloud_backlog
+            FROM (SELECT x.*, sum(cloud_messages) OVER (PARTITION BY edge_id ORDER BY window_no) AS sent
+                  FROM ({per_window}) x) w
+            LEFT JOIN (SELECT edge_id, count(*) AS half FROM route8
+                       WHERE to_cloud AND event_us < 1705276800000000 GROUP BY edge_id) h ON h.edge_id = w.edge_id,
+            (SELECT count(*) AS total FROM route8 WHERE to_cloud AND event_us < 1705276800000000) t""",
+        "route8",
+    )
     out["edge_stream"] = _sql(edge.format(t="route8"), "route8")
     out["cloud_stream"] = _sql(
         """SELECT count(*) AS records, CAST(sum(tool_wear) AS BIGINT) AS wear, count(*) AS trained,

@@ -25,7 +25,7 @@ from fleetpulse.sources import readers, writers
 from fleetpulse.sources.events import read_events, telemetry, utc
 from fleetpulse.sources.tables import KeyedTable, SnapshotTable
 from fleetpulse.streaming import nodes
-from fleetpulse.streaming.controller import controller_states, controller_stream
+from fleetpulse.streaming.controller import controller_backlog, controller_states, controller_stream
 from fleetpulse.streaming.scored import GraphContext, alert_feed, stream_scored
 
 ORDER = ["event_time", "event_id"]
@@ -978,6 +978,40 @@ def cloud_stream(spark, sf_dir):
     )
 
 
+def backlog_notices(spark, sf_dir):
+    """Backlog per window where a notice goes out with every 500th record of all edges."""
+    routed = routing(spark, sf_dir).routed
+    notices = ctl.retrain_trigger(routed.where("to_cloud"), ORDER).select(F.col("event_time").alias("notice_time"))
+    return ctl.cloud_backlog(routed, feedback=notices)
+
+
+def feedback_loop(spark, sf_dir):
+    """Edge and cloud in turns: the notices for the first half of the month reach the edge with the second."""
+    root, topics, source = (work_path(spark, n) for n in ("loop", "loop_topics", "loop_readings"))
+
+    def send(messages, topic):
+        writers.write_messages(messages, topic, fmt="files", path=topics)
+
+    def listen(*names):
+        return readers.read_messages(spark, list(names), fmt="files", path=topics)
+
+    send(spark.createDataFrame([("{}",)], "value string"), readers.CONTROLLER_TOPIC)  # not a notice
+    rows = telemetry(spark, sf_dir).drop("connected_to")
+    early = F.col("event_time") < F.timestamp_seconds(F.lit(1705276800))  # 15 January 2024
+    for part in (rows.where(early), rows.where(~early)):
+        part.write.mode("append").parquet(source)
+        nodes.edge_stream(
+            spark.readStream.schema(rows.schema).parquet(source), f"{root}/edge", f"{root}/edge-checkpoint",
+            BaseVerdict(), send, ORDER, notices=readers.parse_feedback(listen(readers.CONTROLLER_TOPIC)),
+            availableNow=True,
+        ).awaitTermination()
+        nodes.cloud_stream(
+            listen(readers.ALERT_TOPIC, readers.CLOUD_TOPIC), f"{root}/cloud", f"{root}/cloud-checkpoint", send,
+            availableNow=True,
+        ).awaitTermination()
+    return controller_backlog(spark, f"{root}/edge")
+
+
 # The same operators where nothing may be broadcast, keys are hot early and graphs are bucketed.
 TINY = ScaleLimits(broadcast_bytes=0, hot_rows=200, bucket_rows=50, page_rows=4, block_rows=16)
 
@@ -1030,7 +1064,7 @@ latest_alerts alert_ticker sensor_series states_snapshot fleet_summary machines_
 pagerank_board pagerank_top10 community_members community_top5 controller_lookup
 controller_card latency_bands alert_feed
 stream_scored context_refresh latest_state archive_stream controller_stream
-edge_stream cloud_stream
+edge_stream cloud_stream backlog_notices feedback_loop
 pagerank_large label_propagation_large graph_scored_large route_readings_large
 """.split()
 
