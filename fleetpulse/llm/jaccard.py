@@ -6,14 +6,15 @@ of the first ``size - least overlap + m`` shingles in that order, for every ``m`
 
 1. Equal sets are one node. Shingles are counted in a fixed number of counters over all texts; the
    logarithm of the count, then the hash, gives the order.
-2. Shingles in the one-match prefixes of two nodes or more are buckets. In each bucket all nodes are
-   compared with one of them first. What these verified pairs link need not be compared again, so
-   a large group of near copies costs a row per node and bucket, not its pairs.
-3. Each node then picks its ``m``: more matches mean a longer prefix to carry, and fewer candidates
-   to verify. The number of candidates is estimated from the sizes of the node's buckets and from
-   the share of the pairs of step 2 that had ``m`` matches and yet were no links.
-4. Within buckets, pairs of nodes not yet linked that share as many prefix shingles as the less
-   demanding of them asks for are verified on their whole sets.
+2. Each node picks its ``m``. One match more is one more shingle to post; no more nodes can share
+   ``m`` of its shingles than the estimated postings of these shingles divided by ``m``, and each
+   of them has to be verified. The cheapest sum wins, so nodes with frequent shingles ask for more.
+3. Shingles in the prefixes of two nodes or more are buckets. In each bucket all nodes are compared
+   with one of them first. What is linked by then need not be compared again, so a large group of
+   near copies costs a row per node and bucket, not its pairs.
+4. Pairs of nodes not yet linked are counted by shared bucket in small buckets, and matched inside
+   one task in large ones. Those that share as many shingles as the less demanding of them asks
+   for are verified on their whole sets.
 """
 
 from __future__ import annotations
@@ -35,8 +36,11 @@ from fleetpulse.session import write_once
 SHINGLE = 3
 PERCENT = 90
 COUNTERS = 1 << 22  # of shingles; they fix the size of what is broadcast, one byte for each
-MATCHES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32)  # numbers of shared prefix shingles to choose from
-BLOCK = 2048  # nodes of a bucket that one task compares with each other
+MATCHES = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32])  # shared prefix shingles to choose from
+POSTING, CANDIDATE = 24.0, 1000.0  # bytes moved for a posting, and on average for a pair of nodes
+CHANCE = 0.05  # other nodes with a shingle, at least: counters do not tell very rare ones apart
+SMALL = 64  # nodes of a bucket up to which its pairs are counted by a join
+BLOCK = 2048  # nodes of a larger bucket that one task compares with each other
 _CHUNK = 1 << 16  # counters sent in one row
 _COLUMNS = 4096
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -131,21 +135,37 @@ def least_overlap(n, percent: int = PERCENT):
     return F.floor(need / 100) if isinstance(n, Column) else need // 100
 
 
-def prefixes(sets: DataFrame, levels: np.ndarray, percent: int = PERCENT, most: int = MATCHES[-1]) -> DataFrame:
-    """(key, n, first, prefix): shingles in order, enough for ``most`` matches; ``first`` for one."""
+def choose_matches(first: int, most: int, others: np.ndarray) -> int:
+    """The cheapest number of matches for a node whose one-match prefix has ``first`` shingles.
+
+    ``others`` estimates, in order, with how many other nodes it shares each shingle.
+    """
+    choices = MATCHES[MATCHES <= max(most, 1)]
+    lengths = np.minimum(first + choices - 1, len(others))
+    candidates = np.cumsum(others)[lengths - 1] / choices
+    return int(choices[np.argmin(POSTING * lengths + CANDIDATE * candidates)])
+
+
+def prefixes(sets: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """(key, n, matches, prefix): the number of matches of each node, and its prefix for them."""
     sent = sets.sparkSession.sparkContext.broadcast(levels)
     mask = np.uint64(len(levels) - 1)
+    counts = np.exp2(np.arange(256) / 8.0) - 1
+    # What a counter holds of other shingles, in the middle.
+    others = np.maximum(counts - counts[int(np.median(levels))] - 1, CHANCE)
 
     def rows(columns):
-        ns = columns["n"].to_pylist()
-        firsts = [n - least_overlap(n, percent) + 1 for n in ns]
-        kept = []
-        for tokens, first in zip(_arrays(columns["tokens"]), firsts):
+        ns, matches, kept = columns["n"].to_pylist(), [], []
+        for n, tokens in zip(ns, _arrays(columns["tokens"])):
+            least = least_overlap(n, percent)
             level = sent.value[(tokens & mask).astype(np.int64)]
-            kept.append(tokens[np.argsort(level, kind="stable")[: first + most - 1]])
-        return {"key": columns["key"], "n": ns, "first": firsts, "prefix": _lists(kept)}
+            order = np.argsort(level, kind="stable")
+            m = choose_matches(n - least + 1, least, others[level[order]])
+            matches.append(m)
+            kept.append(tokens[order[: n - least + m]])
+        return {"key": columns["key"], "n": ns, "matches": matches, "prefix": _lists(kept)}
 
-    schema = fields("key binary", "n bigint", "first int", "prefix array<bigint>")
+    schema = fields("key binary", "n bigint", "matches int", "prefix array<bigint>")
     return map_batches(sets.where("n > 0").select("key", "n", "tokens"), rows, schema)
 
 
@@ -153,100 +173,87 @@ def prefixes(sets: DataFrame, levels: np.ndarray, percent: int = PERCENT, most:
 
 
 def buckets(ordered: DataFrame) -> DataFrame:
-    """(token, key, n, at): shingles in the one-match prefixes of two nodes or more, each node once."""
-    posted = ordered.select("key", "n", F.posexplode(F.slice("prefix", F.lit(1), F.col("first"))).alias("at", "token"))
+    """(token, key, n, matches, at): shingles in the prefixes of two nodes or more, each node once."""
+    posted = ordered.select("key", "n", "matches", F.posexplode("prefix").alias("at", "token"))
     head = F.xxhash64("key")
     met = posted.groupBy("token").agg(F.min(head).alias("low"), F.max(head).alias("high"))
     live = write_once(met.where("low <> high").select("token"), "live_shingles")
     return lookup_join(posted, live, "token", "inner").dropDuplicates(["token", "key"])
 
 
-def _of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """One row for each node of the pairs."""
-    keys = write_once(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
-    return write_once(lookup_join(rows, keys, "key", "left_semi").dropDuplicates(["key"]), "nodes")
-
-
-def _both(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs with the columns of both nodes, as a_* and b_*."""
-    for side in ("a", "b"):
-        own = nodes.select(F.col("key").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in nodes.columns if c != "key"))
-        pairs = pairs.join(own, side)
-    return pairs
-
-
-def compare_prefixes(pairs: DataFrame, ordered: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b, reached): for each of ``MATCHES`` whether the prefixes share as many. Links reach all."""
-
-    def prefix(side: str, m: int) -> Column:
-        return F.slice(f"{side}_prefix", F.lit(1), F.col(f"{side}_first") + m - 1)
+def _possible(n: Column, other: Column, percent: int) -> Column:
+    return 100 * F.least(n, other) >= percent * F.greatest(n, other)
 
-    least = F.least(least_overlap(F.col("a_n"), percent), least_overlap(F.col("b_n"), percent))
-    reached = [
-        F.size(F.array_intersect(prefix("a", m), prefix("b", m))) >= F.least(F.lit(m), least) for m in MATCHES
-    ]
-    joined = _both(pairs, _of(pairs, ordered.select("key", "n", "first", "prefix")))
-    return write_once(joined.select("a", "b", F.array(*reached).alias("reached")), "compared_prefixes")
 
+def star_pairs(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): in each bucket the first node with all others, where they meet often enough."""
+    one = F.min(F.struct("key", "n", "matches")).alias("one")
+    first = write_once(shared.groupBy("token").agg(one), "bucket_heads")
+    met = lookup_join(shared, first, "token", "inner").where(
+        (F.col("key") != F.col("one.key")) & _possible(F.col("n"), F.col("one.n"), percent)
+    )
+    enough = F.max(F.least("matches", "one.matches")).alias("enough")
+    pairs = met.groupBy(F.col("one.key").alias("a"), F.col("key").alias("b")).agg(F.count(F.lit(1)).alias("met"), enough)
+    return pairs.where("met >= enough").select("a", "b")
 
-def verify(compared: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b): the pairs that are links, by their whole sets.
 
-    Only sets of pairs that reach every number of matches are moved.
-    """
-    pairs = compared.where(F.forall("reached", lambda x: x)).select("a", "b")
+def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): the pairs that are links, by their whole sets. Only sets that some pair needs are moved."""
+    pairs = write_once(pairs, "candidates")
+    keys = write_once(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
+    asked = lookup_join(sets.select("key", "n", "tokens"), keys, "key", "left_semi").dropDuplicates(["key"])
+    asked = write_once(asked, "sets_of_candidates")
+    for side in ("a", "b"):
+        pairs = pairs.join(asked.select(*(F.col(c).alias(side if c == "key" else f"{side}_{c}") for c in asked.columns)), side)
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
     linked = 100 * shared >= percent * (F.col("a_n") + F.col("b_n") - shared)
-    joined = _both(pairs, _of(pairs, sets.select("key", "n", "tokens")))
-    return write_once(joined.where(linked).select("a", "b"), "links")
-
-
-def _survival(compared: DataFrame, links: DataFrame) -> list[float]:
-    """For each of ``MATCHES`` the share of pairs that are no links and yet have as many matches."""
-    row = compared.agg(*(F.count_if(F.col("reached")[i]) for i in range(len(MATCHES)))).first()
-    found = links.count()
-    return [(1 + n - found) / (1 + row[0] - found) for n in row]
+    return write_once(pairs.where(linked).select("a", "b"), "links")
 
 
-def choose_matches(shared: DataFrame, survival: list[float], percent: int = PERCENT) -> DataFrame:
-    """(key, matches): the cheapest number of matches for each node, in bytes moved.
+def counted_pairs(small: DataFrame, in_large: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): pairs of nodes with different roots that meet in small buckets, and often enough.
 
-    One match more takes one more shingle into every bucket of the node. A candidate costs half
-    of two sets. The candidates with one match are the other nodes of all its buckets; with more
-    matches the measured share of them.
+    ``in_large`` (key, more) says in how many large buckets a node is: so many of the matches may
+    be missing here.
     """
-    sizes = write_once(shared.groupBy("token").agg(F.count(F.lit(1)).alias("met")), "bucket_sizes")
-    load = lookup_join(shared, sizes, "token", "inner").groupBy("key").agg(
-        F.max("n").alias("n"), F.count(F.lit(1)).alias("own"), F.sum(F.col("met") - 1).alias("others")
+    sides = [small.select("token", *(F.col(c).alias(f"{x}_{c}") for c in ("key", "n", "matches", "root"))) for x in "ab"]
+    met = sides[0].join(sides[1], "token").where(
+        (F.col("a_key") < F.col("b_key")) & (F.col("a_root") != F.col("b_root")) & _possible(F.col("a_n"), F.col("b_n"), percent)
     )
-    costs = [
-        F.struct((F.col("own") * 8.0 * (m - 1) + F.col("others") * s * 8.0 * F.col("n")).alias("cost"), F.lit(m).alias("m"))
-        for m, s in zip(MATCHES, survival)
-    ]
-    possible = F.greatest(least_overlap(F.col("n"), percent), F.lit(1))
-    return load.select("key", F.least(F.array_min(F.array(*costs))["m"], possible).cast("int").alias("matches"))
+    pairs = met.groupBy(F.col("a_key").alias("a"), F.col("b_key").alias("b")).agg(
+        F.count(F.lit(1)).alias("met"), F.max(F.least("a_matches", "b_matches")).alias("enough")
+    )
+    for side in ("a", "b"):
+        own = in_large.select(F.col("key").alias(side), F.col("more").alias(f"{side}_more"))
+        pairs = pairs.join(own, side, "left")
+    zero = F.lit(0)
+    missing = F.least(F.coalesce("a_more", zero), F.coalesce("b_more", zero))
+    return pairs.where(F.col("met") + missing >= F.col("enough")).select("a", "b")
 
 
-def candidates(shared: DataFrame, nodes: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """(a, b): pairs of nodes with different roots that share enough of their prefixes.
+def matched_pairs(large: DataFrame, ordered: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """(a, b): pairs of nodes with different roots in large buckets that share enough of their prefixes.
 
-    ``nodes`` has key, root, matches and the prefix for as many. A bucket of more than ``block``
-    nodes is dealt out in blocks, and each pair of blocks goes to a task of its own. A pair comes
-    from the bucket of the first shingle that both prefixes have, so from one bucket only.
+    A bucket of more than ``block`` nodes is dealt out in blocks, and each pair of blocks goes to a
+    task of its own. A pair comes from the bucket of the first shingle that both prefixes have, so
+    from one bucket only, and from none if that is a small one.
     """
-    joined = write_once(shared.join(nodes, "key"), "bucket_nodes")
-    groups = joined.groupBy("token").agg(
+    groups = large.groupBy("token").agg(
         F.count(F.lit(1)).alias("met"), F.min("root").alias("low"), F.max("root").alias("high")
     )
     mixed = write_once(
         groups.where("low <> high").select("token", F.ceil(F.col("met") / block).alias("blocks")), "mixed_buckets"
     )
+    wanted = write_once(lookup_join(large, mixed, "token", "inner"), "mixed_nodes")
+    keys = write_once(wanted.select("key").distinct(), "keys")
+    heads = lookup_join(ordered.select("key", "prefix"), keys, "key", "left_semi").dropDuplicates(["key"])
+    joined = wanted.join(heads, "key")
     own = F.pmod(F.xxhash64("key"), F.col("blocks"))
     others = F.transform(
         F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1),
         lambda x: F.least(x, own) * F.col("blocks") + F.greatest(x, own),
     )
-    dealt = lookup_join(joined, mixed, "token", "inner").select(
+    dealt = joined.select(
         "token", F.explode(others).alias("cell"), "key", "root", "n", "at", "matches", "prefix", own.alias("block"),
         "blocks",
     )
@@ -314,8 +321,8 @@ def _matching(held: list[tuple], percent: int) -> tuple[list[bytes], list[bytes]
 
 
 def near_sets(
-    docs: DataFrame, id_col: str = "doc_id", size: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK,
-    counters: int = COUNTERS,
+    docs: DataFrame, id_col: str = "doc_id", size: int = SHINGLE, percent: int = PERCENT, small: int = SMALL,
+    block: int = BLOCK, counters: int = COUNTERS,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id.
 
@@ -330,27 +337,19 @@ def near_sets(
     each = sets.select("_id", "key", "n")
     ordered = write_once(prefixes(sets, count_levels(sets, counters), percent), "prefixes")
     shared = write_once(buckets(ordered), "buckets")
-
-    first = write_once(shared.groupBy("token").agg(F.min(F.struct("key", "n")).alias("one")), "bucket_heads")
-    star = lookup_join(shared, first, "token", "inner").where(
-        (F.col("key") != F.col("one.key"))
-        & (100 * F.least("n", "one.n") >= percent * F.greatest("n", "one.n"))
-    )
-    star = write_once(star.select(F.col("one.key").alias("a"), F.col("key").alias("b")).distinct(), "star_pairs")
-    compared = compare_prefixes(star, ordered, percent)
-    links = verify(compared, sets, percent)
-    roots = component_roots(links)
-
-    chosen = choose_matches(shared, _survival(compared, links), percent)
-    placed = chosen.join(roots, chosen["key"] == roots["node"], "left").select(
-        "key", "matches", F.coalesce("root", "key").alias("root")
-    )
-    placed = write_once(placed, "chosen_matches")
-    own = lookup_join(ordered, placed, "key", "inner").dropDuplicates(["key"]).select(
-        "key", "root", "matches", F.slice("prefix", F.lit(1), F.col("first") + F.col("matches") - 1).alias("prefix")
+    roots = component_roots(verify(star_pairs(shared, percent), sets, percent))
+
+    placed = lookup_join(shared, write_once(roots.withColumnRenamed("node", "key"), "roots"), "key")
+    placed = placed.withColumn("root", F.coalesce("root", "key"))
+    sizes = shared.groupBy("token").agg(F.count(F.lit(1)).alias("met"))
+    hot = write_once(sizes.where(F.col("met") > small).select("token", F.lit(True).alias("large")), "large_buckets")
+    placed = write_once(lookup_join(placed, hot, "token").withColumn("large", F.coalesce("large", F.lit(False))), "placed")
+    large = placed.where("large")
+    in_large = large.groupBy("key").agg(F.count(F.lit(1)).alias("more"))
+    found = counted_pairs(placed.where("not large"), in_large, percent).unionByName(
+        matched_pairs(large, ordered, percent, block)
     )
-    found = write_once(candidates(shared, write_once(own, "matching_prefixes"), percent, block), "candidates")
-    more = verify(compare_prefixes(found, ordered, percent), sets, percent)
+    more = verify(found, sets, percent)
     known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     final = component_roots(known.unionByName(more))
 

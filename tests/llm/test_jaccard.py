@@ -65,11 +65,11 @@ def test_cases_equal_plain_version(spark):
     assert found(blank) == sorted(map(repr, [(1, 0, 1), (2, 0, 2), (None, 0, None)]))
 
 
-@pytest.mark.parametrize("seed, block, counters", [(1, jaccard.BLOCK, jaccard.COUNTERS), (2, 3, 16)])
-def test_near_copies_equal_plain_version(spark, seed, block, counters):
+@pytest.mark.parametrize("seed, small, block, counters", [(1, 64, 2048, jaccard.COUNTERS), (2, 5, 7, 16), (3, 1, 2048, 1 << 16)])
+def test_near_copies_equal_plain_version(spark, seed, small, block, counters):
     rows = near_copies(seed)
     docs = spark.createDataFrame(rows, cases.DOCS).repartition(3)
-    assert found(docs, block=block, counters=counters) == plain(rows)
+    assert found(docs, small=small, block=block, counters=counters) == plain(rows)
 
 
 @given(st.integers(0, 10**6), st.sampled_from([1, 2, 3, 5]), st.sampled_from([50, 80, 90]))
@@ -90,10 +90,7 @@ def test_similar_sets_share_their_prefixes(seed, matches, percent):
         assert len(heads[0] & heads[1]) >= min(matches, least)
 
 
-def test_more_matches_where_buckets_are_large(spark):
-    small = [(t, bytes([k]), 100) for t in range(5) for k in (1, 2)]
-    large = [(10 + t, bytes([k]), 100) for t in range(5) for k in range(10, 110)]
-    shared = spark.createDataFrame([*small, *large], "token bigint, key binary, n bigint")
-    chosen = jaccard.choose_matches(shared, [0.5 ** m for m in range(len(jaccard.MATCHES))])
-    by = {bytes(r["key"])[0]: r["matches"] for r in chosen.collect()}
-    assert by[1] < by[10]
+def test_more_matches_where_shingles_are_frequent():
+    rare, frequent = np.full(300, jaccard.CHANCE), np.full(300, 40.0)
+    assert jaccard.choose_matches(31, 270, rare) < jaccard.choose_matches(31, 270, frequent)
+    assert jaccard.choose_matches(1, 1, np.ones(1)) == 1
