@@ -104,13 +104,17 @@ FAMILIES = ("unknown", *sorted(TEMPLATES))
 COMMON = frozenset("a an and are by can for in is it of or that the this to under with without work you".split())
 
 _WORD = r"[\p{L}\p{N}]"
+_INNER = r"[\p{L}\p{N}+-]"
 _MARK = r"^\s*(?:rem|REM|dnl)\s"  # comment marks that are words; others are no part of a word
 
 
 def words(text: Column) -> Column:
     """Lower-case words; signs other than + and - within a word separate."""
-    parts = F.split(F.lower(text), r"[^\p{L}\p{N}+-]+")
-    return F.filter(F.transform(parts, lambda w: F.regexp_replace(w, r"^[-+]+|-+$", "")), lambda w: w != "")
+    low = F.lower(text)
+    # Signs at the edge of a word go in one pass, and only from texts that have any.
+    edges = rf"(?<!{_INNER})[-+]+|-+(?!{_INNER})"
+    inner = F.when(low.contains("-") | low.contains("+"), F.regexp_replace(low, edges, " ")).otherwise(low)
+    return F.filter(F.split(inner, r"[^\p{L}\p{N}+-]+"), lambda w: w != "")
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
@@ -163,12 +167,40 @@ def windows(docs: DataFrame) -> DataFrame:
     told = docs.where(F.col("text").contains("\n") & any_of & F.lower("text").rlike(somewhere))
     lines = F.transform(F.split("text", "\n"), lambda x: words(F.regexp_replace(x, _MARK, " ")))
     listed = told.select(text_key().alias("key"), lines.alias("lines"))
-    cut = F.transform("lines", lambda x: F.slice(x, 1, SPAN))
-    starts = listed.select("key", cut.alias("heads"), F.posexplode("lines").alias("at", "first"))
+    # Lines with a telling word, and how far before each a window that reaches it may start.
+    some = F.array(*(F.lit(w) for w in telling))
+    numbers = F.sequence(F.lit(0), F.size("lines") - 1)
+    telling_lines = F.filter(numbers, lambda i: F.arrays_overlap(F.col("lines")[i], some))
+    found = listed.select("key", "lines", telling_lines.alias("telling"))
+
+    def walk(done: Column, line: Column) -> Column:
+        goes_on = done["open"] & (done["n"] < SPAN) & (F.size(line) > 0)
+        return F.struct(
+            (done["back"] + goes_on.cast("int")).alias("back"),
+            (done["n"] + F.least(F.size(line), F.lit(SPAN))).cast("int").alias("n"),
+            goes_on.alias("open"),
+        )
+
+    def reached(i: Column) -> Column:
+        low = F.greatest(i - SPAN, F.lit(0))
+        begin = F.struct(F.lit(0).alias("back"), F.lit(0).alias("n"), F.lit(True).alias("open"))
+        before = F.when(i > 0, F.reverse(F.slice("lines", low + 1, i - low))).otherwise(F.slice("lines", 1, 0))
+        return F.sequence(i - F.aggregate(before, begin, walk)["back"], i)
+
+    # Each start carries the lines that its windows can reach, never all lines of the text.
+    begun = found.select("key", "lines", F.array_distinct(F.flatten(F.transform("telling", reached))).alias("begun"))
+    cut = lambda xs: F.transform(xs, lambda x: F.slice(x, 1, SPAN))
+    pieces = F.transform(
+        "begun",
+        lambda i: F.struct(i.alias("at"), F.col("lines")[i].alias("first"), F.slice("lines", i + 2, SPAN).alias("heads")),
+    )
+    starts = begun.select("key", F.explode(pieces).alias("s")).select(
+        "key", "s.at", "s.first", cut(F.col("s.heads")).alias("heads")
+    )
     empty = F.array().cast("array<struct<last:int,n:int,words:array<string>>>")
     tail = F.when(F.size("first") > SPAN, F.slice("first", -SPAN, SPAN)).otherwise(F.col("first"))
     following = F.transform(
-        F.slice("heads", F.col("at") + 2, SPAN), lambda x, i: F.struct((F.col("at") + i + 1).alias("last"), x.alias("head"))
+        "heads", lambda x, i: F.struct((F.col("at") + i + 1).alias("last"), x.alias("head"))
     )
 
     def extend(made: Column, line: Column) -> Column:
@@ -187,7 +219,6 @@ def windows(docs: DataFrame) -> DataFrame:
     made = starts.where(F.size("first") > 0).select(
         "key", "at", F.explode(F.aggregate(following, empty, extend)).alias("made")
     )
-    some = F.array(*(F.lit(w) for w in telling))
     told = made.where(F.arrays_overlap("made.words", some))
     return told.select("key", "at", F.col("made.last").alias("last"), F.array_join("made.words", " ").alias("text"))
 

@@ -1,5 +1,10 @@
+import random
+import re
+
 import pytest
 
+from pyspark.sql import functions as F
+
 from fleetpulse.llm import licences
 from tests.llm import cases
 
@@ -121,3 +126,53 @@ def test_every_confirmed_text_has_an_anchor():
         listed = licences._plain_words(text)
         grams = {(w,) for w in listed} | set(zip(listed, listed[1:]))
         assert sum(not told & set(g) for g in grams) < licences.CONFIRM * len(grams)
+
+
+def plain_words(text):
+    runs = re.split(r"[^a-z0-9+-]+", text.lower())
+    return [w for w in (re.sub(r"^[-+]+|-+$", "", r) for r in runs) if w]
+
+
+def plain_windows(text):
+    lines = [plain_words(re.sub(r"^\s*(?:rem|REM|dnl)\s", " ", x)) for x in text.split("\n")]
+    telling, out = set(licences.anchors()), set()
+    for at, first in enumerate(lines):
+        made = first[-licences.SPAN :] if first else []
+        n, last = 0, at
+        while first and last + 1 < len(lines) and n < licences.SPAN and lines[last + 1]:
+            last += 1
+            head = lines[last][: licences.SPAN]
+            made, n = made + head, n + len(head)
+            if telling & set(made):
+                out.add((at, last, " ".join(made)))
+    return out
+
+
+def test_windows_equal_plain_version(spark):
+    rng = random.Random(5)
+    vocabulary = [*licences.anchors()[:8], *"a the of +x -y c++ -- b- non-x +".split(), *"qwertzuiop"]
+    texts = ["\n".join(" ".join(rng.choices(vocabulary, k=rng.choice((0, 1, 2, 9, 80)))) for _ in range(40)) for _ in range(6)]
+    texts += ["\n".join(rng.choice(("x y", "z")) for _ in range(90)) + "\nlicensed\n" + "u v\n" * 90]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = docs.select(licences.text_key().alias("key"), "text").distinct().collect()
+    names = {bytes(r["key"]): r["text"] for r in found}
+    made = {}
+    for r in licences.windows(docs).collect():
+        made.setdefault(names[bytes(r["key"])], set()).add((r["at"], r["last"], r["text"]))
+    assert made == {t: w for t in texts if (w := plain_windows(t))}
+
+
+def test_words_at_their_edges(spark):
+    texts = ["c++ -a- +b+ --- a-b- -+-c-+- x+-", "", "+", "A_b C-", "- - d --e"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", licences.words(F.col("t")).alias("w"))
+    assert {r["t"]: r["w"] for r in rows.collect()} == {t: plain_words(t) for t in texts}
+
+
+def test_windows_of_a_very_long_text(spark):
+    """A hundred thousand lines, three of them telling: work follows the lines."""
+    lines = [cases.prose(i % 50, 6) for i in range(100_000)]
+    for at in (5, 50_000, 99_990):
+        lines[at] = "Licensed under the MIT"
+        lines[at + 1] = "License."
+    docs = spark.createDataFrame([("\n".join(lines),)], "text string")
+    assert {5, 50_000, 99_990} <= {r["at"] for r in licences.windows(docs).collect()}
