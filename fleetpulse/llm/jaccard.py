@@ -14,7 +14,7 @@ of the first ``size - least overlap + m`` shingles in that order, for every ``m`
    near copies costs a row per node and bucket, not its pairs.
 4. Pairs of nodes not yet linked are counted by shared bucket in small buckets, and matched inside
    one task in large ones. Those that share as many shingles as the less demanding of them asks
-   for are verified on their whole sets.
+   for, and as their sizes require, are verified on their whole sets.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from fleetpulse.session import write_once
 SHINGLE = 3
 PERCENT = 90
 COUNTERS = 1 << 22  # of shingles; they fix the size of what is broadcast, one byte for each
-MATCHES = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32])  # shared prefix shingles to choose from
+MATCHES = np.array([12, 16, 24, 32])  # shared prefix shingles to choose from; all of a smaller overlap
 POSTING, CANDIDATE = 24.0, 1000.0  # bytes moved for a posting, and on average for a pair of nodes
 CHANCE = 0.05  # other nodes with a shingle, at least: counters do not tell very rare ones apart
 SMALL = 64  # nodes of a bucket up to which its pairs are counted by a join
@@ -140,7 +140,8 @@ def choose_matches(first: int, most: int, others: np.ndarray) -> int:
 
     ``others`` estimates, in order, with how many other nodes it shares each shingle.
     """
-    choices = MATCHES[MATCHES <= max(most, 1)]
+    choices = MATCHES[MATCHES <= most]
+    choices = choices if len(choices) else np.array([max(most, 1)])
     lengths = np.minimum(first + choices - 1, len(others))
     candidates = np.cumsum(others)[lengths - 1] / choices
     return int(choices[np.argmin(POSTING * lengths + CANDIDATE * candidates)])
@@ -172,13 +173,33 @@ def prefixes(sets: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> Dat
 # -- candidates -------------------------------------------------------------------------------
 
 
-def buckets(ordered: DataFrame) -> DataFrame:
-    """(token, key, n, matches, at): shingles in the prefixes of two nodes or more, each node once."""
+def buckets(ordered: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(token, key, n, matches, at): shingles in the prefixes of two nodes or more, each node once.
+
+    Without nodes that have fewer of them than any link of theirs shares.
+    """
     posted = ordered.select("key", "n", "matches", F.posexplode("prefix").alias("at", "token"))
     head = F.xxhash64("key")
     met = posted.groupBy("token").agg(F.min(head).alias("low"), F.max(head).alias("high"))
     live = write_once(met.where("low <> high").select("token"), "live_shingles")
-    return lookup_join(posted, live, "token", "inner").dropDuplicates(["token", "key"])
+    shared = write_once(lookup_join(posted, live, "token", "inner").dropDuplicates(["token", "key"]), "shared_shingles")
+    # A similar set has nine tenths of the shingles or more, by ``PERCENT``, and asks for matches too.
+    fewest = F.greatest(F.lit(1), F.least(F.lit(int(MATCHES[0])), F.floor(F.col("n") * percent * percent / 10_000)))
+    own = shared.groupBy("key").agg(F.count(F.lit(1)).alias("own"), F.max("n").alias("n"))
+    return shared.join(own.where(F.col("own") >= fewest).select("key"), "key")
+
+
+def enough(matches, n, other_matches, other_n, percent: int = PERCENT):
+    """Prefix shingles that a link shares at least. Numbers, arrays or columns.
+
+    Two sets that are linked share ``overlap`` shingles. Of the first ``n - least overlap + matches``
+    of a set all but ``n - overlap`` are shared, and the first of them lie in both prefixes.
+    """
+    overlap = (percent * (n + other_n) + 99 + percent) / (100 + percent)
+    over = matches - least_overlap(n, percent), other_matches - least_overlap(other_n, percent)
+    if isinstance(n, Column):
+        return F.least(*over) + F.floor(overlap)
+    return np.minimum(*over) + np.floor(overlap).astype(np.int64)
 
 
 def _possible(n: Column, other: Column, percent: int) -> Column:
@@ -192,8 +213,8 @@ def star_pairs(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
     met = lookup_join(shared, first, "token", "inner").where(
         (F.col("key") != F.col("one.key")) & _possible(F.col("n"), F.col("one.n"), percent)
     )
-    enough = F.max(F.least("matches", "one.matches")).alias("enough")
-    pairs = met.groupBy(F.col("one.key").alias("a"), F.col("key").alias("b")).agg(F.count(F.lit(1)).alias("met"), enough)
+    least = F.max(F.least("matches", "one.matches")).alias("enough")
+    pairs = met.groupBy(F.col("one.key").alias("a"), F.col("key").alias("b")).agg(F.count(F.lit(1)).alias("met"), least)
     return pairs.where("met >= enough").select("a", "b")
 
 
@@ -221,7 +242,8 @@ def counted_pairs(small: DataFrame, in_large: DataFrame, percent: int = PERCENT)
         (F.col("a_key") < F.col("b_key")) & (F.col("a_root") != F.col("b_root")) & _possible(F.col("a_n"), F.col("b_n"), percent)
     )
     pairs = met.groupBy(F.col("a_key").alias("a"), F.col("b_key").alias("b")).agg(
-        F.count(F.lit(1)).alias("met"), F.max(F.least("a_matches", "b_matches")).alias("enough")
+        F.count(F.lit(1)).alias("met"),
+        F.max(enough(*(F.col(c) for c in ("a_matches", "a_n", "b_matches", "b_n")), percent)).alias("enough"),
     )
     for side in ("a", "b"):
         own = in_large.select(F.col("key").alias(side), F.col("more").alias(f"{side}_more"))
@@ -313,7 +335,7 @@ def _matching(held: list[tuple], percent: int) -> tuple[list[bytes], list[bytes]
         some &= before
         marks[owner[some], column[some] - c] = 1
         earlier |= (marks @ marks.T)[i, j] > 0
-    good = (shared >= np.minimum(matches[i], matches[j])) & ~earlier
+    good = (shared >= enough(matches[i], n[i], matches[j], n[j], percent)) & ~earlier
     return [keys[x] for x in i[good].tolist()], [keys[x] for x in j[good].tolist()]
 
 
@@ -336,7 +358,7 @@ def near_sets(
     sets = write_once(shingle_sets(docs, id_col, size), "shingle_sets")
     each = sets.select("_id", "key", "n")
     ordered = write_once(prefixes(sets, count_levels(sets, counters), percent), "prefixes")
-    shared = write_once(buckets(ordered), "buckets")
+    shared = write_once(buckets(ordered, percent), "buckets")
     roots = component_roots(verify(star_pairs(shared, percent), sets, percent))
 
     placed = lookup_join(shared, write_once(roots.withColumnRenamed("node", "key"), "roots"), "key")
