@@ -10,7 +10,7 @@ of the first ``size - least overlap + m`` shingles in that order, for every ``m`
    ``m`` of its shingles than the estimated postings of these shingles divided by ``m``, and each
    of them has to be verified. The cheapest sum wins, so nodes with frequent shingles ask for more.
 3. Shingles in the prefixes of two nodes or more are buckets. In each bucket all nodes are compared
-   with one of them first. What is linked by then need not be compared again, so a large group of
+   with one of them first, not the same in all buckets. What is linked by then need not be compared again, so a large group of
    near copies costs a row per node and bucket, not its pairs.
 4. Pairs of nodes not yet linked are counted by shared bucket in small buckets, and matched inside
    one task in large ones. Those that share as many shingles as the less demanding of them asks
@@ -39,6 +39,7 @@ COUNTERS = 1 << 22  # of shingles; they fix the size of what is broadcast, one b
 MATCHES = np.array([12, 16, 24, 32])  # shared prefix shingles to choose from; all of a smaller overlap
 POSTING, CANDIDATE = 24.0, 1000.0  # bytes moved for a posting, and on average for a pair of nodes
 CHANCE = 0.05  # other nodes with a shingle, at least: counters do not tell very rare ones apart
+LEADERS = 8  # nodes that all others of a large bucket group are compared with first
 SMALL = 64  # nodes of a bucket up to which its pairs are counted by a join
 BLOCK = 2048  # nodes of a larger bucket that one task compares with each other
 _CHUNK = 1 << 16  # counters sent in one row
@@ -206,15 +207,21 @@ def _possible(n: Column, other: Column, percent: int) -> Column:
     return 100 * F.least(n, other) >= percent * F.greatest(n, other)
 
 
-def star_pairs(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b): in each bucket the first node with all others, where they meet often enough."""
-    one = F.min(F.struct("key", "n", "matches")).alias("one")
+def star_pairs(shared: DataFrame, percent: int = PERCENT, leaders: int = LEADERS) -> DataFrame:
+    """(a, b): in each bucket one node with all others, where both meet in two buckets or more.
+
+    Shingles fall in ``leaders`` classes, and the nodes have another order in each of them, so the
+    nodes of a large group meet several others and not always the same one.
+    """
+    turn = F.pmod("token", F.lit(leaders))
+    one = F.min(F.struct(F.xxhash64("key", turn).alias("place"), "key", "n", "matches")).alias("one")
     first = write_once(shared.groupBy("token").agg(one), "bucket_heads")
     met = lookup_join(shared, first, "token", "inner").where(
         (F.col("key") != F.col("one.key")) & _possible(F.col("n"), F.col("one.n"), percent)
     )
-    least = F.max(F.least("matches", "one.matches")).alias("enough")
-    pairs = met.groupBy(F.col("one.key").alias("a"), F.col("key").alias("b")).agg(F.count(F.lit(1)).alias("met"), least)
+    sides = F.least("key", "one.key").alias("a"), F.greatest("key", "one.key").alias("b")
+    least = F.max(F.least("matches", "one.matches", F.lit(2))).alias("enough")
+    pairs = met.groupBy(*sides).agg(F.count(F.lit(1)).alias("met"), least)
     return pairs.where("met >= enough").select("a", "b")
 
 
