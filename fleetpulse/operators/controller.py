@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.operators.distribute import as_of, fits_broadcast, number_rows, running_total
@@ -368,3 +368,14 @@ def retrain_feedback(
         F.avg(error_col).alias("training_loss"),
         (now if at is None else F.coalesce(at, now)).alias("timestamp"),
     )
+
+
+def retrain_notice(spark: SparkSession, records: int, loss: float, at: float | None = None) -> DataFrame:
+    """The same notice where rows used and mean loss are known. Its time is ``at`` or the present."""
+    now = F.unix_micros(F.current_timestamp()) / 1e6
+    return spark.range(1).select(
+        F.lit("retrain_complete").alias("type"),
+        F.lit(records).cast("int").alias("records_trained"),
+        F.lit(float(loss)).alias("training_loss"),
+        (now if at is None else F.lit(float(at))).alias("timestamp"),
+    )

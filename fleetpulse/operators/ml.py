@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from itertools import combinations_with_replacement
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -138,34 +137,103 @@ class LinearCode:
     components: tuple[tuple[float, ...], ...]
 
 
-def fit_linear_code(
-    df: DataFrame, k: int = 4, features: list[str] = FEATURES
-) -> LinearCode | None:
-    """Fit in a single pass: ranges, means and covariances are one aggregate.
+MOMENTS = (
+    "n bigint, newest double, means array<double>, lows array<double>, highs array<double>, "
+    "products array<array<double>>"
+)
+
+
+@dataclass(frozen=True)
+class Moments:
+    """What a linear code is fitted from: count, means, extremes and centred products of features.
 
-    Only that one row of numbers reaches the driver. None without complete rows.
+    The moments of two sets of rows merge into those of their union, so a model over all rows so
+    far needs no second look at them.
     """
-    pairs = list(combinations_with_replacement(range(len(features)), 2))
+
+    n: int
+    newest: float | None  # time of the newest row, where one was asked for
+    means: np.ndarray
+    lows: np.ndarray
+    highs: np.ndarray
+    products: np.ndarray
+
+    def merge(self, other: "Moments") -> "Moments":
+        n, shift = self.n + other.n, other.means - self.means
+        times = [t for t in (self.newest, other.newest) if t is not None]
+        return Moments(
+            n,
+            max(times, default=None),
+            self.means + shift * (other.n / n),
+            np.minimum(self.lows, other.lows),
+            np.maximum(self.highs, other.highs),
+            self.products + other.products + np.outer(shift, shift) * (self.n * other.n / n),
+        )
+
+    def frame(self, spark) -> DataFrame:
+        """One row, as ``read_moments`` reads it."""
+        lists = (x.tolist() for x in (self.means, self.lows, self.highs, self.products))
+        return spark.createDataFrame([(self.n, self.newest, *lists)], MOMENTS)
+
+
+def moments(df: DataFrame, features: list[str] = FEATURES, at: Column | None = None) -> DataFrame:
+    """The moments of the complete rows as one row, in a single pass. ``at`` aggregates their time."""
     columns = [F.col(c).cast("double") for c in features]
-    row = drop_missing(df).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.avg(c) for c in columns],
-        *[F.max(c) - F.min(c) for c in columns],
-        *[F.covar_pop(columns[i], columns[j]) for i, j in pairs],
-    ).first()
-    if row["n"] == 0:
+    n, size = F.count(F.lit(1)), range(len(features))
+    products = [
+        F.array(*[n * F.covar_pop(columns[min(i, j)], columns[max(i, j)]) for j in size]) for i in size
+    ]
+    return drop_missing(df).agg(
+        n.alias("n"),
+        (F.lit(None).cast("double") if at is None else at).alias("newest"),
+        F.array(*map(F.avg, columns)).alias("means"),
+        F.array(*map(F.min, columns)).alias("lows"),
+        F.array(*map(F.max, columns)).alias("highs"),
+        F.array(*products).alias("products"),
+    )
+
+
+def read_moments(row: DataFrame) -> Moments | None:
+    """The moments in a one-row table; None without complete rows."""
+    found = row.select("n", "newest", "means", "lows", "highs", "products").first()
+    if found is None or found["n"] == 0:
         return None
-    size = len(features)
-    means, spans, products = row[1 : 1 + size], row[1 + size : 1 + 2 * size], row[1 + 2 * size :]
-    ranges = [span if span != 0 else 1.0 for span in spans]
-    covariance = np.zeros((size, size))
-    for (i, j), product in zip(pairs, products):
-        covariance[i, j] = covariance[j, i] = product / (ranges[i] * ranges[j])
-    _, vectors = np.linalg.eigh(covariance)  # eigenvalues in ascending order
-    kept = vectors[:, ::-1][:, :k].T
-    return LinearCode(
-        tuple(features), tuple(means), tuple(ranges), tuple(tuple(map(float, v)) for v in kept)
+    return Moments(found["n"], found["newest"], *(np.array(x, float) for x in found[2:]))
+
+
+def merge_moments(held: Moments | None, more: Moments | None) -> Moments | None:
+    return held.merge(more) if held and more else held or more
+
+
+def code_of(found: Moments, k: int = 4, features: list[str] = FEATURES) -> tuple[LinearCode, float]:
+    """The code of the rows that the moments are of, and their mean reconstruction error.
+
+    The error of rebuilding a row, over all rows, is what the components left out vary by.
+    """
+    spans = found.highs - found.lows
+    ranges = np.where(spans != 0, spans, 1.0)
+    values, vectors = np.linalg.eigh(found.products / found.n / np.outer(ranges, ranges))
+    kept = vectors[:, ::-1][:, :k].T  # eigenvalues are in ascending order
+    # Rounding can leave a tiny negative value.
+    loss = float(np.abs(values[: max(len(features) - k, 0)]).sum()) / len(features)
+    code = LinearCode(
+        tuple(features),
+        tuple(found.means.tolist()),
+        tuple(ranges.tolist()),
+        tuple(map(tuple, kept.tolist())),
     )
+    return code, loss
+
+
+def fit_linear_code(
+    df: DataFrame, k: int = 4, features: list[str] = FEATURES
+) -> LinearCode | None:
+    """Fit in a single pass over the rows; only their moments reach the driver.
+
+    None without complete rows.
+    """
+    found = read_moments(moments(df, features))
+    return None if found is None else code_of(found, k, features)[0]
 
 
 def save_code(spark, code: LinearCode, path: str) -> None:

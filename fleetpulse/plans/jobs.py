@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.operators import controller as ctl
 from fleetpulse.operators import graph, iforest, ml, risk
-from fleetpulse.operators.ingest import drop_missing, has_rows
+from fleetpulse.operators.ingest import has_rows
 from fleetpulse.params import (
     ControllerParams,
     ForestParams,
@@ -202,16 +202,28 @@ def run_retrain(
 ) -> DataFrame | None:
     """Fit the reconstruction model on the cloud history and return the notice to send.
 
-    ``at`` is the time of the notice, see ``retrain_feedback``.
+    One pass over the history, see ``retrain_on``. ``at``, an aggregate over the rows in epoch
+    seconds, is the time of the notice.
+    """
+    return retrain_on(history.sparkSession, ml.read_moments(ml.moments(history, at=at)), params, k, path)
+
+
+def retrain_on(
+    spark: SparkSession,
+    found: ml.Moments | None,
+    params: ControllerParams = ControllerParams(),
+    k: int = 4,
+    path: str | None = None,
+) -> DataFrame | None:
+    """Fit the reconstruction model on moments, and return the notice to send.
 
     The model is saved if a path is given; ``ml.load_code`` and ``ml.apply_linear_code`` score
     with it. None when there are too few complete rows.
     """
-    rows = drop_missing(history)
-    if not has_rows(rows, params.retrain_min_rows):
+    if found is None or found.n < params.retrain_min_rows:
         log.warning("fewer than %d complete rows, nothing trained", params.retrain_min_rows)
         return None
-    code = ml.fit_linear_code(rows, k)
+    code, loss = ml.code_of(found, k)
     if path:
-        ml.save_code(history.sparkSession, code, path)
-    return ctl.retrain_feedback(ml.apply_linear_code(rows, code), at=at)
+        ml.save_code(spark, code, path)
+    return ctl.retrain_notice(spark, found.n, loss, found.newest)

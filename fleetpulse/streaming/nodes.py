@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from fleetpulse.functions.expressions import epoch_seconds, from_epoch_seconds
-from fleetpulse.operators import controller as ctl
+from fleetpulse.operators import controller as ctl, ml
 from fleetpulse.operators.ingest import nest_alert, tag_offload, wire_struct
 from fleetpulse.params import ControllerParams, ScaleLimits
 from fleetpulse.plans import jobs
@@ -79,6 +79,10 @@ def _records(root: str) -> SnapshotTable:
     return SnapshotTable(f"{root}/records", "records bigint")
 
 
+def _moments(root: str) -> SnapshotTable:
+    return SnapshotTable(f"{root}/moments", ml.MOMENTS)
+
+
 def cloud_batch(
     batch: DataFrame,
     batch_id: int,
@@ -100,13 +104,18 @@ def cloud_batch(
     cloud.write.mode("overwrite").option("header", True).option("nullValue", "").csv(folder)
     before = _records(root).read(spark, before=batch_id).first()
     seen = before["records"] if before else 0
-    records = seen + readers.read_history_csv(spark, folder).count()
+    rows = readers.read_history_csv(spark, folder)
+    records = seen + rows.count()
+    # The model is fitted on all records so far from their moments: no batch is read a second time.
+    newest = F.max(epoch_seconds(F.col("event_time")))
+    held = ml.read_moments(_moments(root).read(spark, before=batch_id))
+    found = ml.merge_moments(held, ml.read_moments(ml.moments(rows, at=newest)))
     if records // every > seen // every:
-        history = readers.read_history_csv(spark, f"{root}/history")
-        newest = F.max(epoch_seconds(F.col("event_time")))
-        notice = jobs.run_retrain(history, params, path=f"{root}/model/batch={batch_id}", at=newest)
+        notice = jobs.retrain_on(spark, found, params, path=f"{root}/model/batch={batch_id}")
         if notice is not None:
             send(as_messages(notice), readers.CONTROLLER_TOPIC)
+    if found is not None:
+        _moments(root).replace(found.frame(spark), version=batch_id)
     now = spark.range(1).select(F.lit(records).cast("bigint").alias("records"))
     _records(root).replace(now, version=batch_id)
 

@@ -52,6 +52,28 @@ def test_retraining_needs_enough_rows(spark, readings):
     assert notice.training_loss > 0
 
 
+def test_merged_moments_give_the_code_of_all_rows(spark, readings):
+    rows = readings.withColumn("torque", F.col("torque") + F.pmod(F.xxhash64("event_id"), F.lit(97)))
+    rows = rows.withColumn("torque", F.when(F.col("event_id") % 11 > 0, F.col("torque")))
+    held = None
+    for part in (3, 0, 1, 2, 4):  # of unequal sizes, the last one empty
+        some = rows.where(F.least(F.col("event_id") % 7, F.lit(3)) == part)
+        newest = F.max(F.unix_timestamp("event_time").cast("double"))
+        held = ml.merge_moments(held, ml.read_moments(ml.moments(some, at=newest)))
+    held = ml.read_moments(held.frame(spark))
+    x = matrix(rows.where("torque IS NOT NULL"))
+    assert held.n == len(x) and held.newest == readings.agg(F.max(F.unix_timestamp("event_time"))).first()[0]
+    assert held.products / held.n == pytest.approx(np.cov(x.T, bias=True), rel=1e-9, abs=1e-9)
+    code, loss = ml.code_of(held, k=2)
+    whole = ml.fit_linear_code(rows, k=2)
+    assert code.means == pytest.approx(whole.means) and code.ranges == pytest.approx(whole.ranges)
+    for a, b in zip(code.components, whole.components):
+        assert abs(np.dot(a, b)) == pytest.approx(1)
+    errors = ml.apply_linear_code(rows, code).agg(F.avg("recon_error")).first()[0]
+    assert errors > 1e-3 and loss == pytest.approx(errors)
+    assert ml.read_moments(ml.moments(rows.limit(0))) is None
+
+
 def test_split_does_not_depend_on_partitioning(spark, readings):
     train, test = ml.rf_split(readings, F.col("event_id"))
     again, _ = ml.rf_split(readings.repartition(7), F.col("event_id"))

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fleetpulse.operators import ingest, scoring
+from fleetpulse.operators import ingest, ml, scoring
 from fleetpulse.params import ControllerParams
 from fleetpulse.plans import jobs, serving
 from fleetpulse.session import filesystem, shared_dir
@@ -231,6 +231,23 @@ def test_cloud_retrains_at_the_controllers_interval(spark, readings, tmp_path):
     assert nodes._records(root).read(spark).first().records == 750
 
 
+def test_cloud_reads_each_batch_once(spark, readings, tmp_path, monkeypatch):
+    """A retraining takes what earlier batches left as moments, and gives the model of all records."""
+    root, read, rows = str(tmp_path), [], ingest.tag_offload(readings)
+    real = readers.read_history_csv
+    monkeypatch.setattr(readers, "read_history_csv", lambda s, path: read.append(path) or real(s, path))
+    for batch_id in range(3):
+        part = rows.where(F.col("event_id") % 3 == batch_id)
+        messages = ingest.to_wire_json(part, ["routing", "latency_ms"]).withColumn("topic", F.lit(readers.CLOUD_TOPIC))
+        for _ in range(1 + batch_id % 2):  # the second batch is replayed
+            nodes.cloud_batch(messages, batch_id, root, lambda *_: None, PARAMS)
+    assert read == [f"{root}/history/batch={n}" for n in (0, 1, 1, 2)]
+    history = real(spark, f"{root}/history")
+    code, whole = ml.load_code(spark, f"{root}/model/batch=2"), ml.fit_linear_code(history)
+    assert code.means == pytest.approx(whole.means) and code.ranges == pytest.approx(whole.ranges)
+    assert ml.read_moments(nodes._moments(root).read(spark)).n == history.count() == readings.count()
+
+
 class Fixed:
     """A model that finds nothing."""
 

@@ -655,9 +655,24 @@ def oracle_sql() -> dict[str, str]:
                  FROM route8 WHERE to_cloud) WHERE records % 500 = 0""",
         "route8",
     )
+    five = ("air_temp", "process_temp", "rotational_speed", "torque", "tool_wear")
+
+    def covariance(a: str, b: str) -> str:
+        return f"covar_pop({a}, {b}) / (max({a}) - min({a})) / (max({b}) - min({b}))"
+
     out["retrain_feedback"] = _sql(
-        """SELECT 'retrain_complete' AS type, CAST(count(*) AS INTEGER) AS records_trained,
-           true AS has_loss FROM route8 WHERE to_cloud""",
+        f"""SELECT 'retrain_complete' AS type, CAST(count(*) AS INTEGER) AS records_trained,
+            true AS has_loss, round(({' + '.join(covariance(c, c) for c in five)}) / 5, 6) AS bare_loss
+            FROM route8 WHERE to_cloud""",
+        "route8",
+    )
+    out["retrain_moments"] = _sql(
+        " UNION ALL ".join(
+            f"""SELECT count(*) AS records, '{a}' AS feature, '{b}' AS other,
+            round({covariance(a, b)}, 6) + 0.0 AS covariance FROM route8 WHERE to_cloud"""
+            for a in five
+            for b in five
+        ),
         "route8",
     )
     out["cloud_backlog"] = _sql(

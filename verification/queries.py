@@ -707,13 +707,30 @@ def retrain_trigger(spark, sf_dir):
 
 
 def retrain_feedback(spark, sf_dir):
-    """The notice of retraining on the whole cloud history."""
-    notice = jobs.run_retrain(_cloud(spark, sf_dir))
+    """The notice of retraining on the whole cloud history, and the loss of a model without components."""
+    found = ml.read_moments(ml.moments(_cloud(spark, sf_dir)))
+    notice, bare = jobs.retrain_on(spark, found), jobs.retrain_on(spark, found, k=0)
+    loss = F.round(bare.select("training_loss").scalar(), 6)
     return notice.select(
-        "type", "records_trained", (F.col("training_loss") >= 0).alias("has_loss")
+        "type", "records_trained", (F.col("training_loss") >= 0).alias("has_loss"), loss.alias("bare_loss")
     )
 
 
+def retrain_moments(spark, sf_dir):
+    """Covariances of the scaled features of the cloud history, from the merged moments of its parts."""
+    history, held = _cloud(spark, sf_dir), None
+    for part in range(4):
+        some = history.where(F.pmod(F.xxhash64("event_time"), F.lit(4)) == part)
+        held = ml.merge_moments(held, ml.read_moments(ml.moments(some)))
+    spans = held.highs - held.lows
+    rows = [
+        (held.n, a, b, round(float(held.products[i, j] / held.n / spans[i] / spans[j]), 6) + 0.0)
+        for i, a in enumerate(FEATURES)
+        for j, b in enumerate(FEATURES)
+    ]
+    return spark.createDataFrame(rows, "records bigint, feature string, other string, covariance double")
+
+
 def cloud_backlog(spark, sf_dir):
     return ctl.cloud_backlog(routing(spark, sf_dir).routed)
 
@@ -1059,7 +1076,7 @@ pagerank label_propagation graph_build
 rf_features rf_split rf_train rf_predict rf_evaluate iforest_fit iforest_score
 edge_model_alerts recon_error
 simulated_rtt route_readings edge_alerts controller_windows controller_fold
-controller_fold_many controller_latest retrain_trigger retrain_feedback cloud_backlog
+controller_fold_many controller_latest retrain_trigger retrain_feedback retrain_moments cloud_backlog
 latest_alerts alert_ticker sensor_series states_snapshot fleet_summary machines_by_status
 pagerank_board pagerank_top10 community_members community_top5 controller_lookup
 controller_card latency_bands alert_feed
