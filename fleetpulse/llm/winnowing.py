@@ -11,12 +11,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import Batches, fields, map_partition, merge_spans
+from fleetpulse.llm.common import Batches, fields, map_partition, merge_spans, text_key
+from fleetpulse.operators.distribute import lookup_join
+from fleetpulse.session import write_once
 
 WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 10  # words
@@ -145,6 +148,7 @@ class Index:
         return p - left, p + right
 
 
+_KEY = "_text_key"
 _RESULT = ("n_words bigint", "hit_starts array<bigint>", "hit_ends array<bigint>", "items array<string>")
 
 
@@ -158,8 +162,9 @@ def find_spans(
 ) -> DataFrame:
     """One row per row of ``docs``: its columns, n_words, hit spans in words, and the items found.
 
-    The benchmark goes to the tasks in blocks of measured size, one after the other, so any
-    benchmark fits. Null texts have no words; items without words occur nowhere. Rows of the
+    The benchmark goes to the tasks in blocks of measured size. Beyond one block, what a block
+    hits is stored, by text, before the next is collected and sent, so driver and tasks hold one
+    block at a time and any benchmark fits. Null texts have no words; items without words occur nowhere. Rows of the
     benchmark with the same item_id are one item; a null item_id is the item "". Repeated
     documents are judged each; empty tables give no hits. Columns of ``docs`` named like the
     results are replaced.
@@ -172,35 +177,56 @@ def find_spans(
     size = texts.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     shared = docs.sparkSession.sparkContext.broadcast
-    found = docs.drop(*names)
-    for k in range(blocks):
+
+    def index_of(k: int):
         part = texts.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        rows = sorted((r["item"], r["text"] or "") for r in part.collect())
-        found = _search(found, shared(Index.build(rows, window, gram)), names)
-    return found
+        return shared(Index.build(sorted((r["item"], r["text"] or "") for r in part.collect()), window, gram))
+
+    plain = docs.drop(*names)
+    if blocks == 1:
+        return _search(plain, index_of(0), names)
+    keyed = plain.withColumn(_KEY, text_key())
+    stored = []
+    for k in range(blocks):
+        index = index_of(k)
+        found = _search(keyed.select(_KEY, "text"), index, names).where(F.size("items") > 0)
+        stored.append(write_once(found.drop("text", "n_words").dropDuplicates([_KEY]), "block_hits"))
+        index.destroy()  # what it found is stored
+    every = reduce(DataFrame.unionByName, stored)
+    lists = (F.flatten(F.collect_list(n)).alias(n) for n in names[1:])
+    merged = write_once(every.groupBy(_KEY).agg(*lists), "benchmark_hits")
+    return _settle(lookup_join(keyed, merged, _KEY).drop(_KEY), names).select(*plain.columns, *names)
 
 
 def _search(docs: DataFrame, index, names: list[str]) -> DataFrame:
-    kept = [f for f in docs.schema if f.name not in names]
-    again = len(kept) < len(docs.columns)
+    """The rows with what a block of the benchmark hits in them."""
 
     def run(batches: Batches) -> Iterator[dict]:
         block = index.value
         for batch in batches:
             columns = dict(zip(batch.schema.names, batch.columns))
-            before = (
-                zip(*(columns[n].to_pylist() for n in names[1:]))
-                if again
-                else (([], [], []) for _ in range(batch.num_rows))
-            )
             out = []
-            for text, (starts, ends, items) in zip(columns["text"].to_pylist(), before):
+            for text in columns["text"].to_pylist():
                 words = words_of(text)
-                a, b, new = block.hits(words)
-                a, b = merge_spans(
-                    np.append(np.array(starts, np.int64), a), np.append(np.array(ends, np.int64), b)
-                )
-                out.append((len(words), a, b, sorted(new.union(items))))
+                starts, ends, items = block.hits(words)
+                out.append((len(words), *merge_spans(starts, ends), sorted(items)))
+            if out:
+                yield columns | dict(zip(names, zip(*out)))
+
+    return map_partition(docs, run, fields(*docs.schema, *_RESULT))
+
+
+def _settle(docs: DataFrame, names: list[str]) -> DataFrame:
+    """The rows with the number of their words, and spans and items of all blocks made one list."""
+    kept = [f for f in docs.schema if f.name not in names]
+
+    def run(batches: Batches) -> Iterator[dict]:
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns))
+            out = []
+            for text, starts, ends, items in zip(*(columns[n].to_pylist() for n in ("text", *names[1:]))):
+                spans = merge_spans(np.array(starts or (), np.int64), np.array(ends or (), np.int64))
+                out.append((len(words_of(text)), *spans, sorted(set(items or ()))))
             if out:
                 yield columns | dict(zip(names, zip(*out)))
 

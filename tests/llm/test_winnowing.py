@@ -68,3 +68,25 @@ def test_empty_tables(spark):
     assert {r["n_hit"] for r in winnowing.decontaminate(docs, none).collect()} == {0}
     items = spark.createDataFrame(bench(spark), "item_id bigint, text string")
     assert winnowing.decontaminate(cases.empty(spark), items).collect() == []
+
+
+def test_one_block_of_the_benchmark_at_a_time(spark, monkeypatch):
+    sent, kept = [], []
+    real = type(spark.sparkContext).broadcast
+
+    def broadcast(self, value):
+        made = real(self, value)
+        if isinstance(value, winnowing.Index):
+            assert len(sent) == len(kept), "the block before is gone"
+            sent.append(value)
+            destroy = made.destroy
+            made.destroy = lambda *a: kept.append(value) or destroy(*a)
+        return made
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    items = spark.createDataFrame(bench(spark), "item_id bigint, text string")
+    docs = spark.createDataFrame(documents(), cases.DOCS)
+    found = winnowing.find_spans(docs, items, block_bytes=300)
+    assert found.columns == [*docs.columns, "n_words", "hit_starts", "hit_ends", "items"]
+    assert len(sent) == len(kept) >= 5
+    assert found.where("size(items) > 0").count() > 3
