@@ -5,7 +5,8 @@ weights learned from labelled pages (those that mark their article) as log odds
 it. One linear scan finds the contiguous region whose weights sum to the most. Menus, headers,
 footers, sidebars, notices, adverts, forms, scripts and reader comments have no words that count,
 and are left out of the text where the region runs across them. Inside an article the name of an
-element is a learned negative score of its words, and being inside one a learned bonus.
+element is a learned negative score of its words, and being inside one a learned bonus. Outside,
+a name that may as well be that of a text's part lowers the score of each word.
 """
 
 from __future__ import annotations
@@ -44,16 +45,19 @@ ASIDE_WORD = re.compile(
     complementary|contentinfo|search)""",
     re.X | re.I,
 )
+STEMS = ("advert", "sponsor", "menu", "sidebar", "subscri", "recommend")  # of names with any ending
 # Of these words, the ones that also name wrappers around everything: an article inside still counts.
 WRAPPER_WORD = re.compile(r"(?:sidebar\w*|widget|header|banner|nav|navbar|menu\w*|overlay|modal|search)", re.I)
-# And the ones that also name parts of a text: inside an article their score decides.
+# And the ones that also name parts of a text: their score decides. The last stands for the element
+# ``header`` inside an article, which is no class, id or role.
 UNSURE_WORD = re.compile(
-    r"(?:related|search|share|sharing|social|discussion|notices?|alerts?|header|masthead|banner)", re.I
+    r"(?:related|search|share|sharing|social|discussion|notices?|alerts?|header|masthead|banner|own-header)", re.I
 )
 ARTICLE = frozenset(("article", "main"))
 # Elements whose ids are often made from their heading or text.
 FREE_ID = frozenset("h1 h2 h3 h4 h5 h6 p section article main li dt dd blockquote figure table tr td".split())
 SURE_NAME, UNSURE_NAME = -4.0, -0.3  # scores of names that labelled pages do not have
+UNSURE_OUTSIDE = 0.05  # what such a name leaves of a word's score outside an article
 
 # Elements whose start ends an open one of these kinds, unless a container lies between.
 CLOSES = {
@@ -114,7 +118,7 @@ def _says_aside(rest: str, element: str = "div", inside: bool = False) -> tuple[
         for part in _PARTS.findall(given.get(kind, "")):
             if ASIDE_WORD.fullmatch(part):
                 said = max(said, WRAPPER if WRAPPER_WORD.fullmatch(part) else ASIDE_FOR_SURE)
-                name = _surer(name, part.lower())
+                name = _surer(name, next((s for s in STEMS if part.lower().startswith(s)), part.lower()))
     return said, name
 
 
@@ -125,22 +129,23 @@ def _surer(outer: str, own: str) -> str:
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order. Unclosed, crossed and cut-off elements are put up with."""
     found: list[Block] = []
-    stack: list[tuple[str, int, bool, str]] = []  # element, how surely aside, whether inside an article, name
+    # Element, how surely aside, whether inside an article, name, whether its words never count.
+    stack: list[tuple[str, int, bool, str, bool]] = []
     pieces: list[tuple[str, bool]] = []
     tags: list[str] = []
     links = at = 0
 
-    def state() -> tuple[int, bool, str]:
-        return stack[-1][1:] if stack else (NOT, False, "")
+    def state() -> tuple[int, bool, str, bool]:
+        return stack[-1][1:] if stack else (NOT, False, "", False)
 
     def close_block() -> None:
         nonlocal pieces, tags
         text = html.unescape("".join(p for p, _ in pieces)).split()
         if text:
             linked = len(html.unescape(" ".join(p for p, link in pieces if link)).split())
-            aside, inside, named = state()
+            _, inside, named, out = state()
             words = len(text)
-            found.append(Block(" ".join(text), words, min(linked, words), aside > NOT, inside, tuple(tags), named))
+            found.append(Block(" ".join(text), words, min(linked, words), out, inside, tuple(tags), named))
             tags = []
         pieces = []
 
@@ -155,7 +160,8 @@ def blocks_of(page: str) -> list[Block]:
         if match["name"] is None:
             continue
         name, rest = match["name"].lower(), match["rest"]
-        if not state()[0]:
+        aside, inside, named, out = state()
+        if not out and (inside or not named):
             tags.append(name)
         if match["end"]:
             if name in BLOCKS:
@@ -179,19 +185,22 @@ def blocks_of(page: str) -> list[Block]:
                     break
         if name in VOID or rest.endswith("/"):
             continue
-        aside, inside, named = state()
         own, own_name = NOT, ""
-        if name in ASIDE:
+        if name in ASIDE and not (name == "header" and inside):
             own = ASIDE_FOR_SURE
         elif name not in ("html", "body"):
             own, own_name = _says_aside(rest, name, inside)
+            if name == "header" and own == NOT:
+                own_name = "own-header"
         if name in ARTICLE and own == NOT and aside < ASIDE_FOR_SURE:
             # An article inside a wrapper named like a sidebar counts, one among comments does not.
             named = named if inside else ""
-            aside, inside = NOT, True
+            aside, inside, out = NOT, True, False
         elif inside and own_name:
             own = NOT  # its score decides
-        stack.append((name, max(aside, own), inside, _surer(named, own_name)))
+        elif own != NOT:
+            out |= not UNSURE_WORD.fullmatch(own_name)
+        stack.append((name, max(aside, own), inside, _surer(named, own_name), out))
         links += name == "a"
     close_block()
     return found
@@ -206,7 +215,7 @@ class Weights:
     article_bonus: float = 1.0  # of a word inside an article
     tags: tuple[tuple[str, float], ...] = ()
     other_tag: float = -0.3
-    names: tuple[tuple[str, float], ...] = ()  # of a word in an element so named, inside an article
+    names: tuple[tuple[str, float], ...] = ()  # of a word in an element so named
 
 
 def _clip(value: float, low: float, high: float) -> float:
@@ -243,7 +252,11 @@ def learn(counts: dict[tuple[str, bool], int]) -> Weights:
 
 
 def count_kinds(page: str) -> Counter[tuple[str, bool]]:
-    """(kind, inside the article) counts of a page that marks its article, else nothing."""
+    """(kind, inside the article) counts of a page that marks its article, else nothing.
+
+    Kinds are the tags of ``BLOCKS``, all others as one, and the words of aside names by their stem:
+    a fixed set. The score of another tag does not depend on its name.
+    """
     counts: Counter[tuple[str, bool]] = Counter()
     blocks = blocks_of(page)
     if not any(b.in_article and not b.aside for b in blocks):
@@ -256,7 +269,7 @@ def count_kinds(page: str) -> Counter[tuple[str, bool]]:
             counts["word", inside] += b.words - b.link_words
             counts["link", inside] += b.link_words
         for tag in b.tags:
-            counts[f"<{tag}", inside] += 1
+            counts[f"<{tag}" if tag in BLOCKS else "<", inside] += 1
     return +counts
 
 
@@ -284,11 +297,16 @@ def main_text(page: str | None, weights: Weights = Weights()) -> str:
             light = block.in_article or tag not in BLOCKS  # marks within a text do not end a region
             scores.append(max(known, LIGHT_TAG) if light else known)
             owner.append(-1)
-        if block.aside or not _kept(block, weights, name_weight):
+        if block.aside or block.in_article and not _kept(block, weights, name_weight):
             continue
         plain = weights.word + (weights.article_bonus if block.in_article else 0.0)
         linked = min(plain, weights.link_word) if not block.in_article else plain
-        scores.append(plain * (block.words - block.link_words) + linked * block.link_words)
+        score = plain * (block.words - block.link_words) + linked * block.link_words
+        if block.name and not block.in_article:
+            score += name_weight.get(block.name, (UNSURE_OUTSIDE - 1) * weights.word) * block.words
+            if score <= 0:
+                continue
+        scores.append(score)
         owner.append(number)
     first, last = best_region(scores)
     return " ".join(blocks[n].text for n in owner[first:last] if n >= 0)
@@ -321,8 +339,8 @@ def learned_weights(pages: DataFrame, most: int = LABELLED_PAGES) -> Weights:
         }
 
     counted = map_batches(sample, rows, fields("kind string", "inside boolean", "n bigint"))
-    common = counted.groupBy("kind", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "kind")
-    return learn({(r["kind"], r["inside"]): r["n"] for r in common.limit(1000).collect()})
+    total = counted.groupBy("kind", "inside").agg(F.sum("n").alias("n"))  # kinds are a fixed set
+    return learn({(r["kind"], r["inside"]): r["n"] for r in total.collect()})
 
 
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -93,3 +93,32 @@ def test_names_inside_an_article():
     outside = "<div class=alert>" + LONG + "</div>" + f"<article><p>{LONG}</p><div class=alert>a</div></article>"
     learned = main_text.learn(main_text.count_kinds(outside))
     assert dict(learned.names)["alert"] < -1
+
+
+def test_names_outside_an_article():
+    text = main_text.main_text
+    assert text(f"<section class='search-results'><p>{LONG}</p><p>The end</p></section>") == f"{LONG} The end"
+    assert text(f"<div class=notice>Sale</div><div class=post><p>{LONG}</p></div><div class=share>Tell</div>") == LONG
+    assert text(f"<div class=comments><p>{LONG}</p></div>") == ""
+    cards = f"<div class=related><div class=widget><article>{LONG}</article></div></div>"
+    assert text(f"{cards}<article><p>{LONG} own</p></article>") == f"{LONG} own"
+    learned = main_text.learn(main_text.count_kinds(f"<article><p>{LONG}</p></article><div class=share>{LONG}</div>"))
+    assert text(f"<div><p>{LONG}</p></div><div class=share>{LONG}</div>", learned) == LONG
+
+
+def test_header_of_an_article():
+    page = f"<header><h1>Site</h1></header><article><header><h1>Own title</h1></header><p>{LONG}</p></article>"
+    learned = main_text.learn(main_text.count_kinds(page.replace("<header><h1>Own title</h1></header>", "")))
+    for weights in (main_text.Weights(), learned):
+        assert main_text.main_text(page, weights) == f"Own title {LONG}"
+
+
+def test_kinds_are_a_fixed_set(spark):
+    """Whatever tags and names the pages make up; what is learned of the others is the same."""
+    odd = "".join(f"<x{i}>a</x{i}><div class='menuitem{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}'>b</div>" for i in range(1500))
+    page = f"<article>{odd}<p>{LONG}</p></article><div><ul><li>menu</li></ul></div>"
+    pages = spark.createDataFrame([(page,)], "html string")
+    weights = main_text.learned_weights(pages)
+    assert dict(weights.tags).keys() == {"", "div", "p", "ul", "li", "article"}
+    assert dict(weights.names).keys() == {"menu"}
+    assert weights == main_text.learn(main_text.count_kinds(page))
