@@ -8,16 +8,17 @@ from functools import reduce
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.expressions import unit_draw
+from fleetpulse.operators.distribute import number_rows, running_total
 from fleetpulse.operators.ingest import drop_missing
-from fleetpulse.params import ForestParams
+from fleetpulse.params import ForestParams, ScaleLimits
 from fleetpulse.schema import FEATURES
-from fleetpulse.session import cut
+from fleetpulse.session import write_once
 
 LABEL = "machine_failure"
 _CODE_SCHEMA = (
@@ -62,13 +63,30 @@ def rf_metrics(predictions: DataFrame) -> DataFrame:
     All of it follows from the counts per label and prediction, a handful of rows whatever the
     size of the input.
     """
-    label, predicted = F.col(LABEL).cast("double"), F.col("prediction")
-    hits = predictions.agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.count_if((label == 1) & (predicted == 1)).cast("double").alias("tp"),
-        F.count_if((label == 0) & (predicted == 1)).cast("double").alias("fp"),
-        F.count_if((label == 1) & (predicted == 0)).cast("double").alias("fn"),
-        F.count_if((label == 0) & (predicted == 0)).cast("double").alias("tn"),
+    return _figures(_tallies(predictions, F.lit(0.0)))
+
+
+def _tallies(rows: DataFrame, score: Column) -> DataFrame:
+    """Counts of all rows, failures and others, by score and prediction."""
+    label = F.col(LABEL).cast("double")
+    return rows.groupBy(score.alias("score"), "prediction").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(label == 1).alias("failures"),
+        F.count_if(label == 0).alias("others"),
+    )
+
+
+def _figures(tallies: DataFrame) -> DataFrame:
+    def total(column: str, predicted: int | None = None) -> Column:
+        value = F.col(column) if predicted is None else F.when(F.col("prediction") == predicted, F.col(column))
+        return F.coalesce(F.sum(value), F.lit(0)).cast("double")
+
+    hits = tallies.agg(
+        total("rows").alias("n"),
+        total("failures", 1).alias("tp"),
+        total("others", 1).alias("fp"),
+        total("failures", 0).alias("fn"),
+        total("others", 0).alias("tn"),
     )
 
     def ratio(a, b):
@@ -86,14 +104,34 @@ def rf_metrics(predictions: DataFrame) -> DataFrame:
     )
 
 
+def roc_area(tallies: DataFrame, limits: ScaleLimits = ScaleLimits()) -> DataFrame:
+    """One row, ``area_under_roc``: how often a failure scores above another row, exactly.
+
+    Equal scores count half; a missing score is below all others. Null unless there are both
+    kinds. ``tallies`` counts ``failures`` and ``others`` by ``score``; the distinct scores are
+    numbered and summed over blocks, so no task sorts all of them.
+    """
+    counts = (F.sum(c).alias(c) for c in ("failures", "others"))
+    by_score = write_once(tallies.groupBy("score").agg(*counts), "scores")
+    placed = number_rows(by_score, [], ["score"], "place", limits)
+    ranked = running_total(placed, [], "place", "others", "up_to", limits)
+    above = F.sum(F.col("failures") * (F.col("up_to") - F.col("others") / 2))
+    pairs = F.sum("failures").cast("double") * F.sum("others")
+    return ranked.agg(F.try_divide(above, pairs).alias("area_under_roc"))
+
+
+def evaluate(rows: DataFrame, score: Column, limits: ScaleLimits = ScaleLimits()) -> DataFrame:
+    """``rf_metrics`` and ``roc_area`` of rows with a label, a ``prediction`` and a score.
+
+    The rows are read once; both follow from their counts by score and prediction.
+    """
+    tallies = write_once(_tallies(rows, score), "tallies")
+    return _figures(tallies).withColumn("area_under_roc", roc_area(tallies, limits).scalar())
+
+
 def rf_evaluate(predictions: DataFrame) -> DataFrame:
-    """``rf_metrics`` plus the area under the ROC curve. The predictions are made once."""
-    needed = predictions.select(LABEL, "prediction", "rawPrediction")
-    predictions = cut(needed)
-    area = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC")
-    return rf_metrics(predictions).withColumn(
-        "area_under_roc", F.lit(float(area.evaluate(predictions)))
-    )
+    """``evaluate`` of a forest's predictions, by its score of the failure class."""
+    return evaluate(predictions, vector_to_array("rawPrediction")[1])
 
 
 def save_model(model: PipelineModel, path: str) -> None:

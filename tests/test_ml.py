@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetpulse.operators import iforest, ml
-from fleetpulse.params import ForestParams, IsolationParams
+from fleetpulse.params import ForestParams, IsolationParams, ScaleLimits
 from fleetpulse.plans import jobs
 from fleetpulse.schema import FEATURES
 
@@ -99,6 +99,22 @@ def test_weighted_f1_is_the_one_of_the_evaluator(spark):
     assert ml.rf_metrics(df).first().weighted_f1 == pytest.approx(evaluator.evaluate(df))
 
 
+@pytest.mark.parametrize("limits", [ScaleLimits(), ScaleLimits(block_rows=3)])
+def test_area_is_the_share_of_pairs_in_order(spark, limits):
+    rng = np.random.default_rng(5)
+    rows = [(int(y), float(s), float(s > 4)) for y, s in zip(rng.integers(0, 2, 60), rng.integers(0, 9, 60))]
+    df = spark.createDataFrame(rows, "machine_failure int, s double, prediction double").repartition(5)
+    bad, good = ([s for y, s, _ in rows if y == label] for label in (1, 0))
+    pairs = [(a > b) + (a == b) / 2 for a in bad for b in good]
+    got = ml.evaluate(df, F.col("s"), limits).first()
+    assert got.area_under_roc == pytest.approx(np.mean(pairs))
+    assert tuple(got)[:5] == pytest.approx(tuple(ml.rf_metrics(df).first()))
+    one_kind = df.where("machine_failure = 1")
+    assert ml.evaluate(one_kind, F.col("s"), limits).first().area_under_roc is None
+    nothing = ml.evaluate(df.limit(0), F.col("s"), limits).first()
+    assert nothing.area_under_roc is None and nothing.accuracy == 0
+
+
 def test_forest_learns_a_visible_rule(spark, readings, tmp_path):
     rows = readings.withColumn("machine_failure", (F.col("tool_wear") > 150).cast("int"))
     path = str(tmp_path / "model")

@@ -625,6 +625,24 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT event_id, CASE WHEN {split} THEN 'train' ELSE 'test' END AS part FROM events"
     )
 
+    out["rank_metrics"] = _sql(
+        """SELECT round((p * f1 + n * f0) / (p + n), 6) AS weighted_f1, round((tp + tn) / (p + n), 6) AS accuracy,
+           round(tp / (tp + fp), 6) AS "precision", round(tp / p, 6) AS recall, round(f1, 6) AS f1,
+           round((ranks - p * (p + 1) / 2) / (p * n), 6) AS area_under_roc
+           FROM (SELECT *, 2 * tp / (2 * tp + fp + fn) AS f1, 2 * tn / (2 * tn + fp + fn) AS f0,
+                   tp + fn AS p, tn + fp AS n
+                 FROM (SELECT CAST(count(*) FILTER (failed AND worn) AS DOUBLE) AS tp,
+                         CAST(count(*) FILTER (failed AND NOT worn) AS DOUBLE) AS fn,
+                         CAST(count(*) FILTER (NOT failed AND worn) AS DOUBLE) AS fp,
+                         CAST(count(*) FILTER (NOT failed AND NOT worn) AS DOUBLE) AS tn,
+                         sum(place) FILTER (failed) AS ranks
+                       FROM (SELECT machine_failure = 1 AS failed, tool_wear > 200 AS worn,
+                               rank() OVER (ORDER BY tool_wear)
+                               + (count(*) OVER (PARTITION BY tool_wear) - 1) / CAST(2 AS DOUBLE) AS place
+                             FROM tel)))""",
+        "tel",
+    )
+
     # Speed and torque of the test data are one value on two scales. Four components hold all
     # there is, and what they leave out is the scaled difference of the two.
     def unit(c: str) -> str:

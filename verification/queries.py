@@ -622,6 +622,12 @@ def rf_evaluate(spark, sf_dir):
     return ml.rf_evaluate(rows)
 
 
+def rank_metrics(spark, sf_dir):
+    """What the evaluation says of a plain rule: wear as the score, more than 200 as the verdict."""
+    rows = telemetry(spark, sf_dir).withColumn("prediction", (F.col("tool_wear") > 200).cast("double"))
+    return six(ml.evaluate(rows, F.col("tool_wear"), TINY))
+
+
 def _isolation(spark, sf_dir):
     rows = telemetry(spark, sf_dir)
     return _once(spark, sf_dir, "isolation", lambda: iforest.iforest_fit(rows, "event_id"))
@@ -1073,7 +1079,7 @@ graph_nodes graph_edges community_agg median_rank risk_norm_max batch_adjust_sta
 feature_minmax edge_run_stats
 community_risk graph_adjustment graph_scored base_scored
 pagerank label_propagation graph_build
-rf_features rf_split rf_train rf_predict rf_evaluate iforest_fit iforest_score
+rf_features rf_split rf_train rf_predict rf_evaluate rank_metrics iforest_fit iforest_score
 edge_model_alerts recon_error
 simulated_rtt route_readings edge_alerts controller_windows controller_fold
 controller_fold_many controller_latest retrain_trigger retrain_feedback retrain_moments cloud_backlog
