@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetpulse.operators.distribute import exact_quantile
 from fleetpulse.operators.ingest import drop_missing
@@ -28,6 +29,8 @@ Batch = Tuple[pd.Series, pd.Series, pd.Series, pd.Series, pd.Series]
 
 EULER_GAMMA = 0.5772156649015329
 
+PARTS = 64  # in which sketches of tasks are merged before those of a tree come together
+
 
 def path_normaliser(n: int) -> float:
     """Mean path length of an unsuccessful search among ``n`` rows."""
@@ -65,43 +68,88 @@ def _grow(rows: np.ndarray, seed: int, tree: int, max_depth: int) -> list[tuple]
     return nodes
 
 
-def tree_samples(
+def sketch_schema(df: DataFrame, key: str) -> T.StructType:
+    """Columns of a sketch of ``df``: the tree, the row's place in it, the row's key and features."""
+    fields = [T.StructField("tree_id", T.IntegerType()), T.StructField("place", T.LongType())]
+    return T.StructType(fields + [T.StructField(c, df.schema[c].dataType) for c in (key, *FEATURES)])
+
+
+def _lowest(rows: pd.DataFrame, key: str, size: int) -> pd.DataFrame:
+    ordered = rows.sort_values(["tree_id", "place", key], kind="stable")
+    return ordered[ordered.groupby("tree_id").cumcount() < size]
+
+
+def forest_sketch(
     df: DataFrame, key: str, params: IsolationParams = IsolationParams()
 ) -> DataFrame:
-    """``min(sample_size, rows)`` rows per tree: those with the smallest hashes of row and tree.
+    """Per tree the ``sample_size`` rows with the smallest places, as a sketch that can be merged.
 
-    Every tree draws from all rows, whatever their number. Two words of one MD5 hash of the key
-    give a row its start and its step from tree to tree, so hashes of different trees are
-    independent in pairs. A bound on them lets through a few times the rows a tree needs, before
-    any shuffle; it is raised until each tree has enough.
+    Two words of one MD5 hash of the key give a row its place in the first tree and its step from
+    tree to tree, so places in different trees are independent in pairs. A task goes through its rows
+    once and holds the lowest of each tree so far; a row beyond the bounds of all trees costs no more
+    than the comparison. At most ``trees * sample_size`` rows leave a task.
     """
     digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(f"forest-{params.seed}")))
     words = [F.conv(F.substring(digest, at, 8), 16, 10).cast("bigint") for at in (1, 9)]
     rows = drop_missing(df).select(key, *FEATURES, words[0].alias("_u"), words[1].alias("_v"))
+    schema, size = sketch_schema(rows, key), params.sample_size
+    trees = np.arange(params.trees, dtype=np.uint32)
+
+    def lowest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, bound = None, np.full(params.trees, 2**32 - 1, dtype=np.uint32)
+        for batch in batches:
+            start = batch.pop("_u").to_numpy().astype(np.uint32)
+            step = (2 * batch.pop("_v").to_numpy() + 1).astype(np.uint32)
+            found = [np.empty((3, 0), np.int64)]
+            for tree in trees:
+                place = start + tree * step  # modulo 2^32
+                near = np.flatnonzero(place <= bound[tree])
+                if len(near) > size:
+                    near = near[place[near] <= np.partition(place[near], size - 1)[size - 1]]
+                found.append(np.stack([np.full(len(near), tree, np.int64), place[near].astype(np.int64), near]))
+            tree_id, place, at = np.concatenate(found, axis=1)
+            if len(at):
+                more = batch.iloc[at].assign(tree_id=tree_id.astype(np.int32), place=place)
+                held = _lowest(more if held is None else pd.concat([held, more]), key, size)
+                full = held.groupby("tree_id")["place"].agg(["size", "max"])
+                full = full[full["size"] == size]
+                bound[full.index.to_numpy()] = full["max"].to_numpy()
+        if held is not None:
+            yield held[schema.names]
+
+    return merged_sketch(rows.mapInPandas(lowest, schema), key, params)
+
+
+def merged_sketch(
+    sketches: DataFrame, key: str, params: IsolationParams = IsolationParams()
+) -> DataFrame:
+    """The lowest rows of each tree among all rows of one sketch or the union of several.
 
-    def place(tree):
-        return F.pmod(F.col("_u") + tree * (2 * F.col("_v") + 1), F.lit(2**32))
-
-    total = rows.count()
-    wanted = min(params.sample_size, total)
-    share = min(1.0, 4.0 * params.sample_size / max(total, 1))
-    while True:
-        every = F.sequence(F.lit(0), F.lit(params.trees - 1))
-        near = F.filter(every, lambda tree: place(tree.cast("bigint")) < F.lit(int(share * 2**32)))
-        drawn = rows.select("*", F.explode(near).alias("tree_id"))
-        enough = drawn.groupBy("tree_id").count().where(F.col("count") >= wanted).count()
-        if share >= 1.0 or enough == params.trees:
-            break
-        share = min(1.0, 2 * share)
-    by_hash = Window.partitionBy("tree_id").orderBy(place(F.col("tree_id").cast("bigint")), key)
-    ranked = drawn.withColumn("_rank", F.row_number().over(by_hash))
-    return ranked.where(F.col("_rank") <= params.sample_size).drop("_rank", "_u", "_v")
+    That of a union is the sketch of all rows behind it. Sketches of tasks are merged by parts first,
+    so that no task receives those of all tasks; a row that comes twice, from a batch that ran again,
+    is to be left out before.
+    """
+    order = "place", key
+    part = F.pmod(F.spark_partition_id(), F.lit(PARTS))
+    by_part = Window.partitionBy("tree_id", "_part").orderBy(*order)
+    by_tree = Window.partitionBy("tree_id").orderBy(*order)
+    first = sketches.withColumn("_part", part).withColumn("_rank", F.row_number().over(by_part))
+    few = first.where(F.col("_rank") <= params.sample_size).drop("_part", "_rank")
+    ranked = few.withColumn("_rank", F.row_number().over(by_tree))
+    return ranked.where(F.col("_rank") <= params.sample_size).drop("_rank")
 
 
-def iforest_fit(
+def tree_samples(
     df: DataFrame, key: str, params: IsolationParams = IsolationParams()
 ) -> DataFrame:
-    """The forest as a table of nodes: at most ``trees * (2 * sample_size - 1)`` rows."""
+    """``min(sample_size, rows)`` rows per tree, drawn from all rows by the hash of row and tree."""
+    return forest_sketch(df, key, params).drop("place")
+
+
+def grow_forest(
+    sketch: DataFrame, key: str, params: IsolationParams = IsolationParams()
+) -> DataFrame:
+    """The forest of a sketch as a table of nodes: at most ``trees * (2 * sample_size - 1)`` rows."""
     max_depth = int(np.ceil(np.log2(max(params.sample_size, 2))))
     seed = params.seed
 
@@ -115,9 +163,16 @@ def iforest_fit(
         out.insert(0, "tree_id", tree)
         return out
 
+    ship(sketch.sparkSession)
+    return cut(sketch.groupBy("tree_id").applyInPandas(build, FOREST_SCHEMA))
+
+
+def iforest_fit(
+    df: DataFrame, key: str, params: IsolationParams = IsolationParams()
+) -> DataFrame:
+    """The forest fitted on all rows, from one pass over them."""
     ship(df.sparkSession)
-    samples = tree_samples(df, key, params)
-    return cut(samples.groupBy("tree_id").applyInPandas(build, FOREST_SCHEMA))
+    return grow_forest(forest_sketch(df, key, params), key, params)
 
 
 def _tables(forest: DataFrame, params: IsolationParams):
