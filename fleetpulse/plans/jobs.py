@@ -163,6 +163,42 @@ def load_edge_model(spark: SparkSession, path: str) -> EdgeModel:
     return EdgeModel(saved.drop("threshold"), saved.first()["threshold"])
 
 
+@dataclass(frozen=True)
+class EdgeLearner:
+    """An edge model that follows the readings: one sketch of all batches so far, below ``root``.
+
+    ``key`` must tell the readings of all batches apart. The forest equals the one fitted on all
+    readings at once. Its cut-off is the exact quantile over the sketch's readings, a sample of at
+    most ``trees * sample_size``, so that the cost of a batch does not grow with the history.
+    """
+
+    root: str
+    key: str
+    params: IsolationParams = IsolationParams()
+
+    def _sketch(self, rows: DataFrame) -> SnapshotTable:
+        fields = iforest.sketch_schema(rows, self.key).fields
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        return SnapshotTable(f"{self.root}/sketch", columns)
+
+    def learn(self, batch: DataFrame, number: int) -> None:
+        """Add a batch. One that runs again starts from what was there before it."""
+        table = self._sketch(batch)
+        held = table.read(batch.sparkSession, before=number)
+        both = held.unionByName(iforest.forest_sketch(batch, self.key, self.params))
+        table.replace(iforest.merged_sketch(both, self.key, self.params), version=number)
+
+    def model(self, rows: DataFrame, number: int, start: EdgeModel) -> EdgeModel:
+        """The model for batch ``number``, from the batches before it; ``start`` if there are none."""
+        sketch = self._sketch(rows).read(rows.sparkSession, before=number)
+        if sketch.isEmpty():
+            return start
+        forest = iforest.grow_forest(sketch, self.key, self.params)
+        sample = sketch.drop("tree_id", "place").dropDuplicates([self.key])
+        scored = iforest.iforest_score(sample, forest, self.params)
+        return EdgeModel(forest, iforest.iforest_threshold(scored, self.params))
+
+
 def run_edge(
     readings: DataFrame,
     model: EdgeModel,

@@ -146,6 +146,7 @@ def edge_stream(
     params: ControllerParams = ControllerParams(),
     notices: DataFrame | None = None,
     delay: float = 0.0,
+    learner: jobs.EdgeLearner | None = None,
     **trigger,
 ):
     """Start the edge on readings with ``edge_id``, ``latency_ms`` and ``draw``.
@@ -153,16 +154,22 @@ def edge_stream(
     ``notices`` is the stream of retrain notices. Both are one stream, taken in the order of event
     time: what is newer than the newest so far less ``delay`` seconds waits for a later batch. A
     notice empties the backlog in the window that its time falls in.
+
+    With a ``learner``, ``model`` judges the first batch, and each later one is judged by the forest
+    of all readings before it.
     """
 
-    def plain(batch: DataFrame, number: int) -> None:
-        edge_batch(batch, number, root, model, send, order_cols, params)
+    def plain(batch: DataFrame, number: int, told: DataFrame | None = None) -> None:
+        current = learner.model(batch, number, model) if learner else model
+        edge_batch(batch, number, root, current, send, order_cols, params, notices=told)
+        if learner:
+            learner.learn(batch, number)
 
     def ordered(batch: DataFrame, number: int) -> None:
         rows, note = released(batch, number, root, delay)
         told = rows.where("_notice").select(F.col("event_time").alias("notice_time"))
         given = rows.where("NOT _notice").drop("_notice")
-        edge_batch(given, number, root, model, send, order_cols, params, notices=told)
+        plain(given, number, told)
         note()
 
     if notices is None:

@@ -210,3 +210,37 @@ def test_every_tree_gets_its_rows_when_the_first_bound_is_too_low(spark, reading
     params = IsolationParams(trees=40, sample_size=50)
     counts = iforest.tree_samples(few, "event_id", params).groupBy("tree_id").count().collect()
     assert len(counts) == 40 and {r["count"] for r in counts} == {50}
+
+
+def test_sketches_of_batches_give_the_forest_of_all_rows(spark, readings, forest, tmp_path):
+    start = jobs.EdgeModel(forest, 0.5)
+    learner = jobs.EdgeLearner(str(tmp_path / "edge"), "event_id", SMALL)
+    parts = [readings.where(F.col("event_id") % 3 == n) for n in range(3)]
+    assert learner.model(readings, 0, start) is start
+    for number in (0, 1, 1, 2):  # the second batch runs twice
+        learner.learn(parts[number], number)
+    learned = learner.model(readings, 3, start)
+    assert learned.forest.exceptAll(forest).count() == 0 == forest.exceptAll(learned.forest).count()
+    early = learner.model(readings, 2, start).forest
+    some = iforest.iforest_fit(parts[0].unionByName(parts[1]), "event_id", SMALL)
+    assert early.exceptAll(some).count() == 0 == some.exceptAll(early).count()
+    share = learned.judge(readings, SMALL).where("prediction = -1").count() / readings.count()
+    assert share == pytest.approx(0.05, abs=0.02)
+
+
+def test_sample_rows_are_those_with_the_smallest_places(spark, readings):
+    """Against a sort of all rows, with repeated keys among them."""
+    import hashlib
+
+    rows = readings.unionByName(readings.where("event_id % 50 = 0"))
+    got = iforest.forest_sketch(rows.repartition(7), "event_id", SMALL).select("tree_id", "place", "event_id")
+    found = sorted(map(tuple, got.collect()))
+    ids = [r.event_id for r in rows.select("event_id").collect()]
+    words = {x: hashlib.md5(f"{x}:forest-{SMALL.seed}".encode()).hexdigest() for x in ids}
+    want = []
+    for tree in range(SMALL.trees):
+        places = [
+            ((int(words[x][:8], 16) + tree * (2 * int(words[x][8:16], 16) + 1)) % 2**32, x) for x in ids
+        ]
+        want += [(tree, place, x) for place, x in sorted(places)[: SMALL.sample_size]]
+    assert found == sorted(want)

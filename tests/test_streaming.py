@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fleetpulse.operators import ingest, ml, scoring
-from fleetpulse.params import ControllerParams
+from fleetpulse.operators import iforest, ingest, ml, scoring
+from fleetpulse.params import ControllerParams, IsolationParams
 from fleetpulse.plans import jobs, serving
 from fleetpulse.session import filesystem, shared_dir
 from fleetpulse.sources import readers, writers
@@ -282,3 +282,21 @@ def test_edge_takes_readings_and_notices_in_order_of_time(spark, tmp_path):
     assert waiting[1] == waiting[2] == [(0, 2, 2), (1, 2, 4)]  # only 40 more
     # The late notice has emptied all four, the one of 55 the reading of 50 as well.
     assert waiting[3] == [(0, 2, 2), (1, 2, 4), (2, 2, 1), (3, 1, 2)]
+
+
+def test_edge_judges_with_a_forest_that_follows_the_readings(spark, readings, tmp_path):
+    params = IsolationParams(trees=10, sample_size=32)
+    source, root = str(tmp_path / "r"), str(tmp_path / "edge")
+    learner = jobs.EdgeLearner(root, "event_id", params)
+    rows, sent = readings.drop("connected_to"), []
+    for part in (rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1")):
+        part.write.mode("append").parquet(source)
+        nodes.edge_stream(
+            spark.readStream.schema(rows.schema).parquet(source), root, f"{root}-checkpoint", Fixed(),
+            lambda messages, topic: sent.append((topic, messages.count())), ["event_time", "event_id"], PARAMS,
+            learner=learner, availableNow=True,
+        ).awaitTermination()
+    alerts = [n for topic, n in sent if topic == readers.ALERT_TOPIC]
+    assert alerts[0] == 0 and max(alerts) > 0  # the first batch is judged by the model given
+    learned = learner.model(rows, 10**9, None).forest
+    assert same(learned, iforest.iforest_fit(readings, "event_id", params))

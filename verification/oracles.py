@@ -467,7 +467,7 @@ def oracle_sql() -> dict[str, str]:
     out["sink_model"] = (
         f"SELECT count(*) AS rows, 0::BIGINT AS differ FROM events WHERE NOT ({split})"
     )
-    out["iforest_fit"] = _sql(
+    out["iforest_fit"] = out["iforest_refreshed"] = _sql(
         """SELECT CAST(tree AS INTEGER) AS tree_id, CAST(node AS INTEGER) AS node_id,
            CAST(feature AS INTEGER) AS feature, round(split, 6) AS split,
            CAST(CASE WHEN feature < 0 THEN -1 ELSE 2 * node END AS INTEGER) AS left_id,

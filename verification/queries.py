@@ -648,6 +648,15 @@ def iforest_score(spark, sf_dir):
     return iforest.iforest_flag(result, iforest.iforest_threshold(result, IsolationParams()))
 
 
+def iforest_refreshed(spark, sf_dir):
+    """The forest of an edge that learned the first half of the month, then the second."""
+    rows, learner = telemetry(spark, sf_dir), jobs.EdgeLearner(work_path(spark, "learner"), "event_id")
+    early = F.coalesce(F.col("event_time") < F.timestamp_seconds(F.lit(1705276800)), F.lit(True))  # 15 January 2024
+    for number, part in enumerate((rows.where(early), rows.where(~early))):
+        learner.learn(part, number)
+    return six(learner.model(rows, 2, jobs.EdgeModel(rows.limit(0), 1.0)).forest)
+
+
 def edge_model_alerts(spark, sf_dir):
     """Alerts of the whole edge job: the saved forest judges, the controller routes."""
     rows, path = telemetry(spark, sf_dir), work_path(spark, "edge-model")
@@ -1080,7 +1089,7 @@ feature_minmax edge_run_stats
 community_risk graph_adjustment graph_scored base_scored
 pagerank label_propagation graph_build
 rf_features rf_split rf_train rf_predict rf_evaluate rank_metrics iforest_fit iforest_score
-edge_model_alerts recon_error
+iforest_refreshed edge_model_alerts recon_error
 simulated_rtt route_readings edge_alerts controller_windows controller_fold
 controller_fold_many controller_latest retrain_trigger retrain_feedback retrain_moments cloud_backlog
 latest_alerts alert_ticker sensor_series states_snapshot fleet_summary machines_by_status
