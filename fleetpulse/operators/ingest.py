@@ -90,14 +90,15 @@ def default_missing(df: DataFrame) -> DataFrame:
     )
 
 
-def nest_alert(df: DataFrame) -> DataFrame:
-    """Edge alert: the reading nested under the alert's own fields."""
+def nest_alert(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Edge alert: the reading nested under the alert's own fields, and the columns to ``keep``."""
     return default_missing(df.withColumn("_reading", wire_struct(df))).select(
         epoch_seconds(F.col("event_time")).alias("timestamp"),
         F.col("_reading").alias("original_data"),
         F.col("latency_ms"),
         F.lit("edge_anomaly").alias("alert_type"),
         F.col("machine_id").alias("product_id"),
+        *(keep or []),
     )
 
 

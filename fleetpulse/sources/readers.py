@@ -68,6 +68,19 @@ def read_messages(
     raise ValueError(f"unknown message format: {fmt}")
 
 
+def first_of_each(messages: DataFrame, within: str) -> DataFrame:
+    """A stream of messages without those whose id came before on their topic.
+
+    Ids are kept for at least ``within`` from their arrival, so state does not grow with the history;
+    what is sent again later than that counts as new. Time is that of arrival: no message is late.
+    Messages without a ``message_id`` are all kept.
+    """
+    named = F.coalesce(F.get_json_object("value", "$.message_id"), F.expr("uuid()"))
+    arrived = messages.withColumns({"_id": named, "_arrived": F.current_timestamp()})
+    first = arrived.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(["topic", "_id"])
+    return first.drop("_id", "_arrived")
+
+
 def for_topic(messages: DataFrame, topic: str) -> DataFrame:
     return messages.where(F.col("topic") == topic)
 

@@ -3,7 +3,7 @@
 The edge judges readings with its model, routes them under the controller, and sends alerts and
 offloaded readings; notices of the cloud empty its backlog. The cloud keeps alerts and history, and after every so many records retrains
 its model, saves it and sends a notice. Folders are named after the batch, so a replayed batch
-overwrites what it wrote; messages are sent at least once.
+overwrites what it wrote; its messages are sent again under the same ids, and the cloud takes each once.
 """
 
 from __future__ import annotations
@@ -45,10 +45,13 @@ def edge_batch(
     judged = model.judge(batch)
     control_batch(judged, batch_id, root, OUTLIER, order_cols, params, limits, notices)
     routed = batch.sparkSession.read.parquet(f"{root}/routed/batch={batch_id}")
-    alerts = nest_alert(ctl.edge_alerts(routed, OUTLIER))
+    # The number of a reading at its edge is the same when the batch runs again.
+    named = F.concat_ws(":", F.coalesce("edge_id", F.lit("")), F.col("seq").cast("string"))
+    routed = routed.withColumn("message_id", named)
+    alerts = nest_alert(ctl.edge_alerts(routed, OUTLIER), keep=["message_id"])
     send(as_messages(alerts), readers.ALERT_TOPIC)
     offloaded = tag_offload(routed.where("to_cloud"))
-    body = wire_struct(offloaded, ["routing", "latency_ms"])
+    body = wire_struct(offloaded, ["routing", "latency_ms", "message_id"])
     send(as_messages(offloaded, body), readers.CLOUD_TOPIC)
 
 
@@ -186,11 +189,16 @@ def cloud_stream(
     send: Send,
     params: ControllerParams = ControllerParams(),
     retrain_interval: int | None = None,
+    within: str | None = "1 hour",
     **trigger,
 ):
-    """Start the cloud on messages of the alert and cloud topics."""
+    """Start the cloud on messages of the alert and cloud topics.
+
+    A message that comes again ``within`` that time is left out; None takes all as they come.
+    """
 
     def handle(batch: DataFrame, number: int) -> None:
         cloud_batch(batch, number, root, send, params, retrain_interval)
 
-    return _start(messages, checkpoint, root, handle, trigger)
+    taken = readers.first_of_each(messages, within) if within else messages
+    return _start(taken, checkpoint, root, handle, trigger)

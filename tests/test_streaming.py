@@ -300,3 +300,44 @@ def test_edge_judges_with_a_forest_that_follows_the_readings(spark, readings, tm
     assert alerts[0] == 0 and max(alerts) > 0  # the first batch is judged by the model given
     learned = learner.model(rows, 10**9, None).forest
     assert same(learned, iforest.iforest_fit(readings, "event_id", params))
+
+
+def test_messages_of_a_batch_that_ran_again_count_once(spark, readings, tmp_path):
+    topics, root = str(tmp_path / "topics"), str(tmp_path / "nodes")
+    rows = readings.drop("connected_to")
+    halves = rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1")
+
+    def to_topic(messages, topic):
+        writers.write_messages(messages, topic, fmt="files", path=topics)
+
+    def cloud():
+        both = readers.read_messages(spark, [readers.ALERT_TOPIC, readers.CLOUD_TOPIC], fmt="files", path=topics)
+        nodes.cloud_stream(both, f"{root}/cloud", f"{root}/cloud-checkpoint", to_topic, availableNow=True).awaitTermination()
+
+    def edge(half, number):
+        nodes.edge_batch(half, number, f"{root}/edge", All(), to_topic, ["event_time", "event_id"], PARAMS)
+
+    def plain(n):  # without ids: all are kept, equal ones too
+        to_topic(spark.createDataFrame([('{"tool_wear": 1}',)] * n, "value string"), readers.CLOUD_TOPIC)
+
+    edge(halves[0], 0)
+    edge(halves[0], 0)  # twice in one batch of the cloud
+    plain(3)
+    cloud()
+    edge(halves[0], 0)  # again in a later one, with new messages
+    edge(halves[1], 1)
+    plain(2)
+    cloud()
+    routed = spark.read.parquet(f"{root}/edge/routed")
+    sent = routed.where("to_cloud").count()
+    assert 0 < sent < routed.count()
+    assert readers.read_history_csv(spark, f"{root}/cloud/history").count() == sent + 5
+    assert spark.read.parquet(f"{root}/cloud/alerts").count() == routed.count() - sent
+    assert SnapshotTable(f"{root}/cloud/records", "records bigint").read(spark).first().records == sent + 5
+
+
+class All:
+    """A model that takes every reading for an outlier."""
+
+    def judge(self, rows):
+        return rows.withColumn("prediction", F.lit(-1))

@@ -737,6 +737,12 @@ def oracle_sql() -> dict[str, str]:
            true AS model_agrees FROM route8 WHERE to_cloud""",
         "route8",
     )
+    out["messages_once"] = _sql(
+        """SELECT CASE WHEN to_cloud THEN 'history' ELSE 'alerts' END AS kept, count(*) AS records,
+           CAST(sum(tool_wear) AS BIGINT) AS wear FROM route8
+           WHERE to_cloud OR prediction_score = -1 GROUP BY to_cloud""",
+        "route8",
+    )
     out["alert_feed"] = _sql(
         f"SELECT {_SEVEN}, -1.0::DOUBLE AS prediction_score, true AS server_time FROM {_TOP.format(n=15)}",
         "alerts",

@@ -1010,6 +1010,28 @@ def cloud_stream(spark, sf_dir):
     )
 
 
+def messages_once(spark, sf_dir):
+    """What the cloud holds after the edge's batch ran three times, once after the cloud had read."""
+    root, topics = work_path(spark, "once"), work_path(spark, "once_topics")
+    rows = telemetry(spark, sf_dir).drop("connected_to")
+
+    def send(messages, topic):
+        writers.write_messages(messages, topic, fmt="files", path=topics)
+
+    for runs in (2, 1):
+        for _ in range(runs):
+            nodes.edge_batch(rows, 0, f"{root}/edge", BaseVerdict(), send, ORDER)
+        both = readers.read_messages(spark, [readers.ALERT_TOPIC, readers.CLOUD_TOPIC], fmt="files", path=topics)
+        nodes.cloud_stream(
+            both, f"{root}/cloud", f"{root}/cloud-checkpoint", send, availableNow=True
+        ).awaitTermination()
+    history = readers.read_history_csv(spark, f"{root}/cloud/history").select(F.lit("history").alias("kept"), "tool_wear")
+    alerts = _flat_alerts(spark.read.parquet(f"{root}/cloud/alerts")).select(F.lit("alerts").alias("kept"), "tool_wear")
+    return history.unionByName(alerts).groupBy("kept").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("tool_wear").cast("bigint").alias("wear")
+    )
+
+
 def backlog_notices(spark, sf_dir):
     """Backlog per window where a notice goes out with every 500th record of all edges."""
     routed = routing(spark, sf_dir).routed
@@ -1096,7 +1118,7 @@ latest_alerts alert_ticker sensor_series states_snapshot fleet_summary machines_
 pagerank_board pagerank_top10 community_members community_top5 controller_lookup
 controller_card latency_bands alert_feed
 stream_scored context_refresh latest_state archive_stream controller_stream
-edge_stream cloud_stream backlog_notices feedback_loop
+edge_stream cloud_stream messages_once backlog_notices feedback_loop
 pagerank_large label_propagation_large graph_scored_large route_readings_large
 """.split()
 
