@@ -563,9 +563,8 @@ def oracle_sql() -> dict[str, str]:
     out["graph_nodes"] = _sql("SELECT id FROM nodes", "nodes")
     out["graph_edges"] = _sql("SELECT src, dst FROM all_edges", "all_edges")
     out["graph_build"] = _sql(
-        """SELECT src, dst FROM all_edges
-           WHERE src NOT IN (SELECT machine_id FROM tel GROUP BY machine_id HAVING max(tool_wear) < 240)
-             AND dst NOT IN (SELECT machine_id FROM tel GROUP BY machine_id HAVING max(tool_wear) < 240)""",
+        """SELECT src, dst FROM all_edges WHERE src IN (SELECT machine_id FROM tel)
+             AND dst IN (SELECT machine_id FROM tel)""",
         "all_edges",
     )
     out["community_agg"] = _sql(

@@ -568,10 +568,9 @@ def label_propagation(spark, sf_dir):
 
 
 def graph_build(spark, sf_dir):
-    """Edges between machines whose tools wear down; the nodes come from an aggregate of all rows."""
+    """Edges whose two machines are nodes, over the nodes and edges of all rows."""
     rows = telemetry(spark, sf_dir)
-    worn = rows.groupBy("machine_id").agg(F.max("tool_wear").alias("wear")).where("wear >= 240")
-    return graph.graph_build(cut(graph.graph_nodes(worn)), graph.graph_edges(rows))[1]
+    return graph.graph_build(cut(graph.graph_nodes(rows)), graph.graph_edges(rows))[1]
 
 
 # --- machine learning ----------------------------------------------------------------------
