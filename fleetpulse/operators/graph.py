@@ -66,13 +66,14 @@ class _Edges:
     rows: DataFrame
     key: str
     hot: DataFrame | None
-    in_buckets: bool
+    join: str | None  # hint for the join with the node side; None leaves it to adaptive execution
 
     def attach(self, values: DataFrame) -> DataFrame:
         """Left join of one value per node to the edges of the node.
 
         For bucketed edges the node side is hashed per bucket: it has a single row per node and
-        salt, so no bucket of it is large, and the edges are neither moved nor sorted.
+        salt, so no bucket of it is large, and the edges are neither moved nor sorted. Buckets
+        beyond ``bucket_rows``, of which there are ``max_buckets``, are sorted where they are.
         """
         on = [self.key]
         if self.hot is not None:
@@ -83,14 +84,15 @@ class _Edges:
                 .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
                 .drop("salts")
             )
-        return self.rows.join(values.hint("shuffle_hash") if self.in_buckets else values, on, "left")
+        return self.rows.join(values.hint(self.join) if self.join else values, on, "left")
 
 
 @contextmanager
 def _by_key(edges: DataFrame, key: str, other: str, limits: ScaleLimits) -> Iterator[_Edges]:
     degrees = cut(edges.groupBy(key).agg(F.count(F.lit(1)).alias("degree")))
     total, largest = degrees.agg(F.sum("degree"), F.max("degree")).first()
-    buckets = -(-(total or 0) // limits.bucket_rows)
+    wanted = -(-(total or 0) // limits.bucket_rows)
+    buckets = min(wanted, limits.max_buckets)
     rows, on, hot = edges.join(degrees, key), [key], None
     if (largest or 0) > limits.hot_rows:
         salts = F.ceil(F.col("degree") / limits.hot_rows).alias("salts")
@@ -100,9 +102,9 @@ def _by_key(edges: DataFrame, key: str, other: str, limits: ScaleLimits) -> Iter
         rows, on = rows.withColumn("salt", salt).drop("salts"), [key, "salt"]
     if buckets > 1:
         with bucketed(rows, on, buckets, "edges") as stored:
-            yield _Edges(stored, key, hot, True)
+            yield _Edges(stored, key, hot, "shuffle_hash" if wanted == buckets else "merge")
     else:
-        yield _Edges(cut(rows), key, hot, False)
+        yield _Edges(cut(rows), key, hot, None)
 
 
 def pagerank(

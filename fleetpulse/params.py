@@ -96,6 +96,8 @@ class ScaleLimits:
     hot_rows: int = 1_000_000
     # Graph edges are bucketed from this number on, and a bucket holds about as many.
     bucket_rows: int = 2_000_000
+    # A bucket is a task of every step and reports to the driver, so from this number on buckets grow.
+    max_buckets: int = 1024
     # Longest array built for a member list.
     page_rows: int = 1000
     # Rows per block of a two-level running total.

@@ -179,3 +179,22 @@ def test_bucketed_edges_are_not_shuffled_again(spark, monkeypatch):
     assert "Bucketed: true" in step and step.count("Exchange hashpartitioning(dst") == 2
     assert "Exchange hashpartitioning(src" not in step
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("fleetpulse_")]
+
+
+def bounded_buckets(spark, monkeypatch, loop):
+    """Buckets made with a bound of 6, and the results with and without that bound."""
+    rng = random.Random(7)
+    _, e = frames(spark, list({(rng.randrange(40), rng.randrange(40)) for _ in range(150)}))
+    nodes = e.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    made, original = [], graph.bucketed
+    monkeypatch.setattr(
+        graph, "bucketed", lambda df, keys, n, label: made.append(n) or original(df, keys, n, label)
+    )
+    bounded = sorted(loop(nodes, e, limits=ScaleLimits(bucket_rows=2, max_buckets=6)).collect())
+    return made, bounded, sorted(loop(nodes, e, limits=ScaleLimits()).collect())
+
+
+def test_buckets_of_label_propagation_are_bounded(spark, monkeypatch):
+    """Every bucket is a task per step that reports to the driver: they do not grow with the edges."""
+    made, bounded, plain = bounded_buckets(spark, monkeypatch, graph.label_propagation)
+    assert made == [6] and bounded == plain
