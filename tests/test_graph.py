@@ -198,3 +198,12 @@ def test_buckets_of_label_propagation_are_bounded(spark, monkeypatch):
     """Every bucket is a task per step that reports to the driver: they do not grow with the edges."""
     made, bounded, plain = bounded_buckets(spark, monkeypatch, graph.label_propagation)
     assert made == [6] and bounded == plain
+
+
+def test_buckets_of_pagerank_are_bounded(spark, monkeypatch):
+    def rounded(*args, **kwargs):
+        ranks = graph.pagerank(*args, **kwargs)
+        return ranks.select("machine_id", F.round("pagerank", 9))
+
+    made, bounded, plain = bounded_buckets(spark, monkeypatch, rounded)
+    assert made == [6] and bounded == plain
