@@ -42,7 +42,23 @@ def rf_split(df: DataFrame, key: Column, params: ForestParams = ForestParams()):
     return df.where(chosen), df.where(~chosen)
 
 
-def rf_train(train: DataFrame, params: ForestParams = ForestParams()) -> PipelineModel:
+def dealt_evenly(rows: DataFrame, limits: ScaleLimits = ScaleLimits()) -> DataFrame:
+    """The rows in partitions of about ``task_rows``, where one now has more than that."""
+    sizes = rows.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("rows"))
+    total, largest = sizes.agg(F.sum("rows"), F.max("rows")).first()
+    if (largest or 0) <= limits.task_rows:
+        return rows
+    return rows.repartition(-(-total // limits.task_rows))
+
+
+def rf_train(
+    train: DataFrame, params: ForestParams = ForestParams(), limits: ScaleLimits = ScaleLimits()
+) -> PipelineModel:
+    """Random forest on the labelled rows.
+
+    Spark ML keeps, for every row, its features and how often each tree draws it: some thirty times the row's
+    share of a file, read whole by one task in each level. So no partition may hold many rows.
+    """
     forest = RandomForestClassifier(
         labelCol=LABEL,
         featuresCol="features",
@@ -50,7 +66,8 @@ def rf_train(train: DataFrame, params: ForestParams = ForestParams()) -> Pipelin
         maxDepth=params.depth,
         seed=params.seed,
     )
-    return Pipeline(stages=[feature_assembler(), forest]).fit(train)
+    rows = dealt_evenly(train.select(*FEATURES, LABEL), limits)
+    return Pipeline(stages=[feature_assembler(), forest]).fit(rows)
 
 
 def rf_predict(model: PipelineModel, rows: DataFrame) -> DataFrame:

@@ -98,6 +98,8 @@ class ScaleLimits:
     bucket_rows: int = 2_000_000
     # A bucket is a task of every step and reports to the driver, so from this number on buckets grow.
     max_buckets: int = 1024
+    # Rows of a partition that is held in memory to train a forest.
+    task_rows: int = 200_000
     # Longest array built for a member list.
     page_rows: int = 1000
     # Rows per block of a two-level running total.

@@ -244,3 +244,34 @@ def test_sample_rows_are_those_with_the_smallest_places(spark, readings):
         ]
         want += [(tree, place, x) for place, x in sorted(places)[: SMALL.sample_size]]
     assert found == sorted(want)
+
+
+def _training_rows(spark, n):
+    rows = [(float(i % 11), float(i % 13), 1000.0 + i, float(i % 7), i % 250, int(i % 250 > 200)) for i in range(n)]
+    columns = "air_temp double, process_temp double, rotational_speed double, torque double, tool_wear int, machine_failure int"
+    return spark.createDataFrame(rows, columns).coalesce(1)
+
+
+def _fitted_on(monkeypatch, train, limits):
+    """Rows per partition of what the forest is fitted on, and its predictions."""
+    sizes, fit = [], ml.Pipeline.fit
+
+    def watched(self, rows, *args):
+        sizes.extend(r[1] for r in rows.groupBy(F.spark_partition_id()).count().collect())
+        return fit(self, rows, *args)
+
+    monkeypatch.setattr(ml.Pipeline, "fit", watched)
+    model = ml.rf_train(train, ForestParams(trees=5), limits)
+    return sizes, [r.prediction for r in ml.rf_predict(model, train).select("prediction").collect()]
+
+
+def test_no_task_of_the_forest_holds_many_rows(spark, monkeypatch):
+    """One task read a whole partition of the cached training rows, thirty times its share of the file."""
+    sizes, found = _fitted_on(monkeypatch, _training_rows(spark, 1000), ScaleLimits(task_rows=100))
+    assert len(sizes) == 10 and sum(sizes) == 1000 and max(sizes) <= 120
+    assert sum(p == (i % 250 > 200) for i, p in enumerate(found)) > 950
+
+
+def test_small_partitions_stay_as_they_are(spark, monkeypatch):
+    sizes, _ = _fitted_on(monkeypatch, _training_rows(spark, 300), ScaleLimits())
+    assert sizes == [300]
