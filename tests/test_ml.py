@@ -275,3 +275,11 @@ def test_no_task_of_the_forest_holds_many_rows(spark, monkeypatch):
 def test_small_partitions_stay_as_they_are(spark, monkeypatch):
     sizes, _ = _fitted_on(monkeypatch, _training_rows(spark, 300), ScaleLimits())
     assert sizes == [300]
+
+
+def test_saved_forest_of_dealt_rows_predicts_the_same(spark, tmp_path):
+    train, path = _training_rows(spark, 400), str(tmp_path / "model")
+    model = ml.rf_train(train, ForestParams(trees=5), ScaleLimits(task_rows=50))
+    ml.save_model(model, path)
+    both = [ml.rf_predict(m, train).select("prediction").collect() for m in (model, ml.load_model(path))]
+    assert both[0] == both[1] and {r.prediction for r in both[0]} == {0.0, 1.0}
