@@ -12,6 +12,9 @@ from fleetpulse.schema import HISTORY_COLUMNS
 # Fixed value: records of an archive file where many small ones are wanted.
 SMALL_FILE_ROWS = 500
 
+# Messages of a compressed file, which one task reads whole: some 15 MB.
+MESSAGE_FILE_ROWS = 500_000
+
 
 def archive_rows(telemetry: DataFrame) -> DataFrame:
     """Telemetry under its wire names, the layout of the archive."""
@@ -80,8 +83,12 @@ def write_messages(
     fmt: str = "kafka",
     servers: str = "localhost:9092",
     path: str | None = None,
+    file_rows: int = MESSAGE_FILE_ROWS,
 ) -> None:
-    """Send messages to a Kafka topic, or add them to ``path/topic=<name>/`` as text files."""
+    """Send messages to a Kafka topic, or add them to ``path/topic=<name>/`` as text files.
+
+    The files are compressed, and hold at most ``file_rows`` messages each.
+    """
     if fmt == "kafka":
         (
             messages.select("value")
@@ -91,6 +98,11 @@ def write_messages(
             .save()
         )
     elif fmt == "files":
-        messages.select("value").write.mode("append").text(f"{path}/topic={topic}")
+        (
+            messages.select("value")
+            .write.mode("append")
+            .option("maxRecordsPerFile", file_rows)
+            .text(f"{path}/topic={topic}", compression="gzip")
+        )
     else:
         raise ValueError(f"unknown message format: {fmt}")
