@@ -15,11 +15,14 @@ of the first ``size - least overlap + m`` shingles in that order, for every ``m`
 4. Pairs of nodes not yet linked are counted by shared bucket in small buckets, and matched inside
    one task in large ones. Those that share as many shingles as the less demanding of them asks
    for, and as their sizes require, are verified on their whole sets.
+
+Whole sets take twice the room of the texts and are not stored. They are taken from the texts to count
+shingles, to choose prefixes, and to verify pairs, then from one text of each node that a pair needs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 from fleetpulse.llm.common import Batches, as_field, fields, map_batches, map_partition
 from fleetpulse.llm.components import component_roots
 from fleetpulse.operators.distribute import lookup_join
-from fleetpulse.session import write_once
+from fleetpulse.session import write_alone, write_once
 
 SHINGLE = 3
 PERCENT = 90
@@ -81,16 +84,25 @@ def _arrays(column: pa.ListArray) -> Iterator[np.ndarray]:
 
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", size: int = SHINGLE) -> DataFrame:
-    """(id, key, n, tokens): the shingle set of each row. ``key`` names the set, null if it is empty."""
+    """(id, row, key, n, tokens): the shingle set of each row. ``key`` names the set, null if it is empty.
+
+    ``row`` is a hash of id and text, by which a row is found again.
+    """
 
     def rows(columns):
         sets = [shingles(raw, size) for raw in columns["raw"].to_pylist()]
         keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-        return {"_id": columns["_id"], "key": keys, "n": list(map(len, sets)), "tokens": _lists(sets)}
+        kept = {c: columns[c] for c in ("_id", "row")}
+        return kept | {"key": keys, "n": list(map(len, sets)), "tokens": _lists(sets)}
 
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw")
-    schema = fields(as_field(docs, id_col, "_id"), "key binary", "n bigint", "tokens array<bigint>")
-    return map_batches(docs.select(F.col(id_col).alias("_id"), raw), rows, schema)
+    row = _row(id_col).alias("row")
+    schema = fields(as_field(docs, id_col, "_id"), "row bigint", "key binary", "n bigint", "tokens array<bigint>")
+    return map_batches(docs.select(F.col(id_col).alias("_id"), row, raw), rows, schema)
+
+
+def _row(id_col: str) -> Column:
+    return F.xxhash64(id_col, "text")
 
 
 # -- order ------------------------------------------------------------------------------------
@@ -149,7 +161,7 @@ def choose_matches(first: int, most: int, others: np.ndarray) -> int:
 
 
 def prefixes(sets: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """(key, n, matches, prefix): the number of matches of each node, and its prefix for them."""
+    """(id, row, key, n, matches, prefix): the number of matches of each set, and its prefix for them."""
     sent = sets.sparkSession.sparkContext.broadcast(levels)
     mask = np.uint64(len(levels) - 1)
     counts = np.exp2(np.arange(256) / 8.0) - 1
@@ -159,16 +171,23 @@ def prefixes(sets: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> Dat
     def rows(columns):
         ns, matches, kept = columns["n"].to_pylist(), [], []
         for n, tokens in zip(ns, _arrays(columns["tokens"])):
+            if not n:
+                matches.append(0)
+                kept.append(tokens)
+                continue
             least = least_overlap(n, percent)
             level = sent.value[(tokens & mask).astype(np.int64)]
             order = np.argsort(level, kind="stable")
             m = choose_matches(n - least + 1, least, others[level[order]])
             matches.append(m)
             kept.append(tokens[order[: n - least + m]])
-        return {"key": columns["key"], "n": ns, "matches": matches, "prefix": _lists(kept)}
+        given = {c: columns[c] for c in ("_id", "row", "key", "n")}
+        return given | {"matches": matches, "prefix": _lists(kept)}
 
-    schema = fields("key binary", "n bigint", "matches int", "prefix array<bigint>")
-    return map_batches(sets.where("n > 0").select("key", "n", "tokens"), rows, schema)
+    schema = fields(
+        sets.schema["_id"], "row bigint", "key binary", "n bigint", "matches int", "prefix array<bigint>"
+    )
+    return map_batches(sets, rows, schema)
 
 
 # -- candidates -------------------------------------------------------------------------------
@@ -225,12 +244,20 @@ def star_pairs(shared: DataFrame, percent: int = PERCENT, leaders: int = LEADERS
     return pairs.where("met >= enough").select("a", "b")
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b): the pairs that are links, by their whole sets. Only sets that some pair needs are moved."""
+def whole_sets(keys: DataFrame, ordered: DataFrame, docs: DataFrame, id_col: str, size: int) -> DataFrame:
+    """(key, n, tokens): the sets of ``keys``, each from the text of one row. No other text is moved."""
+    rows = lookup_join(ordered.select("key", "row"), keys, "key", "left_semi").groupBy("key").agg(F.min("row").alias("row"))
+    rows = write_once(rows.select("row").distinct(), "rows_of_candidates")
+    texts = lookup_join(docs.select(id_col, "text", _row(id_col).alias("row")), rows, "row", "left_semi")
+    # A row that comes twice, or has the hash of another one, is left out here or meets no pair.
+    return shingle_sets(texts, id_col, size).select("key", "n", "tokens").dropDuplicates(["key"])
+
+
+def verify(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = PERCENT) -> DataFrame:
+    """(a, b): the pairs that are links, by their whole sets, as ``sets_of`` gives them for their keys."""
     pairs = write_once(pairs, "candidates")
     keys = write_once(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
-    asked = lookup_join(sets.select("key", "n", "tokens"), keys, "key", "left_semi").dropDuplicates(["key"])
-    asked = write_once(asked, "sets_of_candidates")
+    asked = write_once(sets_of(keys), "sets_of_candidates")
     for side in ("a", "b"):
         pairs = pairs.join(asked.select(*(F.col(c).alias(side if c == "key" else f"{side}_{c}") for c in asked.columns)), side)
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -360,35 +387,43 @@ def near_sets(
     included; null ids count last. A row without words, its text null or empty included, has no
     shingles and is linked with nothing: its component is its own id. Repeated rows and equal sets
     are linked. Texts of any length are taken whole; an empty table gives no rows; other columns
-    are not read. Sets are those of 64-bit hashes of shingles.
+    are not read. Sets are those of 64-bit hashes of shingles. ``docs`` is read several times.
     """
-    sets = write_once(shingle_sets(docs, id_col, size), "shingle_sets")
-    each = sets.select("_id", "key", "n")
-    ordered = write_once(prefixes(sets, count_levels(sets, counters), percent), "prefixes")
-    shared = write_once(buckets(ordered, percent), "buckets")
-    roots = component_roots(verify(star_pairs(shared, percent), sets, percent))
-
-    placed = lookup_join(shared, write_once(roots.withColumnRenamed("node", "key"), "roots"), "key")
-    placed = placed.withColumn("root", F.coalesce("root", "key"))
-    sizes = shared.groupBy("token").agg(F.count(F.lit(1)).alias("met"))
-    hot = write_once(sizes.where(F.col("met") > small).select("token", F.lit(True).alias("large")), "large_buckets")
-    placed = write_once(lookup_join(placed, hot, "token").withColumn("large", F.coalesce("large", F.lit(False))), "placed")
-    large = placed.where("large")
-    in_large = large.groupBy("key").agg(F.count(F.lit(1)).alias("more"))
-    found = counted_pairs(placed.where("not large"), in_large, percent).unionByName(
-        matched_pairs(large, ordered, percent, block)
-    )
-    more = verify(found, sets, percent)
-    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    final = component_roots(known.unionByName(more))
-
-    least = each.where("n > 0").groupBy("key").agg(F.min("_id").alias("least"))
-    rooted = write_once(
-        least.join(final, least["key"] == final["node"], "left").select("key", "least", F.coalesce("root", "key").alias("root")),
-        "rooted",
-    )
-    low = write_once(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "smallest_ids")
-    by_key = write_once(lookup_join(rooted, low, "root").select("key", "component_id"), "components_of_sets")
+    spark, sets = docs.sparkSession, shingle_sets(docs, id_col, size)
+    ordered = write_alone(spark, lambda: prefixes(sets, count_levels(sets, counters), percent), "prefixes")
+    each = ordered.select("_id", "key", "n")
+    shared = write_alone(spark, lambda: buckets(ordered, percent), "buckets")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        return verify(pairs, lambda keys: whole_sets(keys, ordered, docs, id_col, size), percent)
+
+    roots = write_alone(spark, lambda: component_roots(links(star_pairs(shared, percent))), "roots")
+
+    def components() -> DataFrame:
+        placed = lookup_join(shared, roots.withColumnRenamed("node", "key"), "key")
+        placed = placed.withColumn("root", F.coalesce("root", "key"))
+        sizes = shared.groupBy("token").agg(F.count(F.lit(1)).alias("met"))
+        hot = write_once(sizes.where(F.col("met") > small).select("token", F.lit(True).alias("large")), "large_buckets")
+        placed = lookup_join(placed, hot, "token").withColumn("large", F.coalesce("large", F.lit(False)))
+        placed = write_once(placed, "placed")
+        large = placed.where("large")
+        in_large = large.groupBy("key").agg(F.count(F.lit(1)).alias("more"))
+        found = counted_pairs(placed.where("not large"), in_large, percent).unionByName(
+            matched_pairs(large, ordered, percent, block)
+        )
+        more = links(found)
+        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        final = component_roots(known.unionByName(more))
+
+        least = each.where("n > 0").groupBy("key").agg(F.min("_id").alias("least"))
+        rooted = write_once(
+            least.join(final, least["key"] == final["node"], "left").select("key", "least", F.coalesce("root", "key").alias("root")),
+            "rooted",
+        )
+        low = write_once(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "smallest_ids")
+        return lookup_join(rooted, low, "root").select("key", "component_id")
+
+    by_key = write_alone(spark, components, "components_of_sets")
     return lookup_join(each, by_key, "key").select(
         F.col("_id").alias(id_col),
         F.col("n").alias("n_shingles"),

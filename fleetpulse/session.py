@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from pathlib import Path
@@ -130,6 +130,30 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the shuffle files of each query inside the block when it ends, not when memory is collected."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
+def write_alone(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``write_once`` of the rows that ``make`` returns, without what was stored on the way to them.
+
+    For steps of several intermediate tables, which nothing reads later.
+    """
+    path = work_path(spark, label)
+    with scratch(spark), _shuffles_removed(spark):
+        df = make()
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def bucketed(df: DataFrame, keys: list[str], buckets: int, label: str) -> Iterator[DataFrame]:
     """The rows as a table bucketed on ``keys``, for as long as the block runs.

@@ -1,5 +1,6 @@
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -7,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from fleetpulse.llm import jaccard
+from fleetpulse.session import shared_dir, write_alone
 from tests.llm import cases
 
 
@@ -96,3 +98,31 @@ def test_more_matches_where_shingles_are_frequent():
     rare, frequent = np.full(300, jaccard.CHANCE), np.full(300, 40.0)
     assert jaccard.choose_matches(31, 270, rare) < jaccard.choose_matches(31, 270, frequent)
     assert jaccard.choose_matches(1, 1, np.ones(1)) == 1
+
+
+def test_whole_sets_are_not_stored(spark):
+    """What lies in the shared folder afterwards is far smaller than eight bytes for each shingle of a text."""
+    rows = [(i, cases.prose(1000 + i, 3000), None, None, None) for i in range(20)]
+    rows += [(20 + i, text + " more", None, None, None) for i, (_, text, *_) in enumerate(rows[:5])]
+    docs = spark.createDataFrame(rows, cases.DOCS)
+    tables = Path(shared_dir(spark).removeprefix("file:")) / "fleetpulse"
+    before = set(tables.glob("*"))
+    got = {r.doc_id: r for r in jaccard.near_sets(docs, counters=1 << 10).collect()}
+    assert [got[20 + i].component_id for i in range(5)] == list(range(5))
+    made = set(tables.glob("*")) - before
+    assert {p.name.rsplit("-", 1)[0] for p in made} == {"prefixes", "buckets", "roots", "components_of_sets"}
+    stored = sum(f.stat().st_size for p in made for f in p.rglob("*.parquet"))
+    assert stored < 4 * sum(r.n_shingles for r in got.values())
+
+
+def test_setting_for_shuffle_files_is_put_back(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    within = []
+
+    def make():
+        within.append(spark.conf.get(setting))
+        return spark.range(5).repartition(3)
+
+    assert write_alone(spark, make, "rows").count() == 5
+    assert within == ["true"] and spark.conf.get(setting) == before
