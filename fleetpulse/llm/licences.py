@@ -1,7 +1,8 @@
 """Licence notices: a trained paragraph classifier, confirmed by comparison with templates.
 
-A sparse logistic regression over hashed word one- and two-grams says which licence family a
-paragraph is a notice of. It is trained on the templates, on copies of them with words left out
+A sparse logistic regression over word one- and two-grams says which licence family a paragraph is
+a notice of. It weighs all grams of the templates and the most frequent others; their number is
+fixed, as the driver holds some dozens of vectors with a weight for each gram and family. It is trained on the templates, on copies of them with words left out
 and with foreign words around them, and on paragraphs of the corpus that resemble no template.
 The probability from which a family is believed is calibrated on paragraphs kept out of training;
 below it a paragraph is unknown. The likeliest families are compared with their templates, and the
@@ -19,9 +20,9 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import Transformer
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, NGram
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel, NGram
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from fleetpulse.llm.common import text_key
 from fleetpulse.session import write_once
 
-FEATURES = 1 << 15
+VOCABULARY = 1 << 12  # grams that are weighed; a vector of weights takes 0.4 MB
 NEGATIVES = 4000  # paragraphs of the corpus that are trained on, about as many again calibrate
 FALSE_RATE = 0.0005  # share of other paragraphs that may reach the calibrated probability
 CANDIDATES = 3  # likeliest families that are compared with their templates
@@ -223,18 +224,11 @@ def windows(docs: DataFrame) -> DataFrame:
     return told.select("key", "at", F.col("made.last").alias("last"), F.array_join("made.words", " ").alias("text"))
 
 
-def _grams() -> list[Transformer]:
-    return [
-        NGram(n=2, inputCol="words", outputCol="pairs"),
-        HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features"),
-    ]
-
-
 def featurize(rows: DataFrame) -> DataFrame:
-    """Adds words, grams (distinct words and pairs) and their hashed features."""
-    pairs, hashed = _grams()
+    """Adds words and grams (distinct words and pairs)."""
+    pairs = NGram(n=2, inputCol="words", outputCol="pairs")
     paired = pairs.transform(rows.withColumn("words", words(F.col("text"))))
-    return hashed.transform(paired.withColumn("grams", F.array_distinct(F.concat("words", "pairs"))).drop("pairs"))
+    return paired.withColumn("grams", F.array_distinct(F.concat("words", "pairs"))).drop("pairs")
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -251,7 +245,7 @@ def resemblance(grams: Column, template: Column) -> Column:
 
 @dataclass
 class Classifier:
-    model: LogisticRegressionModel
+    model: PipelineModel  # from grams to probabilities of the families
     accept: float  # calibrated probability from which a family is believed
 
 
@@ -283,6 +277,15 @@ def _positives(known: DataFrame, foreign: DataFrame) -> DataFrame:
     return plain.unionByName(left_out).unionByName(within)
 
 
+def vocabulary(rows: DataFrame, known: DataFrame, most: int = VOCABULARY) -> list[str]:
+    """The grams that are weighed: those of the templates, then those that most rows have."""
+    own = known.select(F.explode("grams").alias("gram")).distinct().withColumn("own", F.lit(True))
+    counted = rows.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    listed = counted.join(F.broadcast(own), "gram", "full")
+    first = listed.orderBy(F.col("own").isNull(), F.desc("n"), "gram").limit(most)
+    return [r["gram"] for r in first.select("gram").collect()]
+
+
 def train(lines: DataFrame, negatives: int = NEGATIVES, false_rate: float = FALSE_RATE) -> Classifier:
     """Train on the templates and on a hash sample of ``lines``: two parts for two purposes.
 
@@ -304,8 +307,8 @@ def train(lines: DataFrame, negatives: int = NEGATIVES, false_rate: float = FALS
     part = F.pmod(F.xxhash64("text", F.lit("part")), F.lit(2 * negatives))
     foreign = write_once(strange.where(F.col("like") < RESEMBLES).select("text", part.alias("part")), "foreign_lines")
     label = F.array_position(F.array(*(F.lit(f) for f in FAMILIES)), F.col("family")) - 1
-    positives = featurize(_positives(known, foreign)).select(label.cast("double").alias("label"), "features")
-    others = featurize(foreign.where(F.col("part") % 2 == 0)).select(F.lit(0.0).alias("label"), "features")
+    positives = featurize(_positives(known, foreign)).select(label.cast("double").alias("label"), "grams")
+    others = featurize(foreign.where(F.col("part") % 2 == 0)).select(F.lit(0.0).alias("label"), "grams")
     rows = write_once(positives.unionByName(others), "licence_training")
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     most = max(counts.values())
@@ -313,7 +316,10 @@ def train(lines: DataFrame, negatives: int = NEGATIVES, false_rate: float = FALS
     learner = LogisticRegression(
         family="multinomial", maxIter=40, regParam=2e-4, elasticNetParam=0.5, weightCol="weight"
     )
-    model = learner.fit(rows.withColumn("weight", weight))
+    vectorizer = CountVectorizerModel.from_vocabulary(
+        vocabulary(rows, known), inputCol="grams", outputCol="features", binary=True
+    )
+    model = PipelineModel([vectorizer, learner.fit(vectorizer.transform(rows).withColumn("weight", weight))])
     kept_out = model.transform(featurize(foreign.where(F.col("part") % 2 == 1)))
     best = kept_out.select((1 - vector_to_array("probability")[0]).alias("p"))
     reached = best.agg(F.percentile_approx("p", 1 - false_rate, 100_000)).first()[0]

@@ -176,3 +176,14 @@ def test_windows_of_a_very_long_text(spark):
         lines[at + 1] = "License."
     docs = spark.createDataFrame([("\n".join(lines),)], "text string")
     assert {5, 50_000, 99_990} <= {r["at"] for r in licences.windows(docs).collect()}
+
+
+def test_the_weights_are_bounded_and_know_the_templates(spark):
+    """The driver trains on vectors of families times grams: large ones fill its memory."""
+    lines = [(cases.prose(i, 40),) for i in range(300)]
+    paragraphs = spark.createDataFrame(lines, "text string")
+    model = licences.train(paragraphs).model
+    weights = model.stages[-1].coefficientMatrix
+    assert weights.numCols <= licences.VOCABULARY and weights.numRows * weights.numCols * 8 < 1 << 19
+    own = {g for r in licences.templates(spark).collect() for g in r["grams"]}
+    assert own <= set(model.stages[0].vocabulary)
