@@ -4,8 +4,8 @@
    starts that share an anchor, the smallest hash of a short gram inside the string. Equal strings
    have equal anchors, so only runs of one anchor can repeat each other, and equal runs are counted
    once.
-2. Distinct runs of an anchor go to a shard, which holds a bounded number of bytes. The shard sorts
-   its suffixes by Larsson-Sadakane refinement and takes the common prefixes of neighbours from
+2. Distinct runs of an anchor go to a shard, which holds a bounded number of bytes. The shard leaves
+   out starts whose strings have no equal by what surrounds their anchor. It sorts the other suffixes by Larsson-Sadakane refinement and takes the common prefixes of neighbours from
    Kasai's relation between successive suffixes. Strings with a common prefix of ``length`` repeat.
 3. An anchor with more text than a shard holds is dealt over several. Their sorted strings are
    merged by binary search: each shard looks its strings up among those of the others.
@@ -34,6 +34,7 @@ PASSAGE_BYTES = 200  # strings in which passages are looked for; shorter than mo
 PASSAGE_WORDS = 50
 GRAM = 32  # bytes that an anchor hashes; a power of two
 SHARD_BYTES = 1 << 20
+PARTS = 4  # of the distances to the anchor, for which surroundings are compared
 CHUNK = 1 << 20  # bytes looked at in one go; positions in it fit the low bits of a key
 _POSITION = np.uint64((1 << 24) - 1)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -72,13 +73,20 @@ def _window_minimum(keys: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(behind[: n - window + 1], ahead[window - 1 : n])
 
 
+def gram_size(length: int) -> int:
+    """Half a string at most, so that short strings have anchors too."""
+    return min(GRAM, 1 << ((length // 2).bit_length() - 1)) if length > 1 else 1
+
+
 def batch_runs(raws: list[bytes], length: int = LENGTH) -> Iterator[dict[str, np.ndarray]]:
     """Runs of several texts: number of the text, first start, end of starts, anchor, digest.
 
+    ``ahead`` is how far behind the first start the anchor lies. It is the same for equal strings.
+
     Each start of a string lies in one run. Short texts are looked at together and long ones in
-    parts. The gram is half a string at most, so that short strings have anchors too.
+    parts.
     """
-    gram = min(GRAM, 1 << ((length // 2).bit_length() - 1)) if length > 1 else 1
+    gram = gram_size(length)
     waiting: list[tuple[int, int, bytes]] = []
     held = 0
     for number, raw in enumerate(raws):
@@ -116,6 +124,7 @@ def _runs(pieces: list[tuple[int, int, bytes]], length: int, gram: int) -> dict[
     offset = np.array([a for _, a, _ in pieces])
     return {
         "number": number[piece], "first": offset[piece] + low, "last": offset[piece] + low + count,
+        "ahead": anchor[first] - at,
         "anchor": hashes[anchor[first]].view(np.int64), "digest": np.array(digests, np.uint64).view(np.int64),
     }
 
@@ -288,7 +297,7 @@ class Passages:
                         yield {"key": keys.take(pa.array(found.pop("number"))), **found}
 
         long = self.texts.where(F.octet_length("raw") >= length).select("key", "raw")
-        schema = fields("key binary", "first int", "last int", "anchor bigint", "digest bigint")
+        schema = fields("key binary", "first int", "last int", "ahead int", "anchor bigint", "digest bigint")
         return map_partition(long, run, schema)
 
     def _find(self) -> DataFrame:
@@ -332,10 +341,11 @@ class Passages:
         shard = F.when(F.col("hot"), shards + F.pmod(F.xxhash64("anchor", salt), F.lit(1 << 60))).otherwise(
             F.pmod(F.xxhash64("anchor"), F.lit(shards))
         )
-        wanted = dealt.select("key", shard.alias("shard"), "first", "last", "n", "hot")
+        own = ["first", "last", "n", "hot", "anchor", "ahead"]
+        wanted = dealt.select("key", shard.alias("shard"), *own)
         piece = F.substring("raw", F.col("first") + 1, size.cast("int"))
         pieces = self.texts.select("key", "raw").join(wanted.hint("shuffle_hash"), "key")
-        pieces = pieces.select("shard", "key", "first", "last", "n", "hot", piece.alias("piece"))
+        pieces = pieces.select("shard", "key", *own, piece.alias("piece"))
         spread = max(shuffle_partitions(self.spark), min(shards, 100_000))
         placed = pieces.repartition(spread, "shard").sortWithinPartitions("shard", "key", "first")
 
@@ -345,7 +355,7 @@ class Passages:
 
         def search(batches: Batches) -> Iterator[dict]:
             for held in _groups(_rows(batches)):
-                yield from _search_shard(held, length, ranges)
+                yield from _search_shard(_met_again(held, length), length, ranges)
 
         found = write_once(map_partition(placed, search, _FOUND), "shard_results")
         local = found.where("range is null").select("key", "a", "b")
@@ -456,8 +466,49 @@ _FOUND = fields("key binary", "a int", "b int", "range bigint", "strings binary"
 _STRING = np.dtype([("h1", "<i8"), ("h2", "<i8"), ("start", "<i4"), ("key", "V16")])
 
 
+def _met_again(held: list[tuple], length: int) -> list[tuple]:
+    """The runs of a shard, cut to starts whose strings may have an equal: without anchor and ``ahead``.
+
+    Equal strings have their anchor at the same distance. All strings of one run with distances
+    from ``low`` to ``high`` hold the bytes from ``low`` before the anchor on to the end of the one
+    with distance ``high``; where no other run of the anchor has the same bytes there, none of
+    them has an equal. Runs of hot anchors stay whole, as their equals may be in other shards.
+    """
+    most = length - gram_size(length)
+    step = -(-(most + 1) // PARTS)
+    digest, mask = xxhash.xxh3_64_intdigest, (1 << 64) - 1
+    seen: dict[int, int] = {}
+    marks = []
+    for _, _, first, last, _, hot, anchor, ahead, piece in held:
+        own = []
+        if not hot:
+            for low in range((ahead - (last - first) + 1) // step * step, ahead + 1, step):
+                same = piece[ahead - low : ahead - low - step + 1 + length]
+                mark = digest(same, (anchor + low) & mask)
+                seen[mark] = seen.get(mark, 0) + 1
+                own.append((low, mark))
+        marks.append(own)
+    out = []
+    for (shard, key, first, last, n, hot, _, ahead, piece), own in zip(held, marks):
+        if hot:
+            out.append((shard, key, first, last, n, hot, piece))
+            continue
+        kept: list[list[int]] = []  # stretches of starts, counted from the first
+        for low, mark in reversed(own):  # the largest distance is that of the first start
+            if seen[mark] > 1:
+                a, b = max(0, ahead - low - step + 1), min(last - first, ahead - low + 1)
+                if kept and kept[-1][1] == a:
+                    kept[-1][1] = b
+                else:
+                    kept.append([a, b])
+        out += [(shard, key, first + a, first + b, n, hot, piece[a : b + length - 1]) for a, b in kept]
+    return out
+
+
 def _search_shard(held: list[tuple], length: int, ranges: int) -> Iterator[dict]:
     """Spans that repeat inside a shard, and the sorted strings of its hot runs, cut into ranges."""
+    if not held:
+        return
     sizes = np.array([last - first for _, _, first, last, _, _, _ in held], np.int64)
     raw = np.frombuffer(b"".join(row[6] for row in held), np.uint8)
     begins = np.cumsum([0, *(len(row[6]) for row in held)])[:-1]

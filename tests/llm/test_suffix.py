@@ -171,3 +171,38 @@ def test_remove_only_passages_of_enough_words(spark):
     found = {r["doc_id"]: r["text"] for r in suffix.remove_repeats(docs, 200, least_words=50).collect()}
     assert found == {r[0]: t if r[1] else r[1] for r, t in zip(rows, plain_cut(rows, 200, 50))}
     assert any(found[doc] != text for doc, text in rows)
+
+
+def shard_of(raws, length):
+    """All runs of some texts as the rows of one shard."""
+    rows = []
+    for part in suffix.batch_runs(raws, length):
+        columns = (part[c].tolist() for c in ("number", "first", "last", "anchor", "ahead"))
+        rows += [(0, n, a, b, 1, False, h, d, raws[n][a : b + length - 1]) for n, a, b, h, d in zip(*columns)]
+    return rows
+
+
+@given(raws=st.lists(st.lists(st.sampled_from([b"a", b"ab", b"abaab", b"\x00"]), max_size=30), max_size=6), length=st.integers(1, 40))
+@settings(max_examples=80, deadline=None)
+def test_no_start_of_a_repeated_string_is_left_out(raws, length):
+    raws = [b"".join(parts) for parts in raws]
+    held = shard_of(raws, length)
+    kept = suffix._met_again(held, length)
+    counts = Counter(raw[p : p + length] for raw in raws for p in range(len(raw) - length + 1))
+    starts = [(n, p) for _, n, a, b, *_ in kept for p in range(a, b)]
+    assert len(starts) == len(set(starts)) and set(starts) <= {(r[1], p) for r in held for p in range(r[2], r[3])}
+    assert all(piece == raws[n][a : b + length - 1] for _, n, a, b, _, _, piece in kept)
+    assert {(n, p) for n, raw in enumerate(raws) for p in range(len(raw) - length + 1) if counts[raw[p : p + length]] > 1} <= set(starts)
+
+
+def test_runs_that_share_little_more_than_their_anchor_are_not_sorted():
+    """Suffix sorting is most of the work: a short common phrase must not bring its surroundings in."""
+    phrase, passage = cases.prose(1, 12), cases.prose(2, 60)
+    apart = [f"{cases.prose(10 + i, 60)} {phrase} {cases.prose(50 + i, 60)}".encode() for i in range(8)]
+    assert suffix._met_again(shard_of(apart, 200), 200) == []
+    both = [f"{cases.prose(90 + i, 60)} {passage} {cases.prose(95 + i, 60)}".encode() for i in range(2)]
+    starts = sum(b - a for _, _, a, b, *_ in suffix._met_again(shard_of(apart + both, 200), 200))
+    repeated = 2 * (len(passage) + 2 - 199)
+    assert repeated <= starts <= repeated + 4 * 43
+    hot = [(*row[:5], True, *row[6:]) for row in shard_of(apart, 200)]
+    assert [row[2:4] for row in suffix._met_again(hot, 200)] == [row[2:4] for row in hot]  # their equals may be elsewhere
